@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import WS, keyword_match, normalize_for_match, py_regex
+from .text import WS, keyword_match, normalize_for_match, normalize_keyword, py_regex
 
 UNKNOWN = "unknown"
 MULTI = "multi_sector"
@@ -26,29 +26,64 @@ MULTI = "multi_sector"
 
 # ---------------------------------------------------------------- E1 ------
 
-def category_scores(norm: Column, taxonomy: R.Taxonomy) -> list[Column]:
+# Normalised text is lower-case ASCII, where a word character is [a-z0-9_]:
+# a keyword made only of word characters matches ``\bkw\b`` exactly when it
+# is one of the text's tokens.
+_ASCII_WORD = re.compile(r"[a-z0-9_]+")
+_ASCII_NONWORD = "[^a-z0-9_]+"
+
+
+def _single_words(taxonomies) -> list[str]:
+    words = {
+        normalize_keyword(kw)
+        for tax in taxonomies for _, kws in tax.categories for kw in kws
+    }
+    return sorted(w for w in words if _ASCII_WORD.fullmatch(w))
+
+
+def keyword_presence(norm: Column, *taxonomies: R.Taxonomy) -> Column:
+    """The single-word keywords of ``taxonomies`` present in a normalised
+    text: one tokenisation and one hash intersection per row, instead of one
+    scan of the text per keyword."""
+    words = _single_words(taxonomies)
+    if not words:
+        return F.array().cast("array<string>")
+    return F.array_intersect(F.split(norm, _ASCII_NONWORD), F.array(*[F.lit(w) for w in words]))
+
+
+def category_scores(norm: Column, taxonomy: R.Taxonomy, present: Column | None = None) -> list[Column]:
     """Per category: number of distinct keywords present (0/1 each)."""
+    if present is None:
+        present = keyword_presence(norm, taxonomy)
     out = []
     for _, kws in taxonomy.categories:
         s = F.lit(0)
         for kw in kws:
-            s = s + keyword_match(norm, kw).cast("int")
+            kwn = normalize_keyword(kw)
+            hit = F.array_contains(present, kwn) if _ASCII_WORD.fullmatch(kwn) else keyword_match(norm, kw)
+            s = s + hit.cast("int")
         out.append(s)
     return out
 
 
-def score_array(norm: Column, taxonomy: R.Taxonomy) -> Column:
+def score_array(norm: Column, taxonomy: R.Taxonomy, present: Column | None = None) -> Column:
     """E1 as ``array<int>``, one score per category in dictionary order.
 
     Keep it in its own projection (see ``with_scores``): Spark splits the
     code of a large ``array(...)`` into helper methods, so long dictionaries
     stay under the 64 KB method limit and inside whole-stage codegen.
     """
-    return F.array(*category_scores(norm, taxonomy))
+    return F.array(*category_scores(norm, taxonomy, present))
+
+
+def with_presence(df: DataFrame, norm: str, out: str, *taxonomies: R.Taxonomy) -> DataFrame:
+    return df.withColumn(out, keyword_presence(F.col(norm), *taxonomies))
 
 
 def with_scores(df: DataFrame, norm: str, taxonomy: R.Taxonomy, out: str) -> DataFrame:
-    return df.withColumn(out, score_array(F.col(norm), taxonomy))
+    tmp = f"__{out}_present"
+    return (with_presence(df, norm, tmp, taxonomy)
+            .withColumn(out, score_array(F.col(norm), taxonomy, F.col(tmp))).drop(tmp))
 
 
 def scores_as_structs(scores: Column, taxonomy: R.Taxonomy) -> Column:
@@ -214,30 +249,58 @@ def with_classification(df: DataFrame, title: str, out: str, cascade: R.Cascade
 # ---------------------------------------------------------------- E6 ------
 
 _SIMPLE = re.compile(r"^\\b([^\\\[\](){}.*+?^$|]+)\\b$")
+# Java's \b: letters, decimal digits, '_' (and marks on a base letter).
+_UNICODE_NONWORD = "[^\\p{L}\\p{Nd}\\p{Mn}_]+"
 
 
-def _pattern_match(c: Column, pattern: str) -> Column:
+def _simple_word(pattern: str) -> str | None:
+    m = _SIMPLE.match(pattern)
+    return m.group(1) if m and _ASCII_WORD.fullmatch(m.group(1)) else None
+
+
+def skill_presence(low: Column, patterns: R.SkillPatterns) -> Column:
+    """Words of the ``\\bword\\b`` patterns present in a lower-cased text
+    (one tokenisation, one hash intersection)."""
+    words = sorted({w for _, ps in patterns.skills for p in ps if (w := _simple_word(p))})
+    if not words:
+        return F.array().cast("array<string>")
+    return F.array_intersect(F.split(low, _UNICODE_NONWORD), F.array(*[F.lit(w) for w in words]))
+
+
+def _pattern_match(c: Column, pattern: str, present: Column) -> Column:
+    word = _simple_word(pattern)
+    if word is not None:
+        return F.array_contains(present, word)
     m = _SIMPLE.match(pattern)
     hit = c.rlike(py_regex(pattern))
-    # a plain word pattern can only match where its letters occur: test that
-    # with a byte search first and skip the regex on all other rows
+    # a plain phrase pattern can only match where its letters occur: test
+    # that with a byte search first and skip the regex on all other rows
     return (c.contains(m.group(1)) & hit) if m else hit
 
 
-def extract_skills(text: Column, patterns: R.SkillPatterns = R.SKILLS) -> Column:
+def extract_skills(text: Column, patterns: R.SkillPatterns = R.SKILLS, present: Column | None = None) -> Column:
     """Sorted skills with any pattern found in the lower-cased text;
     null -> empty array."""
     low = F.lower(text)
+    if present is None:
+        present = skill_presence(low, patterns)
     hits = []
     for skill, ps in patterns.skills:
         cond = F.lit(False)
         for p in ps:
-            cond = cond | _pattern_match(low, p)
+            cond = cond | _pattern_match(low, p, present)
         hits.append(F.when(cond, F.lit(skill)))
     found = F.filter(F.array(*hits), lambda x: x.isNotNull())
     return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.array_sort(found))
 
 
+def with_skills(df: DataFrame, text: str, out: str = "skills", patterns: R.SkillPatterns = R.SKILLS) -> DataFrame:
+    """DataFrame form of E6: the token intersection in its own projection."""
+    tmp = f"__{out}_present"
+    return (df.withColumn(tmp, skill_presence(F.lower(F.col(text)), patterns))
+            .withColumn(out, extract_skills(F.col(text), patterns, F.col(tmp))).drop(tmp))
+
+
 # ---------------------------------------------------------------- E7 ------
 
 def enrich_frame(
@@ -265,17 +328,22 @@ def enrich_frame(
         rt: prepare_title(F.col(title)),
     })
     staged = staged.withColumns({
-        "__ind_d": score_array(F.col(dn), industry),
-        "__sen_t": score_array(F.col(tn), seniority),
-        "__sen_d": score_array(F.col(dn), seniority),
-        "__dom_t": score_array(F.col(tn), domain),
-        "__dom_d": score_array(F.col(dn), domain),
+        "__tp": keyword_presence(F.col(tn), seniority, domain),
+        "__dp": keyword_presence(F.col(dn), industry, seniority, domain),
+        "__sp": skill_presence(F.lower(F.col(description)), skills),
+    })
+    staged = staged.withColumns({
+        "__ind_d": score_array(F.col(dn), industry, F.col("__dp")),
+        "__sen_t": score_array(F.col(tn), seniority, F.col("__tp")),
+        "__sen_d": score_array(F.col(dn), seniority, F.col("__dp")),
+        "__dom_t": score_array(F.col(tn), domain, F.col("__tp")),
+        "__dom_d": score_array(F.col(dn), domain, F.col("__dp")),
     })
     out = staged.withColumns({
         "role_family": classify_prepared(F.col(rt), cascade),
-        "skills": extract_skills(F.col(description), skills),
+        "skills": extract_skills(F.col(description), skills, F.col("__sp")),
         "hiring_industry": category_from_scores(F.col("__ind_d"), industry, multi=True),
         "seniority_level": priority_from_scores(F.col("__sen_t"), F.col("__sen_d"), seniority),
         "domain_focus": weighted_from_scores(F.col("__dom_t"), F.col("__dom_d"), domain),
     })
-    return out.drop(tn, dn, rt, "__ind_d", "__sen_t", "__sen_d", "__dom_t", "__dom_d")
+    return out.drop(tn, dn, rt, "__tp", "__dp", "__sp", "__ind_d", "__sen_t", "__sen_d", "__dom_t", "__dom_d")

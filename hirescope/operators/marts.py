@@ -53,9 +53,15 @@ def month_of(ts: str | Column) -> Column:
 
 def explode_terms(df: DataFrame, array_col: str, out: str) -> DataFrame:
     """One row per array element; null and empty arrays vanish,
-    null elements are dropped (F4, F5)."""
+    null elements are dropped (F4, F5).
+
+    Written as ``explode_outer`` + a filter on the element: same rows as an
+    inner explode, but Catalyst infers no ``size(array) > 0`` predicate, which
+    it would push below projections and repartitions with the (possibly very
+    expensive) array expression inlined into it.
+    """
     keep = [c for c in df.columns if c != array_col]
-    return df.select(*keep, F.explode(F.col(array_col)).alias(out)).where(F.col(out).isNotNull())
+    return df.select(*keep, F.explode_outer(F.col(array_col)).alias(out)).where(F.col(out).isNotNull())
 
 
 # ---------------------------------------------------------------- demand --

@@ -339,10 +339,13 @@ def q_dedupe_counts(spark, sf_dir):
 
 def lang_scores(spark, sf_dir) -> DataFrame:
     """Score arrays of title and body, each in its own projection."""
-    d = doc_texts(spark, sf_dir)
+    d = doc_texts(spark, sf_dir).withColumns({
+        "tp": E.keyword_presence(F.col("title_norm"), TR.LANG_TAXONOMY),
+        "bp": E.keyword_presence(F.col("body_norm"), TR.LANG_TAXONOMY),
+    })
     return d.withColumns({
-        "title_scores": E.score_array(F.col("title_norm"), TR.LANG_TAXONOMY),
-        "body_scores": E.score_array(F.col("body_norm"), TR.LANG_TAXONOMY),
+        "title_scores": E.score_array(F.col("title_norm"), TR.LANG_TAXONOMY, F.col("tp")),
+        "body_scores": E.score_array(F.col("body_norm"), TR.LANG_TAXONOMY, F.col("bp")),
     })
 
 
@@ -383,7 +386,7 @@ def q_language_demand(spark, sf_dir):
 
 def doc_skills(spark, sf_dir, patterns) -> DataFrame:
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return d.select("doc_id", E.extract_skills(F.col("text"), patterns).alias("skills"))
+    return E.with_skills(d, "text", "skills", patterns).select("doc_id", "skills")
 
 
 def q_extract_skills(spark, sf_dir):
@@ -473,11 +476,15 @@ def q_reference_skills(spark, sf_dir):
 def q_reference_enrichment(spark, sf_dir):
     """E3a / E3b / E4 with the posting taxonomies over every document."""
     d = doc_texts(spark, sf_dir).withColumns({
-        "ind_d": E.score_array(F.col("body_norm"), R.INDUSTRY),
-        "sen_t": E.score_array(F.col("title_norm"), R.SENIORITY),
-        "sen_d": E.score_array(F.col("body_norm"), R.SENIORITY),
-        "dom_t": E.score_array(F.col("title_norm"), R.DOMAIN),
-        "dom_d": E.score_array(F.col("body_norm"), R.DOMAIN),
+        "tp": E.keyword_presence(F.col("title_norm"), R.SENIORITY, R.DOMAIN),
+        "bp": E.keyword_presence(F.col("body_norm"), R.INDUSTRY, R.SENIORITY, R.DOMAIN),
+    })
+    d = d.withColumns({
+        "ind_d": E.score_array(F.col("body_norm"), R.INDUSTRY, F.col("bp")),
+        "sen_t": E.score_array(F.col("title_norm"), R.SENIORITY, F.col("tp")),
+        "sen_d": E.score_array(F.col("body_norm"), R.SENIORITY, F.col("bp")),
+        "dom_t": E.score_array(F.col("title_norm"), R.DOMAIN, F.col("tp")),
+        "dom_d": E.score_array(F.col("body_norm"), R.DOMAIN, F.col("bp")),
     })
     enriched = d.select(
         E.category_from_scores(F.col("ind_d"), R.INDUSTRY, multi=True).alias("hiring_industry"),
