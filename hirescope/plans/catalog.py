@@ -384,6 +384,15 @@ def q_language_demand(spark, sf_dir):
     return M.demand(d, ["role_family"])
 
 
+def q_match_terms_categories(spark, sf_dir):
+    """J4 join path: the stop-word taxonomy as a dictionary table, matched by
+    a window join; same result as ``infer_category``."""
+    from ..operators import match as J
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    dictionary = J.prepare_dictionary(J.taxonomy_table(spark, TR.LANG_TAXONOMY))
+    return J.infer_category_by_join(d, "doc_id", "text", dictionary)
+
+
 def doc_skills(spark, sf_dir, patterns) -> DataFrame:
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return E.with_skills(d, "text", "skills", patterns).select("doc_id", "skills")
@@ -558,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "infer_with_priority": q_infer_with_priority,
     "weighted_domain": q_weighted_domain,
     "language_demand": q_language_demand,
+    "match_terms_categories": q_match_terms_categories,
     "extract_skills": q_extract_skills,
     "skills_exploded": q_skills_exploded,
     "normalize_text": q_normalize_text,

@@ -376,6 +376,7 @@ def sql() -> dict[str, str]:
         f"WITH {DN}, {LANG_S} SELECT doc_id, CASE WHEN t <> 'unknown' THEN t WHEN b IN ({allowed}) THEN b "
         f"ELSE 'unknown' END AS category FROM (SELECT doc_id, {argmax_sql('t', lt)} AS t, {argmax_sql('b', lt)} AS b FROM ls)")
     q["weighted_domain"] = f"WITH {DN}, {LANG_S} SELECT doc_id, {weighted_sql('t', 'b', lt)} AS category FROM ls"
+    q["match_terms_categories"] = q["infer_category"]
     q["language_demand"] = (f"WITH {DN}, {LANG_S} SELECT role_family, count(*) AS demand FROM (SELECT "
                             f"{argmax_sql('b', lt)} AS role_family FROM ls) GROUP BY 1")
     ds = f"ds AS (SELECT doc_id, {skills_sql('lower(text)', TR.DOC_PATTERNS)} AS skills FROM documents)"
