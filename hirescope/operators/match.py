@@ -67,7 +67,8 @@ def text_windows(df: DataFrame, id_col: str, norm_col: str, lengths: list[int])
     runs = F.col("__runs")
     per_len = []
     for n in lengths:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(runs) - F.lit(n) + 1, F.lit(0)))
+        starts = F.when(F.size(runs) >= n, F.sequence(F.lit(1), F.size(runs) - F.lit(n) + 1)).otherwise(
+            F.array().cast("array<int>"))
         per_len.append(F.filter(
             F.transform(starts, lambda i: F.array_join(F.slice(runs, i, n), "")),
             lambda w: w.rlike(_WORD),
