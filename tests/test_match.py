@@ -37,11 +37,13 @@ def test_dictionary_rejects_unsplittable_keywords(spark):
 
 
 def test_size_checked_broadcast(spark):
-    small = spark.createDataFrame([(1, "a")], "k int, v string")
+    small = spark.range(3).selectExpr("id AS k", "'a' AS v")  # exact statistics
     big = spark.range(1000).withColumnRenamed("id", "k")
+    unknown = spark.createDataFrame([(1, "a")], "k long, v string")  # size unknown
 
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().optimizedPlan().toString().lower()
 
     assert hinted(J.join_dimension(big, small, "k"))
     assert not hinted(J.join_dimension(big, small, "k", max_broadcast_bytes=0))
+    assert not hinted(J.join_dimension(big, unknown, "k"))
