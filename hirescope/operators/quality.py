@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,3 +113,22 @@ def metrics_over_snapshots(df: DataFrame, dt: str = "dt", **kw) -> DataFrame:
     return per.withColumn("previous", F.lag("value").over(w)).withColumn(
         "change", F.round(F.col("value") - F.col("previous"), 2)
     )
+
+
+def observe_step(df: DataFrame, step: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Attach named metrics (e.g. ``rows=F.count(F.lit(1))``) to a step.
+
+    They are computed while the step runs for its own action (a write), so a
+    summary never costs another pass over the data.
+    """
+    obs = Observation(step)
+    return df.observe(obs, *[m.alias(k) for k, m in metrics.items()]), obs
+
+
+def step_summary(observations: dict[str, Observation]) -> list[tuple[str, str, float]]:
+    """``(step, metric, value)`` rows from finished observations."""
+    out = []
+    for step, obs in observations.items():
+        for k, v in sorted(obs.get.items()):
+            out.append((step, k, float(v) if v is not None else None))
+    return out

@@ -57,6 +57,7 @@ class RunReport:
     dedupe: dict
     quality: list
     outputs: dict
+    steps: list
 
 
 def run(spark: SparkSession, raw_path: str, stage_path: str, analytics_path: str, dt: str) -> RunReport:
@@ -69,9 +70,18 @@ def run(spark: SparkSession, raw_path: str, stage_path: str, analytics_path: str
     Q.gate(snapshot, f"for dt={dt}")
     quality = [r.asDict() for r in Q.metrics(snapshot).collect()]  # four rows
 
-    outputs = {}
+    outputs, observations = {}, {}
     for name, build in ANALYTICS.items():
-        out = build(snapshot)
-        S.write_analytics(out, analytics_path, name, dt)
+        # Rows in, rows passing the role filter, output keys — observed
+        # during the write itself
+        observed, obs = Q.observe_step(
+            snapshot, name,
+            rows_in=F.count(F.lit(1)),
+            rows_classified=F.sum(M.classified("role_family").cast("long")),
+        )
+        out = build(observed)
+        out_obs, out_o = Q.observe_step(out, f"{name}_out", output_rows=F.count(F.lit(1)))
+        S.write_analytics(out_obs, analytics_path, name, dt)
+        observations[name], observations[f"{name}_out"] = obs, out_o
         outputs[name] = f"{analytics_path}/{name}/v1/dt={dt}"
-    return RunReport(counts, quality, outputs)
+    return RunReport(counts, quality, outputs, Q.step_summary(observations))

@@ -57,6 +57,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("HIRESCOPE_DRIVER_MEMORY", "8g"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="hirescope-warehouse-"))
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)

@@ -55,6 +55,11 @@ def test_weekly_run_end_to_end(spark):
     ts = {r.offer_id: r.created_at for r in view.select("offer_id", "created_at").collect()}
     assert str(ts["B2"]) == "None" and str(ts["E5"]) == "2024-01-31 23:59:59"
 
+    steps = {(st, m): v for st, m, v in report.steps}
+    assert steps[("role_demand", "rows_in")] == 7.0
+    assert steps[("role_demand", "rows_classified")] == 5.0
+    assert steps[("role_demand_out", "output_rows")] == 5.0
+
     q = {m["metric"]: m for m in report.quality}
     assert q["total_rows"]["value"] == 7.0
     for name in ("skill_demand", "role_demand", "role_demand_by_seniority",
@@ -108,3 +113,22 @@ def test_malformed_line_fails(spark):
         raise AssertionError("a malformed line must fail the read")
     except Exception as e:  # noqa: BLE001
         assert "AssertionError" not in type(e).__name__
+
+
+def test_load_warehouse_reconciles(spark):
+    tmp = tempfile.mkdtemp(prefix="hirescope-test-")
+    staged = W.stage(S.read_raw_offers(spark, _raw_dir(tmp), DT))
+    assert S.load_warehouse(staged, "stg_offres_test") == 7
+    assert S.load_warehouse(staged.limit(3), "stg_offres_test") == 3  # replaced, not appended
+    spark.sql("DROP TABLE stg_offres_test")
+
+
+def test_rules_round_trip_through_tables(spark):
+    from hirescope.functions import rules as R
+
+    tables = S.load_rules(spark)
+    tax = R.Taxonomy.from_table(tables["taxonomy_rules"], "seniority_level")
+    assert tax == R.SENIORITY
+    assert R.Cascade.from_table(tables["role_cascade"]) == R.ROLE_CASCADE
+    assert R.SkillPatterns.from_table(tables["skill_patterns"]).skills[:3] == R.SKILLS.skills[:3]
+    assert [r.keyword for r in tables["search_keywords"].orderBy("rank").collect()] == R.SEARCH_KEYWORDS
