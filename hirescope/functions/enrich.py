@@ -30,7 +30,7 @@ MULTI = "multi_sector"
 # a keyword made only of word characters matches ``\bkw\b`` exactly when it
 # is one of the text's tokens.
 _ASCII_WORD = re.compile(r"[a-z0-9_]+")
-_ASCII_NONWORD = "[^a-z0-9_]+"
+_ASCII_WORD_RUN = "[a-z0-9_]+"
 
 
 def _single_words(taxonomies) -> list[str]:
@@ -48,7 +48,8 @@ def keyword_presence(norm: Column, *taxonomies: R.Taxonomy) -> Column:
     words = _single_words(taxonomies)
     if not words:
         return F.array().cast("array<string>")
-    return F.array_intersect(F.split(norm, _ASCII_NONWORD), F.array(*[F.lit(w) for w in words]))
+    tokens = F.regexp_extract_all(norm, F.lit(_ASCII_WORD_RUN), 0)
+    return F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))
 
 
 def category_scores(norm: Column, taxonomy: R.Taxonomy, present: Column | None = None) -> list[Column]:
@@ -250,7 +251,7 @@ def with_classification(df: DataFrame, title: str, out: str, cascade: R.Cascade
 
 _SIMPLE = re.compile(r"^\\b([^\\\[\](){}.*+?^$|]+)\\b$")
 # Java's \b: letters, decimal digits, '_' (and marks on a base letter).
-_UNICODE_NONWORD = "[^\\p{L}\\p{Nd}\\p{Mn}_]+"
+_UNICODE_WORD_RUN = "[\\p{L}\\p{Nd}\\p{Mn}_]+"
 
 
 def _simple_word(pattern: str) -> str | None:
@@ -264,7 +265,8 @@ def skill_presence(low: Column, patterns: R.SkillPatterns) -> Column:
     words = sorted({w for _, ps in patterns.skills for p in ps if (w := _simple_word(p))})
     if not words:
         return F.array().cast("array<string>")
-    return F.array_intersect(F.split(low, _UNICODE_NONWORD), F.array(*[F.lit(w) for w in words]))
+    tokens = F.regexp_extract_all(low, F.lit(_UNICODE_WORD_RUN), 0)
+    return F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))
 
 
 def _pattern_match(c: Column, pattern: str, present: Column) -> Column:
