@@ -29,9 +29,13 @@ _WORD = "^[a-z0-9_]"
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame (no job is run)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
+    """Catalyst's size estimate of a frame (no job is run); unknown sizes
+    (or no access to the plan) count as unbounded."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001
+        return 1 << 62
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "inner",

@@ -38,10 +38,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Spread CPU-heavy text work over all cores when the scan yields fewer
     splits than the cluster has slots (small single-file tables). At scale
     the scan is already wide and nothing is added."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): keep the scan as is
+        return df
+    return df.repartition(slots, key) if splits < slots else df
 
 
 # ------------------------------------------------------------ stand-ins ---
