@@ -22,8 +22,8 @@ class QualityError(ValueError):
 
 
 def _pct(cond: Column) -> Column:
-    # round(100 * n / total, 2); total > 0 is guaranteed by the gate
-    return F.round(F.lit(100.0) * F.sum(cond.cast("long")) / F.count(F.lit(1)), 2)
+    # round(100 * n / total, 2); null instead of an error on empty input
+    return F.round(F.try_divide(F.lit(100.0) * F.sum(cond.cast("long")), F.count(F.lit(1))), 2)
 
 
 def _passed(metric: Column, value: Column, thresholds: Mapping[str, tuple[str, float]]) -> Column:

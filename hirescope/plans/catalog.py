@@ -411,7 +411,7 @@ def q_skills_exploded(spark, sf_dir):
 def q_normalize_text(spark, sf_dir):
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     n = X.normalize_text(F.col("text"))
-    return d.select("doc_id", F.length(n).alias("n_chars"), F.md5(n).alias("md5"))
+    return d.select("doc_id", F.length(n).cast("long").alias("n_chars"), F.md5(n).alias("md5"))
 
 
 # --------------------------------------------------------------- pages ----
@@ -419,7 +419,7 @@ def q_normalize_text(spark, sf_dir):
 def q_clean_text(spark, sf_dir):
     pg = page_parts(spark, sf_dir)
     c = X.clean_text(F.col("html"))
-    return pg.select("page_id", F.length(c).alias("n_chars"), md5_of(c).alias("md5"))
+    return pg.select("page_id", F.length(c).cast("long").alias("n_chars"), md5_of(c).alias("md5"))
 
 
 def q_clean_title(spark, sf_dir):
