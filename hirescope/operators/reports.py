@@ -37,6 +37,26 @@ def by_demand(key: str | Sequence[str], measure: str = "demand") -> list[Column]
     return [F.col(measure).desc(), *[F.col(k).asc() for k in keys]]
 
 
+def by_role_then_demand(level: str, role: str = "role_family", measure: str = "demand") -> list[Column]:
+    """Role, demand descending, then the level (total order)."""
+    return [F.col(role).asc(), F.col(measure).desc(), F.col(level).asc()]
+
+
+def by_snapshot(time: str, key: str, measure: str = "nb_offers") -> list[Column]:
+    """Newest snapshot first, count descending, key."""
+    return [F.col(time).desc(), F.col(measure).desc(), F.col(key).asc()]
+
+
+def by_month(time: str, key: str, measure: str = "demand") -> list[Column]:
+    """Month ascending, demand descending, key."""
+    return [F.col(time).asc(), F.col(measure).desc(), F.col(key).asc()]
+
+
+def ordered(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Apply a report order (a range-partitioned global sort)."""
+    return df.orderBy(*_cols(order))
+
+
 def for_value(df: DataFrame, column: str, value) -> DataFrame:
     """F8: keep one parameter value (e.g. the selected role)."""
     return df.where(F.col(column) == F.lit(value))

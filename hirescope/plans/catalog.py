@@ -181,7 +181,7 @@ def q_role_selector(spark, sf_dir):
 # --------------------------------------------------------- order marts ----
 
 def q_demand_by_seniority(spark, sf_dir):
-    return M.role_demand_by_seniority(order_postings(spark, sf_dir))
+    return P.ordered(M.role_demand_by_seniority(order_postings(spark, sf_dir)), P.by_role_then_demand("seniority_level"))
 
 
 def q_demand_by_domain(spark, sf_dir):
@@ -199,7 +199,7 @@ def q_seniority_ladder(spark, sf_dir):
 
 
 def q_role_trends_by_month(spark, sf_dir):
-    return M.role_trends_by_month(order_postings(spark, sf_dir))
+    return P.ordered(M.role_trends_by_month(order_postings(spark, sf_dir)), P.by_month("month", "role_family"))
 
 
 def lineitem_skill_trends(spark, sf_dir) -> DataFrame:
@@ -244,11 +244,11 @@ def q_monthly_role_trend_of_role(spark, sf_dir):
 # ---------------------------------------------------------- event lake ----
 
 def q_weekly_role_trends(spark, sf_dir):
-    return L.snapshot_role_trends(event_snapshots(spark, sf_dir))
+    return P.ordered(L.snapshot_role_trends(event_snapshots(spark, sf_dir)), P.by_snapshot("dt", "role_family"))
 
 
 def q_weekly_skill_trends(spark, sf_dir):
-    return L.snapshot_skill_trends(event_snapshots(spark, sf_dir))
+    return P.ordered(L.snapshot_skill_trends(event_snapshots(spark, sf_dir)), P.by_snapshot("dt", "skill"))
 
 
 def q_dt_sanity_count(spark, sf_dir):
