@@ -21,6 +21,10 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # size shuffle partitions by bytes, not by core count: AQE merges small
+    # ones up to the advisory size, so the same job fits 1 GB and 100 TB
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 

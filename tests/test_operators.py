@@ -113,3 +113,13 @@ def test_keyword_summary_lists_missing_keywords(spark):
     dim = spark.createDataFrame([("a",), ("b",), ("c",)], "keyword string")
     got = {r.keyword: r.n_rows for r in P.keyword_summary(df, dim).collect()}
     assert got == {"a": 2, "b": 1, "c": 0, "__total__": 3}
+
+
+def test_configure_keeps_cluster_values(spark):
+    from hirescope.session import configure
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+    configure(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
+    assert spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
