@@ -85,3 +85,27 @@ def run(spark: SparkSession, raw_path: str, stage_path: str, analytics_path: str
         observations[name], observations[f"{name}_out"] = obs, out_o
         outputs[name] = f"{analytics_path}/{name}/v1/dt={dt}"
     return RunReport(counts, quality, outputs, Q.step_summary(observations))
+
+
+def main(argv=None) -> None:
+    """``python -m hirescope.plans.weekly --raw R --stage S --analytics A --dt D``"""
+    import argparse
+    import datetime
+    import json
+
+    from ..session import configure
+
+    ap = argparse.ArgumentParser(description="weekly posting staging and demand datasets")
+    ap.add_argument("--raw", required=True)
+    ap.add_argument("--stage", required=True)
+    ap.add_argument("--analytics", required=True)
+    ap.add_argument("--dt", default=datetime.date.today().isoformat())
+    args = ap.parse_args(argv)
+    spark = configure(SparkSession.builder.appName("hirescope-weekly").getOrCreate())
+    report = run(spark, args.raw, args.stage, args.analytics, args.dt)
+    print(json.dumps({"dedupe": report.dedupe, "quality": report.quality, "steps": report.steps,
+                      "outputs": report.outputs}, default=str))
+
+
+if __name__ == "__main__":
+    main()

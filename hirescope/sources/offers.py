@@ -161,9 +161,16 @@ def write_analytics(df: DataFrame, base: str, name: str, dt, version: str = "v1"
 
 
 def load_warehouse(df: DataFrame, table: str = "stg_offres") -> int:
-    """S6 + Q8: replace the table with one snapshot, then reconcile counts."""
-    expected = df.count()
-    df.write.mode("overwrite").saveAsTable(table)
+    """S6 + Q8: replace the table with one snapshot, then reconcile counts.
+
+    The expected count is observed while the write runs, so the input is
+    computed once.
+    """
+    from ..operators.quality import observe_step
+
+    observed, obs = observe_step(df, f"load_{table}", rows=F.count(F.lit(1)))
+    observed.write.mode("overwrite").saveAsTable(table)
+    expected = obs.get["rows"]
     loaded = df.sparkSession.table(table).count()
     if expected != loaded:
         raise ValueError(f"row count mismatch after load: {expected} != {loaded}")
@@ -193,6 +200,15 @@ def register_views(stage: DataFrame) -> dict[str, DataFrame]:
     return views
 
 
+def register_lake_view(spark: SparkSession, path: str, name: str = "offers_lake") -> DataFrame:
+    """S7 as SQL: every snapshot of the staged table under one view name, so
+    lake queries run as written (``SELECT ... FROM offers_lake CROSS JOIN
+    UNNEST``-style queries become ``LATERAL VIEW explode``)."""
+    df = lake_table(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def load_rules(spark: SparkSession) -> dict[str, DataFrame]:
     """The rule tables as small DataFrames."""
     return R.rule_tables(spark)

@@ -132,3 +132,19 @@ def test_rules_round_trip_through_tables(spark):
     assert R.Cascade.from_table(tables["role_cascade"]) == R.ROLE_CASCADE
     assert R.SkillPatterns.from_table(tables["skill_patterns"]).skills[:3] == R.SKILLS.skills[:3]
     assert [r.keyword for r in tables["search_keywords"].orderBy("rank").collect()] == R.SEARCH_KEYWORDS
+
+
+def test_lake_sql_as_written(spark):
+    """The lake queries run as SQL over the registered view."""
+    tmp = tempfile.mkdtemp(prefix="hirescope-test-")
+    stage_path = os.path.join(tmp, "stage")
+    staged = W.stage(S.read_raw_offers(spark, _raw_dir(tmp), DT))
+    S.write_stage(staged.withColumn("dt", F.lit(DT).cast("date")), stage_path)
+    S.register_lake_view(spark, stage_path, "offers_lake")
+    by_role = {r.role_family: r.nb_offers for r in spark.sql(
+        "SELECT role_family, COUNT(*) AS nb_offers FROM offers_lake GROUP BY role_family").collect()}
+    assert by_role["other"] == 1 and by_role[None] == 1
+    weekly = spark.sql(
+        "SELECT dt, skill, COUNT(*) AS nb_offers FROM offers_lake LATERAL VIEW explode(skills) t AS skill "
+        "GROUP BY dt, skill ORDER BY dt DESC, nb_offers DESC, skill").collect()
+    assert weekly[0].skill == "airflow" and str(weekly[0].dt) == DT
