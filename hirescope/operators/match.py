@@ -33,15 +33,24 @@ def estimated_bytes(df: DataFrame) -> int:
     (or no access to the plan) count as unbounded."""
     try:
         size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
+        size = int(size if isinstance(size, int) else size.toString())
+        return size if size < (1 << 62) else 1 << 62
     except Exception:  # noqa: BLE001
         return 1 << 62
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """Join with a dimension, broadcasting it only under a checked size."""
-    if estimated_bytes(dim) <= max_broadcast_bytes:
+                   max_broadcast_bytes: int = 64 << 20, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Join with a dimension, broadcasting it only under a checked size.
+
+    The check is Catalyst's size estimate; when that is unknown (a frame
+    built from local data, say) it is a bounded row count of the dimension
+    (``limit(max+1).count()``), which never reads more than ``max+1`` rows.
+    """
+    size = estimated_bytes(dim)
+    if size <= max_broadcast_bytes:
+        dim = F.broadcast(dim)
+    elif size >= 1 << 62 and max_broadcast_rows > 0 and dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         dim = F.broadcast(dim)
     return facts.join(dim, on=on, how=how)
 
@@ -67,10 +76,14 @@ def text_windows(df: DataFrame, id_col: str, norm_col: str, lengths: list[int])
 
     The runs are cut once in their own projection; every length reads them.
     """
-    staged = df.select(F.col(id_col).alias("__id"), F.regexp_extract_all(F.col(norm_col), F.lit(_RUNS), 0).alias("__runs"))
+    staged = df.select(F.col(id_col).alias("__id"), F.col(norm_col),
+                       F.regexp_extract_all(F.col(norm_col), F.lit(_RUNS), 0).alias("__runs"))
     runs = F.col("__runs")
     per_len = []
     for n in lengths:
+        if n == 1:  # single words: the word runs themselves
+            per_len.append(F.regexp_extract_all(F.col(norm_col), F.lit("[a-z0-9_]+"), 0))
+            continue
         starts = F.when(F.size(runs) >= n, F.sequence(F.lit(1), F.size(runs) - F.lit(n) + 1)).otherwise(
             F.array().cast("array<int>"))
         per_len.append(F.filter(

@@ -46,4 +46,5 @@ def test_size_checked_broadcast(spark):
 
     assert hinted(J.join_dimension(big, small, "k"))
     assert not hinted(J.join_dimension(big, small, "k", max_broadcast_bytes=0))
-    assert not hinted(J.join_dimension(big, unknown, "k"))
+    assert hinted(J.join_dimension(big, unknown, "k"))  # unknown size, but a bounded count says 1 row
+    assert not hinted(J.join_dimension(big, unknown, "k", max_broadcast_rows=0))
