@@ -133,13 +133,21 @@ def top_skill_trends(skill_trends: DataFrame, role_skill_dem: DataFrame, role_va
 
 
 def dataset_summary(df: DataFrame, role: str = "role_family", skills: str = "skills", k: int = 5) -> DataFrame:
-    """Totals and top-k roles / skills as (section, key, value)."""
+    """Totals and top-k roles / skills as (section, key, value).
+
+    Two aggregations over the postings (per role, per skill); every total and
+    top-k is derived from those small results, so the input is scanned once
+    per aggregation and both are reused (exchange reuse) where read twice.
+    """
     skill_dem = skill_demand(df, skills)
     role_counts = df.groupBy(role).agg(F.count(F.lit(1)).alias("value"))
     totals = bag_union([
-        df.agg(F.count(F.lit(1)).alias("value")).select(F.lit("total").alias("section"), F.lit("offers").alias("key"), "value"),
-        df.agg(F.count_distinct(role).alias("value")).select(F.lit("total").alias("section"), F.lit("unique_roles").alias("key"), "value"),
-        skill_dem.agg(F.count(F.lit(1)).alias("value")).select(F.lit("total").alias("section"), F.lit("unique_skills").alias("key"), "value"),
+        role_counts.agg(F.sum("value").cast("long").alias("value")).select(
+            F.lit("total").alias("section"), F.lit("offers").alias("key"), "value"),
+        role_counts.agg(F.count(role).alias("value")).select(
+            F.lit("total").alias("section"), F.lit("unique_roles").alias("key"), "value"),
+        skill_dem.agg(F.count(F.lit(1)).alias("value")).select(
+            F.lit("total").alias("section"), F.lit("unique_skills").alias("key"), "value"),
     ])
     top_roles = top_k(role_counts, k, [F.col("value").desc(), F.col(role).asc_nulls_first()]).select(
         F.lit("top_roles").alias("section"), F.coalesce(F.col(role), F.lit("(null)")).alias("key"), "value")
@@ -171,5 +179,8 @@ def keyword_summary(df: DataFrame, keywords: DataFrame, keyword: str = "search_k
     per_kw = keywords.join(counts, on=dim_key, how="left").select(
         F.col(dim_key), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows")
     )
-    total = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("__total__").alias(dim_key), "n_rows")
+    # the total comes from the per-keyword counts (null keyword included):
+    # one scan of the input, reused
+    total = counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows")).select(
+        F.lit("__total__").alias(dim_key), "n_rows")
     return bag_union([per_kw, total])

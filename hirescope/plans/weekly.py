@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..operators.dedupe import dedupe_counts, dedupe_first
+from ..operators.dedupe import dedupe_first
 from ..operators.reports import ladder_rank
 from ..sources import offers as S
 
@@ -61,10 +61,13 @@ class RunReport:
 
 
 def run(spark: SparkSession, raw_path: str, stage_path: str, analytics_path: str, dt: str) -> RunReport:
-    raw = S.read_raw_offers(spark, raw_path, dt)
-    counts = dedupe_counts(raw, "id").first().asDict()
-    staged = stage(raw).withColumn("dt", F.lit(dt).cast("date"))
+    raw, raw_obs = Q.observe_step(S.read_raw_offers(spark, raw_path, dt), "raw", rows=F.count(F.lit(1)))
+    deduped, dd_obs = Q.observe_step(dedupe_raw(raw), "deduped", rows=F.count(F.lit(1)))
+    staged = S.stage_offers(S.flatten_offer(deduped)).withColumn("dt", F.lit(dt).cast("date"))
     S.write_stage(staged, stage_path)
+    # D2 from the counts observed during the write (no second pass over raw)
+    n_raw, n_dedup = raw_obs.get["rows"], dd_obs.get["rows"]
+    counts = {"raw_rows": n_raw, "deduped_rows": n_dedup, "duplicates_removed": n_raw - n_dedup}
 
     snapshot = S.read_stage(spark, stage_path, dt)
     Q.gate(snapshot, f"for dt={dt}")
