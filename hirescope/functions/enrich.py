@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import WS, keyword_match, normalize_for_match, normalize_keyword, py_regex
+from .text import WS, keyword_match, lit_array, normalize_for_match, normalize_keyword, py_regex
 
 UNKNOWN = "unknown"
 MULTI = "multi_sector"
@@ -49,20 +49,37 @@ def keyword_presence(norm: Column, *taxonomies: R.Taxonomy) -> Column:
     if not words:
         return F.array().cast("array<string>")
     tokens = F.regexp_extract_all(norm, F.lit(_ASCII_WORD_RUN), 0)
-    return F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))
+    return F.array_intersect(tokens, lit_array(words))
 
 
 def category_scores(norm: Column, taxonomy: R.Taxonomy, present: Column | None = None) -> list[Column]:
-    """Per category: number of distinct keywords present (0/1 each)."""
+    """Per category: number of keywords present (0/1 each, as listed).
+
+    Single-word keywords are counted with one ``array_intersect`` against the
+    present set per category (a word listed k times after normalisation
+    counts k times); phrases keep their own boundary test.
+    """
     if present is None:
         present = keyword_presence(norm, taxonomy)
     out = []
     for _, kws in taxonomy.categories:
-        s = F.lit(0)
+        weights: dict[str, int] = {}
+        phrases = []
         for kw in kws:
             kwn = normalize_keyword(kw)
-            hit = F.array_contains(present, kwn) if _ASCII_WORD.fullmatch(kwn) else keyword_match(norm, kw)
-            s = s + hit.cast("int")
+            if _ASCII_WORD.fullmatch(kwn):
+                weights[kwn] = weights.get(kwn, 0) + 1
+            else:
+                phrases.append(kw)
+        s = F.lit(0)
+        once = sorted(w for w, k in weights.items() if k == 1)
+        if once:
+            s = F.size(F.array_intersect(present, lit_array(once)))
+        for w, k in sorted(weights.items()):
+            if k > 1:
+                s = s + F.array_contains(present, w).cast("int") * k
+        for kw in phrases:
+            s = s + keyword_match(norm, kw).cast("int")
         out.append(s)
     return out
 
@@ -202,7 +219,7 @@ def weighted_category_norm(
 
 def _any_contains(t: Column, terms) -> Column:
     # one literal array + lambda: compact generated code for long term lists
-    return F.exists(F.array(*[F.lit(x) for x in terms]), lambda x: t.contains(x))
+    return F.exists(lit_array(terms), lambda x: t.contains(x))
 
 
 def _rule_condition(t: Column, rule: R.Rule) -> Column:
@@ -266,7 +283,7 @@ def skill_presence(low: Column, patterns: R.SkillPatterns) -> Column:
     if not words:
         return F.array().cast("array<string>")
     tokens = F.regexp_extract_all(low, F.lit(_UNICODE_WORD_RUN), 0)
-    return F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))
+    return F.array_intersect(tokens, lit_array(words))
 
 
 def _pattern_match(c: Column, pattern: str, present: Column) -> Column:
@@ -288,9 +305,11 @@ def extract_skills(text: Column, patterns: R.SkillPatterns = R.SKILLS, present:
         present = skill_presence(low, patterns)
     hits = []
     for skill, ps in patterns.skills:
-        cond = F.lit(False)
+        words = sorted({w for p in ps if (w := _simple_word(p))})
+        cond = F.arrays_overlap(present, lit_array(words)) if words else F.lit(False)
         for p in ps:
-            cond = cond | _pattern_match(low, p, present)
+            if _simple_word(p) is None:
+                cond = cond | _pattern_match(low, p, present)
         hits.append(F.when(cond, F.lit(skill)))
     found = F.filter(F.array(*hits), lambda x: x.isNotNull())
     return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.array_sort(found))

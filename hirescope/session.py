@@ -25,6 +25,10 @@ DEFAULTS = {
     # ones up to the advisory size, so the same job fits 1 GB and 100 TB
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # the rule tables become thousands of Column operations; capturing the
+    # Python call site of each one (a debugging aid for error messages)
+    # costs more than planning the query itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -33,10 +37,22 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
+    _refresh_debugging_flag()
     checkpoint_dir(spark)
     return spark
 
 
+def _refresh_debugging_flag() -> None:
+    # PySpark reads the call-site flag once per process; re-read it so the
+    # value configured above applies from now on
+    try:
+        import pyspark.errors.utils as U
+
+        U._enable_debugging_cache = None
+    except (ImportError, AttributeError):
+        pass
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
