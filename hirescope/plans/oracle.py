@@ -38,11 +38,13 @@ def strip(x: str) -> str:
 
 
 def decode(x: str) -> str:
-    """The entities the driver's pages hold, replaced to a fixpoint (the
-    longest chain seen is three levels deep)."""
+    """The entities the driver's pages hold, replaced to a fixpoint (three
+    levels of nesting at most). These names are legacy HTML entities, so the
+    trailing semicolon is optional."""
     one = x
     for _ in range(3):
-        one = f"replace(replace(replace(replace(replace(replace({one}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+        for ent, ch in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+            one = f"regexp_replace({one}, '&{ent};?', {lit(ch)}, 'g')"
     return one
 
 
