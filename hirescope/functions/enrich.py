@@ -18,12 +18,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import WS, keyword_match, lit_array, normalize_for_match, normalize_keyword, py_regex
+from .text import WS, java_quote, keyword_match, lit_array, normalize_for_match, normalize_keyword, py_regex, sql_lit
 
 UNKNOWN = "unknown"
 MULTI = "multi_sector"
 
 
+# ------------------------------------------------------ SQL builders ------
+# When the inputs are named columns, each generated rule expression is handed
+# to Spark as one SQL string (one parse) instead of being assembled from
+# hundreds of Column calls; the expression is the same either way.
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lits(values) -> str:
+    return ", ".join(sql_lit(v) for v in values)
+
+
+def _kw_match_sql(norm: str, keyword: str) -> str:
+    kw = normalize_keyword(keyword)
+    pattern = "\\b" + java_quote(kw) + "\\b"
+    return f"(contains({norm}, {sql_lit(kw)}) AND {norm} RLIKE {sql_lit(pattern)})"
+
+
+def _argmax_sql(scores: list[str], names: list[str], ties: list[str] | None = None) -> str:
+    keyed = [
+        f"named_struct('score', {sc}, 'tie', {ties[i] if ties else '0'}, 'ord', {-i}, 'category', {sql_lit(n)})"
+        for i, (sc, n) in enumerate(zip(scores, names))
+    ]
+    return keyed[0] if len(keyed) == 1 else "greatest(" + ", ".join(keyed) + ")"
+
+
 # ---------------------------------------------------------------- E1 ------
 
 # Normalised text is lower-case ASCII, where a word character is [a-z0-9_]:
@@ -84,13 +111,41 @@ def category_scores(norm: Column, taxonomy: R.Taxonomy, present: Column | None =
     return out
 
 
-def score_array(norm: Column, taxonomy: R.Taxonomy, present: Column | None = None) -> Column:
+def _score_array_sql(norm: str, taxonomy: R.Taxonomy, present: str) -> str:
+    n, p = _q(norm), _q(present)
+    cats = []
+    for _, kws in taxonomy.categories:
+        weights: dict[str, int] = {}
+        phrases = []
+        for kw in kws:
+            kwn = normalize_keyword(kw)
+            if _ASCII_WORD.fullmatch(kwn):
+                weights[kwn] = weights.get(kwn, 0) + 1
+            else:
+                phrases.append(kw)
+        parts = []
+        once = sorted(w for w, k in weights.items() if k == 1)
+        if once:
+            parts.append(f"size(array_intersect({p}, array({_lits(once)})))")
+        parts += [f"CAST(array_contains({p}, {sql_lit(w)}) AS INT) * {k}"
+                  for w, k in sorted(weights.items()) if k > 1]
+        parts += [f"CAST({_kw_match_sql(n, kw)} AS INT)" for kw in phrases]
+        cats.append("(" + (" + ".join(parts) or "0") + ")")
+    return "array(" + ", ".join(cats) + ")"
+
+
+def score_array(norm: Column | str, taxonomy: R.Taxonomy, present: Column | str | None = None) -> Column:
     """E1 as ``array<int>``, one score per category in dictionary order.
 
     Keep it in its own projection (see ``with_scores``): Spark splits the
     code of a large ``array(...)`` into helper methods, so long dictionaries
     stay under the 64 KB method limit and inside whole-stage codegen.
+    Named-column inputs are compiled from one SQL string.
     """
+    if isinstance(norm, str) and isinstance(present, str):
+        return F.expr(_score_array_sql(norm, taxonomy, present))
+    norm = F.col(norm) if isinstance(norm, str) else norm
+    present = F.col(present) if isinstance(present, str) else present
     return F.array(*category_scores(norm, taxonomy, present))
 
 
@@ -101,7 +156,7 @@ def with_presence(df: DataFrame, norm: str, out: str, *taxonomies: R.Taxonomy) -
 def with_scores(df: DataFrame, norm: str, taxonomy: R.Taxonomy, out: str) -> DataFrame:
     tmp = f"__{out}_present"
     return (with_presence(df, norm, tmp, taxonomy)
-            .withColumn(out, score_array(F.col(norm), taxonomy, F.col(tmp))).drop(tmp))
+            .withColumn(out, score_array(norm, taxonomy, tmp)).drop(tmp))
 
 
 def scores_as_structs(scores: Column, taxonomy: R.Taxonomy) -> Column:
@@ -137,10 +192,24 @@ def _argmax(scores: list[Column], names: list[str], tie_groups: list[Column] | N
     return keyed[0] if len(keyed) == 1 else F.greatest(*keyed)
 
 
-def category_from_scores(scores: Column, taxonomy: R.Taxonomy, multi: bool = False) -> Column:
+def _category_sql(scores: str, taxonomy: R.Taxonomy, multi: bool = False) -> str:
+    sc = _q(scores)
+    n = len(taxonomy.names)
+    best = _argmax_sql([f"{sc}[{i}]" for i in range(n)], taxonomy.names)
+    result = f"CASE WHEN ({best}).score <= 0 THEN 'unknown' ELSE ({best}).category END"
+    if multi and n > 1:
+        top, second = f"sort_array({sc}, false)[0]", f"sort_array({sc}, false)[1]"
+        result = (f"CASE WHEN {top} >= 2 AND {second} >= 2 AND {top} - {second} <= 1 "
+                  f"THEN 'multi_sector' ELSE {result} END")
+    return result
+
+
+def category_from_scores(scores: Column | str, taxonomy: R.Taxonomy, multi: bool = False) -> Column:
     """E2 on a ``score_array`` column: highest score, ties to the earlier
     category, none -> ``unknown``; with ``multi``: top and runner-up both
     >= 2 and at most 1 apart -> ``multi_sector``."""
+    if isinstance(scores, str):
+        return F.expr(_category_sql(scores, taxonomy, multi))
     n = len(taxonomy.names)
     best = _argmax([scores[i] for i in range(n)], taxonomy.names)
     result = F.when(best["score"] <= 0, F.lit(UNKNOWN)).otherwise(best["category"])
@@ -165,7 +234,7 @@ def with_category(df: DataFrame, norm: str, taxonomy: R.Taxonomy, out: str, mult
     """DataFrame form of E2: scores in one projection, category in the next."""
     tmp = f"__{out}_scores"
     return with_scores(df, norm, taxonomy, tmp).withColumn(
-        out, category_from_scores(F.col(tmp), taxonomy, multi)).drop(tmp)
+        out, category_from_scores(tmp, taxonomy, multi)).drop(tmp)
 
 
 # ---------------------------------------------------------------- E3 ------
@@ -176,11 +245,17 @@ def infer_hiring_industry_norm(desc_norm: Column, taxonomy: R.Taxonomy = R.INDUS
 
 
 def priority_from_scores(
-    title_scores: Column, desc_scores: Column, taxonomy: R.Taxonomy = R.SENIORITY,
+    title_scores: Column | str, desc_scores: Column | str, taxonomy: R.Taxonomy = R.SENIORITY,
     allowed_from_description=tuple(R.DESCRIPTION_SENIORITY),
 ) -> Column:
     """The title's category if known; else the description's, only when
     it is one of ``allowed_from_description``; else ``unknown``."""
+    if isinstance(title_scores, str) and isinstance(desc_scores, str):
+        t, d = _category_sql(title_scores, taxonomy), _category_sql(desc_scores, taxonomy)
+        return F.expr(f"CASE WHEN ({t}) <> 'unknown' THEN ({t}) WHEN ({d}) IN ({_lits(allowed_from_description)}) "
+                      f"THEN ({d}) ELSE 'unknown' END")
+    title_scores = F.col(title_scores) if isinstance(title_scores, str) else title_scores
+    desc_scores = F.col(desc_scores) if isinstance(desc_scores, str) else desc_scores
     t = category_from_scores(title_scores, taxonomy)
     d = category_from_scores(desc_scores, taxonomy)
     return F.when(t != UNKNOWN, t).when(d.isin(*allowed_from_description), d).otherwise(F.lit(UNKNOWN))
@@ -196,12 +271,20 @@ def infer_with_priority_norm(
 
 # ---------------------------------------------------------------- E4 ------
 
-def weighted_from_scores(title_scores: Column, desc_scores: Column, taxonomy: R.Taxonomy = R.DOMAIN,
-                         title_weight: int = 2) -> Column:
+def weighted_from_scores(title_scores: Column | str, desc_scores: Column | str,
+                         taxonomy: R.Taxonomy = R.DOMAIN, title_weight: int = 2) -> Column:
     """score = description + weight x title; argmax; ties go to the
     categories found in the description (dictionary order), then to the
     title-only ones (dictionary order); nothing -> ``unknown``."""
     n = len(taxonomy.names)
+    if isinstance(title_scores, str) and isinstance(desc_scores, str):
+        t, d = _q(title_scores), _q(desc_scores)
+        comb = [f"({d}[{i}] + {title_weight} * {t}[{i}])" for i in range(n)]
+        ties = [f"CASE WHEN {d}[{i}] > 0 THEN 0 ELSE -1 END" for i in range(n)]
+        best = _argmax_sql(comb, taxonomy.names, ties)
+        return F.expr(f"CASE WHEN ({best}).score <= 0 THEN 'unknown' ELSE ({best}).category END")
+    title_scores = F.col(title_scores) if isinstance(title_scores, str) else title_scores
+    desc_scores = F.col(desc_scores) if isinstance(desc_scores, str) else desc_scores
     combined = [desc_scores[i] + F.lit(title_weight) * title_scores[i] for i in range(n)]
     groups = [F.when(desc_scores[i] > 0, F.lit(0)).otherwise(F.lit(1)) for i in range(n)]
     best = _argmax(combined, taxonomy.names, groups)
@@ -240,9 +323,32 @@ def prepare_title(title: Column) -> Column:
     return F.lower(F.regexp_replace(title, f"^{WS}+|{WS}+\\z", ""))
 
 
-def classify_prepared(t: Column, cascade: R.Cascade = R.ROLE_CASCADE) -> Column:
+def _classify_sql(t: str, cascade: R.Cascade) -> str:
+    t = _q(t)
+
+    def any_of(terms):
+        return f"exists(array({_lits(terms)}), x -> contains({t}, x))"
+
+    parts = [f"CASE WHEN {t} IS NULL THEN CAST(NULL AS STRING)"]
+    for rule in cascade.rules:
+        if rule.mode == "equals":
+            cond = f"{t} IN ({_lits(rule.groups[0])})"
+        elif rule.mode == "any":
+            cond = any_of(rule.groups[0])
+        elif rule.mode == "all":
+            cond = " AND ".join(any_of(g) for g in rule.groups)
+        else:
+            raise ValueError(f"unknown rule mode {rule.mode!r}")
+        parts.append(f"WHEN {cond} THEN {sql_lit(rule.output)}")
+    parts.append(f"ELSE {sql_lit(cascade.default)} END")
+    return " ".join(parts)
+
+
+def classify_prepared(t: Column | str, cascade: R.Cascade = R.ROLE_CASCADE) -> Column:
     """E5 on a ``prepare_title`` column: ordered cascade, first rule that
     fires gives the output; none -> ``cascade.default``; null -> null."""
+    if isinstance(t, str):
+        return F.expr(_classify_sql(t, cascade))
     expr = F.when(t.isNull(), F.lit(None).cast("string"))
     for rule in cascade.rules:
         expr = expr.when(_rule_condition(t, rule), F.lit(rule.output))
@@ -259,7 +365,7 @@ def with_classification(df: DataFrame, title: str, out: str, cascade: R.Cascade
     tmp = f"__{out}_t"
     return (
         df.withColumn(tmp, prepare_title(F.col(title)))
-        .withColumn(out, classify_prepared(F.col(tmp), cascade))
+        .withColumn(out, classify_prepared(tmp, cascade))
         .drop(tmp)
     )
 
@@ -297,9 +403,32 @@ def _pattern_match(c: Column, pattern: str, present: Column) -> Column:
     return (c.contains(m.group(1)) & hit) if m else hit
 
 
-def extract_skills(text: Column, patterns: R.SkillPatterns = R.SKILLS, present: Column | None = None) -> Column:
+def _skills_sql(text: str, patterns: R.SkillPatterns, present: str) -> str:
+    t, p = _q(text), _q(present)
+    low = f"lower({t})"
+    hits = []
+    for skill, ps in patterns.skills:
+        words = sorted({w for q in ps if (w := _simple_word(q))})
+        conds = [f"arrays_overlap({p}, array({_lits(words)}))"] if words else []
+        for q in ps:
+            if _simple_word(q) is not None:
+                continue
+            m = _SIMPLE.match(q)
+            hit = f"{low} RLIKE {sql_lit(py_regex(q))}"
+            conds.append(f"(contains({low}, {sql_lit(m.group(1))}) AND {hit})" if m else f"({hit})")
+        hits.append(f"CASE WHEN {' OR '.join(conds) or 'false'} THEN {sql_lit(skill)} END")
+    return (f"CASE WHEN {t} IS NULL THEN CAST(array() AS ARRAY<STRING>) "
+            f"ELSE array_sort(filter(array({', '.join(hits)}), x -> x IS NOT NULL)) END")
+
+
+def extract_skills(text: Column | str, patterns: R.SkillPatterns = R.SKILLS,
+                   present: Column | str | None = None) -> Column:
     """Sorted skills with any pattern found in the lower-cased text;
     null -> empty array."""
+    if isinstance(text, str) and isinstance(present, str):
+        return F.expr(_skills_sql(text, patterns, present))
+    text = F.col(text) if isinstance(text, str) else text
+    present = F.col(present) if isinstance(present, str) else present
     low = F.lower(text)
     if present is None:
         present = skill_presence(low, patterns)
@@ -319,7 +448,7 @@ def with_skills(df: DataFrame, text: str, out: str = "skills", patterns: R.Skill
     """DataFrame form of E6: the token intersection in its own projection."""
     tmp = f"__{out}_present"
     return (df.withColumn(tmp, skill_presence(F.lower(F.col(text)), patterns))
-            .withColumn(out, extract_skills(F.col(text), patterns, F.col(tmp))).drop(tmp))
+            .withColumn(out, extract_skills(text, patterns, tmp)).drop(tmp))
 
 
 # ---------------------------------------------------------------- E7 ------
@@ -354,17 +483,17 @@ def enrich_frame(
         "__sp": skill_presence(F.lower(F.col(description)), skills),
     })
     staged = staged.withColumns({
-        "__ind_d": score_array(F.col(dn), industry, F.col("__dp")),
-        "__sen_t": score_array(F.col(tn), seniority, F.col("__tp")),
-        "__sen_d": score_array(F.col(dn), seniority, F.col("__dp")),
-        "__dom_t": score_array(F.col(tn), domain, F.col("__tp")),
-        "__dom_d": score_array(F.col(dn), domain, F.col("__dp")),
+        "__ind_d": score_array(dn, industry, "__dp"),
+        "__sen_t": score_array(tn, seniority, "__tp"),
+        "__sen_d": score_array(dn, seniority, "__dp"),
+        "__dom_t": score_array(tn, domain, "__tp"),
+        "__dom_d": score_array(dn, domain, "__dp"),
     })
     out = staged.withColumns({
-        "role_family": classify_prepared(F.col(rt), cascade),
-        "skills": extract_skills(F.col(description), skills, F.col("__sp")),
-        "hiring_industry": category_from_scores(F.col("__ind_d"), industry, multi=True),
-        "seniority_level": priority_from_scores(F.col("__sen_t"), F.col("__sen_d"), seniority),
-        "domain_focus": weighted_from_scores(F.col("__dom_t"), F.col("__dom_d"), domain),
+        "role_family": classify_prepared(rt, cascade),
+        "skills": extract_skills(description, skills, "__sp"),
+        "hiring_industry": category_from_scores("__ind_d", industry, multi=True),
+        "seniority_level": priority_from_scores("__sen_t", "__sen_d", seniority),
+        "domain_focus": weighted_from_scores("__dom_t", "__dom_d", domain),
     })
     return out.drop(tn, dn, rt, "__tp", "__dp", "__sp", "__ind_d", "__sen_t", "__sen_d", "__dom_t", "__dom_d")

@@ -346,8 +346,8 @@ def lang_scores(spark, sf_dir) -> DataFrame:
         "bp": E.keyword_presence(F.col("body_norm"), TR.LANG_TAXONOMY),
     })
     return d.withColumns({
-        "title_scores": E.score_array(F.col("title_norm"), TR.LANG_TAXONOMY, F.col("tp")),
-        "body_scores": E.score_array(F.col("body_norm"), TR.LANG_TAXONOMY, F.col("bp")),
+        "title_scores": E.score_array("title_norm", TR.LANG_TAXONOMY, "tp"),
+        "body_scores": E.score_array("body_norm", TR.LANG_TAXONOMY, "bp"),
     })
 
 
@@ -371,13 +371,13 @@ def q_score_categories(spark, sf_dir):
 def q_infer_with_priority(spark, sf_dir):
     d = lang_scores(spark, sf_dir)
     return d.select("doc_id", E.priority_from_scores(
-        F.col("title_scores"), F.col("body_scores"), TR.LANG_TAXONOMY, TR.LANG_FROM_BODY).alias("category"))
+        "title_scores", "body_scores", TR.LANG_TAXONOMY, TR.LANG_FROM_BODY).alias("category"))
 
 
 def q_weighted_domain(spark, sf_dir):
     d = lang_scores(spark, sf_dir)
     return d.select("doc_id", E.weighted_from_scores(
-        F.col("title_scores"), F.col("body_scores"), TR.LANG_TAXONOMY).alias("category"))
+        "title_scores", "body_scores", TR.LANG_TAXONOMY).alias("category"))
 
 
 def q_language_demand(spark, sf_dir):
@@ -491,16 +491,16 @@ def q_reference_enrichment(spark, sf_dir):
         "bp": E.keyword_presence(F.col("body_norm"), R.INDUSTRY, R.SENIORITY, R.DOMAIN),
     })
     d = d.withColumns({
-        "ind_d": E.score_array(F.col("body_norm"), R.INDUSTRY, F.col("bp")),
-        "sen_t": E.score_array(F.col("title_norm"), R.SENIORITY, F.col("tp")),
-        "sen_d": E.score_array(F.col("body_norm"), R.SENIORITY, F.col("bp")),
-        "dom_t": E.score_array(F.col("title_norm"), R.DOMAIN, F.col("tp")),
-        "dom_d": E.score_array(F.col("body_norm"), R.DOMAIN, F.col("bp")),
+        "ind_d": E.score_array("body_norm", R.INDUSTRY, "bp"),
+        "sen_t": E.score_array("title_norm", R.SENIORITY, "tp"),
+        "sen_d": E.score_array("body_norm", R.SENIORITY, "bp"),
+        "dom_t": E.score_array("title_norm", R.DOMAIN, "tp"),
+        "dom_d": E.score_array("body_norm", R.DOMAIN, "bp"),
     })
     enriched = d.select(
-        E.category_from_scores(F.col("ind_d"), R.INDUSTRY, multi=True).alias("hiring_industry"),
-        E.priority_from_scores(F.col("sen_t"), F.col("sen_d"), R.SENIORITY).alias("seniority_level"),
-        E.weighted_from_scores(F.col("dom_t"), F.col("dom_d"), R.DOMAIN).alias("domain_focus"),
+        E.category_from_scores("ind_d", R.INDUSTRY, multi=True).alias("hiring_industry"),
+        E.priority_from_scores("sen_t", "sen_d", R.SENIORITY).alias("seniority_level"),
+        E.weighted_from_scores("dom_t", "dom_d", R.DOMAIN).alias("domain_focus"),
     )
     return M.demand(enriched, ["hiring_industry", "seniority_level", "domain_focus"], name="n")
 
