@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_for_match
+from ..functions.text import normalize_for_match, normalize_text
 
 _RUNS = "[a-z0-9_]+|[^a-z0-9_]+"
 _WORD = "^[a-z0-9_]"
@@ -57,15 +57,16 @@ def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "inner",
 
 def prepare_dictionary(dictionary: DataFrame, keyword: str = "keyword", category: str = "category",
                        order: str = "cat_ord") -> DataFrame:
-    """Normalise keywords and count their runs: ``(term, n_runs, category, cat_ord)``."""
-    norm = normalize_for_match(F.col(keyword))
+    """Normalise keywords (once, like the expression path) and count their
+    runs: ``(term, n_runs, category, cat_ord)``."""
+    norm = normalize_text(F.col(keyword))
     out = dictionary.select(
         norm.alias("term"),
         F.size(F.regexp_extract_all(norm, F.lit(_RUNS), 0)).alias("n_runs"),
         F.col(category).alias("category"),
         F.col(order).alias("cat_ord"),
     ).where(F.length("term") > 0)
-    bad = out.where(~F.col("term").rlike("^[a-z0-9_].*[a-z0-9_]$|^[a-z0-9_]$")).limit(1).collect()
+    bad = out.where(~F.col("term").rlike("^[A-Za-z0-9_].*[A-Za-z0-9_]$|^[A-Za-z0-9_]$")).limit(1).collect()
     if bad:
         raise ValueError(f"keyword {bad[0].term!r} starts or ends with a non-word character")
     return out.dropDuplicates(["term", "category"])

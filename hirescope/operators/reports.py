@@ -149,8 +149,9 @@ def dataset_summary(df: DataFrame, role: str = "role_family", skills: str = "ski
         skill_dem.agg(F.count(F.lit(1)).alias("value")).select(
             F.lit("total").alias("section"), F.lit("unique_skills").alias("key"), "value"),
     ])
-    top_roles = top_k(role_counts, k, [F.col("value").desc(), F.col(role).asc_nulls_first()]).select(
-        F.lit("top_roles").alias("section"), F.coalesce(F.col(role), F.lit("(null)")).alias("key"), "value")
+    # value counts of the role ignore postings without one
+    top_roles = top_k(role_counts.where(F.col(role).isNotNull()), k, by_demand(role, "value")).select(
+        F.lit("top_roles").alias("section"), F.col(role).alias("key"), "value")
     top_skills = top_k(skill_dem, k, by_demand("skill")).select(
         F.lit("top_skills").alias("section"), F.col("skill").alias("key"), F.col("demand").alias("value"))
     return bag_union([totals, top_roles, top_skills])

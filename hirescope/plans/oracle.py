@@ -297,8 +297,8 @@ def sql() -> dict[str, str]:
         "SELECT 'total' AS section, 'offers' AS key, count(*) AS value FROM pp "
         "UNION ALL SELECT 'total', 'unique_roles', count(DISTINCT role_family) FROM pp "
         "UNION ALL SELECT 'total', 'unique_skills', count(*) FROM sd "
-        "UNION ALL (SELECT 'top_roles', coalesce(role_family, '(null)'), value FROM rc "
-        "ORDER BY value DESC, role_family ASC NULLS FIRST LIMIT 5) "
+        "UNION ALL (SELECT 'top_roles', role_family, value FROM rc WHERE role_family IS NOT NULL "
+        "ORDER BY value DESC, role_family LIMIT 5) "
         "UNION ALL (SELECT 'top_skills', skill, demand FROM sd ORDER BY demand DESC, skill LIMIT 5)")
     q["role_selector"] = f"WITH {PP}, {RD} SELECT DISTINCT role_family FROM rd WHERE role_family IS NOT NULL"
 
