@@ -148,3 +148,14 @@ def test_lake_sql_as_written(spark):
         "SELECT dt, skill, COUNT(*) AS nb_offers FROM offers_lake LATERAL VIEW explode(skills) t AS skill "
         "GROUP BY dt, skill ORDER BY dt DESC, nb_offers DESC, skill").collect()
     assert weekly[0].skill == "airflow" and str(weekly[0].dt) == DT
+
+
+def test_weekly_cli(spark, capsys):
+    import json
+
+    tmp = tempfile.mkdtemp(prefix="hirescope-test-")
+    raw = _raw_dir(tmp)
+    W.main(["--raw", raw, "--stage", os.path.join(tmp, "stage"), "--analytics", os.path.join(tmp, "out"), "--dt", DT])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["dedupe"]["deduped_rows"] == 7
+    assert set(report["outputs"]) == set(W.ANALYTICS)
