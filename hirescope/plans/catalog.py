@@ -251,6 +251,14 @@ def q_weekly_skill_trends(spark, sf_dir):
     return P.ordered(L.snapshot_skill_trends(event_snapshots(spark, sf_dir)), P.by_snapshot("dt", "skill"))
 
 
+def q_lake_roles_latest_only(spark, sf_dir):
+    """A14 with ``latest_only``: each user (standing for a posting) counted in
+    its most recent snapshot only."""
+    e = table(spark, sf_dir, "events").select(
+        "user_id", F.to_date("ts").alias("dt"), F.col("event_type").alias("role_family"))
+    return L.role_distribution(L.latest_snapshot_only(e, key="user_id"))
+
+
 def q_dt_sanity_count(spark, sf_dir):
     return L.snapshot_row_count(event_snapshots(spark, sf_dir), F.lit(SNAPSHOT).cast("date"))
 
@@ -550,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "monthly_role_trend_of_role": q_monthly_role_trend_of_role,
     "weekly_role_trends": q_weekly_role_trends,
     "weekly_skill_trends": q_weekly_skill_trends,
+    "lake_roles_latest_only": q_lake_roles_latest_only,
     "dt_sanity_count": q_dt_sanity_count,
     "dt_sanity_roles": q_dt_sanity_roles,
     "dt_sanity_skills": q_dt_sanity_skills,

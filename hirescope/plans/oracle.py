@@ -323,6 +323,11 @@ def sql() -> dict[str, str]:
     q["weekly_role_trends"] = f"WITH {ES} SELECT dt, role_family, count(*) AS nb_offers FROM es GROUP BY 1, 2"
     q["weekly_skill_trends"] = (f"WITH {ES} SELECT dt, skill, count(*) AS nb_offers FROM "
                                 "(SELECT dt, unnest(skills) AS skill FROM es) WHERE skill IS NOT NULL GROUP BY 1, 2")
+    q["lake_roles_latest_only"] = (
+        "WITH e AS (SELECT user_id, CAST(ts AS DATE) AS dt, event_type AS role_family FROM events), "
+        "m AS (SELECT user_id, max(dt) AS dt FROM e WHERE user_id IS NOT NULL GROUP BY user_id) "
+        "SELECT role_family, count(*) AS nb_offers FROM (SELECT e.* FROM e JOIN m ON e.user_id = m.user_id "
+        "AND e.dt = m.dt UNION ALL SELECT * FROM e WHERE user_id IS NULL) GROUP BY 1")
     q["dt_sanity_count"] = f"WITH {ES} SELECT count(*) AS nb_rows FROM es WHERE dt = {DT}"
     q["dt_sanity_roles"] = (f"WITH {ES} SELECT role_family, count(*) AS nb_offers FROM es WHERE dt = {DT} "
                             "GROUP BY 1")

@@ -123,3 +123,14 @@ def test_configure_keeps_cluster_values(spark):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
     assert spark.conf.get("spark.checkpoint.dir")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+
+
+def test_latest_snapshot_only(spark):
+    import datetime as dtm
+    d1, d2 = dtm.date(2024, 1, 1), dtm.date(2024, 1, 8)
+    df = spark.createDataFrame(
+        [("a", d1, "x"), ("a", d2, "y"), ("b", d1, "z"), (None, d1, "n1"), (None, d2, "n2"), ("c", d2, "w"), ("c", d2, "v")],
+        "offer_id string, dt date, role_family string")
+    got = sorted(((r.offer_id, str(r.dt), r.role_family) for r in L.latest_snapshot_only(df).collect()), key=str)
+    assert got == sorted([("a", "2024-01-08", "y"), ("b", "2024-01-01", "z"), ("c", "2024-01-08", "w"),
+                          ("c", "2024-01-08", "v"), (None, "2024-01-01", "n1"), (None, "2024-01-08", "n2")], key=str)
