@@ -27,7 +27,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # the rule tables become thousands of Column operations; capturing the
     # Python call site of each one (a debugging aid for error messages)
-    # costs more than planning the query itself
+    # costs more than planning the query itself (static: applies to
+    # sessions built by ``local_session``)
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
@@ -35,7 +36,8 @@ DEFAULTS = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply ``DEFAULTS`` where the session has no value yet."""
     for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
+        # static settings (fixed when the session was built) are left alone
+        if spark.conf.get(key, None) in (None, "") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     _refresh_debugging_flag()
     checkpoint_dir(spark)
