@@ -24,7 +24,7 @@ from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import reports as P
 from ..sources import offers as S
-from . import test_rules as TR
+from . import driver_rules as TR
 
 Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT = "2024-01-15"

@@ -17,7 +17,7 @@ import re
 
 from ..functions import rules as R
 from ..functions.text import SECTION_HEADERS, _fold_tables, normalize_keyword
-from . import test_rules as TR
+from . import driver_rules as TR
 
 WS = "[\\t\\n\\x0B\\f\\r\\x1C-\\x20\\x{85}\\xA0\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 NW = "[^\\p{L}\\p{Nd}_]"  # not a word character (Unicode)
