@@ -595,3 +595,22 @@ QUERIES: dict[str, Query] = {
     "reference_enrichment": q_reference_enrichment,
     "stage_pages": q_stage_pages,
 }
+
+
+def main(argv=None) -> None:
+    """``python -m hirescope.plans.catalog QUERY [SF_DIR]``: print the
+    formatted physical plan of a registered query (nothing is executed)."""
+    import sys
+
+    from ..session import local_session
+
+    args = list(sys.argv[1:] if argv is None else argv)
+    if not args or args[0] not in QUERIES:
+        print("queries:", ", ".join(QUERIES))
+        return
+    spark = local_session()
+    QUERIES[args[0]](spark, args[1] if len(args) > 1 else "/root/testdata/sf0.01").explain("formatted")
+
+
+if __name__ == "__main__":
+    main()
