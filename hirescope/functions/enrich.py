@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import WS, java_quote, keyword_match, lit_array, normalize_for_match, normalize_keyword, py_regex, sql_lit
+from .text import (WS, java_quote, keyword_match, lit_array, normalize_for_match, normalize_keyword, py_regex,
+                   required_literal, sql_lit)
 
 UNKNOWN = "unknown"
 MULTI = "multi_sector"
@@ -392,76 +393,6 @@ def skill_presence(low: Column, patterns: R.SkillPatterns) -> Column:
     return F.array_intersect(tokens, lit_array(words))
 
 
-def required_literal(pattern: str) -> str | None:
-    """Longest literal run every match of ``pattern`` must contain, or None.
-
-    Conservative: only top-level literal characters count (not inside
-    groups or classes, not made optional or repeated by a quantifier), and
-    patterns with top-level alternation or inline flags have none.
-    """
-    if re.search(r"\(\?[a-zA-Z]", pattern):
-        return None
-    runs, cur, i, depth = [], "", 0, 0
-
-    def end_run():
-        nonlocal cur
-        if cur:
-            runs.append(cur)
-        cur = ""
-
-    while i < len(pattern):
-        ch = pattern[i]
-        if ch == "\\":
-            esc = pattern[i + 1: i + 2]
-            if not esc or esc.isalnum():  # \b is zero-width; \s, \d, ... are classes
-                end_run()
-                i += 2
-                continue
-            lit_ch, step = esc, 2  # escaped punctuation is a literal
-        elif ch == "(":
-            depth, i = depth + 1, i + 1
-            end_run()
-            continue
-        elif ch == ")":
-            depth, i = depth - 1, i + 1
-            end_run()
-            continue
-        elif ch == "|" and depth == 0:
-            return None
-        elif ch == "[":
-            end_run()
-            j = i + 1
-            if pattern[j: j + 1] == "^":
-                j += 1
-            if pattern[j: j + 1] == "]":
-                j += 1
-            while j < len(pattern) and pattern[j] != "]":
-                j += 2 if pattern[j] == "\\" else 1
-            i = j + 1
-            continue
-        elif ch == "{":  # a counted quantifier: skip its bounds
-            end_run()
-            j = pattern.find("}", i)
-            i = len(pattern) if j < 0 else j + 1
-            continue
-        elif ch in ".^$*+?}" or depth > 0:
-            end_run()
-            i += 1
-            continue
-        else:
-            lit_ch, step = ch, 1
-        after = pattern[i + step: i + step + 1]
-        if after in ("?", "*", "{"):
-            end_run()  # this character may be absent
-        else:
-            cur += lit_ch
-            if after == "+":
-                end_run()
-        i += step
-    end_run()
-    return max(runs, key=len) if runs else None
-
-
 def _pattern_match(c: Column, pattern: str, present: Column) -> Column:
     word = _simple_word(pattern)
     if word is not None:
