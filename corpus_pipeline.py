@@ -1,8 +1,75 @@
-"""Corpus pipeline (part of the ``llm`` subpackage)."""
+"""Corpus pipeline: language ID, line dedup, near-duplicate removal, benchmark
+decontamination, SentencePiece encoding (part of the ``llm`` subpackage).
 
-STAGES = []
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
+returns a DataFrame, which is written and read again as the next one's
+``docs``. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hirescope.llm import decontaminate, jaccard, language, line_dedup, nbest
+from hirescope.llm.common import stored
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null, no letter) or with an ambiguous one
+    go; a missing ``lang`` becomes the predicted one. Without labelled rows to
+    learn from nothing is known about any document, and all stay."""
+    model = language.train(docs)
+    if not model["langs"]:
+        return docs.select(COLUMNS)
+    out = language.identify(docs, model).where("lang_pred <> 'und' and not ambiguous")
+    return out.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines are cut; a document that had nothing else goes."""
+    out = line_dedup.drop_repeated_lines(docs)
+    out = out.where(~((F.col("n_dropped") > 0) & (F.trim(F.translate("text", "\n\r\t", "   ")) == "")))
+    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+
+
+def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    return docs.join(stored(ids.where("doc_id is not null").distinct(), name), "doc_id", "left_anti").select(COLUMNS)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest doc_id stays."""
+    return _without(docs, jaccard.near_duplicates(docs).where("doc_id <> component_id").select("doc_id"), "stage-near")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontaminate.contamination(docs, benchmark).where("contaminated").select("doc_id"), "stage-leaks")
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the scores of its n best segmentations."""
+    return nbest.segmented(docs)
+
+
+STAGES = [
+    ("language ID", language_stage),
+    ("line dedup", line_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("SentencePiece encoding", encoding_stage),
+]
+
+#: Models and tokenizer cannot be expressed in SQL; the stages are tested
+#: against brute force instead (tests/llm).
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(COLUMNS)
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return docs

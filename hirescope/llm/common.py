@@ -148,3 +148,10 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def arrow_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Bound the rows of one Arrow batch, as texts can be very long (Spark bounds
+    its bytes by spark.sql.execution.arrow.maxBytesPerBatch)."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

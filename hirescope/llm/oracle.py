@@ -62,5 +62,45 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
        coalesce(n, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op5_warc": """
+WITH rows_ AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(encode(coalesce(html, ''))) AS payload_digest
+    FROM pages),
+top AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS response FROM rows_)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response IS NOT NULL AND page_id IS DISTINCT FROM response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response IS NOT NULL AND page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM top
+""",
+    "op8_top_k": """
+WITH vecs AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM vecs q JOIN vecs c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op10_jaccard": r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, list_slice(words, i, i + least(5, len(words)) - 1) AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - least(5, len(words)) + 2)) AS i FROM doc WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * both_ >= 80 * (p.n + q.n - both_)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS root FROM documents
+          UNION SELECT e.y, r.root FROM reach r JOIN both_ways e ON e.x = r.x WHERE r.root < e.y)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(root) AS root FROM reach GROUP BY x) USING (doc_id)
 """,
 }

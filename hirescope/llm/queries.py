@@ -4,8 +4,9 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, sharding
+from . import decontaminate, jaccard, language, line_dedup, nbest, quality, secrets, sharding, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,4 +27,35 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("items")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_line_dedup, op6_decontamination)}
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.secrets_of(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+                      "spans", "n_added")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_of(_table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op7_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.segmented(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_of(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_secrets, op3_line_dedup, op4_language, op5_warc, op6_decontamination, op7_nbest, op8_top_k, op9_quality, op10_jaccard)}
