@@ -140,8 +140,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         both = stored(both.join(to, "a").join(to_b, "b").where("ca <> cb")
                       .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), f"{name}-links")
     if labels is None:
-        kind = edges.schema["a"].dataType
-        return spark.createDataFrame([], "id long, comp long").select(F.col("id").cast(kind), F.col("comp").cast(kind))
+        return edges.where(F.lit(False)).select(F.col("a").alias("id"), F.col("b").alias("comp"))
     return labels
 
 

@@ -157,7 +157,7 @@ def identify(docs: DataFrame, model: dict, margin: float = 0.2, text: str = "tex
 
     own = {"lang_pred", "score", "ambiguous"}
     arrow_batches(docs.sparkSession)
-    kept = [F.col(c) for c in docs.columns if c.lower() not in own]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in own]
     return docs.select(*kept, predicted(F.col(text)).alias("__p")).select(*kept, "__p.*")
 
 

@@ -145,9 +145,9 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 5, similarity: float =
     drops = stored(again.groupBy("row").agg(F.collect_set("line_no").alias("drops")), "line-drops")
     own = {"row", "drops", "n_lines", "n_dropped", "kept"}
     kept = [c for c in docs.columns if c.lower() not in own]
-    parts = docs.select(*kept, F.xxhash64("doc_id", "text").alias("row")).join(drops, "row", "left")
+    parts = docs.select(*[F.col(f"`{c}`") for c in kept], F.xxhash64("doc_id", "text").alias("row")).join(drops, "row", "left")
     cut = F.expr("case when drops is null then text else array_join(filter(split(text, '\\n'), (x, i) -> not array_contains(drops, i)), '\\n') end")
     return parts.select(
-        *[cut.alias("text") if c == "text" else F.col(c) for c in kept],
+        *[cut.alias("text") if c == "text" else F.col(f"`{c}`") for c in kept],
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"))

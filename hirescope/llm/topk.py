@@ -51,9 +51,11 @@ def bounded_scores(q: np.ndarray, x: np.ndarray, k: int, floor: np.ndarray, run:
     """Columns of ``x`` (dims, n) that may be among a query's ``k`` best, and
     their scores against the queries ``q`` (dims, m). ``floor``: scores that a
     query has ``k`` times already."""
-    qn, xn = suffix_norms(q, run), suffix_norms(x, run)
     alive = np.arange(x.shape[1])
     part = np.zeros((q.shape[1], x.shape[1]))
+    if not len(x):
+        return alive, part
+    qn, xn = suffix_norms(q, run), suffix_norms(x, run)
     for b, at in enumerate(range(0, len(x), run)):
         part += q[at:at + run].T @ x[at:at + run]
         if at + run >= len(x):
