@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import (WS, java_quote, keyword_match, lit_array, normalize_for_match, normalize_keyword, py_regex,
-                   required_literal, sql_lit)
+from .text import (ASCII_WORD, PY_WORD, WS, bounded, keyword_match, lit_array, normalize_for_match, normalize_keyword,
+                   py_regex, required_literal, sql_lit)
 
 UNKNOWN = "unknown"
 MULTI = "multi_sector"
@@ -40,8 +40,7 @@ def _lits(values) -> str:
 
 def _kw_match_sql(norm: str, keyword: str) -> str:
     kw = normalize_keyword(keyword)
-    pattern = "\\b" + java_quote(kw) + "\\b"
-    return f"(contains({norm}, {sql_lit(kw)}) AND {norm} RLIKE {sql_lit(pattern)})"
+    return f"(contains({norm}, {sql_lit(kw)}) AND {norm} RLIKE {sql_lit(bounded(kw, ASCII_WORD))})"
 
 
 def _argmax_sql(scores: list[str], names: list[str], ties: list[str] | None = None) -> str:
@@ -240,11 +239,6 @@ def with_category(df: DataFrame, norm: str, taxonomy: R.Taxonomy, out: str, mult
 
 # ---------------------------------------------------------------- E3 ------
 
-def infer_hiring_industry_norm(desc_norm: Column, taxonomy: R.Taxonomy = R.INDUSTRY) -> Column:
-    """Industry of the description, with ``multi_sector``."""
-    return infer_category_norm(desc_norm, taxonomy, multi=True)
-
-
 def priority_from_scores(
     title_scores: Column | str, desc_scores: Column | str, taxonomy: R.Taxonomy = R.SENIORITY,
     allowed_from_description=tuple(R.DESCRIPTION_SENIORITY),
@@ -302,8 +296,10 @@ def weighted_category_norm(
 # ---------------------------------------------------------------- E5 ------
 
 def _any_contains(t: Column, terms) -> Column:
-    # one literal array + lambda: compact generated code for long term lists
-    return F.exists(lit_array(terms), lambda x: t.contains(x))
+    cond = t.contains(terms[0])
+    for x in terms[1:]:
+        cond = cond | t.contains(x)
+    return cond
 
 
 def _rule_condition(t: Column, rule: R.Rule) -> Column:
@@ -328,7 +324,7 @@ def _classify_sql(t: str, cascade: R.Cascade) -> str:
     t = _q(t)
 
     def any_of(terms):
-        return f"exists(array({_lits(terms)}), x -> contains({t}, x))"
+        return "(" + " OR ".join(f"contains({t}, {sql_lit(x)})" for x in terms) + ")"
 
     parts = [f"CASE WHEN {t} IS NULL THEN CAST(NULL AS STRING)"]
     for rule in cascade.rules:
@@ -374,8 +370,7 @@ def with_classification(df: DataFrame, title: str, out: str, cascade: R.Cascade
 # ---------------------------------------------------------------- E6 ------
 
 _SIMPLE = re.compile(r"^\\b([^\\\[\](){}.*+?^$|]+)\\b$")
-# Java's \b: letters, decimal digits, '_' (and marks on a base letter).
-_UNICODE_WORD_RUN = "[\\p{L}\\p{Nd}\\p{Mn}_]+"
+_UNICODE_WORD_RUN = f"[{PY_WORD}]+"
 
 
 def _simple_word(pattern: str) -> str | None:

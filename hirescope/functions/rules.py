@@ -10,7 +10,6 @@ order and ties go to the earlier entry.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 from typing import Iterable, Mapping, Sequence
 
@@ -107,18 +106,6 @@ class SkillPatterns:
         return cls.from_mapping(out)
 
 
-def load_json_taxonomies(path: str) -> dict[str, Taxonomy]:
-    """``{taxonomy: {category: [keyword]}}`` JSON file, order kept."""
-    with open(path, encoding="utf-8") as fh:
-        data = json.load(fh)
-    return {name: Taxonomy.from_mapping(name, cats) for name, cats in data.items()}
-
-
-def load_json_skills(path: str) -> SkillPatterns:
-    with open(path, encoding="utf-8") as fh:
-        return SkillPatterns.from_mapping(json.load(fh))
-
-
 # ---------------------------------------------------------------------------
 # FIXED VALUES — the posting rules. These must equal the reference's rule
 # files and classifier term lists for identical results; kept verbatim, in

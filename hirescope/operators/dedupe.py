@@ -1,14 +1,16 @@
 """Keep-first deduplication D1 and its counts D2.
 
-``dedupe_first`` keeps, per key, the row that is smallest in ``order``. It is
-written as ``groupBy(key).agg(min(struct(order..., payload...)))`` rather than
-a ``row_number`` window: the aggregate is combined map-side, so a key that
-holds a third of all rows is reduced to one row per task before the shuffle,
-whereas a window would pull every copy of that key into one task.
-
-Null keys form one group (as in pandas ``drop_duplicates``). ``order`` must be
-a total order within a key for a deterministic result; descending numeric
-order is expressed by negating the column.
+``dedupe_first`` keeps, per key, the row that is smallest in ``order``. It is an
+aggregate (``min_by``) rather than a ``row_number`` window: the aggregate is
+combined map-side, so a key that holds a third of all rows is reduced to one
+row per task before the shuffle, whereas a window would pull every copy of
+that key into one task.
+
+String keys are grouped and compared by their SHA-256 digest, so long texts
+are carried but never sorted by. Null keys form one group (as in pandas
+``drop_duplicates``). Payload columns may be of any type, maps included.
+``order`` must be a total order within a key for a deterministic result;
+descending numeric order is expressed by negating the column.
 """
 
 from __future__ import annotations
@@ -17,19 +19,21 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _digest(df: DataFrame, name: str) -> Column:
+    c = F.col(name)
+    return F.sha2(c.cast("binary"), 256) if isinstance(df.schema[name].dataType, T.StringType) else c
 
 
 def dedupe_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    payload = [c for c in df.columns if c not in keys]
-    best = F.min(F.struct(
-        *[c.alias(f"__o{i}") for i, c in enumerate(order_cols)],
-        *[F.col(c).alias(c) for c in payload],
-    )).alias("__best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col("__best")[c].alias(c) for c in payload]).select(
-        *df.columns
-    )
+    row = F.struct(*[F.col(c) for c in df.columns])
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_cols)])
+    groups = [_digest(df, k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    return df.groupBy(*groups).agg(F.min_by(row, rank).alias("__row")).select("__row.*")
 
 
 def dedupe_counts(df: DataFrame, key: str) -> DataFrame:
@@ -38,10 +42,9 @@ def dedupe_counts(df: DataFrame, key: str) -> DataFrame:
     ``count(DISTINCT key)`` ignores null while dedupe keeps one null-key row,
     hence the extra ``max(key is null)``.
     """
-    k = F.col(key)
-    agg = df.agg(
+    agg = df.select(_digest(df, key).alias("k")).agg(
         F.count(F.lit(1)).alias("raw_rows"),
-        (F.count_distinct(k) + F.max(k.isNull().cast("long"))).alias("deduped_rows"),
+        (F.count_distinct("k") + F.max(F.col("k").isNull().cast("long"))).alias("deduped_rows"),
     )
     return agg.select(
         "raw_rows",

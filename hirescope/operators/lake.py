@@ -56,14 +56,15 @@ def snapshot_row_count(df: DataFrame, value, dt: str = "dt", name: str = "nb_row
 
 def latest_snapshot_only(df: DataFrame, key: str = "offer_id", dt: str = "dt") -> DataFrame:
     """``latest_only`` for the lake queries: keep each posting's rows from its
-    most recent snapshot only (rows without a key cannot be followed across
-    snapshots and are kept as they are).
+    most recent snapshot only. Rows without a key cannot be followed across
+    snapshots, rows without a snapshot not be placed in time: both are kept as
+    they are.
 
     The per-key latest snapshot is a group-by (combined map-side, so a hot key
     costs one row per task), and the rows are kept with a semi-join on
     ``(key, dt)``, which AQE can split when a key is skewed — no window that
     would pull every copy of a key into one task.
     """
-    keyed = df.where(F.col(key).isNotNull())
+    keyed = df.where(F.col(key).isNotNull() & F.col(dt).isNotNull())
     latest = keyed.groupBy(key).agg(F.max(dt).alias(dt))
-    return keyed.join(latest, on=[key, dt], how="left_semi").unionByName(df.where(F.col(key).isNull()))
+    return keyed.join(latest, on=[key, dt], how="left_semi").unionByName(df.where(F.col(key).isNull() | F.col(dt).isNull()))

@@ -11,10 +11,8 @@ of the normalised text — become a hash join:
 * each text emits its distinct windows of the run-lengths the dictionary
   needs, and those windows are joined on equality with the dictionary.
 
-The dictionary side is broadcast only when Spark's size estimate for it is
-below ``max_broadcast_bytes``; otherwise it is a shuffle join (AQE splits
-skewed window keys). Keywords that start or end with a non-word character
-cannot be cut this way and are rejected (use the expression path).
+The join is Spark's: broadcast below its size threshold, else a shuffle join
+(AQE splits skewed window keys).
 """
 
 from __future__ import annotations
@@ -28,37 +26,11 @@ _RUNS = "[a-z0-9_]+|[^a-z0-9_]+"
 _WORD = "^[a-z0-9_]"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame (no job is run); unknown sizes
-    (or no access to the plan) count as unbounded."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(size if isinstance(size, int) else size.toString())
-        return size if size < (1 << 62) else 1 << 62
-    except Exception:  # noqa: BLE001
-        return 1 << 62
-
-
-def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_broadcast_bytes: int = 64 << 20, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Join with a dimension, broadcasting it only under a checked size.
-
-    The check is Catalyst's size estimate; when that is unknown (a frame
-    built from local data, say) it is a bounded row count of the dimension
-    (``limit(max+1).count()``), which never reads more than ``max+1`` rows.
-    """
-    size = estimated_bytes(dim)
-    if size <= max_broadcast_bytes:
-        dim = F.broadcast(dim)
-    elif size >= 1 << 62 and max_broadcast_rows > 0 and dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        dim = F.broadcast(dim)
-    return facts.join(dim, on=on, how=how)
-
-
 def prepare_dictionary(dictionary: DataFrame, keyword: str = "keyword", category: str = "category",
                        order: str = "cat_ord") -> DataFrame:
     """Normalise keywords (once, like the expression path) and count their
-    runs: ``(term, n_runs, category, cat_ord)``."""
+    runs: ``(term, n_runs, category, cat_ord, weight)``. Keywords of a category
+    that are equal after normalisation count as often as they are listed."""
     norm = normalize_text(F.col(keyword))
     out = dictionary.select(
         norm.alias("term"),
@@ -66,51 +38,43 @@ def prepare_dictionary(dictionary: DataFrame, keyword: str = "keyword", category
         F.col(category).alias("category"),
         F.col(order).alias("cat_ord"),
     ).where(F.length("term") > 0)
-    bad = out.where(~F.col("term").rlike("^[A-Za-z0-9_].*[A-Za-z0-9_]$|^[A-Za-z0-9_]$")).limit(1).collect()
-    if bad:
-        raise ValueError(f"keyword {bad[0].term!r} starts or ends with a non-word character")
-    return out.dropDuplicates(["term", "category"])
+    return out.groupBy("term", "n_runs", "category", "cat_ord").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def text_windows(df: DataFrame, id_col: str, norm_col: str, lengths: list[int]) -> DataFrame:
-    """Distinct word-bounded windows of the given run-lengths: ``(__id, window)``.
+    """Distinct windows of the given run-lengths with a word boundary at either
+    end: ``(__id, window)``. A window that begins (ends) with a non-word run
+    needs a word run before (after) it, as ``\\b`` does.
 
     The runs are cut once in their own projection; every length reads them.
     """
-    staged = df.select(F.col(id_col).alias("__id"), F.col(norm_col),
-                       F.regexp_extract_all(F.col(norm_col), F.lit(_RUNS), 0).alias("__runs"))
+    staged = df.select(F.col(id_col).alias("__id"), F.regexp_extract_all(F.col(norm_col), F.lit(_RUNS), 0).alias("__runs"))
     runs = F.col("__runs")
     per_len = []
     for n in lengths:
-        if n == 1:  # single words: the word runs themselves
-            per_len.append(F.regexp_extract_all(F.col(norm_col), F.lit("[a-z0-9_]+"), 0))
-            continue
         starts = F.when(F.size(runs) >= n, F.sequence(F.lit(1), F.size(runs) - F.lit(n) + 1)).otherwise(
             F.array().cast("array<int>"))
-        per_len.append(F.filter(
-            F.transform(starts, lambda i: F.array_join(F.slice(runs, i, n), "")),
-            lambda w: w.rlike(_WORD),
-        ))
+        bounded = F.filter(starts, lambda i: (F.get(runs, i - 1).rlike(_WORD) | (i > 1))
+                           & (F.get(runs, i + (n - 2)).rlike(_WORD) | (i + (n - 1) < F.size(runs))))
+        per_len.append(F.transform(bounded, lambda i: F.array_join(F.slice(runs, i, n), "")))
     windows = F.array_distinct(F.flatten(F.array(*per_len)))
     return staged.select("__id", F.explode(windows).alias("window"))
 
 
-def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFrame,
-                 max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFrame) -> DataFrame:
     """E1 in long form: ``(id, category, cat_ord, score)`` for positive scores.
 
-    ``dictionary`` is the output of ``prepare_dictionary``. Windows are
-    distinct per text, so each (text, keyword, category) joins once and the
-    score is a plain count.
+    ``dictionary`` is the output of ``prepare_dictionary``. The lengths of its
+    terms (a handful of numbers) are read first, as only windows of these
+    lengths are cut. The join is left to Spark: it broadcasts a dictionary under
+    its own size threshold and shuffles else. Windows are distinct per text, so
+    each (text, keyword, category) joins once and the score is the sum of the
+    weights.
     """
-    lengths = sorted({r.n_runs for r in dictionary.select("n_runs").distinct().collect()})
-    if not lengths:
-        return df.sparkSession.createDataFrame([], f"{id_col} {df.schema[id_col].dataType.simpleString()}, "
-                                                   "category string, cat_ord int, score long")
-    windows = text_windows(df, id_col, norm_col, lengths)
-    hits = join_dimension(windows, dictionary.select(F.col("term").alias("window"), "category", "cat_ord"),
-                          on="window", max_broadcast_bytes=max_broadcast_bytes)
-    return hits.groupBy(F.col("__id").alias(id_col), "category", "cat_ord").agg(F.count(F.lit(1)).alias("score"))
+    lengths = sorted(r.n_runs for r in dictionary.select("n_runs").distinct().collect())
+    terms = dictionary.select(F.col("term").alias("window"), "category", "cat_ord", "weight")
+    hits = text_windows(df, id_col, norm_col, lengths or [1]).join(terms, on="window")
+    return hits.groupBy(F.col("__id").alias(id_col), "category", "cat_ord").agg(F.sum("weight").alias("score"))
 
 
 def best_category(scores: DataFrame, id_col: str, out: str = "category") -> DataFrame:
@@ -120,10 +84,10 @@ def best_category(scores: DataFrame, id_col: str, out: str = "category") -> Data
 
 
 def infer_category_by_join(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
-                           out: str = "category", max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+                           out: str = "category") -> DataFrame:
     """E2 for every row of ``df`` (``unknown`` when nothing matches)."""
     normed = df.select(id_col, normalize_for_match(F.col(text_col)).alias("__norm"))
-    best = best_category(match_scores(normed, id_col, "__norm", dictionary, max_broadcast_bytes), id_col, out)
+    best = best_category(match_scores(normed, id_col, "__norm", dictionary), id_col, out)
     return df.select(id_col).join(best, id_col, "left").select(
         id_col, F.coalesce(F.col(out), F.lit("unknown")).alias(out))
 

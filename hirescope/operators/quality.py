@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rules import IRRELEVANT_ROLES, QUALITY_THRESHOLDS
+from ..functions.rules import QUALITY_THRESHOLDS
 from ..functions.text import populated
+from .marts import relevant
 
 
 class QualityError(ValueError):
@@ -44,11 +45,10 @@ def metrics(
 ) -> DataFrame:
     """Q2–Q5: row count, populated title %, relevant role %, populated
     company %, each with a pass/fail verdict where a threshold exists."""
-    r = F.col(role)
     aggs = [
         F.count(F.lit(1)).cast("double").alias("total_rows"),
         _pct(populated(F.col(title))).alias("title_clean_populated_pct"),
-        _pct(r.isNotNull() & ~F.coalesce(r.isin(*IRRELEVANT_ROLES), F.lit(False))).alias("relevant_role_family_pct"),
+        _pct(relevant(role)).alias("relevant_role_family_pct"),
         _pct(populated(F.col(company))).alias("company_name_clean_populated_pct"),
     ]
     names = ["total_rows", "title_clean_populated_pct", "relevant_role_family_pct", "company_name_clean_populated_pct"]
@@ -60,12 +60,11 @@ def metrics(
     return long.withColumn("passed", _passed(F.col("metric"), F.col("value"), thresholds))
 
 
-def gate(df: DataFrame, label: str = "") -> int:
-    """Q1: raise when the output is empty; returns the row count."""
-    n = df.count()
-    if n == 0:
+def gate(df: DataFrame, label: str = "") -> None:
+    """Q1: raise when the output is empty. Reads until the first row only, so
+    it can stand before the write that it guards."""
+    if df.isEmpty():
         raise QualityError(f"no rows produced {label}".strip())
-    return n
 
 
 def not_null_tests(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -79,7 +78,8 @@ def not_null_tests(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def unique_test(df: DataFrame, key: str) -> DataFrame:
     """Q7: keys seen more than once (nulls ignored) and the rows involved."""
-    dup = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    digest = F.sha2(F.col(key).cast("string").cast("binary"), 256)  # long keys move as 64 characters
+    dup = df.where(F.col(key).isNotNull()).groupBy(digest).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return dup.agg(
         F.count(F.lit(1)).alias("duplicated_keys"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("failing_rows"),
@@ -125,10 +125,20 @@ def observe_step(df: DataFrame, step: str, **metrics: Column) -> tuple[DataFrame
     return df.observe(obs, *[m.alias(k) for k, m in metrics.items()]), obs
 
 
-def step_summary(observations: dict[str, Observation]) -> list[tuple[str, str, float]]:
-    """``(step, metric, value)`` rows from finished observations."""
+def observed(obs: Observation, metric: str) -> int:
+    """A count of a finished observation; 0 where the step had no rows to
+    count (the optimizer may drop an empty step together with its metrics)."""
+    try:
+        return obs.get.get(metric) or 0
+    except AssertionError:
+        return 0
+
+
+def step_summary(rows_in: int, rows_classified: int, outputs: Mapping[str, DataFrame]) -> list[tuple[str, str, float]]:
+    """``(step, metric, value)`` rows: what went into every dataset, and the
+    rows it was written with (a count of the written Parquet footers)."""
     out = []
-    for step, obs in observations.items():
-        for k, v in sorted(obs.get.items()):
-            out.append((step, k, float(v) if v is not None else None))
+    for step, df in outputs.items():
+        out += [(step, "rows_classified", float(rows_classified)), (step, "rows_in", float(rows_in)),
+                (f"{step}_out", "output_rows", float(df.count()))]
     return out

@@ -135,26 +135,29 @@ def top_skill_trends(skill_trends: DataFrame, role_skill_dem: DataFrame, role_va
 def dataset_summary(df: DataFrame, role: str = "role_family", skills: str = "skills", k: int = 5) -> DataFrame:
     """Totals and top-k roles / skills as (section, key, value).
 
-    Two aggregations over the postings (per role, per skill); every total and
-    top-k is derived from those small results, so the input is scanned once
-    per aggregation and both are reused (exchange reuse) where read twice.
+    Every posting gives one row for itself, one for its role and one for each
+    skill; their counts per (section, key) are the only aggregation over the
+    input, and totals and ranks are read off these counts (both branches share
+    the one exchange).
     """
-    skill_dem = skill_demand(df, skills)
-    role_counts = df.groupBy(role).agg(F.count(F.lit(1)).alias("value"))
-    totals = bag_union([
-        role_counts.agg(F.sum("value").cast("long").alias("value")).select(
-            F.lit("total").alias("section"), F.lit("offers").alias("key"), "value"),
-        role_counts.agg(F.count(role).alias("value")).select(
-            F.lit("total").alias("section"), F.lit("unique_roles").alias("key"), "value"),
-        skill_dem.agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit("total").alias("section"), F.lit("unique_skills").alias("key"), "value"),
-    ])
-    # value counts of the role ignore postings without one
-    top_roles = top_k(role_counts.where(F.col(role).isNotNull()), k, by_demand(role, "value")).select(
-        F.lit("top_roles").alias("section"), F.col(role).alias("key"), "value")
-    top_skills = top_k(skill_dem, k, by_demand("skill")).select(
-        F.lit("top_skills").alias("section"), F.col("skill").alias("key"), F.col("demand").alias("value"))
-    return bag_union([totals, top_roles, top_skills])
+    one = F.struct(F.lit("offers").alias("section"), F.lit(None).cast("string").alias("key"))
+    of_role = F.struct(F.lit("top_roles").alias("section"), F.col(role).cast("string").alias("key"))
+    of_skill = F.transform(F.coalesce(F.col(skills), F.array().cast("array<string>")),
+                           lambda x: F.struct(F.lit("top_skills").alias("section"), x.alias("key")))
+    counts = (df.select(F.explode(F.concat(F.array(one, of_role), of_skill)).alias("r"))
+              .groupBy("r.section", "r.key").agg(F.count(F.lit(1)).alias("value")))
+    known = F.col("key").isNotNull()
+    wide = counts.agg(
+        F.coalesce(F.sum(F.when(F.col("section") == "offers", F.col("value"))), F.lit(0)).alias("offers"),
+        F.count_if((F.col("section") == "top_roles") & known).alias("unique_roles"),
+        F.count_if((F.col("section") == "top_skills") & known).alias("unique_skills"))
+    totals = wide.select(F.explode(F.array(*[
+        F.struct(F.lit("total").alias("section"), F.lit(n).alias("key"), F.col(n).cast("long").alias("value"))
+        for n in ("offers", "unique_roles", "unique_skills")])).alias("t")).select("t.*")
+    # value counts ignore postings without a role (and null skills)
+    rank = F.row_number().over(Window.partitionBy("section").orderBy((~known), F.desc("value"), "key"))
+    top = counts.withColumn("rank", rank).where((F.col("section") != "offers") & known & (F.col("rank") <= k))
+    return totals.unionByName(top.drop("rank"))
 
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -171,17 +174,17 @@ def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+TOTAL = "__total__"
+
+
 def keyword_summary(df: DataFrame, keywords: DataFrame, keyword: str = "search_keyword",
                     dim_key: str = "keyword") -> DataFrame:
     """Rows per search keyword, keywords without rows listed with 0,
-    plus a total row. The keyword dimension drives a left join against the
-    pre-aggregated counts (one row per keyword on each side)."""
-    counts = df.groupBy(F.col(keyword).alias(dim_key)).agg(F.count(F.lit(1)).alias("n_rows"))
-    per_kw = keywords.join(counts, on=dim_key, how="left").select(
-        F.col(dim_key), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows")
-    )
-    # the total comes from the per-keyword counts (null keyword included):
-    # one scan of the input, reused
-    total = counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows")).select(
-        F.lit("__total__").alias(dim_key), "n_rows")
-    return bag_union([per_kw, total])
+    plus a total row (null keywords included). The counts per keyword and in
+    total come from one rollup; the keyword dimension drives a left join against
+    them (one row per keyword on each side)."""
+    rolled = df.rollup(keyword).agg(F.count(F.lit(1)).alias("n"), F.grouping(keyword).alias("all"))
+    counts = rolled.select(F.when(F.col("all") == 1, F.lit(TOTAL)).otherwise(F.col(keyword)).alias(dim_key), "n")
+    listed = bag_union([keywords.select(dim_key), keywords.sparkSession.createDataFrame([(TOTAL,)], f"{dim_key} string")])
+    return listed.join(counts, on=dim_key, how="left").select(
+        F.col(dim_key), F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n_rows"))

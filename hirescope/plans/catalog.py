@@ -2,7 +2,7 @@
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` and calls the library
 operators (marts, reports, enrichment, quality, ...) with column names and
-rule tables as parameters; nothing here restates an operator. Stand-ins
+rule tables as parameters. Stand-ins
 follow SURVEY §5.3: part names are titles and two-word skill lists, orders
 give roles x levels and months, events give daily snapshots, documents and
 pages give the text operators.
@@ -34,18 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread CPU-heavy text work over all cores when the scan yields fewer
-    splits than the cluster has slots (small single-file tables). At scale
-    the scan is already wide and nothing is added."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): keep the scan as is
-        return df
-    return df.repartition(slots, key) if splits < slots else df
-
-
 # ------------------------------------------------------------ stand-ins ---
 
 def part_postings(spark, sf_dir) -> DataFrame:
@@ -92,7 +80,7 @@ def event_snapshots(spark, sf_dir) -> DataFrame:
 def doc_texts(spark, sf_dir) -> DataFrame:
     """documents with their normalised title (first line) and body, each
     computed once in its own projection."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select(
         "doc_id",
         X.normalize_for_match(F.substring_index(F.col("text"), "\n", 1)).alias("title_norm"),
@@ -101,11 +89,11 @@ def doc_texts(spark, sf_dir) -> DataFrame:
 
 
 def page_parts(spark, sf_dir) -> DataFrame:
-    pg = spread(table(spark, sf_dir, "pages"), "page_id")
+    pg = table(spark, sf_dir, "pages")
     return pg.select(
         "page_id", "html",
-        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
-        F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("heading"),
+        F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1).alias("title"),
+        F.regexp_extract("html", "(?is)<h1[^>]*>(.*?)</h1>", 1).alias("heading"),
     )
 
 
@@ -293,7 +281,8 @@ def q_distinct_values(spark, sf_dir):
 
 def q_bag_union(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    united = P.bag_union([o.where(F.col("o_orderstatus") == "F"), o.where(~(F.col("o_orderstatus") == "F"))])
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    united = P.bag_union([o.where(finished), o.where(~finished)])
     return M.demand(united, ["o_orderstatus"], name="n")
 
 
@@ -398,13 +387,13 @@ def q_match_terms_categories(spark, sf_dir):
     """J4 join path: the stop-word taxonomy as a dictionary table, matched by
     a window join; same result as ``infer_category``."""
     from ..operators import match as J
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     dictionary = J.prepare_dictionary(J.taxonomy_table(spark, TR.LANG_TAXONOMY))
     return J.infer_category_by_join(d, "doc_id", "text", dictionary)
 
 
 def doc_skills(spark, sf_dir, patterns) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return E.with_skills(d, "text", "skills", patterns).select("doc_id", "skills")
 
 
@@ -417,7 +406,7 @@ def q_skills_exploded(spark, sf_dir):
 
 
 def q_normalize_text(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     n = X.normalize_text(F.col("text"))
     return d.select("doc_id", F.length(n).cast("long").alias("n_chars"), F.md5(n).alias("md5"))
 
@@ -480,42 +469,99 @@ def q_coverage(spark, sf_dir):
 
 # ------------------------------------------- the posting rules, whole ----
 
+def raw_postings(spark, sf_dir) -> DataFrame:
+    """part as raw postings in the landed shape: titles and descriptions hold
+    terms of the posting rules, picked from their lists by the part key (see
+    ``driver_rules``), so that every rule occurs."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey").cast("long")
+
+    def pick(terms, factor, shift=0):
+        return F.element_at(X.lit_array(terms), ((k * factor + shift) % len(terms) + 1).cast("int"))
+
+    def when(divisor, c):
+        return F.when(k % divisor == 0, c).otherwise(F.lit(""))
+
+    title = F.concat(F.col("p_name"), F.lit(" "), pick(TR.ROLE_TERMS, 1), when(5, F.concat(F.lit(" / "), pick(TR.ROLE_TERMS, 31, 11))),
+                     when(3, F.concat(F.lit(" - "), pick(TR.SENIORITY_TERMS, 7))), when(2, F.lit(" (H/F)")))
+    body = F.concat(
+        F.lit("<p>"), pick(TR.INDUSTRY_TERMS, 1), F.lit(", "), pick(TR.INDUSTRY_TERMS, 1, 1), F.lit(", "), pick(TR.INDUSTRY_TERMS, 3, 1),
+        F.lit("</p><br/>"), pick(TR.DOMAIN_TERMS, 5), F.lit(" &amp; "), pick(TR.DOMAIN_TERMS, 11, 3), when(4, F.concat(F.lit("; "), pick(TR.SENIORITY_TERMS, 13))),
+        F.lit(" <b>"), pick(TR.SKILL_TERMS, 1), F.lit("</b>, "), pick(TR.SKILL_TERMS, 17, 5), F.lit(". "), F.col("p_type"))
+    company = F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.col("p_brand"), when(4, F.lit(" &amp;amp; Co."))))
+    date = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (k % 90).cast("int")), "yyyy-MM-dd'T'HH:mm:ss")
+    none = F.lit(None).cast("string")
+    return p.select(
+        k.cast("string").alias("id"), title.alias("intitule"), body.alias("description"),
+        none.alias("romeCode"), none.alias("romeLibelle"),
+        F.when(k % 6 == 0, F.lit("unknown")).otherwise(F.concat(date, F.lit("Z"))).alias("dateCreation"), none.alias("dateActualisation"),
+        F.when(k % 8 != 0, F.struct(F.col("p_brand").alias("libelle"))).alias("lieuTravail"),
+        F.when(k % 9 != 0, F.struct(company.alias("nom"))).alias("entreprise"),
+        F.when(k % 4 != 0, F.struct(when(3, F.col("p_brand")).alias("libelle"), F.col("p_type").alias("commentaire"))).alias("salaire"),
+        none.alias("typeContrat"), none.alias("typeContratLibelle"), none.alias("search_keyword"))
+
+
+def staged_postings(spark, sf_dir) -> DataFrame:
+    """The landed shape through flatten, enrichment and the staging view."""
+    return S.staging_view(S.stage_offers(S.flatten_offer(raw_postings(spark, sf_dir))))
+
+
+def q_stage_postings(spark, sf_dir):
+    """Every staged column that has a value, skills joined."""
+    return staged_postings(spark, sf_dir).select(
+        "offer_id", "title_clean", "role_family", "created_at", "department_or_location", "company_name_clean", "salary_label",
+        F.md5("description_clean").alias("description_md5"), F.array_join("skills", ",").alias("skills"),
+        "hiring_industry", "seniority_level", "domain_focus", "source")
+
+
+def q_posting_views(spark, sf_dir):
+    """The registered views over a staged table (parts with their type as
+    level and their brand as domain), read by SQL."""
+    k = F.col("p_partkey").cast("long")
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (k % 90).cast("int")), "yyyy-MM-dd'T'HH:mm:ss")
+    S.register_views(part_postings(spark, sf_dir).select(
+        "role_family", "skills", F.when(F.col("type_role") == "PROMO", "unknown").otherwise(F.col("type_role")).alias("seniority_level"),
+        F.col("p_brand").alias("domain_focus"), F.when(k % 6 == 0, "unknown").otherwise(day).alias("created_at"),
+        F.lit(None).cast("string").alias("updated_at")))
+    return spark.sql("""
+        SELECT 'mart_role_demand' AS view, role_family AS key, demand FROM mart_role_demand
+        UNION ALL SELECT 'mart_skill_demand', skill, demand FROM mart_skill_demand
+        UNION ALL SELECT 'mart_role_trends_by_month', concat(date_format(month, 'yyyy-MM'), ' ', role_family), demand FROM mart_role_trends_by_month
+        UNION ALL SELECT 'mart_role_demand_by_seniority', concat(role_family, ' ', seniority_level), demand FROM mart_role_demand_by_seniority
+        UNION ALL SELECT 'mart_role_demand_by_domain_focus', concat(role_family, ' ', domain_focus), demand FROM mart_role_demand_by_domain_focus""")
+
+
 def q_reference_role_family(spark, sf_dir):
-    """E5 with the full posting cascade over cleaned document first lines."""
-    d = table(spark, sf_dir, "documents").select(
-        "doc_id", X.clean_title(F.substring_index(F.col("text"), "\n", 1)).alias("title_clean"))
+    """E5 with the full posting cascade."""
+    d = raw_postings(spark, sf_dir).select(X.clean_title(F.col("intitule")).alias("title_clean"))
     return L.role_distribution(E.with_classification(d, "title_clean", "role_family", R.ROLE_CASCADE))
 
 
 def q_reference_skills(spark, sf_dir):
-    """E6 with the full skills dictionary over every document."""
-    return M.skill_demand(doc_skills(spark, sf_dir, R.SKILLS))
+    """E6 with the full skills dictionary."""
+    return M.skill_demand(E.with_skills(raw_postings(spark, sf_dir), "description", "skills", R.SKILLS))
 
 
 def q_reference_enrichment(spark, sf_dir):
-    """E3a / E3b / E4 with the posting taxonomies over every document."""
-    d = doc_texts(spark, sf_dir).withColumns({
-        "tp": E.keyword_presence(F.col("title_norm"), R.SENIORITY, R.DOMAIN),
-        "bp": E.keyword_presence(F.col("body_norm"), R.INDUSTRY, R.SENIORITY, R.DOMAIN),
-    })
-    d = d.withColumns({
-        "ind_d": E.score_array("body_norm", R.INDUSTRY, "bp"),
-        "sen_t": E.score_array("title_norm", R.SENIORITY, "tp"),
-        "sen_d": E.score_array("body_norm", R.SENIORITY, "bp"),
-        "dom_t": E.score_array("title_norm", R.DOMAIN, "tp"),
-        "dom_d": E.score_array("body_norm", R.DOMAIN, "bp"),
-    })
-    enriched = d.select(
-        E.category_from_scores("ind_d", R.INDUSTRY, multi=True).alias("hiring_industry"),
-        E.priority_from_scores("sen_t", "sen_d", R.SENIORITY).alias("seniority_level"),
-        E.weighted_from_scores("dom_t", "dom_d", R.DOMAIN).alias("domain_focus"),
-    )
-    return M.demand(enriched, ["hiring_industry", "seniority_level", "domain_focus"], name="n")
+    """E3a / E3b / E4 with the posting taxonomies."""
+    flat = S.flatten_offer(raw_postings(spark, sf_dir))
+    return M.demand(E.enrich_frame(flat), ["hiring_industry", "seniority_level", "domain_focus"], name="n")
+
+
+def q_match_terms_reference(spark, sf_dir):
+    """J4 with the three posting taxonomies: the category of each description
+    by the dictionary join (the same as by expressions)."""
+    from ..operators import match as J
+    flat = raw_postings(spark, sf_dir).select("id", "description")
+    found = [J.infer_category_by_join(flat, "id", "description", J.prepare_dictionary(J.taxonomy_table(spark, t))).select(
+        F.lit(name).alias("taxonomy"), "id", "category")
+        for name, t in (("industry", R.INDUSTRY), ("seniority", R.SENIORITY), ("domain", R.DOMAIN))]
+    return P.bag_union(found)
 
 
 def stage_pages(spark, sf_dir) -> DataFrame:
-    """E7 end to end on pages taken as postings (title, heading as company,
-    HTML body as description), then the staging-view marts."""
+    """E7 on pages taken as postings (title, heading as company, HTML body as
+    description)."""
     pg = page_parts(spark, sf_dir)
     flat = pg.select(
         F.col("page_id").cast("string").alias("offer_id"),
@@ -527,8 +573,9 @@ def stage_pages(spark, sf_dir) -> DataFrame:
 
 
 def q_stage_pages(spark, sf_dir):
-    st = stage_pages(spark, sf_dir)
-    return M.demand(st, ["role_family", "hiring_industry", "seniority_level", "domain_focus"], name="n")
+    return stage_pages(spark, sf_dir).select(
+        "offer_id", "company_name_clean", F.array_join("skills", ",").alias("skills"), "role_family", "hiring_industry",
+        "seniority_level", "domain_focus")
 
 
 QUERIES: dict[str, Query] = {
@@ -593,7 +640,10 @@ QUERIES: dict[str, Query] = {
     "reference_role_family": q_reference_role_family,
     "reference_skills": q_reference_skills,
     "reference_enrichment": q_reference_enrichment,
+    "match_terms_reference": q_match_terms_reference,
     "stage_pages": q_stage_pages,
+    "stage_postings": q_stage_postings,
+    "posting_views": q_posting_views,
 }
 
 

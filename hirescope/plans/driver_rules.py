@@ -8,6 +8,9 @@ unknowns and multi-category cases) on parts, orders, events and documents.
 
 from __future__ import annotations
 
+import re
+
+from ..functions import rules as R
 from ..functions.rules import Cascade, SkillPatterns, Taxonomy
 
 # part.p_name stands in for a job title ("red bolt", "old gizmo", ...).
@@ -49,3 +52,13 @@ EVENT_KEYWORDS = ["view", "click", "purchase", "signup", "error", "refund"]
 
 # orders: order status as a seniority ladder ("P" stands for unknown).
 STATUS_LADDER = ["O", "F"]
+
+# part as raw postings: the terms of the posting rules in the order of their
+# lists; a part's key picks from each list, so that all of them occur.
+ROLE_TERMS = [term for rule in R.ROLE_CASCADE.rules for group in rule.groups for term in group]
+INDUSTRY_TERMS = [kw for _, kws in R.INDUSTRY.categories for kw in kws]
+SENIORITY_TERMS = [kw for _, kws in R.SENIORITY.categories for kw in kws]
+DOMAIN_TERMS = [kw for _, kws in R.DOMAIN.categories for kw in kws]
+# a skill's first pattern that is a plain word or phrase, else its name
+SKILL_TERMS = [next((w[0] for p in patterns if (w := re.findall(r"^\\b([a-z0-9 ]+)\\b$", p))), skill.replace("_", " "))
+               for skill, patterns in R.SKILLS.skills]

@@ -20,7 +20,7 @@ from ..functions.text import SECTION_HEADERS, _fold_tables, normalize_keyword
 from . import driver_rules as TR
 
 WS = "[\\t\\n\\x0B\\f\\r\\x1C-\\x20\\x{85}\\xA0\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
-NW = "[^\\p{L}\\p{Nd}_]"  # not a word character (Unicode)
+NW = "[^\\p{L}\\p{N}_]"  # not a word character (Unicode)
 
 
 def lit(s: str) -> str:
@@ -38,8 +38,9 @@ def strip(x: str) -> str:
 
 
 def decode(x: str) -> str:
-    """The entities the driver's pages hold, replaced to a fixpoint (three
-    levels of nesting at most). These names are legacy HTML entities, so the
+    """The entities that the driver's tables hold (these six names, nested up
+    to three times; the operator itself knows all of them and decodes to the
+    end, see tests/test_text.py). These names are legacy HTML entities, so the
     trailing semicolon is optional."""
     one = x
     for _ in range(3):
@@ -117,7 +118,7 @@ def cascade_sql(t: str, cascade: R.Cascade) -> str:
 
 def py_to_re2(p: str) -> str:
     """Python pattern -> RE2 with Unicode word boundaries (existence test)."""
-    p = p.replace("\\s", WS[1:-1] if False else "\x00WS\x00")
+    p = p.replace("\\s", "\x00WS\x00")
     word = r"[0-9A-Za-z_]"
     out, i = [], 0
     while i < len(p):
@@ -227,14 +228,38 @@ FIRST_LINE = "split_part(text, chr(10), 1)"
 DN = f"dn AS (SELECT doc_id, {norm(FIRST_LINE)} AS tn, {norm('text')} AS bn FROM documents)"
 LANG_S = (f"ls AS (SELECT doc_id, {score_cols('tn', TR.LANG_TAXONOMY, 't')}, "
           f"{score_cols('bn', TR.LANG_TAXONOMY, 'b')} FROM dn)")
-PAGES = ("pg AS (SELECT page_id, html, regexp_extract(html, '<title>(.*?)</title>', 1) AS title, "
-         "regexp_extract(html, '<h1>(.*?)</h1>', 1) AS heading FROM pages)")
+PAGES = ("pg AS (SELECT page_id, html, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, "
+         "regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS heading FROM pages)")
 LD = ("ld AS (SELECT d.doc_id, d.lang, l.quality, l.toxic, split_part(d.text, chr(10), 1) AS title_clean, "
       "CASE WHEN l.quality = 1 THEN 'good' WHEN l.quality = 0 THEN 'other' END AS role_family, "
       "CASE WHEN l.toxic = 1 THEN NULL ELSE d.source END AS company_name_clean "
       "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)")
 
 
+
+def _pick(terms, factor: int, shift: int = 0) -> str:
+    return f"[{', '.join(lit(t) for t in terms)}][(p_partkey * {factor} + {shift}) % {len(terms)} + 1]"
+
+
+def _when(divisor: int, x: str) -> str:
+    return f"CASE WHEN p_partkey % {divisor} = 0 THEN {x} ELSE '' END"
+
+
+# part as raw postings: terms of the posting rules, picked by the part key
+POSTINGS = (
+    "po AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name || ' ' || " + _pick(TR.ROLE_TERMS, 1)
+    + " || " + _when(5, "' / ' || " + _pick(TR.ROLE_TERMS, 31, 11)) + " || " + _when(3, "' - ' || " + _pick(TR.SENIORITY_TERMS, 7))
+    + " || " + _when(2, "' (H/F)'") + " AS intitule, "
+    + "'<p>' || " + _pick(TR.INDUSTRY_TERMS, 1) + " || ', ' || " + _pick(TR.INDUSTRY_TERMS, 1, 1) + " || ', ' || " + _pick(TR.INDUSTRY_TERMS, 3, 1)
+    + " || '</p><br/>' || " + _pick(TR.DOMAIN_TERMS, 5) + " || ' &amp; ' || " + _pick(TR.DOMAIN_TERMS, 11, 3)
+    + " || " + _when(4, "'; ' || " + _pick(TR.SENIORITY_TERMS, 13)) + " || ' <b>' || " + _pick(TR.SKILL_TERMS, 1)
+    + " || '</b>, ' || " + _pick(TR.SKILL_TERMS, 17, 5) + " || '. ' || p_type AS description, "
+    "CASE WHEN p_partkey % 6 = 0 THEN 'unknown' ELSE strftime(DATE '2024-01-01' + CAST(p_partkey % 90 AS INTEGER), '%Y-%m-%dT%H:%M:%S') || 'Z' END AS created, "
+    "CASE WHEN p_partkey % 8 <> 0 THEN p_brand END AS place, "
+    "CASE WHEN p_partkey % 9 <> 0 AND p_partkey % 7 <> 0 THEN p_brand || " + _when(4, "' &amp;amp; Co.'") + " END AS company, "
+    "CASE WHEN p_partkey % 4 <> 0 THEN " + _when(3, "p_brand") + " END AS salary, CASE WHEN p_partkey % 4 <> 0 THEN p_type END AS salary_more FROM part)")
+
+
 def populated(x: str) -> str:
     return f"coalesce(regexp_matches({x}, '[^{WS[1:-1]}]'), false)"
 
@@ -327,7 +352,7 @@ def sql() -> dict[str, str]:
         "WITH e AS (SELECT user_id, CAST(ts AS DATE) AS dt, event_type AS role_family FROM events), "
         "m AS (SELECT user_id, max(dt) AS dt FROM e WHERE user_id IS NOT NULL GROUP BY user_id) "
         "SELECT role_family, count(*) AS nb_offers FROM (SELECT e.* FROM e JOIN m ON e.user_id = m.user_id "
-        "AND e.dt = m.dt UNION ALL SELECT * FROM e WHERE user_id IS NULL) GROUP BY 1")
+        "AND e.dt = m.dt UNION ALL SELECT * FROM e WHERE user_id IS NULL OR dt IS NULL) GROUP BY 1")
     q["dt_sanity_count"] = f"WITH {ES} SELECT count(*) AS nb_rows FROM es WHERE dt = {DT}"
     q["dt_sanity_roles"] = (f"WITH {ES} SELECT role_family, count(*) AS nb_offers FROM es WHERE dt = {DT} "
                             "GROUP BY 1")
@@ -346,7 +371,7 @@ def sql() -> dict[str, str]:
         "(SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY dt) AS previous FROM m)")
     q["distinct_values"] = "SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL"
     q["bag_union"] = ("SELECT o_orderstatus, count(*) AS n FROM (SELECT * FROM orders WHERE o_orderstatus = 'F' "
-                      "UNION ALL SELECT * FROM orders WHERE NOT (o_orderstatus = 'F')) GROUP BY 1")
+                      "UNION ALL SELECT * FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F') GROUP BY 1")
     q["preview"] = ("SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice FROM orders "
                     "ORDER BY o_orderkey LIMIT 15")
     iso = "strftime(ts, '%Y-%m-%dT%H:%M:%S')"
@@ -410,11 +435,11 @@ def sql() -> dict[str, str]:
         for c in ["lang", "role_family", "quality"])
 
     q["reference_role_family"] = (
-        f"SELECT role_family, count(*) AS nb_offers FROM (SELECT "
+        f"WITH {POSTINGS} SELECT role_family, count(*) AS nb_offers FROM (SELECT "
         f"{cascade_sql(prepared('tc'), R.ROLE_CASCADE)} AS role_family FROM (SELECT "
-        f"{clean_title_sql(FIRST_LINE)} AS tc FROM documents)) GROUP BY 1")
-    rs = f"rs AS (SELECT {skills_sql('lower(text)', R.SKILLS)} AS skills FROM documents)"
-    q["reference_skills"] = (f"WITH {rs} SELECT skill, count(*) AS demand FROM (SELECT unnest(skills) AS skill FROM rs) "
+        f"{clean_title_sql('intitule')} AS tc FROM po)) GROUP BY 1")
+    rs = f"rs AS (SELECT {skills_sql('lower(description)', R.SKILLS)} AS skills FROM po)"
+    q["reference_skills"] = (f"WITH {POSTINGS}, {rs} SELECT skill, count(*) AS demand FROM (SELECT unnest(skills) AS skill FROM rs) "
                              "WHERE skill IS NOT NULL GROUP BY 1")
     ref_scores = (f"sc AS (SELECT {score_cols('bn', R.INDUSTRY, 'i')}, {score_cols('tn', R.SENIORITY, 'st')}, "
                   f"{score_cols('bn', R.SENIORITY, 'sd')}, {score_cols('tn', R.DOMAIN, 'dt')}, "
@@ -425,15 +450,36 @@ def sql() -> dict[str, str]:
         f"CASE WHEN ({argmax_sql('st', R.SENIORITY)}) <> 'unknown' THEN ({argmax_sql('st', R.SENIORITY)}) "
         f"WHEN ({argmax_sql('sd', R.SENIORITY)}) IN ({allowed_sen}) THEN ({argmax_sql('sd', R.SENIORITY)}) "
         f"ELSE 'unknown' END AS seniority_level, {weighted_sql('dt', 'dd', R.DOMAIN)} AS domain_focus")
-    q["reference_enrichment"] = (
-        f"WITH {DN}, {ref_scores} SELECT hiring_industry, seniority_level, domain_focus, count(*) AS n FROM "
-        f"(SELECT {enrich_cols} FROM sc) GROUP BY 1, 2, 3")
-    st = (f"st AS (SELECT {clean_title_sql('title')} AS title_clean, {clean_text_sql('html')} AS description_clean "
-          "FROM pg)")
-    sn = (f"sn AS (SELECT {cascade_sql(prepared('title_clean'), R.ROLE_CASCADE)} AS role_family, "
+    ref_scores = ref_scores.replace("FROM dn)", "FROM sn)").replace("sc AS (SELECT ", "sc AS (SELECT sn.*, ")
+    flat = (f"st AS (SELECT *, {clean_title_sql('intitule')} AS title_clean, {clean_company_sql('company')} AS company_name_clean, "
+            f"{clean_text_sql('description')} AS description_clean FROM po)")
+    sn = (f"sn AS (SELECT *, {cascade_sql(prepared('title_clean'), R.ROLE_CASCADE)} AS role_family, "
+          f"{skills_sql('lower(description_clean)', R.SKILLS)} AS skills, "
           f"{norm('title_clean')} AS tn, {norm('description_clean')} AS bn FROM st)")
-    ref_scores2 = ref_scores.replace("FROM dn)", "FROM sn)").replace("sc AS (SELECT ", "sc AS (SELECT role_family, ")
+    staged = f"WITH {POSTINGS}, {flat}, {sn}, {ref_scores}, en AS (SELECT *, {enrich_cols} FROM sc)"
+    q["reference_enrichment"] = f"{staged} SELECT hiring_industry, seniority_level, domain_focus, count(*) AS n FROM en GROUP BY 1, 2, 3"
+    created = "TRY_CAST(regexp_replace(created, 'Z$', '') AS TIMESTAMP)"
+    q["stage_postings"] = (
+        f"{staged} SELECT id AS offer_id, title_clean, role_family, {created} AS created_at, place AS department_or_location, "
+        "company_name_clean, coalesce(nullif(salary, ''), salary_more) AS salary_label, md5(description_clean) AS description_md5, "
+        f"array_to_string(skills, ',') AS skills, hiring_industry, seniority_level, domain_focus, {lit(R.SOURCE_NAME)} AS source FROM en")
+    day = ("CASE WHEN p_partkey % 6 <> 0 THEN DATE '2024-01-01' + CAST(p_partkey % 90 AS INTEGER) END")
+    q["posting_views"] = (
+        f"WITH {PP}, kept AS (SELECT *, {day} AS day FROM pp WHERE role_family IS NOT NULL AND role_family <> 'other') "
+        "SELECT 'mart_role_demand' AS view, role_family AS key, count(*) AS demand FROM kept GROUP BY 2 "
+        "UNION ALL SELECT 'mart_skill_demand', skill, count(*) FROM (SELECT unnest(skills) AS skill FROM pp) GROUP BY 2 "
+        "UNION ALL SELECT 'mart_role_trends_by_month', strftime(day, '%Y-%m') || ' ' || role_family, count(*) FROM kept "
+        "WHERE day IS NOT NULL GROUP BY 2 "
+        "UNION ALL SELECT 'mart_role_demand_by_seniority', role_family || ' ' || type_role, count(*) FROM kept WHERE type_role <> 'PROMO' GROUP BY 2 "
+        "UNION ALL SELECT 'mart_role_demand_by_domain_focus', role_family || ' ' || p_brand, count(*) FROM kept GROUP BY 2")
+    q["match_terms_reference"] = f"WITH {POSTINGS}, nd AS (SELECT id, {norm('description')} AS bn FROM po), " + ", ".join(
+        f"{p} AS (SELECT id, {score_cols('bn', t, p)} FROM nd)" for p, t in (("i", R.INDUSTRY), ("s", R.SENIORITY), ("d", R.DOMAIN))
+    ) + " " + " UNION ALL ".join(
+        f"SELECT {lit(name)} AS taxonomy, id, {argmax_sql(p, t)} AS category FROM {p}"
+        for name, p, t in (("industry", "i", R.INDUSTRY), ("seniority", "s", R.SENIORITY), ("domain", "d", R.DOMAIN)))
+    pages = (f"st AS (SELECT *, {clean_title_sql('title')} AS title_clean, {clean_company_sql('heading')} AS company_name_clean, "
+             f"{clean_text_sql('html')} AS description_clean FROM pg)")
     q["stage_pages"] = (
-        f"WITH {PAGES}, {st}, {sn}, {ref_scores2} SELECT role_family, hiring_industry, seniority_level, domain_focus, "
-        f"count(*) AS n FROM (SELECT role_family, {enrich_cols} FROM sc) GROUP BY 1, 2, 3, 4")
+        f"WITH {PAGES}, {pages}, {sn}, {ref_scores} SELECT CAST(page_id AS VARCHAR) AS offer_id, company_name_clean, "
+        f"array_to_string(skills, ',') AS skills, role_family, {enrich_cols} FROM sc")
     return q

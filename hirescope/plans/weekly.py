@@ -31,11 +31,11 @@ def keyword_rank(c, keywords=R.SEARCH_KEYWORDS):
 
 
 def dedupe_raw(raw: DataFrame, keywords=R.SEARCH_KEYWORDS) -> DataFrame:
-    """D1 on landed postings: per id keep the row of the earliest keyword,
-    then the earliest landing sequence."""
+    """D1 on landed postings: per id keep the row of the earliest keyword, then
+    the smallest landing sequence, then the first in file order."""
     ranked = raw.withColumn("__kw_rank", keyword_rank(F.col("search_keyword"), keywords))
-    order = [F.col("__kw_rank"), F.coalesce(F.col("_seq"), F.lit(0))]
-    return dedupe_first(ranked, "id", order).drop("__kw_rank")
+    order = [F.col("__kw_rank"), F.coalesce(F.col("_seq"), F.lit(0))] + ([F.col("_line")] if "_line" in raw.columns else [])
+    return dedupe_first(ranked, "id", order).drop("__kw_rank", "_line")
 
 
 def stage(raw: DataFrame, **rules) -> DataFrame:
@@ -61,33 +61,27 @@ class RunReport:
 
 
 def run(spark: SparkSession, raw_path: str, stage_path: str, analytics_path: str, dt: str) -> RunReport:
-    raw, raw_obs = Q.observe_step(S.read_raw_offers(spark, raw_path, dt), "raw", rows=F.count(F.lit(1)))
+    landed = S.read_raw_offers(spark, raw_path, dt)
+    # Q1 blocks before anything is written: deduplication keeps a row of any
+    # landed rows, so an empty snapshot shows here
+    Q.gate(landed, f"for dt={dt}")
+    raw, raw_obs = Q.observe_step(landed, "raw", rows=F.count(F.lit(1)))
     deduped, dd_obs = Q.observe_step(dedupe_raw(raw), "deduped", rows=F.count(F.lit(1)))
-    staged = S.stage_offers(S.flatten_offer(deduped)).withColumn("dt", F.lit(dt).cast("date"))
-    S.write_stage(staged, stage_path)
+    S.write_stage(S.stage_offers(S.flatten_offer(deduped)), stage_path, dt)
     # D2 from the counts observed during the write (no second pass over raw)
-    n_raw, n_dedup = raw_obs.get["rows"], dd_obs.get["rows"]
+    n_raw, n_dedup = Q.observed(raw_obs, "rows"), Q.observed(dd_obs, "rows")
     counts = {"raw_rows": n_raw, "deduped_rows": n_dedup, "duplicates_removed": n_raw - n_dedup}
 
     snapshot = S.read_stage(spark, stage_path, dt)
-    Q.gate(snapshot, f"for dt={dt}")
     quality = [r.asDict() for r in Q.metrics(snapshot).collect()]  # four rows
+    seen = snapshot.agg(F.count(F.lit(1)).alias("n"), F.count_if(M.classified("role_family")).alias("classified")).first()
 
-    outputs, observations = {}, {}
+    outputs, written = {}, {}
     for name, build in ANALYTICS.items():
-        # Rows in, rows passing the role filter, output keys — observed
-        # during the write itself
-        observed, obs = Q.observe_step(
-            snapshot, name,
-            rows_in=F.count(F.lit(1)),
-            rows_classified=F.sum(M.classified("role_family").cast("long")),
-        )
-        out = build(observed)
-        out_obs, out_o = Q.observe_step(out, f"{name}_out", output_rows=F.count(F.lit(1)))
-        S.write_analytics(out_obs, analytics_path, name, dt)
-        observations[name], observations[f"{name}_out"] = obs, out_o
+        S.write_analytics(build(snapshot), analytics_path, name, dt)
         outputs[name] = f"{analytics_path}/{name}/v1/dt={dt}"
-    return RunReport(counts, quality, outputs, Q.step_summary(observations))
+        written[name] = spark.read.parquet(outputs[name])
+    return RunReport(counts, quality, outputs, Q.step_summary(seen["n"], seen["classified"], written))
 
 
 def main(argv=None) -> None:

@@ -20,7 +20,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # size shuffle partitions by bytes, not by core count: AQE merges small
     # ones up to the advisory size, so the same job fits 1 GB and 100 TB
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -39,43 +38,21 @@ def configure(spark: SparkSession) -> SparkSession:
         # static settings (fixed when the session was built) are left alone
         if spark.conf.get(key, None) in (None, "") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-    _refresh_debugging_flag()
-    checkpoint_dir(spark)
     return spark
 
 
-def _refresh_debugging_flag() -> None:
-    # PySpark reads the call-site flag once per process; re-read it so the
-    # value configured above applies from now on
-    try:
-        import pyspark.errors.utils as U
-
-        U._enable_debugging_cache = None
-    except (ImportError, AttributeError):
-        pass
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Read from the session; only when it is unset (local tests) a fresh
-    scratch folder is created and registered.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): the server owns the setting
-        sc = None
-    path = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    """The shared folder named by ``spark.checkpoint.dir``; required, as a
+    folder of the driver's own machine would be lost with it."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="hirescope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return path
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "hirescope") -> SparkSession:
-    """Local session for tests and the bench (UI off, no extra ports)."""
+    """Local session for tests and the bench (UI off, no extra ports); its
+    checkpoint and warehouse folders are scratch folders of this machine."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -84,6 +61,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("HIRESCOPE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="hirescope-warehouse-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hirescope-checkpoint-"))
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)

@@ -53,10 +53,20 @@ def _dt_filter(df: DataFrame, dt) -> DataFrame:
 
 def read_raw_offers(spark: SparkSession, path: str, dt=None) -> DataFrame:
     """JSON lines with a declared schema; blank lines are skipped and a
-    malformed line fails the job (FAILFAST), as a bad record should."""
+    malformed line fails the job (FAILFAST), as a bad record should.
+
+    ``_line`` is each row's place in file order (file, split, row within the
+    split), so that keep-first is defined for files without ``_seq``. A ``dt``
+    can only be chosen where the path is the root of the day folders.
+    """
     df = spark.read.schema(RAW_SCHEMA).option("mode", "FAILFAST").json(path)
+    df = df.select("*", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row")).alias("_line"))
     if "dt" in df.columns:
-        df = _dt_filter(df.withColumn("dt", F.col("dt").cast("date")), dt)
+        return _dt_filter(df.withColumn("dt", F.col("dt").cast("date")), dt)
+    if dt is not None:
+        raise ValueError(f"{path} has no dt=... folders to choose {dt} from")
     return df
 
 
@@ -64,7 +74,8 @@ def read_raw_offers(spark: SparkSession, path: str, dt=None) -> DataFrame:
 
 def land_offers(pages: Mapping[str, DataFrame], path: str, dt: str) -> None:
     """S2 + D12: tag each keyword's results with the keyword and a sequence
-    number, union them (duplicates kept) and append to the raw partition."""
+    number, union them (duplicates kept) and replace the day's raw files, so
+    that a rerun neither doubles rows nor keeps withdrawn postings."""
     frames = []
     for keyword, df in pages.items():
         frames.append(
@@ -74,7 +85,7 @@ def land_offers(pages: Mapping[str, DataFrame], path: str, dt: str) -> None:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    out.withColumn("dt", F.lit(dt).cast("date")).write.mode("append").partitionBy("dt").json(path)
+    out.write.mode("overwrite").json(f"{path}/dt={dt}")
 
 
 # ---------------------------------------------------------------- P1–P4 ---
@@ -137,11 +148,10 @@ def staging_view(stage: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- S3–S7 ------
 
-def write_stage(df: DataFrame, path: str) -> None:
-    """S3: Parquet partitioned by ``dt``; a rerun replaces only the snapshots
-    it contains (dynamic partition overwrite)."""
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy("dt").parquet(path)
+def write_stage(df: DataFrame, path: str, dt) -> None:
+    """S3: the snapshot ``dt`` as Parquet in its own folder ``dt=...``; a rerun
+    replaces that folder, also when the new snapshot is empty, and no other."""
+    df.drop("dt").write.mode("overwrite").parquet(f"{path}/dt={dt}")
 
 
 def read_stage(spark: SparkSession, path: str, dt=None) -> DataFrame:
@@ -154,10 +164,9 @@ lake_table = read_stage
 
 
 def write_analytics(df: DataFrame, base: str, name: str, dt, version: str = "v1") -> None:
-    """``<base>/<name>/<version>/dt=...``, one snapshot replaced."""
-    out = df.withColumn("dt", F.lit(dt).cast("date"))
-    out.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out.write.mode("overwrite").partitionBy("dt").parquet(f"{base}/{name}/{version}")
+    """``<base>/<name>/<version>/dt=...``, one snapshot replaced (by an
+    empty one too)."""
+    df.drop("dt").write.mode("overwrite").parquet(f"{base}/{name}/{version}/dt={dt}")
 
 
 def load_warehouse(df: DataFrame, table: str = "stg_offres") -> int:
@@ -166,13 +175,13 @@ def load_warehouse(df: DataFrame, table: str = "stg_offres") -> int:
     The expected count is observed while the write runs, so the input is
     computed once.
     """
-    from ..operators.quality import observe_step
+    from ..operators.quality import observe_step, observed, reconcile
 
-    observed, obs = observe_step(df, f"load_{table}", rows=F.count(F.lit(1)))
-    observed.write.mode("overwrite").saveAsTable(table)
-    expected = obs.get["rows"]
+    watched, obs = observe_step(df, f"load_{table}", rows=F.count(F.lit(1)))
+    watched.write.mode("overwrite").saveAsTable(table)
+    expected = observed(obs, "rows")
     loaded = df.sparkSession.table(table).count()
-    if expected != loaded:
+    if not reconcile(expected, loaded):
         raise ValueError(f"row count mismatch after load: {expected} != {loaded}")
     return loaded
 

@@ -3,10 +3,11 @@
 New raw files (``<landing>/dt=YYYY-MM-DD/*.jsonl``) are picked up by a file
 stream. Keep-first dedupe needs the whole snapshot, so a micro-batch does not
 stage its own rows: it only tells which snapshots received files, and each of
-those snapshots is re-staged from the landing folder by the batch plan
-(dynamic partition overwrite). Re-running a micro-batch after a failure
-rewrites the same partitions, so the sink is idempotent and the checkpointed
-stream gives exactly-once results.
+those snapshots is re-staged from the landing folder by the batch plan, which
+replaces the snapshot's folder. All new files make one micro-batch unless a
+limit is given, so a trigger stages a day once, however many files it got.
+Re-running a micro-batch after a failure rewrites the same folders, so the
+sink is idempotent and the checkpointed stream gives exactly-once results.
 """
 
 from __future__ import annotations
@@ -27,22 +28,19 @@ def restage_snapshots(spark: SparkSession, landing: str, stage_path: str, batch:
     """Re-stage every snapshot that has rows in ``batch``; returns the dates."""
     days = [r.dt for r in batch.select("dt").where(F.col("dt").isNotNull()).distinct().collect()]
     for dt in sorted(days):
-        raw = S.read_raw_offers(spark, landing, dt)
-        staged = W.stage(raw).withColumn("dt", F.lit(dt).cast("date"))
-        S.write_stage(staged, stage_path)
+        S.write_stage(W.stage(S.read_raw_offers(spark, landing, dt)), stage_path, dt)
     return days
 
 
 def start(spark: SparkSession, landing: str, stage_path: str, checkpoint: str | None = None,
-          available_now: bool = True, max_files_per_trigger: int = 1000) -> StreamingQuery:
-    """Start the stream; ``available_now`` drains what is there and stops."""
+          available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the stream; ``available_now`` drains what is there and stops. The
+    offsets are kept in ``checkpoint``, or in the shared checkpoint folder."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/landing-stage"
-    src = (
-        spark.readStream.schema(STREAM_SCHEMA)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("mode", "FAILFAST")
-        .json(landing)
-    )
+    reader = spark.readStream.schema(STREAM_SCHEMA).option("mode", "FAILFAST")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.json(landing)
     writer = (
         src.select("dt").writeStream
         .foreachBatch(lambda batch, _epoch: restage_snapshots(spark, landing, stage_path, batch))

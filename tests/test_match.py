@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from hirescope.functions import enrich as E
+from hirescope.functions import rules as R
 from hirescope.functions.rules import Taxonomy
 from hirescope.operators import match as J
 
@@ -27,24 +28,30 @@ def test_join_path_equals_expression_path(spark):
     assert by_join[0] == "ops" and by_join[1] == "unknown" and by_join[3] == "data"
 
 
-def test_dictionary_rejects_unsplittable_keywords(spark):
-    bad = spark.createDataFrame([("x", 0, ".net")], "category string, cat_ord int, keyword string")
-    try:
-        J.prepare_dictionary(bad)
-        raise AssertionError("expected a ValueError")
-    except ValueError:
-        pass
-
-
-def test_size_checked_broadcast(spark):
-    small = spark.range(3).selectExpr("id AS k", "'a' AS v")  # exact statistics
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    unknown = spark.createDataFrame([(1, "a")], "k long, v string")  # size unknown
-
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().optimizedPlan().toString().lower()
-
-    assert hinted(J.join_dimension(big, small, "k"))
-    assert not hinted(J.join_dimension(big, small, "k", max_broadcast_bytes=0))
-    assert hinted(J.join_dimension(big, unknown, "k"))  # unknown size, but a bounded count says 1 row
-    assert not hinted(J.join_dimension(big, unknown, "k", max_broadcast_rows=0))
+def test_posting_taxonomies_agree_with_expressions(spark):
+    """Keywords that collide after normalisation count as often as listed."""
+    texts = TEXTS + ["senior confirmé, expérience confirmée", "3 ans d'experience", "experience significative expérience significative"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for taxonomy in (R.INDUSTRY, R.SENIORITY, R.DOMAIN):
+        by_join = {r.id: r.category for r in J.infer_category_by_join(
+            df, "id", "text", J.prepare_dictionary(J.taxonomy_table(spark, taxonomy))).collect()}
+        by_expr = {r.id: r.c for r in df.select("id", E.infer_category(F.col("text"), taxonomy).alias("c")).collect()}
+        assert by_join == by_expr
+        if taxonomy is R.SENIORITY:
+            assert by_join[len(TEXTS)] == "mid"
+
+
+def test_keywords_with_non_word_ends(spark):
+    """A boundary beside a non-word character needs a word character there."""
+    tax = Taxonomy.from_mapping("t", {"ms": [".net"], "c": ["c++", "++"]})
+    texts = ["asp.net", ".net", "asp .net", "c++", "c++x", "a c++b", "x++y", "++", "asp..net", "asp.net."]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    by_join = {r.id: r.category for r in J.infer_category_by_join(df, "id", "text", J.prepare_dictionary(J.taxonomy_table(spark, tax))).collect()}
+    by_expr = {r.id: r.c for r in df.select("id", E.infer_category(F.col("text"), tax).alias("c")).collect()}
+    assert by_join == by_expr == {0: "ms", 1: "unknown", 2: "unknown", 3: "unknown", 4: "c", 5: "c", 6: "c", 7: "unknown", 8: "unknown", 9: "ms"}
+
+
+def test_empty_dictionary_matches_nothing(spark):
+    none = spark.createDataFrame([], "category string, cat_ord int, keyword string")
+    df = spark.createDataFrame([(1, "a b")], "id int, text string")
+    assert [r.category for r in J.infer_category_by_join(df, "id", "text", J.prepare_dictionary(none)).collect()] == ["unknown"]

@@ -10,6 +10,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from hirescope.plans.catalog import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -41,7 +42,7 @@ def _canon(df):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -50,8 +51,8 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = con.execute(entry.oracle_sql()[name]).df()
-    assert _canon(got) == _canon(want)
+    assert _canon(got) == _canon(want) and len(want)

@@ -3,9 +3,11 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import FIXTURES
+from hirescope.operators.quality import QualityError
 from hirescope.plans import weekly as W
 from hirescope.sources import offers as S
 
@@ -73,9 +75,8 @@ def test_rerun_replaces_only_its_snapshot(spark):
     raw = _raw_dir(tmp)
     stage_path = os.path.join(tmp, "stage")
     staged = W.stage(S.read_raw_offers(spark, raw, DT))
-    S.write_stage(staged.withColumn("dt", F.lit(DT).cast("date")), stage_path)
-    S.write_stage(staged.withColumn("dt", F.lit("2024-03-11").cast("date")), stage_path)
-    S.write_stage(staged.withColumn("dt", F.lit(DT).cast("date")), stage_path)
+    for dt in (DT, "2024-03-11", DT):
+        S.write_stage(staged, stage_path, dt)
     lake = S.lake_table(spark, stage_path)
     assert lake.count() == 14
     assert S.read_stage(spark, stage_path, "2024-03-11").count() == 7
@@ -102,6 +103,52 @@ def test_land_offers_tags_and_unions(spark):
         ("X1", "data engineer"), ("X1", "data scientist"), ("X2", "data engineer")]
 
 
+def _run_lines(spark, tmp, lines, dt=DT):
+    d = os.path.join(tmp, "raw", f"dt={dt}")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "offers.jsonl"), "w", encoding="utf-8") as fh:
+        fh.write("\n".join(lines) + "\n")
+    return W.run(spark, os.path.join(tmp, "raw"), os.path.join(tmp, "stage"), os.path.join(tmp, "out"), dt)
+
+
+def test_empty_snapshot_blocks_before_any_write(spark):
+    tmp = tempfile.mkdtemp(prefix="hirescope-test-")
+    with pytest.raises(QualityError):
+        _run_lines(spark, tmp, [""])
+    assert not os.path.exists(os.path.join(tmp, "stage"))
+    _run_lines(spark, tmp, ['{"id": "a", "intitule": "data engineer"}'])
+    with pytest.raises(QualityError):  # not on the rows of the last run
+        _run_lines(spark, tmp, [""])
+    assert S.read_stage(spark, os.path.join(tmp, "stage"), DT).count() == 1
+
+
+def test_empty_dataset_replaces_its_snapshot(spark):
+    tmp = tempfile.mkdtemp(prefix="hirescope-test-")
+    first = _run_lines(spark, tmp, ['{"id": "a", "intitule": "data engineer", "description": "python"}'])
+    again = _run_lines(spark, tmp, ['{"id": "a", "intitule": "data engineer"}'])  # no skill any more
+    assert {m: v for s, m, v in first.steps if s == "skill_demand_out"} == {"output_rows": 1.0}
+    assert {m: v for s, m, v in again.steps if s == "skill_demand_out"} == {"output_rows": 0.0}
+    assert spark.read.parquet(again.outputs["skill_demand"]).count() == 0
+    assert spark.read.parquet(again.outputs["role_demand"]).count() == 1
+
+
+def test_first_line_wins_without_sequence(spark):
+    tmp = tempfile.mkdtemp(prefix="hirescope-test-")
+    _run_lines(spark, tmp, ['{"id": "a", "intitule": "z first", "search_keyword": "data"}', '{"id": "a", "intitule": "a second", "search_keyword": "data"}'])
+    assert [r.title for r in S.read_stage(spark, os.path.join(tmp, "stage"), DT).collect()] == ["z first"]
+
+
+def test_landing_again_replaces_the_day(spark):
+    tmp = tempfile.mkdtemp(prefix="hirescope-test-")
+    page = spark.createDataFrame([("X1", "t1"), ("X2", "t2")], "id string, intitule string")
+    S.land_offers({"data engineer": page}, tmp, DT)
+    S.land_offers({"data engineer": page.limit(1)}, tmp, DT)
+    S.land_offers({"data engineer": page}, tmp, "2024-03-11")
+    assert S.read_raw_offers(spark, tmp, DT).count() == 1 and S.read_raw_offers(spark, tmp).count() == 3
+    with pytest.raises(ValueError):  # the day folder itself holds no days to choose from
+        S.read_raw_offers(spark, os.path.join(tmp, f"dt={DT}"), "1999-01-01")
+
+
 def test_malformed_line_fails(spark):
     tmp = tempfile.mkdtemp(prefix="hirescope-test-")
     d = os.path.join(tmp, f"dt={DT}")
@@ -139,7 +186,7 @@ def test_lake_sql_as_written(spark):
     tmp = tempfile.mkdtemp(prefix="hirescope-test-")
     stage_path = os.path.join(tmp, "stage")
     staged = W.stage(S.read_raw_offers(spark, _raw_dir(tmp), DT))
-    S.write_stage(staged.withColumn("dt", F.lit(DT).cast("date")), stage_path)
+    S.write_stage(staged, stage_path, DT)
     S.register_lake_view(spark, stage_path, "offers_lake")
     by_role = {r.role_family: r.nb_offers for r in spark.sql(
         "SELECT role_family, COUNT(*) AS nb_offers FROM offers_lake GROUP BY role_family").collect()}
