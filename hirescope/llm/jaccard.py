@@ -8,17 +8,19 @@ tokens of these prefixes are shuffled, classes that meet are counted. Pairs
 must then share as many prefix tokens under two more orders - the filters are
 intersected - before their whole sets are compared.
 
-Every order is by heat, then by a hash of its own. Heat is a token's count in a
-sketch of fixed size over all documents, relative to the sketch's mean, so that
-passages which many documents hold come last in every order and are rarely in
-a prefix. Any order is right; heat only keeps posting lists short.
+Every order is by heat, then by a hash of its own. Heat is how far a token's
+count in a sketch of fixed size over all documents stands above the sketch's
+noise, so that passages which many documents hold come last in every order
+and are rarely in a prefix. Any order is right; heat only keeps posting lists
+short.
 
 Big groups of near copies share nearly all their prefix tokens. Each posting
-list's members are first compared with its smallest member only; connected
-components follow; and only pairs that are still in different components are
-generated from posting lists that hold more than one. No link between
-components can be missed, and a group of ``g`` near copies costs about ``g``
-comparisons instead of ``g * g / 2``.
+list's members are first compared with one member only - on lists of hot
+tokens the one with the fewest cold shingles, which is the text that the
+others are copies of, or close to it; connected components follow; and only
+pairs that are still in different components are generated from posting lists
+that hold more than one. No link between components can be missed, and a group
+of ``g`` near copies costs about ``g`` comparisons instead of ``g * g / 2``.
 """
 
 from __future__ import annotations
@@ -145,9 +147,9 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _heat(signed: DataFrame) -> np.ndarray:
-    """Heat of each counter: 0 up to twice the mean, then half-octaves. Task
-    sketches are summed chunk by chunk, first within salts; what reaches the
-    driver is one byte a counter."""
+    """Heat of each counter: 0 up to two standard deviations (and two) above the
+    mean, then in half-octaves of the excess. Task sketches are summed chunk by
+    chunk, first within salts; what reaches the driver is one byte a counter."""
 
     def total(key, pdf):
         out = np.zeros(_CHUNK, dtype=np.int64)
@@ -166,7 +168,7 @@ def _heat(signed: DataFrame) -> np.ndarray:
         for pdf in batches:
             out = []
             for raw in pdf["counts"]:
-                over = np.frombuffer(raw, dtype=np.int64) / (2 * mean + 2)
+                over = (np.frombuffer(raw, dtype=np.int64) - mean) / (2 * np.sqrt(mean) + 2)
                 out.append(np.where(over <= 1, 0, np.minimum(1 + 2 * np.log2(np.maximum(over, 1)), 255)).astype(np.uint8).tobytes())
             yield pd.DataFrame({"chunk": pdf["chunk"], "heat": out})
 
@@ -177,13 +179,14 @@ def _heat(signed: DataFrame) -> np.ndarray:
 
 
 def _posts(docs: DataFrame, heat, hot: bool) -> DataFrame:
-    """(token, s1, n) for the first order's prefixes, of hot or of cold tokens;
-    sets that a task meets again are left out."""
+    """(token, rank, s1, n) for the first order's prefixes, of hot or of cold
+    tokens; sets that a task meets again are left out. ``rank`` is, for hot
+    tokens, the set's cold shingles in thousandths."""
 
     def run(batches):
         seen = set()
         for pdf in batches:
-            tokens, s1s, ns = [], [], []
+            tokens, ranks, s1s, ns = [], [], [], []
             for text in pdf["text"]:
                 s = shingles(text)
                 if not len(s):
@@ -194,26 +197,31 @@ def _posts(docs: DataFrame, heat, hot: bool) -> DataFrame:
                 seen.add(sign)
                 p = prefix(s, heat.value, 0)
                 p = p[(heat.value[p & _U(SKETCH - 1)] > 0) == hot]
+                cold = 1000 * np.count_nonzero(heat.value[s & _U(SKETCH - 1)] == 0) // len(s) if hot else 0
                 tokens.append(p)
+                ranks.append(np.full(len(p), cold, dtype=np.int32))
                 s1s.append(np.full(len(p), sign[0], dtype=np.int64))
                 ns.append(np.full(len(p), len(s), dtype=np.int32))
             if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64), "s1": np.concatenate(s1s), "n": np.concatenate(ns)})
+                yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64), "rank": np.concatenate(ranks),
+                                    "s1": np.concatenate(s1s), "n": np.concatenate(ns)})
 
-    return docs.select("text").mapInPandas(run, "token long, s1 long, n int")
+    return docs.select("text").mapInPandas(run, "token long, rank int, s1 long, n int")
 
 
 def _shared_posts(docs: DataFrame, heat) -> DataFrame:
-    """Posts of the tokens that two or more classes hold, each with the smallest
-    class of its list. Lists of cold tokens are short (twice the sketch's mean)
-    and are numbered where they meet; hot ones are aggregated before they
-    move, and joined."""
+    """Posts of the tokens that two or more classes hold, each with the first
+    class of its list (by rank, then by signature). Lists of cold tokens are
+    short, about the sketch's mean at most, and are read where they meet; hot
+    ones are aggregated before they move, and joined."""
     me = F.struct("s1", "n")
     same = Window.partitionBy("token")
     cold = _posts(docs, heat, hot=False).select("token", "s1", "n", F.min(me).over(same).alias("p"), F.max(me).over(same).alias("q"))
     cold = cold.where("p <> q").dropDuplicates(["token", "s1", "n"]).select("token", "s1", "n", "p")
     hot = stored(_posts(docs, heat, hot=True), "jaccard-hot").distinct()
-    ends = stored(hot.groupBy("token").agg(F.min(me).alias("p"), F.max(me).alias("q")).where("p <> q").drop("q"), "jaccard-hot-lists")
+    first = F.min(F.struct("rank", "s1", "n"))
+    ends = hot.groupBy("token").agg(first.alias("first"), F.min(me).alias("p"), F.max(me).alias("q")).where("p <> q")
+    ends = stored(ends.select("token", F.struct("first.s1", "first.n").alias("p")), "jaccard-hot-lists")
     return stored(cold.unionByName(hot.join(ends, "token").select("token", "s1", "n", "p")), "jaccard-posts")
 
 

@@ -2,9 +2,12 @@
 
 Lines are normalised (lower case, runs of anything but letters and digits
 become one space) and those of at least ``min_words`` words take part. Equal
-normalised lines are one class. Classes get a 64-bit SimHash over their words;
-classes whose SimHashes differ in at most three bits agree on two of five
-bit blocks (pigeonhole), so they meet in one of ten block tables. A link
+normalised lines are one class. Classes get a 64-bit SimHash over their words
+of more than three letters (over all, if they have none): shorter words are
+mostly function words, which bring lines close that share nothing else, and
+the pairs of such lines grow with the square of the corpus. Classes whose
+SimHashes differ in at most three bits agree on two of five bit blocks
+(pigeonhole), so they meet in one of ten block tables. A link
 needs a distance of three bits at most and an edit similarity of at least
 ``similarity``. Of every connected group the first occurrence, by doc_id and
 line number, stays; every other occurrence is removed.
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import bloom, components, maybe_in, stored
 
 BITS = 3
+SHORT = 3  # letters of a word that carries no weight
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (first bit, bits): five, of which two must agree
 
 
@@ -57,8 +61,9 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     lines = lines.select("doc_id", "row", "line_no", normalised(F.col("line")).alias("norm"))
     parts = lines.select("doc_id", "row", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
                          F.split("norm", " ").alias("words")).where(F.size("words") >= min_words)
-    tokens = parts.select("doc_id", "row", "line_no", "h1", "h2", F.explode("words").alias("word"))
-    tokens = tokens.select("doc_id", "row", "line_no", "h1", "h2", F.xxhash64("word").alias("h"))
+    parts = parts.withColumn("bare", ~F.exists("words", lambda w: F.char_length(w) > SHORT))
+    tokens = parts.select("doc_id", "row", "line_no", "h1", "h2", "bare", F.explode("words").alias("word"))
+    tokens = tokens.where(F.col("bare") | (F.char_length("word") > SHORT)).select("doc_id", "row", "line_no", "h1", "h2", F.xxhash64("word").alias("h"))
     sums = tokens.groupBy("doc_id", "row", "line_no", "h1", "h2").agg(F.count("*").alias("n"), *_simhash_sums("h"))
     return sums.select("doc_id", "row", "line_no", "h1", "h2", _simhash().alias("sim"))
 

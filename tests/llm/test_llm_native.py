@@ -67,7 +67,7 @@ def norm(line):
 
 
 def simhash(text):
-    words = text.split(" ")
+    words = [w for w in text.split(" ") if len(w) > 3] or text.split(" ")
     sums = [0] * 64
     for w in words:
         h = xxhash.xxh64(w.encode(), seed=42).intdigest()
