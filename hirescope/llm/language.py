@@ -97,10 +97,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def bounded_sample(rows: DataFrame, label: str, per_label: int, seed: int = 11) -> DataFrame:
     """At most ``per_label`` rows of each label, by a seeded hash of doc_id:
-    thinned by the label's count first, so that the exact cut sees few rows."""
+    thinned by the label's count first, so that the exact cut sees few rows. The
+    counts (one number a label, as many as a model has classes) are read first
+    and sent to all tasks."""
     h = F.xxhash64(F.lit(seed), F.col("doc_id"))
     counts = rows.groupBy(label).agg(F.count("*").alias("__n"))
-    thin = rows.withColumn("__h", h).join(F.broadcast(counts.limit(10_000)), label)
+    counts = rows.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    thin = rows.withColumn("__h", h).join(F.broadcast(counts), label)
     share = F.pmod(F.col("__h"), F.lit(1 << 30)) / float(1 << 30)
     thin = thin.where(share < F.greatest(F.lit(2.0 * per_label), F.lit(200.0)) / F.col("__n"))
     nth = F.row_number().over(Window.partitionBy(label).orderBy("__h"))

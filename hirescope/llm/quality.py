@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, ship
+from .common import arrow_batches, ship, stored
 from .language import bounded_sample, held_out
 
 ship(__name__)
@@ -99,11 +99,18 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, piece: int
     is shifted to the labels' shares among all rows that may be learned from.
     None if a label is missing."""
     marked = labels.where("quality in (0, 1)").select("doc_id", "quality").dropDuplicates(["doc_id", "quality"])
-    rows = marked.join(docs.where(~held_out() & F.col("text").isNotNull()).select("doc_id", "text"), "doc_id")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(2)))
+    halves = marked.where(~held_out()).withColumn("part", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(2)))
+    known = docs.where(~held_out() & F.col("text").isNotNull()).select("doc_id", "text")
+
+    def texts(part: int) -> DataFrame:
+        """Texts of a sample of one half: ids are drawn among the labels, so only
+        the drawn rows' texts leave the scan (2 * per_label ids are sent)."""
+        ids = stored(bounded_sample(halves.where(F.col("part") == part).select("doc_id", "quality"), "quality", per_label), "quality-ids")
+        return known.join(F.broadcast(ids), "doc_id")
+
     raw = F.col("text").cast("binary")
     start = F.when(F.length(raw) > piece, F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.length(raw) - piece)).otherwise(0)
-    got = bounded_sample(rows.where("part = 0"), "quality", per_label).select(
+    got = texts(0).select(
         "doc_id", "quality", F.substring(raw, (start + 1).cast("int"), F.lit(piece)).alias("piece")).toPandas()
     by = {q: [bytes(p) for _, p in sorted(zip(g["doc_id"], g["piece"]))] for q, g in got.groupby("quality")}
     if len(by) < 2:
@@ -119,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, piece: int
             f = np.array([sizer.features(t) for t in pdf["text"]]).reshape(-1, 3)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "a": f[:, 0], "b": f[:, 1], "c": f[:, 2]})
 
-    points = bounded_sample(rows.where("part = 1"), "quality", per_label).select("doc_id", "quality", "text").mapInPandas(
+    points = texts(1).select("doc_id", "quality", "text").mapInPandas(
         measured, "doc_id long, quality int, a double, b double, c double").toPandas().sort_values(["quality", "doc_id", "a"])
     if points["quality"].nunique() < 2:
         return None
