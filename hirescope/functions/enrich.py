@@ -399,9 +399,8 @@ def _pattern_match(c: Column, pattern: str, present: Column) -> Column:
     return (c.contains(needle) & hit) if needle else hit
 
 
-def _skills_sql(text: str, patterns: R.SkillPatterns, present: str) -> str:
-    t, p = _q(text), _q(present)
-    low = f"lower({t})"
+def _skills_sql(lowered: str, patterns: R.SkillPatterns, present: str) -> str:
+    low, p = _q(lowered), _q(present)
     hits = []
     for skill, ps in patterns.skills:
         words = sorted({w for q in ps if (w := _simple_word(q))})
@@ -413,14 +412,15 @@ def _skills_sql(text: str, patterns: R.SkillPatterns, present: str) -> str:
             hit = f"{low} RLIKE {sql_lit(py_regex(q))}"
             conds.append(f"(contains({low}, {sql_lit(needle)}) AND {hit})" if needle else f"({hit})")
         hits.append(f"CASE WHEN {' OR '.join(conds) or 'false'} THEN {sql_lit(skill)} END")
-    return (f"CASE WHEN {t} IS NULL THEN CAST(array() AS ARRAY<STRING>) "
+    return (f"CASE WHEN {low} IS NULL THEN CAST(array() AS ARRAY<STRING>) "
             f"ELSE array_sort(filter(array({', '.join(hits)}), x -> x IS NOT NULL)) END")
 
 
 def extract_skills(text: Column | str, patterns: R.SkillPatterns = R.SKILLS,
                    present: Column | str | None = None) -> Column:
-    """Sorted skills with any pattern found in the lower-cased text;
-    null -> empty array."""
+    """Sorted skills with any pattern found in the lower-cased text; null ->
+    empty array. Columns given by name hold the text lower-cased already and
+    the words found in it (``skill_presence``)."""
     if isinstance(text, str) and isinstance(present, str):
         return F.expr(_skills_sql(text, patterns, present))
     text = F.col(text) if isinstance(text, str) else text
@@ -441,10 +441,11 @@ def extract_skills(text: Column | str, patterns: R.SkillPatterns = R.SKILLS,
 
 
 def with_skills(df: DataFrame, text: str, out: str = "skills", patterns: R.SkillPatterns = R.SKILLS) -> DataFrame:
-    """DataFrame form of E6: the token intersection in its own projection."""
-    tmp = f"__{out}_present"
-    return (df.withColumn(tmp, skill_presence(F.lower(F.col(text)), patterns))
-            .withColumn(out, extract_skills(text, patterns, tmp)).drop(tmp))
+    """DataFrame form of E6: lower-casing and the token intersection each in
+    their own projection, once a row."""
+    low, tmp = f"__{out}_low", f"__{out}_present"
+    return (df.withColumn(low, F.lower(F.col(text))).withColumn(tmp, skill_presence(F.col(low), patterns))
+            .withColumn(out, extract_skills(low, patterns, tmp)).drop(low, tmp))
 
 
 # ---------------------------------------------------------------- E7 ------
@@ -472,11 +473,12 @@ def enrich_frame(
         tn: normalize_for_match(F.col(title)),
         dn: normalize_for_match(F.col(description)),
         rt: prepare_title(F.col(title)),
+        "__low": F.lower(F.col(description)),
     })
     staged = staged.withColumns({
         "__tp": keyword_presence(F.col(tn), seniority, domain),
         "__dp": keyword_presence(F.col(dn), industry, seniority, domain),
-        "__sp": skill_presence(F.lower(F.col(description)), skills),
+        "__sp": skill_presence(F.col("__low"), skills),
     })
     staged = staged.withColumns({
         "__ind_d": score_array(dn, industry, "__dp"),
@@ -487,9 +489,9 @@ def enrich_frame(
     })
     out = staged.withColumns({
         "role_family": classify_prepared(rt, cascade),
-        "skills": extract_skills(description, skills, "__sp"),
+        "skills": extract_skills("__low", skills, "__sp"),
         "hiring_industry": category_from_scores("__ind_d", industry, multi=True),
         "seniority_level": priority_from_scores("__sen_t", "__sen_d", seniority),
         "domain_focus": weighted_from_scores("__dom_t", "__dom_d", domain),
     })
-    return out.drop(tn, dn, rt, "__tp", "__dp", "__sp", "__ind_d", "__sen_t", "__sen_d", "__dom_t", "__dom_d")
+    return out.drop(tn, dn, rt, "__low", "__tp", "__dp", "__sp", "__ind_d", "__sen_t", "__sen_d", "__dom_t", "__dom_d")
