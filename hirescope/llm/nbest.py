@@ -9,8 +9,11 @@ start are the n-best.
 
 No piece holds a space mark behind another character, and characters that
 occur in no longer piece stand alone, so a text's lattice falls apart into
-chunks: chunks are searched once each (kept in a bounded memo), and the n best
-paths of the whole text are merged from the chunks' n-best lists, exactly.
+chunks. Every chunk gets its best path and the loss of its second best (from
+the scores before and behind each piece); the ``n`` best paths of a text
+differ from the best one in the ``n - 1`` chunks of the smallest losses only,
+so just these are searched, and their n-best lists are merged, exactly. Both
+results are kept in a bounded memo.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ ship(__name__)
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-MEMO = 200_000  # chunks a worker remembers
+MEMO = 400_000  # chunks a worker remembers
 
 
 def vocabulary(path: str = MODEL) -> dict:
@@ -50,6 +53,25 @@ def vocabulary(path: str = MODEL) -> dict:
             "penalty": min(s for _, s in pieces.values()) - 10.0}
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(chunks: list[str]) -> np.ndarray:
+    """Code points of chunks of one length, a row each."""
+    return np.frombuffer("".join(chunks).encode("utf-32-le"), dtype="<u4").reshape(len(chunks), -1).astype(np.uint64)
+
+
+def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
+    """Polynomial hashes (modulo 2^64) of all beginnings, the empty one first."""
+    out = np.zeros((codes.shape[0], codes.shape[1] + 1), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = (codes + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(29)
+        for k in range(codes.shape[1]):
+            out[:, k + 1] = out[:, k] * _BASE + mixed[:, k]
+    return out
+
+
 class Segmenter:
     def __init__(self, vocab: dict, n: int):
         self.pieces, self.bytes, self.unk, self.penalty, self.n = vocab["pieces"], vocab["bytes"], vocab["unk"], vocab["penalty"], n
@@ -62,6 +84,18 @@ class Segmenter:
         inner = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         self.split = re.compile(f"[{SPACE}{body}]+|[^{SPACE}{body}]" if inner else f"{SPACE}+[{body}]*|[{body}]+|[^{SPACE}{body}]").findall
         self.memo: dict = {}
+        self.lists: dict = {}
+        # every beginning of a piece; the whole pieces with id and score
+        self.begin: dict = dict.fromkeys((p[:k] for p in self.pieces for k in range(1, len(p))), ())
+        self.begin.update(self.pieces)
+        # pieces by length, their hashes sorted, for many chunks at a time
+        self.table: dict = {}
+        for size in {len(p) for p in self.pieces}:
+            own = [p for p in self.pieces if len(p) == size]
+            hashes = _prefix_hashes(_codes(own))[:, -1]
+            order = np.argsort(hashes)
+            self.table[size] = (hashes[order], np.array([self.pieces[own[i]][0] for i in order], dtype=np.int32),
+                                np.array([self.pieces[own[i]][1] for i in order]))
 
     def _edges(self, text: str, end: int):
         """Pieces that end at ``end``: (start, ids, score). A character without a
@@ -118,39 +152,152 @@ class Segmenter:
             out.append(held.decode("utf-8", "replace"))
         return "".join(out)
 
+    def best(self, text: str):
+        """The best path's ids and score, and what the second best path loses
+        (infinite, if there is none)."""
+        size, begin = len(text), self.begin
+        before, back, edges = [-np.inf] * (size + 1), [None] * (size + 1), []
+        before[0] = 0.0
+        for start in range(size):
+            here = before[start]
+            for end in range(start + 1, size + 1):
+                p = begin.get(text[start:end])
+                if p is None:
+                    break
+                if p:
+                    edges.append((start, end, p[1]))
+                    if here + p[1] > before[end]:
+                        before[end], back[end] = here + p[1], (start, (p[0],))
+            if text[start] not in self.pieces:
+                _, ids, score = next(e for e in self._edges(text[start], 1))
+                edges.append((start, start + 1, score))
+                if here + score > before[start + 1]:
+                    before[start + 1], back[start + 1] = here + score, (start, ids)
+        behind = [-np.inf] * size + [0.0]
+        for start, end, score in reversed(edges):
+            if score + behind[end] > behind[start]:
+                behind[start] = score + behind[end]
+        path, on, at = [], set(), size
+        while at:
+            start, ids = back[at]
+            path.append(ids)
+            on.add((start, at))
+            at = start
+        second = max([before[start] + score + behind[end] for start, end, score in edges if (start, end) not in on], default=-np.inf)
+        return tuple(i for ids in reversed(path) for i in ids), before[size], before[size] - second
+
+    def learn(self, chunks) -> None:
+        """``best`` for many chunks: those of one length together, one array
+        operation for each pair of positions."""
+        groups: dict = {}
+        for c in chunks:
+            if 1 < len(c) <= 40 and all(map(self.pieces.__contains__, c)):
+                groups.setdefault(len(c), []).append(c)
+        if len(self.memo) + len(chunks) > MEMO:
+            self.memo.clear()
+        for size, group in groups.items():
+            for at in range(0, len(group), 20_000):
+                if len(group) - at >= 16:
+                    self._learn(size, group[at:at + 20_000])
+
+    def _learn(self, size: int, group: list[str]) -> None:
+        n = len(group)
+        hashes = _prefix_hashes(_codes(group))
+        power = [np.uint64(1)]
+        with np.errstate(over="ignore"):
+            for _ in range(size):
+                power.append(power[-1] * _BASE)
+        before = np.full((size + 1, n), -np.inf)
+        before[0] = 0.0
+        back, piece = np.zeros((size + 1, n), dtype=np.int16), np.zeros((size + 1, n), dtype=np.int32)
+        edges = []
+        for end in range(1, size + 1):
+            for start in range(max(0, end - self.longest), end):
+                if end - start not in self.table:
+                    continue
+                known, ids, scores = self.table[end - start]
+                with np.errstate(over="ignore"):
+                    h = hashes[:, end] - hashes[:, start] * power[end - start]
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                rows = np.flatnonzero(known[at] == h)
+                if not len(rows):
+                    continue
+                at = at[rows]
+                edges.append((start, end, rows, scores[at]))
+                total = before[start, rows] + scores[at]
+                better = total > before[end, rows]
+                before[end, rows[better]] = total[better]
+                back[end, rows[better]] = start
+                piece[end, rows[better]] = ids[at[better]]
+        behind = np.full((size + 1, n), -np.inf)
+        behind[size] = 0.0
+        for start, end, rows, scores in sorted(edges, key=lambda e: -e[0]):
+            behind[start, rows] = np.maximum(behind[start, rows], scores + behind[end, rows])
+        # walk the best paths back; on[e]: the path has a piece that ends at e
+        on, where = np.zeros((size + 1, n), dtype=bool), np.full(n, size)
+        for end in range(size, 0, -1):
+            on[end] = where == end
+            where = np.where(on[end], back[end], where)
+        second = np.full(n, -np.inf)
+        for start, end, rows, scores in edges:
+            other = rows[~(on[end, rows] & (back[end, rows] == start))]
+            keep = ~(on[end, rows] & (back[end, rows] == start))
+            second[other] = np.maximum(second[other], before[start, other] + scores[keep] + behind[end, other])
+        taken = on[1:].T
+        flat = piece[1:].T[taken].astype("<i4")
+        stops = np.cumsum(taken.sum(axis=1)).tolist()
+        raw, listed, scores, losses = flat.tobytes(), flat.tolist(), before[size].tolist(), (before[size] - second).tolist()
+        names, start = self.names, 0
+        for c, stop, score, loss in zip(group, stops, scores, losses):
+            self.memo[c] = (raw[4 * start:4 * stop], score, loss, "".join([names[i] for i in listed[start:stop]]))
+            start = stop
+
     def chunk(self, text: str):
-        """(packed ids, number of ids, score, further (loss, score, ids), decoded)."""
+        """(packed ids, score, loss of the second best path, decoded)."""
         got = self.memo.get(text)
         if got is None:
-            found = self.search(text)
-            ids = found[0][1]
-            got = (np.array(ids, dtype="<i4").tobytes(), len(ids), found[0][0],
-                   tuple((found[0][0] - s, len(i), i) for s, i in found[1:]), self.decode(ids))
+            ids, score, loss = self.best(text)
+            got = (np.array(ids, dtype="<i4").tobytes(), score, loss, self.decode(ids))
             if len(text) <= 256:
                 if len(self.memo) >= MEMO:
                     self.memo.clear()
                 self.memo[text] = got
         return got
 
-    def encode(self, text: str):
+    def others(self, text: str, packed: bytes, score: float):
+        """(loss, ids) of up to n - 1 further paths of a chunk, best first."""
+        got = self.lists.get(text)
+        if got is None:
+            own = tuple(np.frombuffer(packed, "<i4").tolist())
+            got = [(score - s, ids) for s, ids in self.search(text) if ids != own][:self.n - 1]
+            if len(text) <= 256:
+                if len(self.lists) >= MEMO:
+                    self.lists.clear()
+                self.lists[text] = got
+        return got
+
+    def chunks(self, text: str) -> list[str]:
+        return self.split((SPACE + text).replace(" ", SPACE)) if text else []
+
+    def encode(self, text: str, chunks: list[str] | None = None):
         """Best ids (packed), their number, the n best scores and numbers of
         pieces, and the decoded text."""
-        chunks = self.split((SPACE + text).replace(" ", SPACE)) if text else []
+        chunks = self.chunks(text) if chunks is None else chunks
         parts = list(map(self.memo.get, chunks))
         if None in parts:
             parts = [p or self.chunk(c) for p, c in zip(parts, chunks)]
         ids = b"".join([p[0] for p in parts])
-        score = sum([p[2] for p in parts])
+        score = sum([p[1] for p in parts])
         count = len(ids) // 4
         # the n best differ from the best in chunks with the smallest losses
-        near = heapq.nsmallest(self.n - 1, ((p[3][0][0], k) for k, p in enumerate(parts) if p[3]))
+        near = heapq.nsmallest(self.n - 1, [(p[2], k) for k, p in enumerate(parts) if p[2] < np.inf])
         merged = [(0.0, 0, ())]
         for _, k in sorted(near, key=lambda x: x[1]):
             own = parts[k]
-            options = [(0.0, 0, ())] + [(loss, n - own[1], ((k, i),)) for loss, n, i in own[3]]
+            options = [(0.0, 0, ())] + [(loss, len(i) - len(own[0]) // 4, ((k, i),)) for loss, i in self.others(chunks[k], own[0], own[1])]
             merged = sorted((a + b, m + n, x + y) for a, m, x in merged for b, n, y in options)[:self.n]
         return ids, count, [score - loss for loss, _, _ in merged], [count + more for _, more, _ in merged], merged, \
-            "".join([p[4] for p in parts])[1:].replace(SPACE, " "), parts
+            "".join([p[3] for p in parts])[1:].replace(SPACE, " "), parts
 
 
 def path_ids(parts, swaps) -> bytes:
@@ -178,11 +325,13 @@ def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids:
         if not memo:
             memo.append(Segmenter(made.value, n))
         seg, rows = memo[0], []
-        for text in col:
+        split = [[] if text is None else seg.chunks(text) for text in col]
+        seg.learn({c for chunks in split for c in chunks if c not in seg.memo})
+        for text, chunks in zip(col, split):
             if text is None:
                 rows.append((None,) * (5 + with_ids))
                 continue
-            ids, count, scores, sizes, _, back, _ = seg.encode(text)
+            ids, count, scores, sizes, _, back, _ = seg.encode(text, chunks)
             rows.append((count, zlib.crc32(ids), scores, sizes, back == text, *([np.frombuffer(ids, "<i4")] * with_ids)))
         return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in kind.split(", ")]).astype({"n_tokens": "Int64", "ids_crc32": "Int64", "round_trip": "boolean"})
 

@@ -187,6 +187,16 @@ def test_n_best_are_the_best_of_all_paths(text):
     assert len({nbest.path_ids(parts, m[2]) for m in merged}) == len(merged)
 
 
+def test_many_chunks_at_once_are_as_one_by_one():
+    rng = np.random.default_rng(5)
+    chunks = sorted({"".join(rng.choice(list("ab▁"), size=rng.integers(2, 9))) for _ in range(600)})
+    one, many = nbest.Segmenter(TOY, 4), nbest.Segmenter(TOY, 4)
+    many.learn(chunks)
+    assert len(many.memo) > 300
+    for c, got in many.memo.items():
+        assert got == one.chunk(c)
+
+
 def test_encoding_round_trip(spark):
     texts = ["Hello  world\n\tok", "", None, "日本語 é \U0001F600", "x" * 20000, " lead and trail ", "a▁b", "Hello  world\n\tok"]
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
