@@ -433,13 +433,13 @@ def q_clean_company(spark, sf_dir):
 
 def labelled_docs(spark, sf_dir) -> DataFrame:
     """documents left-joined to labels (partial cover -> real nulls), shaped
-    like staged postings: first line = title, label = role, source = company."""
+    like staged postings: text = title, label = role, source = company."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     lb = table(spark, sf_dir, "labels")
     j = d.join(lb, "doc_id", "left")
     return j.select(
         "doc_id", "lang", "quality", "toxic",
-        F.substring_index(F.col("text"), "\n", 1).alias("title_clean"),
+        F.col("text").alias("title_clean"),
         F.when(F.col("quality") == 1, F.lit("good")).when(F.col("quality") == 0, F.lit("other")).alias("role_family"),
         F.when(F.col("toxic") == 1, F.lit(None).cast("string")).otherwise(F.col("source")).alias("company_name_clean"),
     )

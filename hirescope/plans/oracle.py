@@ -230,7 +230,7 @@ LANG_S = (f"ls AS (SELECT doc_id, {score_cols('tn', TR.LANG_TAXONOMY, 't')}, "
           f"{score_cols('bn', TR.LANG_TAXONOMY, 'b')} FROM dn)")
 PAGES = ("pg AS (SELECT page_id, html, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, "
          "regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS heading FROM pages)")
-LD = ("ld AS (SELECT d.doc_id, d.lang, l.quality, l.toxic, split_part(d.text, chr(10), 1) AS title_clean, "
+LD = ("ld AS (SELECT d.doc_id, d.lang, l.quality, l.toxic, d.text AS title_clean, "
       "CASE WHEN l.quality = 1 THEN 'good' WHEN l.quality = 0 THEN 'other' END AS role_family, "
       "CASE WHEN l.toxic = 1 THEN NULL ELSE d.source END AS company_name_clean "
       "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)")
