@@ -4,6 +4,7 @@ bounded Bloom bitmaps, connected components, by-value pickling.
 
 from __future__ import annotations
 
+import functools
 import sys
 import tempfile
 import uuid
@@ -19,6 +20,11 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+@functools.cache
+def _scratch() -> str:
+    return tempfile.mkdtemp(prefix="hirescope-llm-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -26,12 +32,9 @@ def shared_dir(spark: SparkSession) -> str:
     where the setting is missing; on a cluster the setting is required.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        path = tempfile.mkdtemp(prefix="hirescope-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if not path and not spark.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (path or _scratch()).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
