@@ -21,6 +21,11 @@ others are copies of, or close to it; connected components follow; and only
 pairs that are still in different components are generated from posting lists
 that hold more than one. No link between components can be missed, and a group
 of ``g`` near copies costs about ``g`` comparisons instead of ``g * g / 2``.
+
+Members of long lists that are copies of one text, but too far from it and from
+each other to be linked, would still make a pair each. They are told by the
+shingles that no other member of any long list has: these are in no
+intersection within these lists, which bounds a set's similarity to all others.
 """
 
 from __future__ import annotations
@@ -38,6 +43,7 @@ ship(__name__)
 PERCENT = 80  # Jaccard similarity of a link, in hundredths
 SHINGLE = 5  # words
 SKETCH = 1 << 22  # counters; 16 MB in a task, 4 MB (one byte each) on the driver
+CROWD = 32  # members of a long list
 _CHUNK = 1 << 16  # counters in a row of the sketch table
 _SALTS = 16
 
@@ -229,14 +235,37 @@ _SIMILAR = f"100 * least(an, bn) >= {PERCENT} * greatest(an, bn)"
 _ENOUGH = "votes >= 1 + least(an, bn) div 20"
 
 
+def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the first documents of the classes (s1, n) in ``wanted``, and of
+    a few others: a bounded bitmap picks them out of the scan."""
+    reps = stored(wanted.join(classes, ["s1", "n"]).select(F.col("first").alias("doc_id")), "jaccard-wanted")
+    bitmap = stored(bloom(reps, "doc_id"), "jaccard-bloom")
+    bits = bitmap.agg(F.max("n_bits")).first()[0] or 1
+    return maybe_in(docs.select("doc_id", "text"), "doc_id", bitmap, bits).select("text")
+
+
+def _unshared(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(s1, n, own): how many shingles of a class no other class in ``wanted``
+    has (at most: further texts that the bitmap lets through only lower it)."""
+
+    def run(batches):
+        for pdf in batches:
+            sets = [s for s in map(shingles, pdf["text"]) if len(s)]
+            if sets:
+                sizes = list(map(len, sets))
+                yield pd.DataFrame({"token": np.concatenate(sets).view(np.int64), "s1": np.repeat([signature(s)[0] for s in sets], sizes),
+                                    "n": np.repeat(sizes, sizes)})
+
+    me = F.struct("s1", "n")
+    tokens = _texts_of(docs, classes, wanted).mapInPandas(run, "token long, s1 long, n int")
+    alone = tokens.groupBy("token").agg(F.min(me).alias("p"), F.max(me).alias("q")).where("p = q")
+    return alone.groupBy("p.s1", "p.n").agg(F.count("*").alias("own"))
+
+
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, heat) -> DataFrame:
     """(s1, n, set, second, third) of the classes in ``pairs``: whole sets and
-    the prefixes under the other orders, from the texts of their first
-    documents, which a bounded bitmap picks out of the scan."""
+    the prefixes under the other orders."""
     ends = pairs.select(F.col("as1").alias("s1"), F.col("an").alias("n")).union(pairs.select("bs1", "bn")).distinct()
-    reps = stored(ends.join(classes, ["s1", "n"]).select(F.col("first").alias("doc_id")), "jaccard-wanted")
-    bitmap = stored(bloom(reps, "doc_id"), "jaccard-bloom")
-    bits = bitmap.agg(F.max("n_bits")).first()[0] or 1
 
     def run(batches):
         for pdf in batches:
@@ -246,8 +275,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, heat) -> DataFr
                 rows.append((signature(s)[0], len(s), s.tobytes(), *(np.sort(prefix(s, heat.value, o)).tobytes() for o in (1, 2))))
             yield pd.DataFrame(rows, columns=["s1", "n", "set", "second", "third"])
 
-    found = maybe_in(docs.select("doc_id", "text"), "doc_id", bitmap, bits).select("text")
-    return stored(found.mapInPandas(run, "s1 long, n int, set binary, second binary, third binary"), "jaccard-sets")
+    return stored(_texts_of(docs, classes, ends).mapInPandas(run, "s1 long, n int, set binary, second binary, third binary"), "jaccard-sets")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -316,11 +344,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                   .select("token", "s1", "n", F.coalesce("comp", F.struct("s1", "n")).alias("comp")), "jaccard-labelled")
     mixed = held.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
     held = stored(held.join(stored(mixed, "jaccard-mixed"), "token", "left_semi"), "jaccard-apart")
-    a = held.select("token", F.col("s1").alias("as1"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-    b = held.select(F.col("token").alias("t"), F.col("s1").alias("bs1"), F.col("n").alias("bn"), F.col("comp").alias("bc"))
+    # in long lists, what a set can share with any other member at most
+    crowds = stored(held.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") > CROWD).select("token"), "jaccard-crowds")
+    crowded = held.join(crowds, "token", "left_semi")
+    own = stored(_unshared(docs, classes, crowded.select("s1", "n").distinct()), "jaccard-own")
+    crowded = crowded.join(own, ["s1", "n"], "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    held = stored(crowded.where(f"100 * most >= {PERCENT} * n").unionByName(
+        held.join(crowds, "token", "left_anti").withColumn("most", F.col("n").cast("long"))), "jaccard-candidates")
+    a = held.select("token", F.col("s1").alias("as1"), F.col("n").alias("an"), F.col("comp").alias("ac"), F.col("most").alias("am"))
+    b = held.select(F.col("token").alias("t"), F.col("s1").alias("bs1"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("most").alias("bm"))
     # ordered by size, so that the length filter is one-sided
     later = "(an < bn or (an = bn and as1 < bs1))"
-    rest = a.join(b, F.expr(f"token = t and {later} and 100 * an >= {PERCENT} * bn and ac <> bc"))
+    enough = f"100 * least(am, bm) >= {PERCENT} * (an + bn - least(am, bm))"
+    rest = a.join(b, F.expr(f"token = t and {later} and 100 * an >= {PERCENT} * bn and ac <> bc and {enough}"))
     rest = rest.groupBy("as1", "an", "bs1", "bn").agg(F.count("*").alias("votes")).where(_ENOUGH)
     rest = stored(rest.join(stars.select("as1", "an", "bs1", "bn"), ["as1", "an", "bs1", "bn"], "left_anti")
                   .join(stars.select(F.col("bs1").alias("as1"), F.col("bn").alias("an"), F.col("as1").alias("bs1"), F.col("an").alias("bn")),

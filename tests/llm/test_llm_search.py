@@ -61,6 +61,24 @@ def test_components_match_brute_force(spark):
     assert len({c for _, _, c in want}) < len(want) - 40
 
 
+def test_components_of_a_crowd(spark):
+    """One text with edits from few to many: some copies link to it, some to
+    each other, most to nothing."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    docs = []
+    for d in range(120):
+        words = list(base)
+        for _ in range(rng.randint(0, 9)):
+            words[rng.randrange(150)] = f"e{rng.randrange(10 ** 6)}"
+        if d % 10 == 0:
+            words[20:60] = [f"shared{i}" for i in range(40)]  # far from the text, near each other
+        docs.append((d, " ".join(words)))
+    got = sorted(map(tuple, jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()))
+    want = brute_components(docs)
+    assert got == want and 5 < len({c for _, _, c in want}) < 100
+
+
 def test_components_with_hot_tokens(spark, monkeypatch):
     """Every token hot: the other path of the posting lists."""
     docs = near_copies(random.Random(4), 60)
