@@ -60,10 +60,13 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     lines = _rows(docs).select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.select("doc_id", "row", "line_no", normalised(F.col("line")).alias("norm"))
     parts = lines.select("doc_id", "row", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
-                         F.split("norm", " ").alias("words")).where(F.size("words") >= min_words)
-    parts = parts.withColumn("bare", ~F.exists("words", lambda w: F.char_length(w) > SHORT))
-    tokens = parts.select("doc_id", "row", "line_no", "h1", "h2", "bare", F.explode("words").alias("word"))
-    tokens = tokens.where(F.col("bare") | (F.char_length("word") > SHORT)).select("doc_id", "row", "line_no", "h1", "h2", F.xxhash64("word").alias("h"))
+                         F.split("norm", " ").alias("words"))
+    # one condition on every word, which cannot be pushed below the explode (and
+    # an outer explode, which adds none): lines are normalised once
+    parts = parts.withColumn("from_length", F.when(F.size("words") < min_words, F.lit(1 << 30)).when(
+        F.exists("words", lambda w: F.char_length(w) > SHORT), F.lit(SHORT + 1)).otherwise(F.lit(0)))
+    tokens = parts.select("doc_id", "row", "line_no", "h1", "h2", "from_length", F.explode_outer("words").alias("word"))
+    tokens = tokens.where(F.char_length("word") >= F.col("from_length")).select("doc_id", "row", "line_no", "h1", "h2", F.xxhash64("word").alias("h"))
     sums = tokens.groupBy("doc_id", "row", "line_no", "h1", "h2").agg(F.count("*").alias("n"), *_simhash_sums("h"))
     return sums.select("doc_id", "row", "line_no", "h1", "h2", _simhash().alias("sim"))
 
