@@ -51,7 +51,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the scores of its n best segmentations."""
+    """Token ids of the n best segmentations of every document, with their scores."""
     return nbest.segmented(docs)
 
 

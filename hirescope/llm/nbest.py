@@ -139,6 +139,10 @@ class Segmenter:
     def decode(self, ids) -> str:
         """Pieces to text: bytes are joined to characters, space marks become
         spaces, and the one in front goes."""
+        try:
+            return "".join([self.names[i] for i in ids])
+        except KeyError:
+            pass  # bytes, or an unknown id
         out, held = [], bytearray()
         for i in ids:
             if i in self.values:
@@ -302,22 +306,25 @@ class Segmenter:
 
 def path_ids(parts, swaps) -> bytes:
     """Ids of a merged path: the best ids with the swapped chunks."""
-    other = dict(swaps)
-    return b"".join(np.array(other[k], dtype="<i4").tobytes() if k in other else p[0] for k, p in enumerate(parts))
+    packed = [p[0] for p in parts]
+    for k, ids in swaps:
+        packed[k] = np.array(ids, dtype="<i4").tobytes()
+    return b"".join(packed)
 
 
 def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids: bool = True, model: str = MODEL) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, scores, n_pieces, round_trip and, if
-    ``with_ids``, ids (array of int) for every row of ``docs``.
-
-    ``scores`` and ``n_pieces`` list the n best segmentations (fewer, if the
-    text has fewer), best first. ``round_trip``: decoding the best ids gives
-    the text back (a text that holds U+2581 itself comes back with spaces).
-    Null texts have null results; empty ones have no tokens and one path of
+    """doc_id, n_tokens, ids_crc32, scores, n_pieces, round_trip, n_best_crc32 and,
+    if ``with_ids``, ids (array of int) and n_best_ids (array of arrays of int)
+    for every row of ``docs``.
+
+    ``scores``, ``n_pieces``, ``n_best_ids`` and ``n_best_crc32`` list the n best
+    segmentations (fewer, if the text has fewer), best first; ``ids`` is the
+    best. ``round_trip``: decoding gives the text back from the ids of every one
+    of them (a text that holds U+2581 itself comes back with spaces). Null texts have null results; empty ones have no tokens and one path of
     score 0.
     """
     made = docs.sparkSession.sparkContext.broadcast(vocab or vocabulary(model))
-    kind = "n_tokens long, ids_crc32 long, scores array<double>, n_pieces array<int>, round_trip boolean" + ", ids array<int>" * with_ids
+    kind = "n_tokens long, ids_crc32 long, scores array<double>, n_pieces array<int>, round_trip boolean, n_best_crc32 array<long>" + ", ids array<int>, n_best_ids array<array<int>>" * with_ids
     memo: list = []
 
     @F.pandas_udf(kind)
@@ -329,10 +336,14 @@ def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids:
         seg.learn({c for chunks in split for c in chunks if c not in seg.memo})
         for text, chunks in zip(col, split):
             if text is None:
-                rows.append((None,) * (5 + with_ids))
+                rows.append((None,) * (6 + 2 * with_ids))
                 continue
-            ids, count, scores, sizes, _, back, _ = seg.encode(text, chunks)
-            rows.append((count, zlib.crc32(ids), scores, sizes, back == text, *([np.frombuffer(ids, "<i4")] * with_ids)))
+            _, count, scores, sizes, merged, _, parts = seg.encode(text, chunks)
+            packed = [path_ids(parts, swaps) for _, _, swaps in merged]
+            paths = [np.frombuffer(raw, "<i4") for raw in packed]
+            back = all(seg.decode(ids.tolist())[1:].replace(SPACE, " ") == text for ids in paths)
+            crcs = [zlib.crc32(raw) for raw in packed]
+            rows.append((count, crcs[0], scores, sizes, back, crcs, *((paths[0], paths) if with_ids else ())))
         return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in kind.split(", ")]).astype({"n_tokens": "Int64", "ids_crc32": "Int64", "round_trip": "boolean"})
 
     arrow_batches(docs.sparkSession)

@@ -212,3 +212,23 @@ def test_encoding_round_trip(spark):
             assert rows[i].round_trip and back[i] == t and len(rows[i].ids) == rows[i].n_tokens
     assert rows[1].n_tokens == 0 and rows[1].scores == [0.0]
     assert nbest.segmented(docs.where("false")).count() == 0
+
+
+def test_all_n_segmentations_come_out(spark):
+    texts = ["abab baba", "abca\nab é", "", None, "ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in nbest.segmented(docs, vocab=TOY).collect()}
+    short = {r.doc_id: r for r in nbest.segmented(docs, vocab=TOY, with_ids=False).collect()}
+    for i, t in enumerate(texts):
+        r = rows[i]
+        if t is None:
+            assert r.n_best_ids is None and r.n_best_crc32 is None and r.round_trip is None
+            continue
+        paths = every_path(("▁" + t).replace(" ", "▁") if t else "")
+        assert len(r.n_best_ids) == len(r.scores) == min(4, len(paths)) and r.n_best_ids[0] == r.ids and r.round_trip
+        assert len(set(map(tuple, r.n_best_ids))) == len(r.n_best_ids) and list(map(len, r.n_best_ids)) == r.n_pieces
+        for ids, score in zip(r.n_best_ids, r.scores):
+            assert any(tuple(ids) == p and np.isclose(s, score) for s, p in paths)
+        assert r.n_best_crc32 == short[i].n_best_crc32 == [zlib.crc32(np.array(ids, dtype="<i4").tobytes()) for ids in r.n_best_ids]
+    wrong = dict(TOY, pieces=dict(TOY["pieces"], ab=(1, -4.0)))  # two pieces of one id: decoding it cannot give both back
+    assert not all(r.round_trip for r in nbest.segmented(docs.where("doc_id = 4"), vocab=wrong).collect())
