@@ -35,19 +35,34 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    return docs.join(stored(ids.where("doc_id is not null").distinct(), name), "doc_id", "left_anti").select(COLUMNS)
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a key of its own for every row (``row_key``), written: equal
+    rows and rows without a doc_id are told apart, and the key stays the same
+    however often the rows are read."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("row_key"), *COLUMNS), name)
+
+
+def _by_key(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("row_key").alias("doc_id"), "text")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest doc_id stays."""
-    return _without(docs, jaccard.near_duplicates(docs).where("doc_id <> component_id").select("doc_id"), "stage-near")
+    """Of every group of near copies exactly one row stays: that of the smallest
+    doc_id (null counts as the largest; ties to a digest of the row)."""
+    docs = _keyed(docs, "stage-near-rows")
+    groups = jaccard.near_duplicates(_by_key(docs)).select(F.col("doc_id").alias("row_key"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text", "lang", "source", "n_chars"), "row_key")
+    first = stored(docs.select("row_key", order.alias("at")).join(groups, "row_key")
+                   .groupBy("component_id").agg(F.min_by("row_key", "at").alias("row_key")).select("row_key"), "stage-near")
+    return docs.join(first, "row_key", "left_semi").select(COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Rows that hold a window of a benchmark item go, each by its own text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.contamination(docs, benchmark).where("contaminated").select("doc_id"), "stage-leaks")
+    docs = _keyed(docs, "stage-leak-rows")
+    leaks = decontaminate.contamination(_by_key(docs), benchmark).where("contaminated").select(F.col("doc_id").alias("row_key"))
+    return docs.join(stored(leaks, "stage-leaks"), "row_key", "left_anti").select(COLUMNS)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

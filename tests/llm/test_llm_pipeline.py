@@ -95,3 +95,25 @@ def test_entry_works_without_the_subpackage(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert "FINE" in got.stdout, got.stderr[-2000:]
+
+
+def test_stages_remove_rows_not_ids(spark, tmp_path):
+    prose = [" ".join(f"w{(i * 37 + k * k) % 997}x{i}" for k in range(60)) for i in range(6)]
+    leak = "start " + " ".join(f"leak{k}" for k in range(12)) + " end"
+    near = prose[3].replace("w", "v", 1)
+    rows = [(1, prose[0]), (1, prose[0]), (1, prose[0]),  # a file ingested again
+            (None, prose[1]), (None, prose[1]), (7, prose[1]),  # copies without an id
+            (None, prose[2]), (None, prose[2]),
+            (4, prose[3]), (9, near), (9, prose[4]),  # a clean row with the id of a near copy
+            (None, None), (None, None), (12, ""), (12, ""),  # nothing to compare: no copies of each other
+            (20, leak), (20, prose[5]), (None, leak)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    sf = str(tmp_path)
+    spark.createDataFrame([(1, " ".join(f"LEAK{k}" for k in range(12)))], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+
+    def held(df):
+        return sorted([(r.doc_id, r.text) for r in df.collect()], key=str)
+
+    once = [(1, prose[0]), (7, prose[1]), (None, prose[2]), (4, prose[3]), (9, prose[4]), (None, None), (None, None), (12, ""), (12, ""), (20, leak), (20, prose[5])]
+    assert held(P.near_duplicate_stage(spark, docs, sf)) == sorted(once, key=str)
+    assert held(P.decontamination_stage(spark, docs, sf)) == sorted([r for r in rows if r[1] != leak], key=str)
