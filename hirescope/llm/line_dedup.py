@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import bloom, components, maybe_in, stored
 
 BITS = 3
+BAND = 256  # edits of the first comparison
 SHORT = 3  # letters of a word that carries no weight
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (first bit, bits): five, of which two must agree
 
@@ -82,7 +83,7 @@ def _posts(classes: DataFrame) -> DataFrame:
     return posts.where("n > 1").select("bucket", "h1", "sim", F.col("p.h1").alias("p1"), F.col("p.sim").alias("psim"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float, max_edits: int) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Links among ``pairs`` (a, b: h1 of two classes): classes whose normalised
     lines differ by few enough edits. Only the lines in question are fetched,
     from the first place of each class."""
@@ -98,12 +99,17 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity:
     a = lines.select(F.col("h1").alias("a"), F.col("id").alias("ida"), F.col("norm").alias("na"))
     b = lines.select(F.col("h1").alias("b"), F.col("id").alias("idb"), F.col("norm").alias("nb"))
     longer = "greatest(char_length(na), char_length(nb))"
-    both = pairs.join(a, "a").join(b, "b").withColumn("most", F.expr(f"cast(least({1 - similarity:.6f}D * {longer} + 1e-9D, {max_edits}) as int)"))
-    both = both.where("abs(char_length(na) - char_length(nb)) <= most").where("levenshtein(na, nb, most) >= 0")
+    both = pairs.join(a, "a").join(b, "b").withColumn("most", F.expr(f"cast({1 - similarity:.6f}D * {longer} + 1e-9D as int)"))
+    # a banded distance, in memory of the line's length: narrow bands first, and
+    # the wider ones only for what they leave open, up to the full one
+    bands = [f"levenshtein(na, nb, least(most, {BAND})) >= 0"]
+    bands += [f"most > {n} and levenshtein(na, nb, least(most, {4 * n})) >= 0" for n in (BAND, 4 * BAND, 16 * BAND, 64 * BAND)]
+    bands.append(f"most > {256 * BAND} and levenshtein(na, nb, most) >= 0")
+    both = both.where("abs(char_length(na) - char_length(nb)) <= most").where(" or ".join(bands))
     return both.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
-def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0.9, max_edits: int = 256) -> tuple[DataFrame, DataFrame]:
+def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0.9) -> tuple[DataFrame, DataFrame]:
     """The lines that take part (doc_id, row, line_no, h1, h2, sim) and, for every
     class with more than one occurrence or with links, its group's first place
     (h1, h2, first)."""
@@ -114,7 +120,7 @@ def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0
 
     apart = "bit_count(sim ^ psim)"
     stars = posts.where(f"h1 <> p1 and {apart} <= {BITS}").select(F.col("p1").alias("a"), F.col("h1").alias("b")).distinct()
-    links = stored(_verified(stored(stars, "line-stars"), classes, docs, similarity, max_edits), "line-star-links")
+    links = stored(_verified(stored(stars, "line-stars"), classes, docs, similarity), "line-star-links")
     groups = components(links, "line-groups")
 
     # members that the smallest one did not gather: against all of other groups
@@ -125,7 +131,7 @@ def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0
                             f"and bit_count(x.sim ^ y.sim) <= {BITS}")).select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b")).distinct()
     rest = stored(rest, "line-rest")
     if not rest.isEmpty():
-        links = links.union(_verified(rest, classes, docs, similarity, max_edits))
+        links = links.union(_verified(rest, classes, docs, similarity))
         groups = components(links, "line-groups")
 
     ids = groups.select(F.col("id.h1").alias("h1"), F.col("id.h2").alias("h2"), "comp")
@@ -136,19 +142,19 @@ def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0
     return lines, stored(joined.drop("first").join(firsts, "comp").drop("comp"), "line-firsts")
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = 5, similarity: float = 0.9, max_edits: int = 256) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_words: int = 5, similarity: float = 0.9) -> DataFrame:
     """All columns of ``docs`` with the repeated lines cut from ``text``, plus
     n_lines and n_dropped (long).
 
     Lines end at line feeds. Lines of fewer than ``min_words`` words always
-    stay. A line may differ from its link by a tenth of its characters and by
-    ``max_edits`` at most, which bounds the comparison of very long lines.
+    stay. A line may differ from its link by a tenth of its characters, at every
+    length.
     Null texts stay null with no lines, empty ones stay empty with one line. A
     row repeated whole counts as the same place, so both stay or lose the same
     lines. Columns named like the operator's own (row, n_lines, n_dropped) are
     replaced by them or left out.
     """
-    lines, firsts = fuzzy_line_groups(docs, min_words, similarity, max_edits)
+    lines, firsts = fuzzy_line_groups(docs, min_words, similarity)
     again = lines.join(firsts, ["h1", "h2"]).where("row <> first.row or line_no <> first.line_no")
     drops = stored(again.groupBy("row").agg(F.collect_set("line_no").alias("drops")), "line-drops")
     own = {"row", "drops", "n_lines", "n_dropped", "kept"}

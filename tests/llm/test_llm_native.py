@@ -148,6 +148,22 @@ def test_lines_edges(spark):
         (None, None, 0), (1, long, 0), (2, "tail", 1), (2, "tail", 1)]
 
 
+def test_long_lines_link_by_similarity_alone(spark):
+    """Hundreds of edits, in words that carry no weight: the SimHash stays."""
+    line = [w for i in range(1500) for w in (f"word{i * i}", "abc")]
+
+    def edited(n):
+        return " ".join(["xyz" if i % 2 and i < 2 * n else w for i, w in enumerate(line)])
+
+    most = len(edited(0)) // 30  # three edits each: a tenth
+    rows = [(1, edited(0)), (2, edited(100)), (3, edited(most)), (4, "other words stand here and stay")]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_repeated_lines(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0}
+    rows = [(1, edited(0)), (3, edited(most + 2))]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_repeated_lines(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 3: 0}
+
+
 # --------------------------------------------------------- decontamination --
 
 def brute_hits(docs, items, window=10):
