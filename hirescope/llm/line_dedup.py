@@ -1,8 +1,10 @@
 """Fuzzy line deduplication (native).
 
 Lines are normalised (lower case, runs of anything but letters and digits
-become one space) and those of at least ``min_words`` words take part. Equal
-normalised lines are one class. Classes get a 64-bit SimHash over their words
+become one space) and those of at least ``min_words`` words or ``min_letters``
+letters and digits take part, so that lines of scripts without spaces do. Equal
+normalised lines are one class. Classes of fewer words get a SimHash over their
+character 3-grams, others a 64-bit SimHash over their words
 of more than three letters (over all, if they have none): shorter words are
 mostly function words, which bring lines close that share nothing else, and
 the pairs of such lines grow with the square of the corpus. Classes whose
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import bloom, components, maybe_in, stored
 
 BITS = 3
+GRAM = 3  # characters of a feature, in lines of few words
 BAND = 256  # edits of the first comparison
 SHORT = 3  # letters of a word that carries no weight
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (first bit, bits): five, of which two must agree
@@ -55,16 +58,19 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
+def _lines(docs: DataFrame, min_words: int, min_letters: int) -> DataFrame:
     """Every line that takes part: place, two hashes of the normalised line,
     SimHash. The counters are summed before they are shuffled: one row a line."""
     lines = _rows(docs).select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.select("doc_id", "row", "line_no", normalised(F.col("line")).alias("norm"))
+    short = F.size(F.split("norm", " ")) < min_words
+    grams = F.expr(f"transform(sequence(1, greatest(char_length(norm) - {GRAM - 1}, 1)), i -> substring(norm, i, {GRAM}))")
+    out = short & (F.char_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) < min_letters)
     parts = lines.select("doc_id", "row", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
-                         F.split("norm", " ").alias("words"))
+                         short.alias("short"), out.alias("out"), F.when(out, F.array(F.lit(""))).when(short, grams).otherwise(F.split("norm", " ")).alias("words"))
     # one condition on every word, which cannot be pushed below the explode (and
     # an outer explode, which adds none): lines are normalised once
-    parts = parts.withColumn("from_length", F.when(F.size("words") < min_words, F.lit(1 << 30)).when(
+    parts = parts.withColumn("from_length", F.when(F.col("out"), F.lit(1 << 30)).when(F.col("short"), F.lit(0)).when(
         F.exists("words", lambda w: F.char_length(w) > SHORT), F.lit(SHORT + 1)).otherwise(F.lit(0)))
     tokens = parts.select("doc_id", "row", "line_no", "h1", "h2", "from_length", F.explode_outer("words").alias("word"))
     tokens = tokens.where(F.char_length("word") >= F.col("from_length")).select("doc_id", "row", "line_no", "h1", "h2", F.xxhash64("word").alias("h"))
@@ -109,11 +115,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity:
     return both.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
-def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0.9) -> tuple[DataFrame, DataFrame]:
+def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0.9, min_letters: int = 12) -> tuple[DataFrame, DataFrame]:
     """The lines that take part (doc_id, row, line_no, h1, h2, sim) and, for every
     class with more than one occurrence or with links, its group's first place
     (h1, h2, first)."""
-    lines = stored(_lines(docs, min_words), "line-places")
+    lines = stored(_lines(docs, min_words, min_letters), "line-places")
     classes = stored(lines.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.min("sim").alias("sim"), F.count("*").alias("n")), "line-classes")
     posts = stored(_posts(classes), "line-posts")
@@ -142,19 +148,19 @@ def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0
     return lines, stored(joined.drop("first").join(firsts, "comp").drop("comp"), "line-firsts")
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = 5, similarity: float = 0.9) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_words: int = 5, similarity: float = 0.9, min_letters: int = 12) -> DataFrame:
     """All columns of ``docs`` with the repeated lines cut from ``text``, plus
     n_lines and n_dropped (long).
 
-    Lines end at line feeds. Lines of fewer than ``min_words`` words always
-    stay. A line may differ from its link by a tenth of its characters, at every
+    Lines end at line feeds. Lines of fewer than ``min_words`` words and of fewer
+    than ``min_letters`` letters and digits always stay. A line may differ from its link by a tenth of its characters, at every
     length.
     Null texts stay null with no lines, empty ones stay empty with one line. A
     row repeated whole counts as the same place, so both stay or lose the same
     lines. Columns named like the operator's own (row, n_lines, n_dropped) are
     replaced by them or left out.
     """
-    lines, firsts = fuzzy_line_groups(docs, min_words, similarity)
+    lines, firsts = fuzzy_line_groups(docs, min_words, similarity, min_letters)
     again = lines.join(firsts, ["h1", "h2"]).where("row <> first.row or line_no <> first.line_no")
     drops = stored(again.groupBy("row").agg(F.collect_set("line_no").alias("drops")), "line-drops")
     own = {"row", "drops", "n_lines", "n_dropped", "kept"}

@@ -164,6 +164,16 @@ def test_long_lines_link_by_similarity_alone(spark):
     assert got == {1: 0, 3: 0}
 
 
+def test_lines_of_few_words_take_part(spark):
+    shared = ["版权所有未经书面许可不得转载本网站的任何内容", "All rights reserved", "https_example_com_a_very_long_address_without_end", "x" * 400]
+    rows = [(d, "\n".join([f"own{d}", *shared, "Home", "one two"])) for d in range(3)]
+    rows.append((3, "Y" + "x" * 399 + "\nall rights RESERVED!"))  # one edit
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.drop_repeated_lines(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert got[0] == (rows[0][1], 0)
+    assert got[1] == ("own1\nHome\none two", 4) and got[2] == ("own2\nHome\none two", 4)
+    assert got[3] == ("", 2)
+
+
 # --------------------------------------------------------- decontamination --
 
 def brute_hits(docs, items, window=10):
