@@ -236,12 +236,12 @@ _ENOUGH = "votes >= 1 + least(an, bn) div 20"
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of the first documents of the classes (s1, n) in ``wanted``, and of
-    a few others: a bounded bitmap picks them out of the scan."""
+    """Texts of the first documents of the classes (s1, n) in ``wanted``: a bounded
+    bitmap picks them, and a few others, out of the scan, an exact join the rest."""
     reps = stored(wanted.join(classes, ["s1", "n"]).select(F.col("first").alias("doc_id")), "jaccard-wanted")
     bitmap = stored(bloom(reps, "doc_id"), "jaccard-bloom")
     bits = bitmap.agg(F.max("n_bits")).first()[0] or 1
-    return maybe_in(docs.select("doc_id", "text"), "doc_id", bitmap, bits).select("text")
+    return maybe_in(docs.select("doc_id", "text"), "doc_id", bitmap, bits).join(reps, "doc_id", "left_semi").select("text")
 
 
 def _unshared(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -263,8 +263,8 @@ def _unshared(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, heat) -> DataFrame:
-    """(s1, n, set, second, third) of the classes in ``pairs``: whole sets and
-    the prefixes under the other orders."""
+    """(s1, n, set, second, third) of the classes in ``pairs``, one row each: whole
+    sets and the prefixes under the other orders."""
     ends = pairs.select(F.col("as1").alias("s1"), F.col("an").alias("n")).union(pairs.select("bs1", "bn")).distinct()
 
     def run(batches):
@@ -275,7 +275,8 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, heat) -> DataFr
                 rows.append((signature(s)[0], len(s), s.tobytes(), *(np.sort(prefix(s, heat.value, o)).tobytes() for o in (1, 2))))
             yield pd.DataFrame(rows, columns=["s1", "n", "set", "second", "third"])
 
-    return stored(_texts_of(docs, classes, ends).mapInPandas(run, "s1 long, n int, set binary, second binary, third binary"), "jaccard-sets")
+    return stored(_texts_of(docs, classes, ends).mapInPandas(run, "s1 long, n int, set binary, second binary, third binary")
+                  .dropDuplicates(["s1", "n"]), "jaccard-sets")
 
 
 def _common(a: bytes, b: bytes) -> int:

@@ -170,3 +170,15 @@ def test_normaliser_gives_each_record_a_member():
     again = io.BytesIO()
     list(warc.normalise(io.BytesIO(out.getvalue()), again))
     assert again.getvalue() == out.getvalue()
+
+
+def test_sets_hold_one_row_for_each_class(spark, monkeypatch):
+    """Copies of a text, also with its doc_id, do not multiply the pairs."""
+    a = " ".join(f"a{i}" for i in range(60))
+    b = a.replace("a59", "z")
+    docs = [(1, a)] * 5 + [(d, a) for d in range(10, 400)] + [(2, b)] * 5 + [(d, b) for d in range(1000, 1400)]
+    made, own = [], jaccard._sets
+    monkeypatch.setattr(jaccard, "_sets", lambda *x: made.append(own(*x)) or made[-1])
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == sorted((d, 56, 1) for d, _ in docs)
+    assert made and made[0].count() == 2
