@@ -13,6 +13,28 @@ crcs AS (
     FROM (SELECT DISTINCT hex(encode(coalesce(text, ''))) AS h FROM documents), crc_table)
 """
 
+# Components of documents whose sets of {size}-word shingles are alike.
+_COMPONENTS = r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, list_slice(words, i, i + least({size}, len(words)) - 1) AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - least({size}, len(words)) + 2)) AS i FROM doc WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * both_ >= 80 * (p.n + q.n - both_)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS root FROM documents
+          UNION SELECT e.y, r.root FROM reach r JOIN both_ways e ON e.x = r.x WHERE r.root < e.y)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(root) AS root FROM reach GROUP BY x) USING (doc_id)
+"""
+
 SQL = {
     "op1_sharding": f"""
 WITH {_CRC},
@@ -83,24 +105,6 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """,
-    "op10_jaccard": r"""
-WITH RECURSIVE doc AS (
-    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                      '[^\x20\x09-\x0D]+') AS words
-    FROM documents),
-grams AS (
-    SELECT DISTINCT doc_id, list_slice(words, i, i + least(5, len(words)) - 1) AS gram
-    FROM (SELECT doc_id, words, unnest(range(1, len(words) - least(5, len(words)) + 2)) AS i FROM doc WHERE len(words) > 0)),
-sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
-shared AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (
-    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-    WHERE 100 * both_ >= 80 * (p.n + q.n - both_)),
-both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
-reach AS (SELECT doc_id AS x, doc_id AS root FROM documents
-          UNION SELECT e.y, r.root FROM reach r JOIN both_ways e ON e.x = r.x WHERE r.root < e.y)
-SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id
-FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(root) AS root FROM reach GROUP BY x) USING (doc_id)
-""",
+    "op10_jaccard": _COMPONENTS.replace("{size}", "5"),
+    "op12_circulant": "SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM (" + _COMPONENTS.replace("{size}", "4") + ")",
 }
