@@ -3,7 +3,7 @@
 Written as plain SQL against the driver's views: CASE chains for cascades and
 argmax, ``row_number`` for keep-first and per-group top-k, ``unnest`` for
 explode, RE2 regexes. Only rule *data* is shared with the Spark side (word
-lists and the Unicode fold table, both produced from the rule tables and
+lists from the rule tables; the Unicode fold table is built here from
 ``unicodedata``); the logic is restated here in SQL.
 
 DuckDB's ``\\b`` is ASCII-only while Java's (and Python's) is Unicode, so
@@ -13,10 +13,12 @@ on folded (ASCII) text plain ``\\b`` is used.
 
 from __future__ import annotations
 
+import functools
 import re
+import unicodedata
 
 from ..functions import rules as R
-from ..functions.text import SECTION_HEADERS, _fold_tables, normalize_keyword
+from ..functions.text import SECTION_HEADERS, normalize_keyword
 from . import driver_rules as TR
 
 WS = "[\\t\\n\\x0B\\f\\r\\x1C-\\x20\\x{85}\\xA0\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
@@ -49,9 +51,19 @@ def decode(x: str) -> str:
     return one
 
 
+@functools.cache
+def ascii_folds() -> dict[str, str]:
+    """Every non-ASCII character that NFKD turns into some ASCII characters."""
+    chars = (chr(cp) for cp in range(0x80, 0x110000) if not 0xD800 <= cp < 0xE000)
+    folds = ((ch, "".join(c for c in unicodedata.normalize("NFKD", ch) if c < "\x80")) for ch in chars)
+    return {ch: to for ch, to in folds if to}
+
+
 def fold(x: str) -> str:
-    """T5: lower, NFKD to ASCII via the fold table, collapse, trim."""
-    src, dst, multi = _fold_tables()
+    """T5: lower, NFKD to ASCII via ``ascii_folds``, collapse, trim."""
+    one = {ch: to for ch, to in ascii_folds().items() if len(to) == 1}
+    multi = {ch: to for ch, to in ascii_folds().items() if len(to) > 1}
+    src, dst = "".join(one), "".join(one.values())
     low = f"lower(coalesce({x}, ''))"
     multi_cls = "[" + "".join(multi) + "]"
     mapping = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in multi.items()) + "}"

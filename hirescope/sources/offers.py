@@ -46,7 +46,9 @@ STAGE_COLUMNS = [
 
 
 def _dt_filter(df: DataFrame, dt) -> DataFrame:
-    return df if dt is None else df.where(F.col("dt") == F.lit(dt).cast("date"))
+    """One day: a filter on the partition column (folder names are dates, which
+    Spark reads as DATE)."""
+    return df if dt is None else df.where(F.col("dt").cast("date") == F.lit(dt).cast("date"))
 
 
 # ------------------------------------------------------------------ S1 ----
@@ -60,14 +62,15 @@ def read_raw_offers(spark: SparkSession, path: str, dt=None) -> DataFrame:
     can only be chosen where the path is the root of the day folders.
     """
     df = spark.read.schema(RAW_SCHEMA).option("mode", "FAILFAST").json(path)
-    df = df.select("*", F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("row")).alias("_line"))
     if "dt" in df.columns:
-        return _dt_filter(df.withColumn("dt", F.col("dt").cast("date")), dt)
-    if dt is not None:
+        # below the row numbers, which no filter passes: only the chosen day's
+        # folder is listed, opened and parsed
+        df = _dt_filter(df, dt).withColumn("dt", F.col("dt").cast("date"))
+    elif dt is not None:
         raise ValueError(f"{path} has no dt=... folders to choose {dt} from")
-    return df
+    return df.select("*", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row")).alias("_line"))
 
 
 # ------------------------------------------------------------------ S2 ----
