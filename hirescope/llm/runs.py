@@ -33,7 +33,7 @@ MIN_WORDS = 6  # of a run
 MIN_PERIODS = 4  # of a run, as a multiple of its smallest period
 _PRIME = (1 << 61) - 1
 _BASE = 0x1B873593CC9E2D51 % _PRIME
-_POWERS = [pow(_BASE, 2 << k, _PRIME) for k in range(48)]
+_POWERS = [pow(_BASE, 2 << k, _PRIME) for k in range(40)]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -42,45 +42,56 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class SquareCatcher:
-    """Runs of a sequence that is appended item by item (``append``, ``close``):
-    ``runs`` holds (start, length, period) of those that have ended."""
+    """Runs of a sequence of whole numbers that is appended item by item
+    (``extend``, ``close``): ``runs`` holds (start, length, period) of those that
+    have ended."""
 
     def __init__(self) -> None:
-        self.items: list = []  # appended so far
+        self.items: list[int] = []  # appended so far
         self.prefix = [0]  # hashes of all beginnings
-        self.levels: list[dict] = []  # hash of a block -> its latest start
+        self.pairs: dict[int, int] = {}  # blocks of two words -> latest start
+        self.levels: list[dict] = [{} for _ in _POWERS[1:]]  # hash of a longer block -> latest start
         self.open: dict[int, int] = {}  # period -> start of the stretch that still has it
         self.runs: list[tuple[int, int, int]] = []
 
-    def append(self, item: int) -> None:
-        items, prefix, levels = self.items, self.prefix, self.levels
-        here = len(items)
-        items.append(item)
-        prefix.append((prefix[-1] * _BASE + item + 1) % _PRIME)
-        if self.open:  # one comparison for each period that still holds
-            for period in [p for p in self.open if items[here - p] != item]:
-                self._end(period, here)
-        n = here + 1
-        if n > 1 and not n & here:  # twice the words: one more level
-            levels.append({})
-        looking = True
-        for k, level in enumerate(levels):
-            step, size = 1 << k, 2 << k
-            completed = not n & (step - 1)  # a catcher's block ends here
-            if not (completed or looking):
-                break
-            start = n - size
-            block = (prefix[n] - prefix[start] * _POWERS[k]) % _PRIME
-            if looking:
-                caught = level.get(block)
-                if caught is None:
-                    looking = False  # nor do longer blocks that end here recur
-                else:
-                    period = start - caught
-                    if step <= period < size and period not in self.open and items[caught:caught + size] == items[start:n]:
-                        self._begin(period, caught)
-            if completed:
-                level[block] = start
+    def extend(self, new) -> None:
+        items, prefix, pairs, levels, opened = self.items, self.prefix, self.pairs, self.levels, self.open
+        n, rolled, last = len(items), prefix[-1], items[-1] if items else 0
+        for item in new:
+            if opened:  # one comparison for each period that still holds
+                for period in [p for p in opened if items[n - p] != item]:
+                    self._end(period, n)
+            items.append(item)
+            rolled = (rolled * _BASE + item + 1) % _PRIME
+            prefix.append(rolled)
+            n += 1
+            pair, last = last << 32 | item, item
+            if n == 1:
+                continue
+            caught = pairs.get(pair)
+            pairs[pair] = n - 2
+            looking = caught is not None
+            if caught == n - 3 and 1 not in opened:
+                self._begin(1, caught)
+            if not looking and n & 1:
+                continue
+            for k, level in enumerate(levels, 1):
+                step, size = 1 << k, 2 << k
+                start = n - size
+                completed = not n & (step - 1)  # a catcher's block ends here
+                if start < 0 or not (completed or looking):
+                    break
+                block = (rolled - prefix[start] * _POWERS[k]) % _PRIME
+                if looking:
+                    caught = level.get(block)
+                    if caught is None:
+                        looking = False  # nor do longer blocks that end here recur
+                    else:
+                        period = start - caught
+                        if step <= period < size and period not in opened and items[caught:caught + size] == items[start:n]:
+                            self._begin(period, caught)
+                if completed:
+                    level[block] = start
 
     def _begin(self, period: int, start: int) -> None:
         items = self.items
@@ -122,8 +133,7 @@ def runs_of(words: list) -> list[tuple[int, int, int]]:
     """(start, length, period) of every run of ``words``."""
     names: dict = {}
     catcher = SquareCatcher()
-    for word in words:
-        catcher.append(names.setdefault(word, len(names)))
+    catcher.extend([names.setdefault(word, len(names)) for word in words])
     return catcher.close()
 
 
