@@ -41,14 +41,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Tables that ``stored`` has written and ``release`` has not removed yet.
+_tables: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
     durably, so that a lost executor never replays what came before."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    _tables.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the tables stored so far, for a caller who has written what was
+    made from them (a pipeline between two stages)."""
+    while _tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_tables.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def texts(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only: further columns, also clashing ones, are none
     of an operator's business."""

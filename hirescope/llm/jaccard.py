@@ -23,9 +23,12 @@ that hold more than one. No link between components can be missed, and a group
 of ``g`` near copies costs about ``g`` comparisons instead of ``g * g / 2``.
 
 Members of long lists that are copies of one text, but too far from it and from
-each other to be linked, would still make a pair each. They are told by the
-shingles that no other member of any long list has: these are in no
-intersection within these lists, which bounds a set's similarity to all others.
+each other to be linked, would still make a pair each. They are told by their
+rare shingles, which at most ``CROWD`` members of long lists have. Two members
+that share none of these have at most their other shingles in common, which
+rules most pairs out by two numbers; members that do share some meet in the
+rare shingles' own lists, which are short, and are bounded there by how many
+they share. So pairs grow with a group, not with its square.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, bloom, components, maybe_in, ship, stored
+from .common import arrow_batches, components, semi_by_bloom, ship, stored
 
 ship(__name__)
 
@@ -45,7 +48,7 @@ SHINGLE = 5  # words
 SKETCH = 1 << 22  # counters; 16 MB in a task, 4 MB (one byte each) on the driver
 CROWD = 32  # members of a long list
 _CHUNK = 1 << 16  # counters in a row of the sketch table
-_SALTS = 16
+_PIECES = 64  # rows of the sketch table that are summed at a time (16 MB)
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -126,47 +129,60 @@ def prefix(s: np.ndarray, heat: np.ndarray, order: int) -> np.ndarray:
 
 # ------------------------------------------------------------ Spark passes --
 
+def _digested(docs: DataFrame) -> DataFrame:
+    """Two 64-bit digests of the text beside it: rows of equal digests have
+    equal texts, whatever their doc_id is."""
+    return docs.withColumns({"d1": F.xxhash64("text"), "d2": F.xxhash64(F.lit(1), "text")})
+
+
 def _signed(docs: DataFrame) -> DataFrame:
-    """One row a document (doc_id, n, s1, s2), and the sketch of the tokens of
-    all distinct sets of each task, in rows of ``_CHUNK`` counters."""
+    """One row a document (doc_id, text digests d1 and d2, n, s1, s2), and the
+    sketch of the tokens of all distinct sets of each task, in rows of ``_CHUNK``
+    counters."""
 
     def run(batches):
         counts, seen = np.zeros(SKETCH, dtype=np.int32), set()
         for pdf in batches:
             rows, fresh = [], []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc, text, d1, d2 in zip(pdf["doc_id"], pdf["text"], pdf["d1"], pdf["d2"]):
                 s = shingles(text)
                 s1, s2 = signature(s)
-                rows.append((doc, len(s), s1, s2))
+                rows.append((doc, d1, d2, len(s), s1, s2))
                 if (s1, s2) not in seen:
                     seen.add((s1, s2))
                     fresh.append(s)
             if fresh:
                 np.add.at(counts, (np.concatenate(fresh) & _U(SKETCH - 1)).astype(np.int64), 1)
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "s1", "s2"]).astype({"doc_id": "Int64"}).assign(chunk=-1, counts=None)
+            yield pd.DataFrame(rows, columns=["doc_id", "d1", "d2", "n", "s1", "s2"]).astype({"doc_id": "Int64"}).assign(chunk=-1, counts=None)
         for c in range(SKETCH // _CHUNK):
             part = counts[c * _CHUNK:(c + 1) * _CHUNK]
             if part.any():
-                yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "n": 0, "s1": 0, "s2": 0, "chunk": c, "counts": [part.tobytes()]})
+                yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "d1": 0, "d2": 0, "n": 0, "s1": 0, "s2": 0,
+                                    "chunk": c, "counts": [part.tobytes()]})
 
-    return stored(docs.mapInPandas(run, "doc_id long, n int, s1 long, s2 long, chunk int, counts binary"), "jaccard-signed")
+    kind = "doc_id long, d1 long, d2 long, n int, s1 long, s2 long, chunk int, counts binary"
+    return stored(_digested(docs).mapInPandas(run, kind), "jaccard-signed")
 
 
 def _heat(signed: DataFrame) -> np.ndarray:
     """Heat of each counter: 0 up to two standard deviations (and two) above the
     mean, then in half-octaves of the excess. Task sketches are summed chunk by
-    chunk, first within salts; what reaches the driver is one byte a counter."""
+    chunk, some ``_PIECES`` at a time until one is left, so a group is bounded
+    however many tasks there were; one byte a counter reaches the driver."""
 
     def total(key, pdf):
         out = np.zeros(_CHUNK, dtype=np.int64)
         for raw in pdf["counts"]:
             out += np.frombuffer(raw, dtype=np.int32 if len(raw) == 4 * _CHUNK else np.int64)
-        return pd.DataFrame({"chunk": [key[0]], "salt": [0], "counts": [out.tobytes()]})
-
-    rows = signed.where("chunk >= 0").select("chunk", F.pmod(F.xxhash64("counts"), F.lit(_SALTS)).cast("int").alias("salt"), "counts")
-    kind = "chunk int, salt int, counts binary"
-    sums = rows.groupBy("chunk", "salt").applyInPandas(total, kind).groupBy("chunk", "salt").applyInPandas(total, kind)
-    sums = stored(sums, "jaccard-sketch")
+        return pd.DataFrame({"chunk": [key[0]], "counts": [out.tobytes()]})
+
+    sums = signed.where("chunk >= 0").select("chunk", "counts")
+    most = sums.groupBy("chunk").count().agg(F.max("count")).first()[0] or 0
+    while most:
+        salts = most // _PIECES  # 0: all that is left of a chunk is one group
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2 * salts + 1)).cast("int").alias("part")
+        sums = stored(sums.select("chunk", part, "counts").groupBy("chunk", "part").applyInPandas(total, "chunk int, counts binary"), "jaccard-sketch")
+        most = 2 * salts + 1 if salts else 0
     n = signed.where("chunk < 0").agg(F.sum("n")).first()[0] or 0
     mean = n / SKETCH
 
@@ -236,17 +252,15 @@ _ENOUGH = "votes >= 1 + least(an, bn) div 20"
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of the first documents of the classes (s1, n) in ``wanted``: a bounded
-    bitmap picks them, and a few others, out of the scan, an exact join the rest."""
-    reps = stored(wanted.join(classes, ["s1", "n"]).select(F.col("first").alias("doc_id")), "jaccard-wanted")
-    bitmap = stored(bloom(reps, "doc_id"), "jaccard-bloom")
-    bits = bitmap.agg(F.max("n_bits")).first()[0] or 1
-    return maybe_in(docs.select("doc_id", "text"), "doc_id", bitmap, bits).join(reps, "doc_id", "left_semi").select("text")
+    """One text of each class (s1, n) in ``wanted``, by the digests of its text: a
+    bounded bitmap thins the scan before the exact join."""
+    reps = stored(wanted.join(classes, ["s1", "n"]).select("rep.d1", "rep.d2").distinct(), "jaccard-wanted")
+    found = semi_by_bloom(_digested(docs.select("text")), "d1", reps.select("d1"), "jaccard-bloom")
+    return found.join(reps, ["d1", "d2"], "left_semi").select("text")
 
 
-def _unshared(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(s1, n, own): how many shingles of a class no other class in ``wanted``
-    has (at most: further texts that the bitmap lets through only lower it)."""
+def _tokens_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(token, s1, n): all shingles of the classes in ``wanted``."""
 
     def run(batches):
         for pdf in batches:
@@ -256,10 +270,7 @@ def _unshared(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
                 yield pd.DataFrame({"token": np.concatenate(sets).view(np.int64), "s1": np.repeat([signature(s)[0] for s in sets], sizes),
                                     "n": np.repeat(sizes, sizes)})
 
-    me = F.struct("s1", "n")
-    tokens = _texts_of(docs, classes, wanted).mapInPandas(run, "token long, s1 long, n int")
-    alone = tokens.groupBy("token").agg(F.min(me).alias("p"), F.max(me).alias("q")).where("p = q")
-    return alone.groupBy("p.s1", "p.n").agg(F.count("*").alias("own"))
+    return _texts_of(docs, classes, wanted).mapInPandas(run, "token long, s1 long, n int").distinct()
 
 
 def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, heat) -> DataFrame:
@@ -315,6 +326,30 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, heat) -> DataF
         F.struct(F.col("bs1").alias("s1"), F.col("bn").alias("n")).alias("b")).distinct(), "jaccard-links")
 
 
+def _rare_posts(docs: DataFrame, classes: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(token, s1, n, members) of the shingles that at most ``CROWD`` of the
+    classes in ``crowded`` have."""
+    tokens = stored(_tokens_of(docs, classes, crowded.select("s1", "n").distinct()), "jaccard-crowd")
+    members = tokens.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") <= CROWD)
+    return stored(tokens.join(members, "token"), "jaccard-rare")
+
+
+def _apart(held: DataFrame, shared: int) -> DataFrame:
+    """(as1, an, bs1, bn, votes): pairs of different components that meet in a
+    list of ``held`` (token, s1, n, comp, most) and may have enough in common:
+    what is not rare in either (``most``) and, where the lists are those of
+    rare shingles (``shared`` = 1), those that they meet in."""
+    a = held.select("token", F.col("s1").alias("as1"), F.col("n").alias("an"), F.col("comp").alias("ac"), F.col("most").alias("am"))
+    b = held.select(F.col("token").alias("t"), F.col("s1").alias("bs1"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("most").alias("bm"))
+    # ordered by size, so that the length filter is one-sided
+    meet = f"token = t and (an < bn or (an = bn and as1 < bs1)) and 100 * an >= {PERCENT} * bn and ac <> bc"
+    enough = f"100 * (least(am, bm) + {{v}}) >= {PERCENT} * (an + bn - least(am, bm) - {{v}})"
+    if not shared:
+        meet += " and " + enough.format(v=0)
+    pairs = a.join(b, F.expr(meet)).groupBy("as1", "an", "bs1", "bn").agg(F.count("*").alias("votes"), F.first("am").alias("am"), F.first("bm").alias("bm"))
+    return pairs.where(enough.format(v="votes") if shared else "true").drop("am", "bm")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -327,8 +362,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     arrow_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = _signed(docs)
-    rows = signed.where("chunk < 0").select("doc_id", "n", "s1", "s2")
-    classes = stored(rows.where("n > 0").groupBy("s1", "n", "s2").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "jaccard-classes")
+    rows = signed.where("chunk < 0").select("doc_id", "n", "s1", "s2", F.struct("d1", "d2").alias("rep"))
+    classes = stored(rows.where("n > 0").groupBy("s1", "n", "s2").agg(
+        F.min("doc_id").alias("first"), F.min("rep").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
     heat = spark.sparkContext.broadcast(_heat(signed))
     posts = _shared_posts(docs, heat)
 
@@ -345,20 +381,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                   .select("token", "s1", "n", F.coalesce("comp", F.struct("s1", "n")).alias("comp")), "jaccard-labelled")
     mixed = held.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
     held = stored(held.join(stored(mixed, "jaccard-mixed"), "token", "left_semi"), "jaccard-apart")
-    # in long lists, what a set can share with any other member at most
     crowds = stored(held.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") > CROWD).select("token"), "jaccard-crowds")
     crowded = held.join(crowds, "token", "left_semi")
-    own = stored(_unshared(docs, classes, crowded.select("s1", "n").distinct()), "jaccard-own")
-    crowded = crowded.join(own, ["s1", "n"], "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
-    held = stored(crowded.where(f"100 * most >= {PERCENT} * n").unionByName(
+    rare = _rare_posts(docs, classes, crowded)
+    own = stored(rare.groupBy("s1", "n").agg(F.count("*").alias("own")), "jaccard-own")
+
+    def bounded(df: DataFrame) -> DataFrame:  # with ``most``: shingles that are not rare
+        return df.join(own, ["s1", "n"], "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+
+    held = stored(bounded(crowded).where(f"100 * most >= {PERCENT} * n").unionByName(
         held.join(crowds, "token", "left_anti").withColumn("most", F.col("n").cast("long"))), "jaccard-candidates")
-    a = held.select("token", F.col("s1").alias("as1"), F.col("n").alias("an"), F.col("comp").alias("ac"), F.col("most").alias("am"))
-    b = held.select(F.col("token").alias("t"), F.col("s1").alias("bs1"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("most").alias("bm"))
-    # ordered by size, so that the length filter is one-sided
-    later = "(an < bn or (an = bn and as1 < bs1))"
-    enough = f"100 * least(am, bm) >= {PERCENT} * (an + bn - least(am, bm))"
-    rest = a.join(b, F.expr(f"token = t and {later} and 100 * an >= {PERCENT} * bn and ac <> bc and {enough}"))
-    rest = rest.groupBy("as1", "an", "bs1", "bn").agg(F.count("*").alias("votes")).where(_ENOUGH)
+    label = crowded.select("s1", "n", "comp").distinct()
+    rare = stored(bounded(rare.where("members > 1").join(label, ["s1", "n"])).drop("members"), "jaccard-rare-lists")
+    rest = _apart(held, 0).where(_ENOUGH).unionByName(_apart(rare, 1))
+    rest = rest.select("as1", "an", "bs1", "bn").distinct()
     rest = stored(rest.join(stars.select("as1", "an", "bs1", "bn"), ["as1", "an", "bs1", "bn"], "left_anti")
                   .join(stars.select(F.col("bs1").alias("as1"), F.col("bn").alias("an"), F.col("as1").alias("bs1"), F.col("an").alias("bn")),
                         ["as1", "an", "bs1", "bn"], "left_anti"), "jaccard-rest")

@@ -14,7 +14,6 @@ Arrow batches with numpy.
 
 from __future__ import annotations
 
-import re
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +27,6 @@ ship(__name__)
 
 DIMS = 4096
 _PIECE = 1 << 20  # bytes of a text that are hashed at a time
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII is folded: letters to lower case, all else to a space.
 _FOLD = bytes(c | 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -142,7 +140,7 @@ def identify(docs: DataFrame, model: dict, margin: float = 0.2, text: str = "tex
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def predicted(col: pd.Series) -> pd.DataFrame:
-        known = np.array([bool(langs) and t is not None and _LETTER.search(t) is not None for t in col], dtype=bool)
+        known = np.array([bool(langs) and t is not None and any(map(str.isalpha, t)) for t in col], dtype=bool)
         out = pd.DataFrame({"lang_pred": np.full(len(col), "und", dtype=object), "score": 0.0, "ambiguous": ~known})
         rows = np.flatnonzero(known)
         for at in range(0, len(rows), 512):

@@ -24,7 +24,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, ship
@@ -72,6 +72,29 @@ def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+class Spelling:
+    """The bytes of every id (space marks as spaces), in one table."""
+
+    def __init__(self, vocab: dict):
+        spelled = {i: p.replace(SPACE, " ").encode() for p, (i, _) in vocab["pieces"].items()}
+        spelled.update({i: bytes([b]) for b, i in vocab["bytes"].items()})
+        spelled.setdefault(vocab["unk"], "\ufffd".encode())
+        sizes = np.zeros(max(spelled) + 1, dtype=np.int64)
+        for i, raw in spelled.items():
+            sizes[i] = len(raw)
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+        self.table = np.frombuffer(b"".join(spelled[i] for i in sorted(spelled)), dtype=np.uint8)
+
+    def bytes_of(self, paths: list[bytes]) -> list[bytes]:
+        """What each path (packed ids) decodes to, all of them by one gather."""
+        ids = np.frombuffer(b"".join(paths), dtype="<i4")
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        raw = self.table[np.arange(int(sizes.sum())) + np.repeat(self.starts[ids] - (ends - sizes), sizes)].tobytes()
+        stops = np.concatenate([[0], ends])[np.cumsum([0] + [len(p) // 4 for p in paths])].tolist()
+        return [raw[a:b] for a, b in zip(stops, stops[1:])]
+
+
 class Segmenter:
     def __init__(self, vocab: dict, n: int):
         self.pieces, self.bytes, self.unk, self.penalty, self.n = vocab["pieces"], vocab["bytes"], vocab["unk"], vocab["penalty"], n
@@ -283,9 +306,10 @@ class Segmenter:
     def chunks(self, text: str) -> list[str]:
         return self.split((SPACE + text).replace(" ", SPACE)) if text else []
 
-    def encode(self, text: str, chunks: list[str] | None = None):
+    def encode(self, text: str, chunks: list[str] | None = None, decoded: bool = True):
         """Best ids (packed), their number, the n best scores and numbers of
-        pieces, and the decoded text."""
+        pieces, the swapped chunks of each, the decoded text (if wanted), and the
+        chunks' best paths."""
         chunks = self.chunks(text) if chunks is None else chunks
         parts = list(map(self.memo.get, chunks))
         if None in parts:
@@ -301,55 +325,113 @@ class Segmenter:
             options = [(0.0, 0, ())] + [(loss, len(i) - len(own[0]) // 4, ((k, i),)) for loss, i in self.others(chunks[k], own[0], own[1])]
             merged = sorted((a + b, m + n, x + y) for a, m, x in merged for b, n, y in options)[:self.n]
         return ids, count, [score - loss for loss, _, _ in merged], [count + more for _, more, _ in merged], merged, \
-            "".join([p[3] for p in parts])[1:].replace(SPACE, " "), parts
+            "".join([p[3] for p in parts])[1:].replace(SPACE, " ") if decoded else None, parts
+
+
+def patches_of(parts, swaps) -> list[tuple[int, int, tuple[int, ...]]]:
+    """A merged path against the best one: (start, length, new ids) for every
+    swapped chunk, in order; start and length count ids of the best path."""
+    out, at, start = [], 0, 0
+    for k, ids in sorted(swaps):
+        start += sum([len(p[0]) for p in parts[at:k]]) // 4
+        at = k
+        out.append((start, len(parts[k][0]) // 4, ids))
+    return out
+
+
+def patched(best: bytes, patches) -> bytes:
+    """Ids (packed) of the path that the patches make of the best one."""
+    out, at = [], 0
+    for start, length, ids in patches:
+        out += [best[4 * at:4 * start], np.array(ids, dtype="<i4").tobytes()]
+        at = start + length
+    return b"".join([*out, best[4 * at:]])
 
 
 def path_ids(parts, swaps) -> bytes:
-    """Ids of a merged path: the best ids with the swapped chunks."""
-    packed = [p[0] for p in parts]
-    for k, ids in swaps:
-        packed[k] = np.array(ids, dtype="<i4").tobytes()
-    return b"".join(packed)
+    """Ids (packed) of a merged path."""
+    return patched(b"".join([p[0] for p in parts]), patches_of(parts, swaps))
 
 
-def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids: bool = True, model: str = MODEL) -> DataFrame:
+_PATCH = "array<struct<start:int,length:int,ids:array<int>>>"
+_RESULT = "n_tokens long, ids_crc32 long, scores array<double>, n_pieces array<int>, round_trip boolean, n_best_crc32 array<long>"
+_BATCH = 1 << 22  # characters whose paths are decoded together
+
+
+def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids: bool = True, model: str = MODEL,
+              as_patches: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, scores, n_pieces, round_trip, n_best_crc32 and,
     if ``with_ids``, ids (array of int) and n_best_ids (array of arrays of int)
     for every row of ``docs``.
 
     ``scores``, ``n_pieces``, ``n_best_ids`` and ``n_best_crc32`` list the n best
     segmentations (fewer, if the text has fewer), best first; ``ids`` is the
-    best. ``round_trip``: decoding gives the text back from the ids of every one
-    of them (a text that holds U+2581 itself comes back with spaces). Null texts have null results; empty ones have no tokens and one path of
-    score 0.
+    best. ``as_patches`` gives n_best_patches instead of n_best_ids: what each
+    segmentation changes in ``ids`` (start, length, new ids; nothing for the
+    best), from which ``rebuilt`` makes n_best_ids again. ``round_trip``: the
+    ids of every one of them decode to the text (a text that holds U+2581 itself
+    comes back with spaces). Null texts have null results; empty ones have no
+    tokens and one path of score 0.
     """
     made = docs.sparkSession.sparkContext.broadcast(vocab or vocabulary(model))
-    kind = "n_tokens long, ids_crc32 long, scores array<double>, n_pieces array<int>, round_trip boolean, n_best_crc32 array<long>" + ", ids array<int>, n_best_ids array<array<int>>" * with_ids
+    others = f"n_best_patches array<{_PATCH}>" if as_patches else "n_best_ids array<array<int>>"
+    kind = _RESULT + f", ids array<int>, {others}" * with_ids
+    names = re.findall(r"(\w+) (?=long|array|boolean)", kind)
     memo: list = []
 
     @F.pandas_udf(kind)
     def encoded(col: pd.Series) -> pd.DataFrame:
         if not memo:
-            memo.append(Segmenter(made.value, n))
-        seg, rows = memo[0], []
+            memo.extend([Segmenter(made.value, n), Spelling(made.value)])
+        (seg, spelling), rows = memo, []
         split = [[] if text is None else seg.chunks(text) for text in col]
         seg.learn({c for chunks in split for c in chunks if c not in seg.memo})
+        waiting, size = [], 0
+
+        def decode() -> None:  # all paths of the texts that wait
+            nonlocal waiting, size
+            back = iter(spelling.bytes_of([p for _, paths, _ in waiting for p in paths]))
+            for row, paths, raw in waiting:
+                row[4] = all([next(back) == raw for _ in paths])
+            waiting, size = [], 0
+
         for text, chunks in zip(col, split):
             if text is None:
-                rows.append((None,) * (6 + 2 * with_ids))
+                rows.append([None] * (6 + 2 * with_ids))
                 continue
-            _, count, scores, sizes, merged, _, parts = seg.encode(text, chunks)
-            packed = [path_ids(parts, swaps) for _, _, swaps in merged]
-            paths = [np.frombuffer(raw, "<i4") for raw in packed]
-            back = all(seg.decode(ids.tolist())[1:].replace(SPACE, " ") == text for ids in paths)
-            crcs = [zlib.crc32(raw) for raw in packed]
-            rows.append((count, crcs[0], scores, sizes, back, crcs, *((paths[0], paths) if with_ids else ())))
-        return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in kind.split(", ")]).astype({"n_tokens": "Int64", "ids_crc32": "Int64", "round_trip": "boolean"})
+            best, count, scores, sizes, merged, _, parts = seg.encode(text, chunks, decoded=False)
+            patches = [patches_of(parts, swaps) for _, _, swaps in merged]
+            paths = [patched(best, p) for p in patches]
+            crcs = [zlib.crc32(raw) for raw in paths]
+            ids = [] if not with_ids else [np.frombuffer(best, "<i4"), [
+                [dict(zip(("start", "length", "ids"), p)) for p in path] for path in patches]] if as_patches else [
+                np.frombuffer(best, "<i4"), [np.frombuffer(raw, "<i4") for raw in paths]]
+            rows.append([count, crcs[0], scores, sizes, None, crcs, *ids])
+            waiting.append((rows[-1], paths, (" " + text).encode("utf-8", "replace") if text else b""))
+            size += len(text)
+            if size >= _BATCH:
+                decode()
+        decode()
+        return pd.DataFrame(rows, columns=names).astype({"n_tokens": "Int64", "ids_crc32": "Int64", "round_trip": "boolean"})
 
     arrow_batches(docs.sparkSession)
     return docs.select("doc_id", encoded("text").alias("s")).select("doc_id", "s.*")
 
 
+def rebuilt(encoded: DataFrame) -> DataFrame:
+    """``encoded`` with n_best_ids (all ids of every segmentation) instead of
+    n_best_patches. Built-in functions only."""
+
+    def whole(patches: Column) -> Column:
+        start = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(0).alias("at"))
+        done = F.aggregate(patches, start, lambda acc, p: F.struct(
+            F.concat(acc["ids"], F.slice("ids", acc["at"] + 1, p["start"] - acc["at"]), p["ids"]).alias("ids"),
+            (p["start"] + p["length"]).alias("at")))
+        return F.concat(done["ids"], F.slice("ids", done["at"] + 1, F.size("ids")))
+
+    return encoded.withColumn("n_best_ids", F.transform("n_best_patches", whole)).drop("n_best_patches")
+
+
 def decoded(encoded: DataFrame, vocab: dict | None = None, model: str = MODEL) -> DataFrame:
     """doc_id and the text of ``ids`` (null for null)."""
     made = encoded.sparkSession.sparkContext.broadcast(vocab or vocabulary(model))

@@ -3,20 +3,24 @@ conditional random field for what they miss.
 
 Tokens are runs of the characters that credentials consist of, and other runs
 without white space. The field tags them begin, inside or outside of a secret.
-A tag dictionary rules out all but "outside" for tokens without a digit that
-are shorter than 20 characters (words, punctuation); only runs of the other,
-*free* tokens need to be decoded, each between two tokens known to be outside,
-so Viterbi over these runs equals Viterbi over the whole text.
+It decides every token that has anything of a secret: a digit, a capital after
+a small letter, a sign of an encoding (``+/=_``), 20 and more characters, or a
+word that announces one (password, key, bearer, ...) shortly before it on its
+line. The others, plain words in plain company, are outside by a tag
+dictionary; runs of the *free* tokens stand between two tokens known to be
+outside, so Viterbi over these runs equals Viterbi over the whole text.
 
 Features of a free token: its shape, length, alphabet and share of digits, the
-words before it and the character after it, and features of the whole text
-(how many free tokens it has, whether it looks like code). The field is
-trained by gradient ascent on a bounded sample of texts whose tags come from
-the regular expressions (distant supervision).
+words before it, whether they announce a secret, the character after it, and
+features of the whole text (how many free tokens it has, whether it looks like
+code), all of whole tokens and words. The field is trained by gradient ascent
+on a bounded sample of texts whose tags come from the regular expressions
+(distant supervision).
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 from collections import defaultdict
@@ -37,9 +41,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs of 24 and more, as runs are g
 KINDS = ("assign", "access", "hex", "crf")
 _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
-#: Free tokens: with a digit, or of 20 and more characters. Possessive, and
-#: only from a token's start: one pass over every token.
-FREE = re.compile(r"(?<![A-Za-z0-9+/_.=-])(?:[A-Za-z+/_.=-]*+[0-9][A-Za-z0-9+/_.=-]*+|[A-Za-z+/_.=-]{20,}+)")
+_T = "A-Za-z0-9+/_.=-"
+#: Free by itself: with a digit, a capital after a small letter, a sign of an
+#: encoding, or of 20 and more characters; from a token's start, possessive.
+FREE = re.compile(f"(?<![{_T}])(?=[A-Za-z.-]*+[0-9+/_=]|[A-Z.-]*+(?:[a-z.-]++[A-Z])|[{_T}]{{20}})[{_T}]++")
+TOKEN = re.compile(f"[{_T}]++")
+WORD = re.compile(r"\S+")
+#: Words that announce a secret; the next ``NEAR`` tokens of the line are free.
+ANNOUNCE = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "login")
+_ANNOUNCED = re.compile(f"(?:{'|'.join(ANNOUNCE)})[{_T}]*+")
+NEAR = 3
 DIMS = 1 << 13
 TAGS = 3  # outside, begin, inside
 
@@ -57,26 +68,60 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def free_tokens(text: str) -> list[tuple[int, int]]:
+    """Spans of the free tokens, in order."""
+    spans = {m.span() for m in FREE.finditer(text)}
+    low = text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text)  # as long as the text
+    if any(k in low for k in ANNOUNCE):
+        for word in _ANNOUNCED.finditer(low):
+            stop = text.find("\n", word.end())
+            rest = TOKEN.finditer(text, word.end(), len(text) if stop < 0 else stop)
+            spans.update(m.span() for m, _ in zip(rest, range(NEAR)))
+    return sorted(spans)
+
+
 def free_runs(text: str) -> list[list[tuple[int, int]]]:
     """Runs of neighbouring free tokens (only white space between them)."""
     runs: list[list[tuple[int, int]]] = []
     end = -1
-    for m in FREE.finditer(text):
-        if runs and not text[end:m.start()].strip():
-            runs[-1].append(m.span())
+    for start, stop in free_tokens(text):
+        if runs and not text[end:start].strip():
+            runs[-1].append((start, stop))
         else:
-            runs.append([m.span()])
-        end = m.end()
+            runs.append([(start, stop)])
+        end = stop
     return runs
 
 
+class Company:
+    """The words in front of a place of a text: the beginning of the word that
+    the place stands in, then whole words."""
+
+    def __init__(self, text: str):
+        self.text = text
+        spans = [m.span() for m in WORD.finditer(text)]
+        self.starts, self.spans = [s for s, _ in spans], spans
+
+    def before(self, start: int) -> tuple[str, str]:
+        """The last two, lower-cased."""
+        k = bisect.bisect_right(self.starts, start) - 1
+        words = []
+        while k >= 0 and len(words) < 2:
+            s, e = self.spans[k]
+            word = self.text[s:min(e, start)]
+            if word:
+                words.append(word.lower())
+            k -= 1
+        return (*words, "", "")[:2]
+
+
 def _bucket(*parts) -> int:
     return zlib.crc32("\x00".join(map(str, parts)).encode("utf-8", "replace")) & (DIMS - 1)
 
 
 def _shape(token: str) -> str:
-    """Letters and digits by kind, repeats once, of the first 64 characters."""
-    return re.sub(r"(.)\1+", r"\1", re.sub(r"[0-9]", "9", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", token[:64]))))
+    """Letters and digits by kind, repeats once."""
+    return re.sub(r"(.)\1+", r"\1", re.sub(r"[0-9]", "9", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", token))))
 
 
 def file_features(text: str, n_free: int) -> list[int]:
@@ -85,18 +130,20 @@ def file_features(text: str, n_free: int) -> list[int]:
             _bucket("file-length", len(text).bit_length() // 2)]
 
 
-def token_features(text: str, start: int, end: int) -> list[int]:
-    token = text[start:end]
-    digits = sum(c.isdigit() for c in token[:64])
-    before = text[max(0, start - 48):start].split()
+def token_features(text: str, start: int, end: int, company: Company) -> list[int]:
+    token, size = text[start:end], end - start
+    digits = sum(map(str.isdigit, token))
+    last, second = company.before(start)
     alphabet = ("hex" if re.fullmatch(r"[0-9a-f]+", token) else "upper" if re.fullmatch(r"[A-Z0-9]+", token)
                 else "number" if re.fullmatch(r"[0-9.+/=-]+", token) else "mixed" if re.search("[a-z]", token) and re.search("[A-Z]", token) else "other")
     shape = _shape(token)
-    switches = len(re.findall(r"[A-Za-z][0-9]|[0-9][A-Za-z]", token[:64]))
+    switches = len(re.findall(r"[A-Za-z][0-9]|[0-9][A-Za-z]", token))
+    cases = len(re.findall(r"[a-z][A-Z]", token))
+    said = "last" if any(k in last for k in ANNOUNCE) else "second" if any(k in second for k in ANNOUNCE) else "no"
     return [
-        _bucket("bias"), _bucket("switches", min(switches, 6)), _bucket("alphabet", alphabet), _bucket("shape", shape if len(shape) <= 8 else "long", alphabet), _bucket("length", min(end - start, 48) // 4),
-        _bucket("alphabet", alphabet, min(end - start, 48) // 8), _bucket("digits", digits * 8 // max(1, min(end - start, 64))),
-        _bucket("before", before[-1].lower() if before else ""), _bucket("two-before", *(w.lower() for w in before[-2:-1])),
+        _bucket("bias"), _bucket("switches", min(switches, 6)), _bucket("alphabet", alphabet), _bucket("shape", shape if len(shape) <= 8 else "long", alphabet), _bucket("length", min(size, 48) // 4),
+        _bucket("alphabet", alphabet, min(size, 48) // 8), _bucket("digits", digits * 8 // size), _bucket("cases", min(cases, 6)),
+        _bucket("before", last), _bucket("two-before", second), _bucket("announced", said, last[-1:] in (":", "=")), _bucket("announced", said, alphabet, min(cases, 2), min(size, 24) // 6),
         _bucket("after", text[end:end + 1]), _bucket("glued", text[start - 1:start]),
         _bucket("key", token.split("=")[0].lower() if "=" in token else "-"), _bucket("head", token[:4] if alphabet == "upper" else "-"),
     ]
@@ -185,7 +232,7 @@ def tagged_runs(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
     """Free runs of a text with tags from the base spans."""
     runs = free_runs(text)
     spans = base_spans(text)
-    whole = file_features(text, sum(map(len, runs)))
+    whole, company = file_features(text, sum(map(len, runs))), Company(text)
     out = []
     for run in runs:
         x, y, held = [], [], None
@@ -193,23 +240,27 @@ def tagged_runs(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
             span = next((k for k, (a, b, _) in enumerate(spans) if a < e and s < b), None)
             y.append(0 if span is None else 2 if span == held else 1)
             held = span
-            x.append(token_features(text, s, e) + whole)
+            x.append(token_features(text, s, e, company) + whole)
         out.append((np.array(x), np.array(y)))
     return out
 
 
 def train(docs: DataFrame, per_class: int = 600, seed: int = 23, runs_per_text: int = 200) -> tuple[np.ndarray, np.ndarray] | None:
     """The field from at most ``per_class`` texts with base spans and as many
-    with free tokens but no span (by a seeded hash of the id), of each at most
-    ``runs_per_text`` runs. None if no text has a span."""
+    without a span (by a seeded hash of the id), of each at most
+    ``runs_per_text`` runs (by a seeded hash of their place). None if no text
+    has a span."""
     hot = F.col("text").rlike(r"[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]")
-    rows = docs.where("text is not null and text rlike '[0-9]'").select("doc_id", "text", F.when(hot, 1).otherwise(0).alias("hot"))
+    rows = docs.where("text is not null").select("doc_id", "text", F.when(hot, 1).otherwise(0).alias("hot"))
     from .language import bounded_sample
 
     def runs_of(batches):
         for pdf in batches:
-            got = [(d, k, x.shape[1], x.astype(np.int32).tobytes(), y.astype(np.int32).tobytes())
-                   for d, t in zip(pdf["doc_id"], pdf["text"]) for k, (x, y) in enumerate(tagged_runs(t)[:runs_per_text])]
+            got = []
+            for d, t in zip(pdf["doc_id"], pdf["text"]):
+                runs = tagged_runs(t)
+                drawn = sorted(range(len(runs)), key=lambda k: (zlib.crc32(f"{seed}:{k}:{len(t)}".encode()), k))[:runs_per_text]
+                got += [(d, k, runs[k][0].shape[1], runs[k][0].astype(np.int32).tobytes(), runs[k][1].astype(np.int32).tobytes()) for k in drawn]
             yield pd.DataFrame(got, columns=["doc_id", "k", "f", "x", "y"])
 
     got = bounded_sample(rows, "hot", per_class, seed).select("doc_id", "text").mapInPandas(
@@ -226,7 +277,7 @@ def added_spans(text: str, spans: list[tuple[int, int, str]], model: tuple[np.nd
     if not runs:
         return []
     w, trans = model
-    whole = file_features(text, sum(map(len, runs)))
+    whole, company = file_features(text, sum(map(len, runs))), Company(text)
     by_length = defaultdict(list)
     for run in runs:
         by_length[len(run)].append(run)
@@ -234,7 +285,7 @@ def added_spans(text: str, spans: list[tuple[int, int, str]], model: tuple[np.nd
     for length, group in by_length.items():
         for at in range(0, len(group), 4096):
             some = group[at:at + 4096]
-            e = emissions(w, [token_features(text, s, t) + whole for run in some for s, t in run])
+            e = emissions(w, [token_features(text, s, t, company) + whole for run in some for s, t in run])
             for run, tags in zip(some, viterbi(e.reshape(len(some), length, TAGS), trans)):
                 for (s, t), tag in zip(run, tags):
                     if tag == 1:

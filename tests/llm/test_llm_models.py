@@ -3,6 +3,7 @@ brute force and exact round trips."""
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 
@@ -28,10 +29,10 @@ def test_language_held_out_accuracy(spark):
 
 def test_language_edges(spark):
     rows = [(i, t, la) for i, (t, la) in enumerate([("the cat and the dog went home", "en"), ("der hund und die katze gehen", "de")] * 20)]
-    rows += [(100, None, "en"), (101, "", "de"), (102, "12 !!", "en"), (103, "É", None), (None, "the dog", None), (104, "the house " * 30000, None), (104, "the house " * 30000, None)]
+    rows += [(100, None, "en"), (101, "", "de"), (102, "12 !!", "en"), (105, "½ ² Ⅳ ٣", "en"), (103, "É", None), (None, "the dog", None), (104, "the house " * 30000, None), (104, "the house " * 30000, None)]
     docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, lang string, score double")
     got = {(r.doc_id): r for r in language.language_of(docs).collect()}
-    assert all(got[k].lang_pred == "und" and got[k].score == 0 for k in (100, 101, 102))
+    assert all(got[k].lang_pred == "und" and got[k].score == 0 for k in (100, 101, 102, 105))
     assert got[103].lang_pred in ("en", "de") and got[104].lang_pred == "en" and got[None].held_out
     assert language.language_of(docs).count() == len(rows)
     unlabelled = language.language_of(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
@@ -155,6 +156,52 @@ def test_field_finds_what_the_patterns_miss(spark):
     assert got[1].n_hex == 0 and got[1].spans == "crf:17:39" and got[2].spans == ""
 
 
+def _credential(rng, letters_only):
+    if letters_only:
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz").upper() if i % 2 else rng.choice("abcdefghijklmnopqrstuvwxyz") for i in range(rng.randint(12, 18)))
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(rng.randint(10, 20)))
+
+
+def test_precision_and_recall_on_texts_not_learned_from(spark):
+    """Secrets that no base pattern finds, letters-only ones among them, in texts
+    like and unlike those learned from; and words that are none."""
+    rng = random.Random(12)
+    prose = "the key to the old house was on the table so they pass the login page and walk on with McDonald and an iPhone to see e.g. the and/or gate".split()
+
+    def words(n):
+        return " ".join(rng.choice(prose) for _ in range(n))
+
+    learn = [(i, f"{words(12)} {rng.choice(['password', 'api_key', 'secret', 'token'])}{rng.choice([': ', '=', ' = '])}{_credential(rng, i % 2)} {words(9)}" if i % 3 else
+              f"{words(30)} v{i} on 12.3.{1900 + i}") for i in range(600)]
+    model = secrets.train(spark.createDataFrame(learn, "doc_id long, text string"))
+    held, wanted = [], set()
+    for i in range(300):
+        front, secret = words(rng.randint(2, 12)), _credential(rng, i % 2)
+        lead = rng.choice(["Authorization: Bearer ", "login ", "pwd: ", "credential "]) if i % 3 else ""
+        text = f"{front} {lead}{secret if i % 3 else words(4)} {words(6)}"
+        held.append((i, text))
+        if i % 3:
+            wanted.add((i, text.index(secret), text.index(secret) + len(secret)))
+    got = secrets.find_secrets(spark.createDataFrame(held, "doc_id long, text string"), model).collect()
+    found = {(r.doc_id, int(s), int(e)) for r in got for _, s, e in (x.split(":") for x in r.spans.split(",") if x)}
+    assert not any(r.base for r in got)
+    hits = len(found & wanted)
+    assert hits >= 0.9 * len(wanted) and hits >= 0.9 * len(found), (hits, len(wanted), len(found))
+    letters = {w for w in wanted if w[0] % 2}
+    assert len(found & letters) >= 0.9 * len(letters) > 80
+
+
+def test_free_tokens_and_their_company():
+    text = "the word Authorization: Bearer QwErTy\npwd hunter two three four\nmixedCase and/or plain ABC x" + "y" * 20
+    free = [text[s:e] for s, e in secrets.free_tokens(text)]
+    assert free == ["Bearer", "QwErTy", "hunter", "two", "three", "mixedCase", "and/or", "x" + "y" * 20]
+    company = secrets.Company(text)
+    assert company.before(text.index("QwErTy")) == ("bearer", "authorization:")
+    assert company.before(text.index("word")) == ("the", "") and company.before(0) == ("", "")
+    long = "a" * 5000
+    assert secrets.Company(f"{long} token=x1").before(5007) == ("token=", long)
+
+
 # ------------------------------------------------------------------ n-best --
 
 TOY = {"pieces": {p: (i, s) for i, (p, s) in enumerate([("▁", -2.0), ("a", -3.0), ("b", -3.5), ("ab", -4.0), ("▁a", -2.5), ("ba", -5.0), ("aba", -6.0), ("▁ab", -6.5), ("▁▁", -3.0)])},
@@ -214,6 +261,13 @@ def test_encoding_round_trip(spark):
     assert nbest.segmented(docs.where("false")).count() == 0
 
 
+def test_patches_give_all_ids_of_long_texts_back(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    whole = {r.doc_id: (r.ids, r.n_best_ids, r.n_best_crc32) for r in nbest.segmented(docs).collect()}
+    again = nbest.rebuilt(nbest.segmented(docs, as_patches=True))
+    assert {r.doc_id: (r.ids, r.n_best_ids, r.n_best_crc32) for r in again.collect()} == whole and len(whole) > 100
+
+
 def test_all_n_segmentations_come_out(spark):
     texts = ["abab baba", "abca\nab é", "", None, "ab"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -230,5 +284,10 @@ def test_all_n_segmentations_come_out(spark):
         for ids, score in zip(r.n_best_ids, r.scores):
             assert any(tuple(ids) == p and np.isclose(s, score) for s, p in paths)
         assert r.n_best_crc32 == short[i].n_best_crc32 == [zlib.crc32(np.array(ids, dtype="<i4").tobytes()) for ids in r.n_best_ids]
+    patched = nbest.segmented(docs, vocab=TOY, as_patches=True)
+    again = {r.doc_id: r for r in nbest.rebuilt(patched).collect()}
+    for r in patched.collect():
+        assert again[r.doc_id].n_best_ids == rows[r.doc_id].n_best_ids and again[r.doc_id].ids == rows[r.doc_id].ids
+        assert r.n_best_patches is None or r.n_best_patches[0] == []
     wrong = dict(TOY, pieces=dict(TOY["pieces"], ab=(1, -4.0)))  # two pieces of one id: decoding it cannot give both back
     assert not all(r.round_trip for r in nbest.segmented(docs.where("doc_id = 4"), vocab=wrong).collect())

@@ -61,6 +61,46 @@ def test_components_match_brute_force(spark):
     assert len({c for _, _, c in want}) < len(want) - 40
 
 
+def test_null_ids_link_like_others(spark):
+    text = " ".join(f"n{i}" for i in range(200))
+    docs = [(5, text), (None, text + " more"), (None, "alone here"), (7, "other words")]
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(5, 196, 5), (None, 197, 5), (None, 1, None), (7, 1, 7)], key=repr)
+
+
+def test_a_group_makes_few_comparisons(spark, monkeypatch):
+    """Copies with edits from a few words, so that edits repeat: pairs grow with
+    the group, not with its square, and no link is lost."""
+    rng = random.Random(1)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(140)]
+    few = [f"e{i}" for i in range(40)]
+    docs = []
+    for d in range(700):
+        words = list(base)
+        for _ in range(0 if d == 77 else rng.randint(1, 9)):
+            words[rng.randrange(140)] = rng.choice(few)
+        docs.append((d, " ".join(words)))
+    compared = []
+    plain = jaccard._links
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute_components(docs)
+    assert sum(compared) < jaccard.CROWD * len(docs) < len(docs) ** 2 / 20
+
+
+def test_sketches_are_summed_in_bounded_groups(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b c d e {i % 3} g h") for i in range(90)], "doc_id long, text string").repartition(45)
+    whole = jaccard._heat(jaccard._signed(docs))
+    monkeypatch.setattr(jaccard, "_PIECES", 4)
+    assert (jaccard._heat(jaccard._signed(docs)) == whole).all()
+
+
+
 def test_components_of_a_crowd(spark):
     """One text with edits from few to many: some copies link to it, some to
     each other, most to nothing."""
