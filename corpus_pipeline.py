@@ -8,11 +8,13 @@ returns a DataFrame, which is written and read again as the next one's
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.llm import decontaminate, jaccard, language, line_dedup, nbest
-from hirescope.llm.common import stored
+from hirescope.llm.common import fresh_path, release, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -66,16 +68,30 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the n best segmentations of every document, with their scores."""
-    return nbest.segmented(docs)
+    """Token ids of the best segmentation of every document, what each further
+    one of the n best changes in them (``nbest.rebuilt`` gives their ids), and
+    their scores."""
+    return nbest.segmented(docs, as_patches=True)
+
+
+def _after(stage):
+    """``stage``, which first removes the tables of the stages before it: their
+    results have been written and read again."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
 STAGES = [
     ("language ID", language_stage),
-    ("line dedup", line_stage),
-    ("n-gram Jaccard join", near_duplicate_stage),
-    ("benchmark decontamination", decontamination_stage),
-    ("SentencePiece encoding", encoding_stage),
+    ("line dedup", _after(line_stage)),
+    ("n-gram Jaccard join", _after(near_duplicate_stage)),
+    ("benchmark decontamination", _after(decontamination_stage)),
+    ("SentencePiece encoding", _after(encoding_stage)),
 ]
 
 #: Models and tokenizer cannot be expressed in SQL; the stages are tested
@@ -86,5 +102,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(COLUMNS)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        path = fresh_path(spark, f"pipeline-{name.replace(' ', '-')}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
