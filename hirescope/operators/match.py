@@ -2,79 +2,115 @@
 
 Folding a dictionary into literal expressions (``functions/enrich.py``) is
 right for hundreds of terms. For dictionaries of many thousands of terms the
-same E1 semantics — a keyword counts when it occurs between word boundaries
-of the normalised text — become a hash join:
+same E1 semantics - a keyword counts when it occurs between word boundaries
+of the normalised text - become an anchor join:
 
 * the normalised text is cut into maximal runs of word / non-word characters;
   ``\\bkw\\b`` holds exactly when the keyword's own runs equal a window of
-  consecutive text runs that starts and ends with a word run;
-* each text emits its distinct windows of the run-lengths the dictionary
-  needs, and those windows are joined on equality with the dictionary.
+  consecutive text runs, with a word run before (after) it where it begins
+  (ends) with another one;
+* each term is filed under one of its runs, its anchor: the word run that the
+  fewest terms of the dictionary hold (a term without a word run under its
+  first run);
+* a text emits the runs around the places of anchors only. A bitmap of the
+  anchors, a literal of bounded size, picks the places before anything is
+  exploded; it passes some others, which the join drops. So the rows grow with
+  the hits, not with the text times the lengths of the terms.
 
 The join is Spark's: broadcast below its size threshold, else a shuffle join
-(AQE splits skewed window keys).
+(AQE splits skewed anchors).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_for_match, normalize_text
 
 _RUNS = "[a-z0-9_]+|[^a-z0-9_]+"
 _WORD = "^[a-z0-9_]"
+#: Most places of the anchors' bitmap (a byte each); a full one only passes more.
+MAX_BITMAP = 1 << 20
 
 
 def prepare_dictionary(dictionary: DataFrame, keyword: str = "keyword", category: str = "category",
                        order: str = "cat_ord") -> DataFrame:
-    """Normalise keywords (once, like the expression path) and count their
-    runs: ``(term, n_runs, category, cat_ord, weight)``. Keywords of a category
-    that are equal after normalisation count as often as they are listed."""
-    norm = normalize_text(F.col(keyword))
+    """Normalise keywords (once, like the expression path) and cut them:
+    ``(term, runs, category, cat_ord, weight)``. Keywords of a category that are
+    equal after normalisation count as often as they are listed."""
     out = dictionary.select(
-        norm.alias("term"),
-        F.size(F.regexp_extract_all(norm, F.lit(_RUNS), 0)).alias("n_runs"),
+        normalize_text(F.col(keyword)).alias("term"),
         F.col(category).alias("category"),
         F.col(order).alias("cat_ord"),
     ).where(F.length("term") > 0)
-    return out.groupBy("term", "n_runs", "category", "cat_ord").agg(F.count(F.lit(1)).alias("weight"))
-
-
-def text_windows(df: DataFrame, id_col: str, norm_col: str, lengths: list[int]) -> DataFrame:
-    """Distinct windows of the given run-lengths with a word boundary at either
-    end: ``(__id, window)``. A window that begins (ends) with a non-word run
-    needs a word run before (after) it, as ``\\b`` does.
-
-    The runs are cut once in their own projection; every length reads them.
-    """
+    out = out.groupBy("term", "category", "cat_ord").agg(F.count(F.lit(1)).alias("weight"))
+    return out.withColumn("runs", F.regexp_extract_all("term", F.lit(_RUNS), 0))
+
+
+def with_anchors(dictionary: DataFrame) -> DataFrame:
+    """One row a distinct term: ``(term, runs, anchor, at)``; ``at`` is the
+    anchor's place among the runs, from 0."""
+    terms = dictionary.select("term", "runs").distinct()
+    runs = terms.select("term", "runs", F.posexplode("runs").alias("at", "anchor"))
+    held = runs.groupBy("anchor").agg(F.count_distinct("term").alias("terms"))
+    rank = F.struct((~F.col("anchor").rlike(_WORD)).alias("other"), "terms", (-F.length("anchor")).alias("length"), "at", "anchor")
+    best = runs.join(held, "anchor").groupBy("term", "runs").agg(F.min(rank).alias("best"))
+    return best.select("term", "runs", "best.anchor", "best.at")
+
+
+def _slot(run: Column, places: int) -> Column:
+    return F.pmod(F.xxhash64(run), F.lit(places)).cast("int")
+
+
+def _bitmap(anchors: DataFrame) -> bytes:
+    """A byte for each place; read on the driver (one row, ``MAX_BITMAP`` bytes at most)."""
+    places = 1 << 10
+    while places < min(16 * anchors.select("anchor").distinct().count(), MAX_BITMAP):
+        places *= 2
+    held = anchors.select(_slot(F.col("anchor"), places).alias("slot")).distinct().agg(F.collect_set("slot")).first()[0]
+    out = bytearray(places)
+    for slot in held:
+        out[slot] = 1
+    return bytes(out)
+
+
+def text_places(df: DataFrame, id_col: str, norm_col: str, bitmap: bytes, before: int, after: int) -> DataFrame:
+    """``(__id, anchor, around, at)``: every run of the text that may be an
+    anchor, with up to ``before`` runs in front and ``after`` behind (and one
+    more on either side, which tells whether there is any); ``at`` is the
+    anchor's place in ``around``, from 0."""
     staged = df.select(F.col(id_col).alias("__id"), F.regexp_extract_all(F.col(norm_col), F.lit(_RUNS), 0).alias("__runs"))
     runs = F.col("__runs")
-    per_len = []
-    for n in lengths:
-        starts = F.when(F.size(runs) >= n, F.sequence(F.lit(1), F.size(runs) - F.lit(n) + 1)).otherwise(
-            F.array().cast("array<int>"))
-        bounded = F.filter(starts, lambda i: (F.get(runs, i - 1).rlike(_WORD) | (i > 1))
-                           & (F.get(runs, i + (n - 2)).rlike(_WORD) | (i + (n - 1) < F.size(runs))))
-        per_len.append(F.transform(bounded, lambda i: F.array_join(F.slice(runs, i, n), "")))
-    windows = F.array_distinct(F.flatten(F.array(*per_len)))
-    return staged.select("__id", F.explode(windows).alias("window"))
+    marked = F.lit(bitmap)
+    picked = F.filter(F.transform(runs, lambda run, i: F.when(
+        F.substring(marked, _slot(run, len(bitmap)) + 1, F.lit(1)) == F.lit(b"\x01"), i)), lambda i: i.isNotNull())
+    places = staged.select("__id", "__runs", F.explode(picked).alias("i"))
+    first = F.greatest(F.col("i") - (before + 1), F.lit(0))
+    return places.select("__id", F.get("__runs", F.col("i")).alias("anchor"),
+                         F.slice("__runs", first + 1, F.col("i") - first + (after + 2)).alias("around"), (F.col("i") - first).alias("at"))
 
 
 def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFrame) -> DataFrame:
     """E1 in long form: ``(id, category, cat_ord, score)`` for positive scores.
 
-    ``dictionary`` is the output of ``prepare_dictionary``. The lengths of its
-    terms (a handful of numbers) are read first, as only windows of these
-    lengths are cut. The join is left to Spark: it broadcasts a dictionary under
-    its own size threshold and shuffles else. Windows are distinct per text, so
-    each (text, keyword, category) joins once and the score is the sum of the
-    weights.
+    ``dictionary`` is the output of ``prepare_dictionary``. Its anchors and the
+    longest reach on either side of one are read while the plan is built (a job
+    over the dictionary alone). A term counts once per text, however often it
+    occurs; the score is the sum of the weights.
     """
-    lengths = sorted(r.n_runs for r in dictionary.select("n_runs").distinct().collect())
-    terms = dictionary.select(F.col("term").alias("window"), "category", "cat_ord", "weight")
-    hits = text_windows(df, id_col, norm_col, lengths or [1]).join(terms, on="window")
-    return hits.groupBy(F.col("__id").alias(id_col), "category", "cat_ord").agg(F.sum("weight").alias("score"))
+    anchors = with_anchors(dictionary)
+    reach = anchors.agg(F.max("at"), F.max(F.size("runs") - 1 - F.col("at"))).first()
+    places = text_places(df, id_col, norm_col, _bitmap(anchors), reach[0] or 0, reach[1] or 0)
+    terms = anchors.select("term", "anchor", "runs", F.col("at").alias("lead"))
+    start = F.col("at") - F.col("lead")
+    stop = start + F.size("runs")
+    inside = (start >= 0) & (F.slice("around", F.greatest(start, F.lit(0)) + 1, F.size("runs")) == F.col("runs"))
+    opens = F.get("runs", F.lit(0)).rlike(_WORD) | (start > 0)
+    closes = F.element_at("runs", -1).rlike(_WORD) | (stop < F.size("around"))
+    found = places.join(terms, "anchor").where(inside & opens & closes).select("__id", "term").distinct()
+    weights = dictionary.select("term", "category", "cat_ord", "weight")
+    return found.join(weights, "term").groupBy(F.col("__id").alias(id_col), "category", "cat_ord").agg(F.sum("weight").alias("score"))
 
 
 def best_category(scores: DataFrame, id_col: str, out: str = "category") -> DataFrame:

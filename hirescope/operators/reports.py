@@ -10,12 +10,14 @@ than k rows per task.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import SENIORITY_LADDER
+from ..session import shared_dir
 from .marts import skill_demand
 
 
@@ -57,6 +59,20 @@ def ordered(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*_cols(order))
 
 
+def with_position(df: DataFrame, position: str = "position") -> DataFrame:
+    """The place (from 1) at which a sorted result stands, taken from the result
+    as it was written: rows are numbered within each of its range partitions, and
+    the partitions' sizes are summed up (one row each). ``df`` is written once to
+    the shared folder, so the numbers do not depend on a second sort."""
+    path = f"{shared_dir(df.sparkSession)}/ordered-{uuid.uuid4().hex[:12]}"
+    df.withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
+    written = df.sparkSession.read.parquet(path).withColumn("__part", F.shiftright("__at", 33))
+    sizes = written.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")
+    place = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return written.join(sizes.select("__part", before.alias("__before")), "__part").select(*df.columns, place.alias(position))
+
+
 def for_value(df: DataFrame, column: str, value) -> DataFrame:
     """F8: keep one parameter value (e.g. the selected role)."""
     return df.where(F.col(column) == F.lit(value))

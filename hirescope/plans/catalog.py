@@ -10,6 +10,7 @@ pages give the text operators.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,8 +24,11 @@ from ..operators import lake as L
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import reports as P
+from ..session import shared_dir
 from ..sources import offers as S
+from ..sources.snapshots import commit, write_attempt
 from . import driver_rules as TR
+from . import lake_counts as LC
 
 Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT = "2024-01-15"
@@ -239,6 +243,39 @@ def q_weekly_skill_trends(spark, sf_dir):
     return P.ordered(L.snapshot_skill_trends(event_snapshots(spark, sf_dir)), P.by_snapshot("dt", "skill"))
 
 
+def q_lake_trends_incremental(spark, sf_dir):
+    """A17 / A18 from counts kept per snapshot: a lake of weekly snapshots, of
+    which the first ones are counted, one is then replaced and the others are
+    added, before the counts are refreshed."""
+    lake, counts = (f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}" for name in ("lake", "lake-counts"))
+    e = event_snapshots(spark, sf_dir).withColumn("dt", F.date_trunc("week", "dt").cast("date"))
+    weeks = [str(r.dt) for r in e.select("dt").distinct().orderBy("dt").collect()]  # one row a snapshot
+    commit(spark, [write_attempt(L.one_snapshot(e, w).where("role_family <> 'click'"), lake, w) for w in weeks[:2]])
+    LC.refresh(spark, lake, counts)
+    commit(spark, [write_attempt(L.one_snapshot(e, w), lake, w) for w in weeks])
+    LC.refresh(spark, lake, counts)
+    roles = LC.role_trends(spark, counts).select("dt", F.lit("role").alias("kind"), F.col("role_family").alias("key"), "nb_offers")
+    return roles.unionByName(LC.skill_trends(spark, counts).select("dt", F.lit("skill").alias("kind"), F.col("skill").alias("key"), "nb_offers"))
+
+
+def q_report_orders(spark, sf_dir):
+    """Where every row of the sorted reports stands, in the written result."""
+    part, orders, events = part_by_type(spark, sf_dir), order_postings(spark, sf_dir), event_snapshots(spark, sf_dir)
+    reports = {
+        "by_demand": (M.skill_demand(part), P.by_demand("skill"), ["skill"]),
+        "by_role_then_demand": (M.role_skill_demand(part), P.by_role_then_demand("skill"), ["role_family", "skill"]),
+        "by_levels": (M.role_demand_by_seniority(orders), P.by_demand(["role_family", "seniority_level"]), ["role_family", "seniority_level"]),
+        "by_snapshot": (L.snapshot_skill_trends(events), P.by_snapshot("dt", "skill"), ["dt", "skill"]),
+        "by_month": (M.role_trends_by_month(orders), P.by_month("month", "role_family"), ["month", "role_family"]),
+    }
+    placed = []
+    for name, (df, order, key) in reports.items():
+        keys = [F.date_format(k, "yyyy-MM-dd") if k in ("dt", "month") else F.col(k) for k in key]
+        placed.append(P.with_position(P.ordered(df, order)).select(
+            F.lit(name).alias("report"), "position", F.concat_ws("|", *keys).alias("key")))
+    return P.bag_union(placed)
+
+
 def q_lake_roles_latest_only(spark, sf_dir):
     """A14 with ``latest_only``: each user (standing for a posting) counted in
     its most recent snapshot only."""
@@ -328,7 +365,7 @@ def q_flatten_json(spark, sf_dir):
 
 def q_dedupe_keep_first(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    kept = D.dedupe_first(d, "text", ["source", "doc_id"])
+    kept = D.dedupe_first(d, "text", ["source", "doc_id"], "doc_id")
     return kept.select("doc_id", "lang", "source", "n_chars")
 
 
@@ -528,7 +565,11 @@ def q_posting_views(spark, sf_dir):
         UNION ALL SELECT 'mart_skill_demand', skill, demand FROM mart_skill_demand
         UNION ALL SELECT 'mart_role_trends_by_month', concat(date_format(month, 'yyyy-MM'), ' ', role_family), demand FROM mart_role_trends_by_month
         UNION ALL SELECT 'mart_role_demand_by_seniority', concat(role_family, ' ', seniority_level), demand FROM mart_role_demand_by_seniority
-        UNION ALL SELECT 'mart_role_demand_by_domain_focus', concat(role_family, ' ', domain_focus), demand FROM mart_role_demand_by_domain_focus""")
+        UNION ALL SELECT 'mart_role_demand_by_domain_focus', concat(role_family, ' ', domain_focus), demand FROM mart_role_demand_by_domain_focus
+        UNION ALL SELECT 'mart_role_skill_demand', concat(role_family, ' ', skill), demand FROM mart_role_skill_demand
+        UNION ALL SELECT 'mart_skill_demand_by_role', concat(role_family, ' ', skill), demand FROM mart_skill_demand_by_role
+        UNION ALL SELECT 'mart_skill_trends_by_month', concat(date_format(month, 'yyyy-MM'), ' ', skill), demand FROM mart_skill_trends_by_month
+        UNION ALL SELECT 'stg_offres_view', coalesce(date_format(created_at, 'yyyy-MM-dd'), 'none'), count(*) FROM stg_offres_view GROUP BY 2""")
 
 
 def q_reference_role_family(spark, sf_dir):
@@ -606,6 +647,8 @@ QUERIES: dict[str, Query] = {
     "weekly_role_trends": q_weekly_role_trends,
     "weekly_skill_trends": q_weekly_skill_trends,
     "lake_roles_latest_only": q_lake_roles_latest_only,
+    "lake_trends_incremental": q_lake_trends_incremental,
+    "report_orders": q_report_orders,
     "dt_sanity_count": q_dt_sanity_count,
     "dt_sanity_roles": q_dt_sanity_roles,
     "dt_sanity_skills": q_dt_sanity_skills,

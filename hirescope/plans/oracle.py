@@ -358,6 +358,21 @@ def sql() -> dict[str, str]:
     q["monthly_role_trend_of_role"] = f"WITH {OP}, {RTM} SELECT * FROM rtm WHERE role_family = '3-MEDIUM'"
 
     q["weekly_role_trends"] = f"WITH {ES} SELECT dt, role_family, count(*) AS nb_offers FROM es GROUP BY 1, 2"
+    weeks = "wk AS (SELECT CAST(date_trunc('week', dt) AS DATE) AS dt, role_family, skills FROM es)"
+    q["lake_trends_incremental"] = (
+        f"WITH {ES}, {weeks} SELECT dt, 'role' AS kind, role_family AS key, count(*) AS nb_offers FROM wk GROUP BY 1, 3 "
+        "UNION ALL SELECT dt, 'skill', skill, count(*) FROM (SELECT dt, unnest(skills) AS skill FROM wk) WHERE skill IS NOT NULL GROUP BY 1, 3")
+
+    def placed(report: str, key: str, order: str, source: str) -> str:
+        return f"SELECT '{report}' AS report, row_number() OVER (ORDER BY {order}) AS position, {key} AS key FROM {source}"
+
+    es_skills = ("(SELECT dt, skill, count(*) AS n FROM (SELECT dt, unnest(skills) AS skill FROM es) WHERE skill IS NOT NULL GROUP BY 1, 2)")
+    q["report_orders"] = f"WITH {PP}, {SD}, {RSD}, {OP}, {BY_SEN}, {RTM}, {ES} " + " UNION ALL ".join([
+        placed("by_demand", "skill", "demand DESC, skill", "sd"),
+        placed("by_role_then_demand", "role_family || '|' || skill", "role_family, demand DESC, skill", "rsd"),
+        placed("by_levels", "role_family || '|' || seniority_level", "demand DESC, role_family, seniority_level", "bs"),
+        placed("by_snapshot", "strftime(dt, '%Y-%m-%d') || '|' || skill", "dt DESC, n DESC, skill", es_skills),
+        placed("by_month", "strftime(month, '%Y-%m-%d') || '|' || role_family", "month, demand DESC, role_family", "rtm")])
     q["weekly_skill_trends"] = (f"WITH {ES} SELECT dt, skill, count(*) AS nb_offers FROM "
                                 "(SELECT dt, unnest(skills) AS skill FROM es) WHERE skill IS NOT NULL GROUP BY 1, 2")
     q["lake_roles_latest_only"] = (
@@ -483,7 +498,12 @@ def sql() -> dict[str, str]:
         "UNION ALL SELECT 'mart_role_trends_by_month', strftime(day, '%Y-%m') || ' ' || role_family, count(*) FROM kept "
         "WHERE day IS NOT NULL GROUP BY 2 "
         "UNION ALL SELECT 'mart_role_demand_by_seniority', role_family || ' ' || type_role, count(*) FROM kept WHERE type_role <> 'PROMO' GROUP BY 2 "
-        "UNION ALL SELECT 'mart_role_demand_by_domain_focus', role_family || ' ' || p_brand, count(*) FROM kept GROUP BY 2")
+        "UNION ALL SELECT 'mart_role_demand_by_domain_focus', role_family || ' ' || p_brand, count(*) FROM kept GROUP BY 2 "
+        + "".join(f"UNION ALL SELECT '{view}', role_family || ' ' || skill, count(*) FROM (SELECT role_family, unnest(skills) AS skill FROM kept) "
+                  "GROUP BY 2 " for view in ("mart_role_skill_demand", "mart_skill_demand_by_role"))
+        + "UNION ALL SELECT 'mart_skill_trends_by_month', strftime(day, '%Y-%m') || ' ' || skill, count(*) "
+        f"FROM (SELECT {day} AS day, unnest(skills) AS skill FROM pp) WHERE day IS NOT NULL GROUP BY 2 "
+        f"UNION ALL SELECT 'stg_offres_view', coalesce(strftime({day}, '%Y-%m-%d'), 'none'), count(*) FROM pp GROUP BY 2")
     q["match_terms_reference"] = f"WITH {POSTINGS}, nd AS (SELECT id, {norm('description')} AS bn FROM po), " + ", ".join(
         f"{p} AS (SELECT id, {score_cols('bn', t, p)} FROM nd)" for p, t in (("i", R.INDUSTRY), ("s", R.SENIORITY), ("d", R.DOMAIN))
     ) + " " + " UNION ALL ".join(

@@ -7,7 +7,9 @@ Dedupe runs before enrichment (enrichment is row-wise, so the result is the
 same and the expensive text work is done once per posting). The staged
 snapshot is written first and every downstream dataset reads the written
 Parquet: lineage is cut at a durable table, so losing an executor never
-replays the text pipeline, and each mart scans only the columns it needs.
+replays the text pipeline, and each mart scans only the columns it needs. The
+staged snapshot and the datasets become current together, once all are
+written; a run that fails before leaves what the last one wrote.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from ..operators import quality as Q
 from ..operators.dedupe import dedupe_first
 from ..operators.reports import ladder_rank
 from ..sources import offers as S
+from ..sources.snapshots import commit, read_attempt, write_attempt
 
 
 def keyword_rank(c, keywords=R.SEARCH_KEYWORDS):
@@ -35,7 +38,7 @@ def dedupe_raw(raw: DataFrame, keywords=R.SEARCH_KEYWORDS) -> DataFrame:
     the smallest landing sequence, then the first in file order."""
     ranked = raw.withColumn("__kw_rank", keyword_rank(F.col("search_keyword"), keywords))
     order = [F.col("__kw_rank"), F.coalesce(F.col("_seq"), F.lit(0))] + ([F.col("_line")] if "_line" in raw.columns else [])
-    return dedupe_first(ranked, "id", order).drop("__kw_rank", "_line")
+    return dedupe_first(ranked, "id", order, "_line" if "_line" in raw.columns else None).drop("__kw_rank", "_line")
 
 
 def stage(raw: DataFrame, **rules) -> DataFrame:
@@ -67,20 +70,21 @@ def run(spark: SparkSession, raw_path: str, stage_path: str, analytics_path: str
     Q.gate(landed, f"for dt={dt}")
     raw, raw_obs = Q.observe_step(landed, "raw", rows=F.count(F.lit(1)))
     deduped, dd_obs = Q.observe_step(dedupe_raw(raw), "deduped", rows=F.count(F.lit(1)))
-    S.write_stage(S.stage_offers(S.flatten_offer(deduped)), stage_path, dt)
+    staged = write_attempt(S.stage_offers(S.flatten_offer(deduped)), stage_path, dt)
     # D2 from the counts observed during the write (no second pass over raw)
     n_raw, n_dedup = Q.observed(raw_obs, "rows"), Q.observed(dd_obs, "rows")
     counts = {"raw_rows": n_raw, "deduped_rows": n_dedup, "duplicates_removed": n_raw - n_dedup}
 
-    snapshot = S.read_stage(spark, stage_path, dt)
+    snapshot = read_attempt(spark, staged)
     quality = [r.asDict() for r in Q.metrics(snapshot).collect()]  # four rows
     seen = snapshot.agg(F.count(F.lit(1)).alias("n"), F.count_if(M.classified("role_family")).alias("classified")).first()
 
-    outputs, written = {}, {}
-    for name, build in ANALYTICS.items():
-        S.write_analytics(build(snapshot), analytics_path, name, dt)
-        outputs[name] = f"{analytics_path}/{name}/v1/dt={dt}"
-        written[name] = spark.read.parquet(outputs[name])
+    datasets = {name: write_attempt(build(snapshot), S.analytics_root(analytics_path, name), dt, staged.name)
+                for name, build in ANALYTICS.items()}
+    # all parts of the run are written: now, and only now, they become current
+    commit(spark, [staged, *datasets.values()])
+    outputs = {name: made.path for name, made in datasets.items()}
+    written = {name: read_attempt(spark, made) for name, made in datasets.items()}
     return RunReport(counts, quality, outputs, Q.step_summary(seen["n"], seen["classified"], written))
 
 

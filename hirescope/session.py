@@ -6,6 +6,7 @@ in settings that are still unset, so cluster values always win.
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 
@@ -50,6 +51,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+@functools.cache
+def _scratch() -> str:
+    return tempfile.mkdtemp(prefix="hirescope-shared-")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for tables between steps: that of ``spark.checkpoint.dir``. Only
+    a local session without the setting (one process) gets a scratch folder."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.conf.get("spark.master", "").startswith("local["):
+        return _scratch()
+    return checkpoint_dir(spark).rstrip("/")
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "hirescope") -> SparkSession:
     """Local session for tests and the bench (UI off, no extra ports); its
     checkpoint and warehouse folders are scratch folders of this machine."""

@@ -2,11 +2,13 @@
 
 Layout: ``<root>/dt=YYYY-MM-DD/...``; ``dt`` is a partition column, never
 stored in the files, declared as DATE on read so partition filters prune
-folders.
+folders. Staged and analytics tables are replaced day by day in one step
+(``sources.snapshots``).
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions import rules as R
 from ..functions import text as X
 from ..functions.enrich import enrich_frame
+from .snapshots import commit, read_snapshots, write_attempt
 
 # Raw posting as landed (JSON lines). Unknown fields are ignored.
 RAW_SCHEMA = T.StructType([
@@ -79,6 +82,8 @@ def land_offers(pages: Mapping[str, DataFrame], path: str, dt: str) -> None:
     """S2 + D12: tag each keyword's results with the keyword and a sequence
     number, union them (duplicates kept) and replace the day's raw files, so
     that a rerun neither doubles rows nor keeps withdrawn postings."""
+    if not pages:
+        raise ValueError("no keyword results to land")
     frames = []
     for keyword, df in pages.items():
         frames.append(
@@ -152,41 +157,72 @@ def staging_view(stage: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- S3–S7 ------
 
 def write_stage(df: DataFrame, path: str, dt) -> None:
-    """S3: the snapshot ``dt`` as Parquet in its own folder ``dt=...``; a rerun
-    replaces that folder, also when the new snapshot is empty, and no other."""
-    df.drop("dt").write.mode("overwrite").parquet(f"{path}/dt={dt}")
+    """S3: the snapshot ``dt`` as Parquet; a rerun replaces that day, also when
+    the new snapshot is empty, and no other. Readers see the old snapshot until
+    the new one is whole (``sources.snapshots``)."""
+    commit(df.sparkSession, [write_attempt(df, path, dt)])
 
 
 def read_stage(spark: SparkSession, path: str, dt=None) -> DataFrame:
-    """The staged table, one snapshot or all (partition pruned)."""
-    df = spark.read.option("basePath", path).parquet(path)
-    return _dt_filter(df.withColumn("dt", F.col("dt").cast("date")), dt)
+    """The staged table, one snapshot or all (only their folders are listed)."""
+    return read_snapshots(spark, path, dt)
 
 
 lake_table = read_stage
 
 
+def analytics_root(base: str, name: str, version: str = "v1") -> str:
+    return f"{base}/{name}/{version}"
+
+
 def write_analytics(df: DataFrame, base: str, name: str, dt, version: str = "v1") -> None:
-    """``<base>/<name>/<version>/dt=...``, one snapshot replaced (by an
-    empty one too)."""
-    df.drop("dt").write.mode("overwrite").parquet(f"{base}/{name}/{version}/dt={dt}")
+    """``<base>/<name>/<version>/dt=...``, one snapshot replaced as in S3."""
+    commit(df.sparkSession, [write_attempt(df, analytics_root(base, name, version), dt)])
+
+
+def read_analytics(spark: SparkSession, base: str, name: str, dt=None, version: str = "v1") -> DataFrame:
+    """A dataset of S5, one snapshot or all."""
+    return read_snapshots(spark, analytics_root(base, name, version), dt)
 
 
 def load_warehouse(df: DataFrame, table: str = "stg_offres") -> int:
-    """S6 + Q8: replace the table with one snapshot, then reconcile counts.
+    """S6 + Q8: load the snapshot beside the table, reconcile, then swap.
 
-    The expected count is observed while the write runs, so the input is
-    computed once.
+    Row count and an order-independent checksum of all rows are observed while
+    the write runs (the input is computed once) and compared with what the
+    loaded table holds. A load that differs is dropped and the old table stays.
     """
-    from ..operators.quality import observe_step, observed, reconcile
-
-    watched, obs = observe_step(df, f"load_{table}", rows=F.count(F.lit(1)))
-    watched.write.mode("overwrite").saveAsTable(table)
-    expected = observed(obs, "rows")
-    loaded = df.sparkSession.table(table).count()
-    if not reconcile(expected, loaded):
-        raise ValueError(f"row count mismatch after load: {expected} != {loaded}")
-    return loaded
+    from ..operators.quality import checksum, observe_step, observed, reconcile
+
+    spark = df.sparkSession
+    beside = f"{table}__load_{uuid.uuid4().hex[:8]}"
+    sums = {"rows": F.count(F.lit(1)), "checksum": checksum(df)}
+    watched, obs = observe_step(df, beside, **sums)
+    watched.write.saveAsTable(beside)
+    loaded = spark.table(beside)
+    got = loaded.agg(F.count(F.lit(1)).alias("rows"), checksum(loaded).alias("checksum")).first()
+    expected = (observed(obs, "rows"), observed(obs, "checksum"))
+    if not reconcile(expected, (got["rows"], got["checksum"] or 0)):
+        spark.sql(f"DROP TABLE {beside}")
+        raise ValueError(f"load of {table} differs from its input: rows and checksum {expected} != {(got['rows'], got['checksum'])}")
+    swap_table(spark, beside, table)
+    return got["rows"]
+
+
+def swap_table(spark: SparkSession, new: str, table: str) -> None:
+    """Give ``new`` the name ``table``; the table of that name goes once the new
+    one stands, and comes back if that fails."""
+    old = f"{table}__old_{uuid.uuid4().hex[:8]}" if spark.catalog.tableExists(table) else None
+    if old:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        if old:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if old:
+        spark.sql(f"DROP TABLE {old}")
 
 
 # ------------------------------------------------------------------ S8/S9 -
