@@ -15,9 +15,12 @@ Groups of copies meet in the same buckets. Equal sets are one class. In every
 bucket each class is first compared with one member only, that of the most
 company over all buckets (the text that others are copies of has more than the
 copies); connected components follow, and only classes of different components
-that still share a bucket are paired. Of these, classes whose shingles are
-mostly found in no other such class are told first: an intersection holds none
-of these shingles, which bounds the similarity to all others.
+that still share a bucket are paired. In buckets of more than ``CROWD`` classes,
+a class's rare shingles, which at most ``CROWD`` of these classes have, are told
+first. Two classes that share none of these have at most their other shingles
+in common, which rules most pairs out by two numbers; classes that share some
+meet in the rare shingles' own lists, which are short. So the pairs grow with a
+group, not with its square.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ ship(__name__)
 PERCENT = 80  # Jaccard similarity of a link, in hundredths
 SHINGLE = 4  # words
 BANDS, ROWS = 40, 5
+CROWD = 32  # classes of a bucket that are paired at once
 _BLOCK = 2048  # tokens in one block of the signature's table
 
 _U = np.uint64
@@ -141,11 +145,13 @@ def _class() -> Column:
 
 
 def _posts(signed: DataFrame) -> DataFrame:
-    """(bucket, k1, k2, n, size) of buckets that hold two classes or more."""
-    posts = signed.select(F.explode("buckets").alias("bucket"), "k1", "k2", "n").distinct()
-    posts = stored(posts, "circulant-posts")
-    full = posts.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    return stored(posts.join(stored(full, "circulant-buckets"), "bucket"), "circulant-met")
+    """(bucket, k1, k2, n, size) of buckets that hold two classes or more. These
+    buckets are found by two numbers each, combined before the shuffle; of all
+    other entries only what a bounded bitmap lets through is moved."""
+    entries = signed.select(F.explode("buckets").alias("bucket"), "k1", "k2", "n")
+    full = entries.groupBy("bucket").agg(F.min("k1").alias("x"), F.max("k1").alias("y")).where("x <> y").select("bucket")
+    met = stored(semi_by_bloom(entries, "bucket", stored(full, "circulant-buckets"), "circulant-bloom").distinct(), "circulant-posts")
+    return stored(met.join(met.groupBy("bucket").agg(F.count("*").alias("size")), "bucket"), "circulant-met")
 
 
 def _sets(docs: DataFrame, signed: DataFrame, posts: DataFrame) -> DataFrame:
@@ -181,19 +187,62 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(pairs.where(100 * both >= PERCENT * (F.col("an") + F.col("bn") - both)).select("a", "b"), "circulant-links")
 
 
-def _apart(posts: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(bucket, c, n, comp, most) of the classes that may still link to one of
-    another component: their bucket holds two components, and enough of their
-    shingles are found in another class of such a bucket (``most``)."""
-    held = posts.select("bucket", _class().alias("c"), "n").join(groups.select(F.col("id").alias("c"), "comp"), "c", "left")
+def _placed(held: DataFrame) -> DataFrame:
+    """``held`` with ``where``, all buckets in which it has the class, in order
+    (``BANDS`` at most), and ``main``, whether the class is of the component that
+    the bucket's centre belongs to."""
+    return held.join(held.groupBy("c").agg(F.sort_array(F.collect_set("bucket")).alias("where")), "c").withColumn(
+        "main", F.col("comp") == F.col("maincomp"))
+
+
+def _pairs(held: DataFrame, at: str, *, shared: bool) -> DataFrame:
+    """(a, an, b, bn): classes of different components that meet in a list of
+    ``held`` (``at``, c, n, comp, most) and may have enough in common: what is
+    not rare in either (``most``) and, where the lists are those of rare
+    shingles (``shared``), those that they meet in."""
+    own = ["c", "n", "comp", "most"] + ["where", "main"] * (not shared)
+    a, b = (held.select(at, *[F.col(c).alias(e + c) for c in own]) for e in "ab")
+    least = F.least("amost", "bmost")
+
+    def enough(common: Column) -> Column:
+        return 100 * common >= PERCENT * (F.col("an") + F.col("bn") - common)
+
+    apart = (F.col("acomp") != F.col("bcomp")) & _similar(F.col("an"), F.col("bn"))
+    ends = [F.col("ac").alias("a"), F.col("an"), F.col("bc").alias("b"), F.col("bn")]
+    if shared:
+        met = a.join(b, at).where((F.col("ac") < F.col("bc")) & apart).groupBy(*ends, least.alias("least")).agg(F.count("*").alias("votes"))
+        return met.where(enough(F.col("least") + F.col("votes"))).drop("least", "votes")
+    # classes outside a bucket's main component against all others; each pair in
+    # the first bucket that it has in common, and only there
+    once = F.col("bmain") | (F.col("ac") < F.col("bc"))
+    first = F.get(F.array_intersect("awhere", "bwhere"), 0) == F.col(at)
+    return a.where("not amain").join(b, at).where(once & apart & enough(least) & first).select(*ends)
+
+
+def _rest(known: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, an, b, bn): the pairs that may still be links between components."""
+    held = known.select("bucket", F.struct("rank.k1", "rank.k2").alias("c"), "n", "rank.company").join(groups.select(F.col("id").alias("c"), "comp"), "c", "left")
     held = stored(held.withColumn("comp", F.coalesce("comp", "c")), "circulant-labelled")
-    mixed = held.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    held = stored(held.join(mixed, "bucket", "left_semi"), "circulant-mixed")
-    tokens = held.select("c.k1", "c.k2").distinct().join(sets, ["k1", "k2"]).select(_class().alias("c"), F.explode("set").alias("token"))
-    alone = tokens.groupBy("token").agg(F.min("c").alias("c"), F.max("c").alias("z")).where("c = z")
-    own = stored(alone.groupBy("c").agg(F.count("*").cast("int").alias("own")), "circulant-own")
-    held = held.join(own, "c", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-    return stored(held.where(100 * F.col("most") >= PERCENT * F.col("n")).select("bucket", "c", "n", "comp", "most"), "circulant-apart")
+    mixed = held.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"),
+                                       F.max(F.struct("company", "comp")).alias("main")).where("x <> y")
+    held = stored(held.join(mixed.select("bucket", "members", F.col("main.comp").alias("maincomp")), "bucket"), "circulant-mixed")
+    few = held.where(F.col("members") <= CROWD).withColumn("most", F.col("n"))
+    many = held.where(F.col("members") > CROWD)
+    crowd = stored(many.select("c", "n", "comp").distinct(), "circulant-crowd")
+    # shingles that few of the crowd have
+    tokens = crowd.join(sets.select(_class().alias("c"), "set"), "c").select(F.explode("set").alias("token"), "c", "n", "comp")
+    tokens = stored(tokens, "circulant-tokens")
+    rare = tokens.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") <= CROWD)
+    rare = stored(tokens.join(rare, "token"), "circulant-rare")
+    own = stored(rare.groupBy("c").agg(F.count("*").cast("int").alias("own")), "circulant-own")
+
+    def bounded(df: DataFrame) -> DataFrame:
+        return df.join(own, "c", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+
+    many = stored(bounded(many).where(100 * F.col("most") >= PERCENT * F.col("n")), "circulant-many")
+    rare = stored(bounded(rare.where("members > 1")), "circulant-rare-lists")
+    within = _pairs(_placed(few), "bucket", shared=False).union(_pairs(_placed(many), "bucket", shared=False))
+    return within.union(_pairs(rare, "token", shared=True)).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -222,13 +271,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _verified(stored(stars, "circulant-stars"), sets)
     groups = components(links, "circulant-groups")
 
-    # what is still apart within a bucket
-    held = _apart(posts, groups, sets)
-    a, b = (held.select("bucket", *[F.col(c).alias(e + c) for c in ("c", "n", "comp", "most")]) for e in "ab")
-    common = F.least("amost", "bmost")
-    rest = a.join(b, "bucket").where("ac < bc and acomp <> bcomp").where(_similar(F.col("an"), F.col("bn"))).where(
-        100 * common >= PERCENT * (F.col("an") + F.col("bn") - common))
-    rest = stored(rest.select(F.col("ac").alias("a"), "an", F.col("bc").alias("b"), "bn").distinct(), "circulant-rest")
+    rest = stored(_rest(known, groups, sets), "circulant-rest")
     if not rest.isEmpty():
         links = links.union(_verified(rest, sets))
         groups = components(links, "circulant-groups")
