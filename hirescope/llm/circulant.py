@@ -15,10 +15,11 @@ Groups of copies meet in the same buckets. Equal sets are one class. In every
 bucket each class is first compared with one member only, that of the most
 company over all buckets (the text that others are copies of has more than the
 copies); connected components follow, and only classes of different components
-that still share a bucket are paired. In buckets of more than ``CROWD`` classes,
-a class's rare shingles, which at most ``CROWD`` of these classes have, are told
-first. Two classes that share none of these have at most their other shingles
-in common, which rules most pairs out by two numbers; classes that share some
+that still share a bucket are paired. What no other of these classes has of a
+class's shingles is in no intersection, which rules most pairs out by two
+numbers. In buckets of more than ``CROWD`` classes, so are the rare shingles,
+which at most ``CROWD`` of these classes have: two classes that share none of
+them have at most their other shingles in common, and classes that share some
 meet in the rare shingles' own lists, which are short. So the pairs grow with a
 group, not with its square.
 """
@@ -180,19 +181,17 @@ def _similar(a: Column, b: Column) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b, an, bn) that are links, by their whole sets."""
-    for e in "ba":  # the side that few pairs share first
-        side = sets.select(F.struct("k1", "k2").alias(e), F.col("set").alias(f"{e}set"))
-        pairs = pairs.join(side, e)
+    a, b = (sets.select(F.struct("k1", "k2").alias(e), F.col("set").alias(f"{e}set")) for e in "ab")
+    few = stored(pairs.select("a").distinct(), "circulant-ends")  # one text is the first of many pairs
+    pairs = pairs.join(b, "b").join(a.join(few, "a", "left_semi"), "a")
     both = F.size(F.array_intersect("aset", "bset"))
     return stored(pairs.where(100 * both >= PERCENT * (F.col("an") + F.col("bn") - both)).select("a", "b"), "circulant-links")
 
 
 def _placed(held: DataFrame) -> DataFrame:
-    """``held`` with ``where``, all buckets in which it has the class, in order
-    (``BANDS`` at most), and ``main``, whether the class is of the component that
-    the bucket's centre belongs to."""
-    return held.join(held.groupBy("c").agg(F.sort_array(F.collect_set("bucket")).alias("where")), "c").withColumn(
-        "main", F.col("comp") == F.col("maincomp"))
+    """``held`` with ``where``: all buckets in which it has the class, in order
+    (``BANDS`` at most)."""
+    return held.join(held.groupBy("c").agg(F.sort_array(F.collect_set("bucket")).alias("where")), "c")
 
 
 def _pairs(held: DataFrame, at: str, *, shared: bool) -> DataFrame:
@@ -200,7 +199,7 @@ def _pairs(held: DataFrame, at: str, *, shared: bool) -> DataFrame:
     ``held`` (``at``, c, n, comp, most) and may have enough in common: what is
     not rare in either (``most``) and, where the lists are those of rare
     shingles (``shared``), those that they meet in."""
-    own = ["c", "n", "comp", "most"] + ["where", "main"] * (not shared)
+    own = [c for c in ("c", "n", "comp", "most", "main", "where") if c in held.columns]
     a, b = (held.select(at, *[F.col(c).alias(e + c) for c in own]) for e in "ab")
     least = F.least("amost", "bmost")
 
@@ -212,11 +211,12 @@ def _pairs(held: DataFrame, at: str, *, shared: bool) -> DataFrame:
     if shared:
         met = a.join(b, at).where((F.col("ac") < F.col("bc")) & apart).groupBy(*ends, least.alias("least")).agg(F.count("*").alias("votes"))
         return met.where(enough(F.col("least") + F.col("votes"))).drop("least", "votes")
-    # classes outside a bucket's main component against all others; each pair in
-    # the first bucket that it has in common, and only there
-    once = F.col("bmain") | (F.col("ac") < F.col("bc"))
-    first = F.get(F.array_intersect("awhere", "bwhere"), 0) == F.col(at)
-    return a.where("not amain").join(b, at).where(once & apart & enough(least) & first).select(*ends)
+    # classes outside a bucket's main component against all others; in long lists
+    # each pair in the first bucket that it has in common, and only there
+    once = (F.col("bmain") | (F.col("ac") < F.col("bc"))) & apart & enough(least)
+    if "where" in own:
+        once &= F.get(F.array_intersect("awhere", "bwhere"), 0) == F.col(at)
+    return a.where("not amain").join(b, at).where(once).select(*ends)
 
 
 def _rest(known: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -225,9 +225,16 @@ def _rest(known: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
     held = stored(held.withColumn("comp", F.coalesce("comp", "c")), "circulant-labelled")
     mixed = held.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("members"),
                                        F.max(F.struct("company", "comp")).alias("main")).where("x <> y")
-    held = stored(held.join(mixed.select("bucket", "members", F.col("main.comp").alias("maincomp")), "bucket"), "circulant-mixed")
-    few = held.where(F.col("members") <= CROWD).withColumn("most", F.col("n"))
-    many = held.where(F.col("members") > CROWD)
+    held = held.drop("company").join(mixed.select("bucket", "members", F.col("main.comp").alias("maincomp")), "bucket")
+    held = stored(held.withColumn("main", F.col("comp") == F.col("maincomp")).drop("maincomp"), "circulant-mixed")
+    # shingles that no other class of any mixed bucket has (told by k1 alone)
+    tokens = held.select("c").distinct().join(sets.select(_class().alias("c"), "set"), "c").select(F.col("c.k1").alias("k"), F.explode("set").alias("token"))
+    alone = tokens.groupBy("token").agg(F.min("k").alias("k"), F.max("k").alias("z")).where("k = z")
+    alone = stored(alone.groupBy("k").agg(F.count("*").cast("int").alias("alone")), "circulant-alone")
+    held = held.withColumn("k", F.col("c.k1")).join(alone, "k", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))).drop("k", "alone")
+    held = stored(held.where(100 * F.col("most") >= PERCENT * F.col("n")), "circulant-left")
+    few = held.where(F.col("members") <= CROWD)
+    many = held.where(F.col("members") > CROWD).drop("most")
     crowd = stored(many.select("c", "n", "comp").distinct(), "circulant-crowd")
     # shingles that few of the crowd have
     tokens = crowd.join(sets.select(_class().alias("c"), "set"), "c").select(F.explode("set").alias("token"), "c", "n", "comp")
@@ -241,7 +248,7 @@ def _rest(known: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
 
     many = stored(bounded(many).where(100 * F.col("most") >= PERCENT * F.col("n")), "circulant-many")
     rare = stored(bounded(rare.where("members > 1")), "circulant-rare-lists")
-    within = _pairs(_placed(few), "bucket", shared=False).union(_pairs(_placed(many), "bucket", shared=False))
+    within = _pairs(few, "bucket", shared=False).distinct().union(_pairs(_placed(many), "bucket", shared=False))
     return within.union(_pairs(rare, "token", shared=True)).distinct()
 
 

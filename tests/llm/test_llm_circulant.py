@@ -115,4 +115,4 @@ def test_a_group_makes_few_comparisons(spark, monkeypatch):
     monkeypatch.setattr(circulant, "_verified", counted)
     got = circulant.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(r[0], r[2]) for r in sorted(brute_components(docs))]
-    assert sum(compared) < circulant.CROWD * len(docs)
+    assert sum(compared) < 8 * len(docs), compared
