@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, ship, stored
+from .common import arrow_batches, ship, stored, worker_cache
 
 ship(__name__)
 
@@ -33,7 +33,7 @@ PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Most id pairs that are sent to every executor (32 MB); above it the counts
 #: are joined by a shuffle.
 MAX_BROADCAST_PAIRS = 1 << 20
-MEMO = 300_000  # words of A that a worker remembers
+MEMO = 800_000  # words of A that a worker remembers (some 150 bytes each)
 _LONGEST = 64  # characters of a word that is remembered
 #: Spaces at which a byte-level tokenizer cuts in any case: between two
 #: characters that are certainly no white space (it goes to the next word).
@@ -192,15 +192,14 @@ def alignments(docs: DataFrame, files: dict | None = None, with_groups: bool = T
     Null and empty texts, and texts that either tokenizer does not give back
     byte for byte, have no tokens: zeros, no pairs, and '' for the groups.
     """
-    made = docs.sparkSession.sparkContext.broadcast(files or tokenizer_files())
-    memo: list = []
+    files = files or tokenizer_files()
+    key = hashlib.sha256(files["a"].encode() + files["b"]).hexdigest()
+    made = docs.sparkSession.sparkContext.broadcast(files)
     kind = f"n_a long, n_b long, n_groups long, n_links long, {'groups string, ' * with_groups}groups_sha256 string, pairs array<long>, times array<int>"
 
     @F.pandas_udf(kind)
     def aligned(col: pd.Series) -> pd.DataFrame:
-        if not memo:
-            memo.append(Aligner(made.value))
-        aligner, rows = memo[0], []
+        aligner, rows = worker_cache("alignment", key, lambda: Aligner(made.value)), []
         for a, b in aligner.encode([t or "" for t in col]):
             if not len(a):
                 rows.append((0, 0, 0, 0, *[""] * (1 + with_groups), [], []))

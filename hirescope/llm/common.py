@@ -7,6 +7,7 @@ from __future__ import annotations
 import functools
 import sys
 import tempfile
+import types
 import uuid
 
 from pyspark import cloudpickle
@@ -20,6 +21,18 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+ship(__name__)
+
+
+def worker_cache(name: str, key, make):
+    """``make()``, kept by a Python worker for its further tasks (one value a
+    name: another key replaces it). Only for what depends on the key alone."""
+    held = sys.modules.setdefault("_hirescope_worker_cache", types.ModuleType("_hirescope_worker_cache")).__dict__
+    if held.get(name, (None,))[0] != key:
+        held[name] = (key, make())
+    return held[name][1]
+
+
 @functools.cache
 def _scratch() -> str:
     return tempfile.mkdtemp(prefix="hirescope-llm-")

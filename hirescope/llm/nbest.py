@@ -27,13 +27,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, ship
+from .common import arrow_batches, ship, worker_cache
 
 ship(__name__)
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-MEMO = 400_000  # chunks a worker remembers
+MEMO = 1_000_000  # chunks a worker remembers (some 250 bytes each)
 
 
 def vocabulary(path: str = MODEL) -> dict:
@@ -273,18 +273,16 @@ class Segmenter:
         taken = on[1:].T
         flat = piece[1:].T[taken].astype("<i4")
         stops = np.cumsum(taken.sum(axis=1)).tolist()
-        raw, listed, scores, losses = flat.tobytes(), flat.tolist(), before[size].tolist(), (before[size] - second).tolist()
-        names, start = self.names, 0
-        for c, stop, score, loss in zip(group, stops, scores, losses):
-            self.memo[c] = (raw[4 * start:4 * stop], score, loss, "".join([names[i] for i in listed[start:stop]]))
-            start = stop
+        raw, scores, losses = flat.tobytes(), before[size].tolist(), (before[size] - second).tolist()
+        starts = [0, *[4 * s for s in stops]]
+        self.memo.update(zip(group, zip(map(raw.__getitem__, map(slice, starts, starts[1:])), scores, losses)))
 
     def chunk(self, text: str):
-        """(packed ids, score, loss of the second best path, decoded)."""
+        """(packed ids, score, loss of the second best path)."""
         got = self.memo.get(text)
         if got is None:
             ids, score, loss = self.best(text)
-            got = (np.array(ids, dtype="<i4").tobytes(), score, loss, self.decode(ids))
+            got = (np.array(ids, dtype="<i4").tobytes(), score, loss)
             if len(text) <= 256:
                 if len(self.memo) >= MEMO:
                     self.memo.clear()
@@ -325,7 +323,7 @@ class Segmenter:
             options = [(0.0, 0, ())] + [(loss, len(i) - len(own[0]) // 4, ((k, i),)) for loss, i in self.others(chunks[k], own[0], own[1])]
             merged = sorted((a + b, m + n, x + y) for a, m, x in merged for b, n, y in options)[:self.n]
         return ids, count, [score - loss for loss, _, _ in merged], [count + more for _, more, _ in merged], merged, \
-            "".join([p[3] for p in parts])[1:].replace(SPACE, " ") if decoded else None, parts
+            self.decode(np.frombuffer(ids, "<i4").tolist())[1:].replace(SPACE, " ") if decoded else None, parts
 
 
 def patches_of(parts, swaps) -> list[tuple[int, int, tuple[int, ...]]]:
@@ -373,17 +371,17 @@ def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids:
     comes back with spaces). Null texts have null results; empty ones have no
     tokens and one path of score 0.
     """
-    made = docs.sparkSession.sparkContext.broadcast(vocab or vocabulary(model))
+    vocab = vocab or vocabulary(model)
+    key = (n, zlib.crc32(repr(sorted(vocab["pieces"].items())).encode()), len(vocab["bytes"]), vocab["unk"], vocab["penalty"])
+    made = docs.sparkSession.sparkContext.broadcast(vocab)
     others = f"n_best_patches array<{_PATCH}>" if as_patches else "n_best_ids array<array<int>>"
     kind = _RESULT + f", ids array<int>, {others}" * with_ids
     names = re.findall(r"(\w+) (?=long|array|boolean)", kind)
-    memo: list = []
 
     @F.pandas_udf(kind)
     def encoded(col: pd.Series) -> pd.DataFrame:
-        if not memo:
-            memo.extend([Segmenter(made.value, n), Spelling(made.value)])
-        (seg, spelling), rows = memo, []
+        seg, spelling = worker_cache("nbest", key, lambda: (Segmenter(made.value, n), Spelling(made.value)))
+        rows = []
         split = [[] if text is None else seg.chunks(text) for text in col]
         seg.learn({c for chunks in split for c in chunks if c not in seg.memo})
         waiting, size = [], 0
