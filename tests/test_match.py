@@ -55,3 +55,40 @@ def test_empty_dictionary_matches_nothing(spark):
     none = spark.createDataFrame([], "category string, cat_ord int, keyword string")
     df = spark.createDataFrame([(1, "a b")], "id int, text string")
     assert [r.category for r in J.infer_category_by_join(df, "id", "text", J.prepare_dictionary(none)).collect()] == ["unknown"]
+
+
+def test_a_dictionary_of_100_000_terms(spark):
+    """Terms of one to four words under one anchor each: the same hits as by
+    looking every term up in every text, from places around anchors only."""
+    import random
+
+    rng = random.Random(7)
+    vocab = [f"v{i}" for i in range(3000)]
+    terms = sorted({" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 4))) for _ in range(101_000)} | {"c++", ".net", "++", "a/b"})[:100_000]
+    texts = [" ".join(rng.choice(vocab + ["plain"] * 9000) for _ in range(120)) for _ in range(60)] + ["asp.net and c++ a/b", "", None, "x++y"]
+    for i in range(20):
+        texts.append(" ".join(["plain"] * 5 + [rng.choice(terms)] + ["words"] * 5))
+    dictionary = J.prepare_dictionary(spark.createDataFrame([(t, "c", 0) for t in terms], "keyword string, category string, cat_ord int"))
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, norm string")
+    got = {r.id: r.score for r in J.match_scores(df, "id", "norm", dictionary).collect()}
+    import re
+
+    want, known = {}, set(terms)
+    for i, t in enumerate(texts):
+        runs = re.findall("[a-z0-9_]+|[^a-z0-9_]+", t or "")
+        hits = set()
+        for a in range(len(runs)):
+            for b in range(a + 1, min(a + 8, len(runs)) + 1):
+                term = "".join(runs[a:b])
+                opens, closes = re.match("[a-z0-9_]", term) or a > 0, re.match("[a-z0-9_]", runs[b - 1]) or b < len(runs)
+                if term in known and opens and closes:
+                    hits.add(term)
+        if hits:
+            want[i] = len(hits)
+    assert got == want and len(want) > 30
+    anchors = J.with_anchors(dictionary)
+    places = J.text_places(df, "id", "norm", J._bitmap(anchors), 6, 6)
+    found = places.join(anchors.select("anchor").distinct(), "anchor").count()
+    total = sum(len((t or "").split()) for t in texts)
+    assert places.count() <= found + total // 4  # few places that are no anchor's
+    assert max(len(r.around) for r in places.select("around").collect()) <= 15
