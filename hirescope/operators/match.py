@@ -12,10 +12,12 @@ of the normalised text - become an anchor join:
 * each term is filed under one of its runs, its anchor: the word run that the
   fewest terms of the dictionary hold (a term without a word run under its
   first run);
-* a text emits the runs around the places of anchors only. A bitmap of the
-  anchors, a literal of bounded size, picks the places before anything is
-  exploded; it passes some others, which the join drops. So the rows grow with
-  the hits, not with the text times the lengths of the terms.
+* a term that is one word run is found among a text's distinct runs;
+* for longer terms a text emits the runs around the places of anchors only,
+  equal surroundings once. A bitmap of the
+  anchors, a literal of bounded size, picks the runs and places before anything
+  is exploded; it passes some others, which the join drops. So the rows grow
+  with the hits, not with the text times the lengths of the terms.
 
 The join is Spark's: broadcast below its size threshold, else a shuffle join
 (AQE splits skewed anchors).
@@ -80,15 +82,29 @@ def text_places(df: DataFrame, id_col: str, norm_col: str, bitmap: bytes, before
     anchor, with up to ``before`` runs in front and ``after`` behind (and one
     more on either side, which tells whether there is any); ``at`` is the
     anchor's place in ``around``, from 0."""
-    staged = df.select(F.col(id_col).alias("__id"), F.regexp_extract_all(F.col(norm_col), F.lit(_RUNS), 0).alias("__runs"))
     runs = F.col("__runs")
-    marked = F.lit(bitmap)
-    picked = F.filter(F.transform(runs, lambda run, i: F.when(
-        F.substring(marked, _slot(run, len(bitmap)) + 1, F.lit(1)) == F.lit(b"\x01"), i)), lambda i: i.isNotNull())
-    places = staged.select("__id", "__runs", F.explode(picked).alias("i"))
-    first = F.greatest(F.col("i") - (before + 1), F.lit(0))
-    return places.select("__id", F.get("__runs", F.col("i")).alias("anchor"),
-                         F.slice("__runs", first + 1, F.col("i") - first + (after + 2)).alias("around"), (F.col("i") - first).alias("at"))
+    picked = F.filter(F.transform(runs, lambda run, i: F.when(_marked(run, bitmap), i)), lambda i: i.isNotNull())
+
+    def place(i: Column) -> Column:
+        first = F.greatest(i - (before + 1), F.lit(0))
+        return F.struct(F.get(runs, i).alias("anchor"), F.slice(runs, first + 1, i - first + (after + 2)).alias("around"), (i - first).alias("at"))
+
+    places = F.array_distinct(F.transform(picked, place))
+    return _cut(df, id_col, norm_col).select("__id", F.explode(places).alias("p")).select("__id", "p.*")
+
+
+def _cut(df: DataFrame, id_col: str, norm_col: str) -> DataFrame:
+    return df.select(F.col(id_col).alias("__id"), F.regexp_extract_all(F.col(norm_col), F.lit(_RUNS), 0).alias("__runs"))
+
+
+def _marked(run: Column, bitmap: bytes) -> Column:
+    return F.substring(F.lit(bitmap), _slot(run, len(bitmap)) + 1, F.lit(1)) == F.lit(b"\x01")
+
+
+def text_words(df: DataFrame, id_col: str, norm_col: str, bitmap: bytes) -> DataFrame:
+    """``(__id, term)``: the distinct runs of the text that the bitmap marks."""
+    words = F.filter(F.array_distinct("__runs"), lambda run: _marked(run, bitmap))
+    return _cut(df, id_col, norm_col).select("__id", F.explode(words).alias("term"))
 
 
 def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFrame) -> DataFrame:
@@ -99,7 +115,9 @@ def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFram
     over the dictionary alone). A term counts once per text, however often it
     occurs; the score is the sum of the weights.
     """
-    anchors = with_anchors(dictionary)
+    word = (F.size("runs") == 1) & F.col("term").rlike(_WORD)
+    words = dictionary.where(word).select("term").distinct()
+    anchors = with_anchors(dictionary.where(~word))
     reach = anchors.agg(F.max("at"), F.max(F.size("runs") - 1 - F.col("at"))).first()
     places = text_places(df, id_col, norm_col, _bitmap(anchors), reach[0] or 0, reach[1] or 0)
     terms = anchors.select("term", "anchor", "runs", F.col("at").alias("lead"))
@@ -109,6 +127,8 @@ def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFram
     opens = F.get("runs", F.lit(0)).rlike(_WORD) | (start > 0)
     closes = F.element_at("runs", -1).rlike(_WORD) | (stop < F.size("around"))
     found = places.join(terms, "anchor").where(inside & opens & closes).select("__id", "term").distinct()
+    single = text_words(df, id_col, norm_col, _bitmap(words.withColumnRenamed("term", "anchor")))
+    found = found.unionByName(single.join(words, "term", "left_semi"))
     weights = dictionary.select("term", "category", "cat_ord", "weight")
     return found.join(weights, "term").groupBy(F.col("__id").alias(id_col), "category", "cat_ord").agg(F.sum("weight").alias("score"))
 
