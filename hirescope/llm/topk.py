@@ -146,13 +146,13 @@ def _cell(k: int):
 
 
 def exact_top_k(rows: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id, score: for each row whose vec_id is divisible by
-    ``every`` the ``k`` other rows of the highest integer inner product, ties to
-    the smaller vec_id.
+    """query_id, rank, vec_id, score: for each vec_id that is divisible by
+    ``every`` the ``k`` rows of other ids with the highest integer inner product,
+    ties to the smaller vec_id.
 
-    Vectors are compared with those of their own length. Rows that repeat a
-    vec_id are rows of their own (listed as often as they occur, and never for
-    a query of their id). Scores are exact up to 2^53. Empty input, or a query
+    Vectors are compared with those of their own length. A query id has one
+    list: if rows repeat it, the products with all of its vectors are ranked
+    together. Other rows that repeat a vec_id are listed as often as they occur. Scores are exact up to 2^53. Empty input, or a query
     without others, gives no rows.
     """
     spark = rows.sparkSession

@@ -150,9 +150,8 @@ def brute_top(rows, every=20, k=20):
             ok.append((i, [int(np.floor(64 * float(np.float32(x)))) for x in v]))
     out = []
     for q in sorted({i for i, _ in ok if i % every == 0}):
-        for qv in [v for i, v in ok if i == q]:
-            scored = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in ok if i != q and len(v) == len(qv))
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+        scored = sorted((-sum(a * b for a, b in zip(qv, v)), i) for j, qv in ok if j == q for i, v in ok if i != q and len(v) == len(qv))
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -161,7 +160,7 @@ def test_top_k_matches_brute_force(spark):
     rows = [(int(i), [float(x) for x in rng.normal(size=40).astype(np.float32)]) for i in range(400)]
     rows += [(1000 + i, rows[20][1]) for i in range(60)]  # ties
     rows += [(2000, None), (2001, [1.0, None]), (2002, [float("nan")] * 40), (2003, [float("inf")] * 40), (None, rows[0][1]), (2020, [1.0, 2.0]),
-             (2021, [0.5, -1.0]), (2040, [])]
+             (2021, [0.5, -1.0]), (2040, []), (40, rows[7][1]), (41, rows[41][1])]  # a query id and another id that repeat
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
     got = sorted(map(tuple, topk.exact_top_k(df).collect()))
     assert got == brute_top(rows)
