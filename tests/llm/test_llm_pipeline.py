@@ -15,8 +15,8 @@ from hirescope.llm.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES) and [n for n, _ in P.STAGES] and len(P.STAGES) == 5
 
 
