@@ -24,7 +24,7 @@ from ..operators import lake as L
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators import reports as P
-from ..session import shared_dir
+from ..session import shared_dir, spread
 from ..sources import offers as S
 from ..sources.snapshots import commit, write_attempt
 from . import driver_rules as TR
@@ -509,8 +509,9 @@ def q_coverage(spark, sf_dir):
 def raw_postings(spark, sf_dir) -> DataFrame:
     """part as raw postings in the landed shape: titles and descriptions hold
     terms of the posting rules, picked from their lists by the part key (see
-    ``driver_rules``), so that every rule occurs."""
-    p = table(spark, sf_dir, "part")
+    ``driver_rules``), so that every rule occurs. The rules are heavy in each
+    row, a file of narrow rows is a task or two."""
+    p = spread(table(spark, sf_dir, "part"))
     k = F.col("p_partkey").cast("long")
 
     def pick(terms, factor, shift=0):

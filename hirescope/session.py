@@ -10,7 +10,7 @@ import functools
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: runtime re-planning (AQE coalesces small
 # shuffle partitions and splits skewed ones), UTC wall clock for the
@@ -64,6 +64,15 @@ def shared_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A source for work that is heavy in each row: where it is read by fewer
+    tasks than there are cores (a small file can hold many rows), its rows are
+    dealt out evenly. A source of more tasks stays as it is. Four tasks a core:
+    each one loads the rules again."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "hirescope") -> SparkSession:
     """Local session for tests and the bench (UI off, no extra ports); its
     checkpoint and warehouse folders are scratch folders of this machine."""
