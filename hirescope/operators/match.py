@@ -19,8 +19,9 @@ of the normalised text - become an anchor join:
   is exploded; it passes some others, which the join drops. So the rows grow
   with the hits, not with the text times the lengths of the terms.
 
-The join is Spark's: broadcast below its size threshold, else a shuffle join
-(AQE splits skewed anchors).
+The join is Spark's: the dictionary is broadcast up to ``MAX_BROADCAST``, else it
+is a sort-merge join (AQE splits skewed anchors). What comes of the texts is never
+a broadcast side, however small Spark takes it to be: it grows with the input.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ _RUNS = "[a-z0-9_]+|[^a-z0-9_]+"
 _WORD = "^[a-z0-9_]"
 #: Most places of the anchors' bitmap (a byte each); a full one only passes more.
 MAX_BITMAP = 1 << 20
+#: Most characters of a dictionary (and 64 a term) that is broadcast.
+MAX_BROADCAST = 1 << 24
 
 
 def prepare_dictionary(dictionary: DataFrame, keyword: str = "keyword", category: str = "category",
@@ -120,7 +123,9 @@ def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFram
     anchors = with_anchors(dictionary.where(~word))
     reach = anchors.agg(F.max("at"), F.max(F.size("runs") - 1 - F.col("at"))).first()
     places = text_places(df, id_col, norm_col, _bitmap(anchors), reach[0] or 0, reach[1] or 0)
-    terms = anchors.select("term", "anchor", "runs", F.col("at").alias("lead"))
+    listed = dictionary.agg(F.sum(F.length("term") + 64)).first()[0] or 0
+    side = "broadcast" if listed <= MAX_BROADCAST else "merge"
+    terms = anchors.select("term", "anchor", "runs", F.col("at").alias("lead")).hint(side)
     start = F.col("at") - F.col("lead")
     stop = start + F.size("runs")
     inside = (start >= 0) & (F.slice("around", F.greatest(start, F.lit(0)) + 1, F.size("runs")) == F.col("runs"))
@@ -128,8 +133,8 @@ def match_scores(df: DataFrame, id_col: str, norm_col: str, dictionary: DataFram
     closes = F.element_at("runs", -1).rlike(_WORD) | (stop < F.size("around"))
     found = places.join(terms, "anchor").where(inside & opens & closes).select("__id", "term").distinct()
     single = text_words(df, id_col, norm_col, _bitmap(words.withColumnRenamed("term", "anchor")))
-    found = found.unionByName(single.join(words, "term", "left_semi"))
-    weights = dictionary.select("term", "category", "cat_ord", "weight")
+    found = found.unionByName(single.join(words.hint(side), "term", "left_semi"))
+    weights = dictionary.select("term", "category", "cat_ord", "weight").hint(side)
     return found.join(weights, "term").groupBy(F.col("__id").alias(id_col), "category", "cat_ord").agg(F.sum("weight").alias("score"))
 
 
@@ -143,7 +148,7 @@ def infer_category_by_join(df: DataFrame, id_col: str, text_col: str, dictionary
                            out: str = "category") -> DataFrame:
     """E2 for every row of ``df`` (``unknown`` when nothing matches)."""
     normed = df.select(id_col, normalize_for_match(F.col(text_col)).alias("__norm"))
-    best = best_category(match_scores(normed, id_col, "__norm", dictionary), id_col, out)
+    best = best_category(match_scores(normed, id_col, "__norm", dictionary), id_col, out).hint("merge")
     return df.select(id_col).join(best, id_col, "left").select(
         id_col, F.coalesce(F.col(out), F.lit("unknown")).alias(out))
 

@@ -92,3 +92,21 @@ def test_a_dictionary_of_100_000_terms(spark):
     total = sum(len((t or "").split()) for t in texts)
     assert places.count() <= found + total // 4  # few places that are no anchor's
     assert max(len(r.around) for r in places.select("around").collect()) <= 15
+
+
+def test_what_comes_of_the_texts_is_never_broadcast(spark, tmp_path, monkeypatch):
+    """Small files hold texts with many places: their size says nothing."""
+    spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string").write.parquet(str(tmp_path / "texts"))
+    df = spark.read.parquet(str(tmp_path / "texts"))
+    terms = J.prepare_dictionary(J.taxonomy_table(spark, TAX))
+
+    def run():
+        out = J.infer_category_by_join(df, "id", "text", terms)
+        rows = sorted(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return rows, plan.partition("Initial Plan")[0]
+
+    rows, plan = run()
+    assert "SortMergeJoin [id" in plan and "BuildLeft" not in plan and "LeftOuter, BuildRight" not in plan
+    monkeypatch.setattr(J, "MAX_BROADCAST", 0)
+    assert run()[0] == rows
