@@ -32,7 +32,8 @@ from .common import bloom, components, maybe_in, stored
 
 BITS = 3
 GRAM = 3  # characters of a feature, in lines of few words
-BAND = 256  # edits of the first comparison
+BAND = 8  # edits of the first comparison; most links are of few
+WORDS = 127  # words whose counters fit eight to a long
 SHORT = 3  # letters of a word that carries no weight
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (first bit, bits): five, of which two must agree
 
@@ -41,16 +42,27 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def _simhash_sums(h: str) -> list[Column]:
-    """32 sums of two 32-bit counters each: how many words set bit 2i, 2i+1."""
-    return [F.expr(f"sum(((shiftrightunsigned({h}, {2 * i}) & 3L) | shiftleft(shiftrightunsigned({h}, {2 * i}) & 3L, 31)) & 4294967297L)").alias(f"s{i}")
-            for i in range(32)]
+def _packed_sums(h: str) -> list[Column]:
+    """8 sums of eight 8-bit counters each, for at most ``WORDS`` words: byte j of
+    sum i counts the words that set bit 8j + i."""
+    return [F.expr(f"sum(shiftrightunsigned({h}, {i}) & {0x0101010101010101}L)").alias(f"s{i}") for i in range(8)]
 
 
-def _simhash() -> Column:
-    bits = [f"(case when 2 * (s{b // 2} & 4294967295L) > n then {1 << b}L else 0L end)" if b % 2 == 0 else
-            f"(case when 2 * shiftright(s{b // 2}, 32) > n then {'shiftleft(1L, 63)' if b == 63 else f'{1 << b}L'} else 0L end)"
-            for b in range(64)]
+def _counter(bit: int) -> str:
+    return f"(shiftrightunsigned(s{bit % 8}, {bit // 8 * 8}) & 255L)"
+
+
+def _wide_sums() -> list[Column]:
+    """32 sums of two 32-bit counters each, of packed sums: bits 2i and 2i+1."""
+    return [F.expr(f"sum({_counter(2 * i)} | shiftleft({_counter(2 * i + 1)}, 32))").alias(f"w{i}") for i in range(32)]
+
+
+def _wide(bit: int) -> str:
+    return f"shiftright(w{bit // 2}, 32)" if bit % 2 else f"(w{bit // 2} & 4294967295L)"
+
+
+def _simhash(counter) -> Column:
+    bits = [f"(case when 2 * {counter(b)} > n then {'shiftleft(1L, 63)' if b == 63 else f'{1 << b}L'} else 0L end)" for b in range(64)]
     return F.expr(" | ".join(bits))
 
 
@@ -60,22 +72,30 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _lines(docs: DataFrame, min_words: int, min_letters: int) -> DataFrame:
     """Every line that takes part: place, two hashes of the normalised line,
-    SimHash. The counters are summed before they are shuffled: one row a line."""
-    lines = _rows(docs).select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.select("doc_id", "row", "line_no", normalised(F.col("line")).alias("norm"))
+    SimHash. The counters are summed before they are shuffled: one row of eight
+    sums for ``WORDS`` words of a line. Few lines are longer; the sums of their
+    parts are added up by themselves. A row that is repeated whole has its lines
+    as often (``copy`` keeps their words apart)."""
+    lines = _rows(docs).withColumn("copy", F.monotonically_increasing_id()).select("copy", "doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = lines.select("copy", "doc_id", "row", "line_no", normalised(F.col("line")).alias("norm"))
     short = F.size(F.split("norm", " ")) < min_words
     grams = F.expr(f"transform(sequence(1, greatest(char_length(norm) - {GRAM - 1}, 1)), i -> substring(norm, i, {GRAM}))")
     out = short & (F.char_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) < min_letters)
-    parts = lines.select("doc_id", "row", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
+    parts = lines.select("copy", "doc_id", "row", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
                          short.alias("short"), out.alias("out"), F.when(out, F.array(F.lit(""))).when(short, grams).otherwise(F.split("norm", " ")).alias("words"))
     # one condition on every word, which cannot be pushed below the explode (and
     # an outer explode, which adds none): lines are normalised once
     parts = parts.withColumn("from_length", F.when(F.col("out"), F.lit(1 << 30)).when(F.col("short"), F.lit(0)).when(
         F.exists("words", lambda w: F.char_length(w) > SHORT), F.lit(SHORT + 1)).otherwise(F.lit(0)))
-    tokens = parts.select("doc_id", "row", "line_no", "h1", "h2", "from_length", F.explode_outer("words").alias("word"))
-    tokens = tokens.where(F.char_length("word") >= F.col("from_length")).select("doc_id", "row", "line_no", "h1", "h2", F.xxhash64("word").alias("h"))
-    sums = tokens.groupBy("doc_id", "row", "line_no", "h1", "h2").agg(F.count("*").alias("n"), *_simhash_sums("h"))
-    return sums.select("doc_id", "row", "line_no", "h1", "h2", _simhash().alias("sim"))
+    line = ["doc_id", "row", "line_no", "h1", "h2"]
+    tokens = parts.select("copy", *line, "from_length", F.size("words").alias("size"), F.posexplode_outer("words").alias("at", "word"))
+    tokens = tokens.where(F.char_length("word") >= F.col("from_length")).select(
+        "copy", *line, F.expr(f"at div {WORDS}").alias("part"), (F.col("size") > WORDS).alias("long"), F.xxhash64("word").alias("h"))
+    # ``long`` is summed, not a key: a filter on a key would pass below the shuffle, which both kinds of lines share
+    sums = tokens.groupBy("copy", *line, "part").agg(F.max("long").alias("long"), F.count("*").alias("n"), *_packed_sums("h"))
+    whole = sums.where("not long").select(*line, _simhash(_counter).alias("sim"))
+    added = sums.where("long").groupBy(*line).agg(F.sum("n").alias("n"), *_wide_sums())
+    return whole.unionByName(added.select(*line, _simhash(_wide).alias("sim")))
 
 
 def _posts(classes: DataFrame) -> DataFrame:
@@ -108,9 +128,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity:
     both = pairs.join(a, "a").join(b, "b").withColumn("most", F.expr(f"cast({1 - similarity:.6f}D * {longer} + 1e-9D as int)"))
     # a banded distance, in memory of the line's length: narrow bands first, and
     # the wider ones only for what they leave open, up to the full one
+    steps = [BAND << 2 * k for k in range(8)]
     bands = [f"levenshtein(na, nb, least(most, {BAND})) >= 0"]
-    bands += [f"most > {n} and levenshtein(na, nb, least(most, {4 * n})) >= 0" for n in (BAND, 4 * BAND, 16 * BAND, 64 * BAND)]
-    bands.append(f"most > {256 * BAND} and levenshtein(na, nb, most) >= 0")
+    bands += [f"most > {n} and levenshtein(na, nb, least(most, {wider})) >= 0" for n, wider in zip(steps, steps[1:])]
+    bands.append(f"most > {steps[-1]} and levenshtein(na, nb, most) >= 0")
     both = both.where("abs(char_length(na) - char_length(nb)) <= most").where(" or ".join(bands))
     return both.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 

@@ -174,6 +174,22 @@ def test_lines_of_few_words_take_part(spark):
     assert got[3] == ("", 2)
 
 
+def test_sums_of_parts_are_the_sums_of_the_line(spark):
+    """SimHashes of lines of one part and of many, and of rows repeated whole, by
+    the definition: bits set by more than half of the words with weight."""
+    rows = [(1, " ".join(f"word{i * i}" for i in range(n))) for n in (5, 126, 127, 128, 254, 255, 700)]
+    rows += [(2, "same words " * 100)] * 300 + [(3, "of a to it as")]
+    got = line_dedup._lines(frame(spark, rows, "doc_id long, text string"), 5, 12).groupBy("row").agg({"sim": "max", "h1": "count"}).collect()
+    texts = spark.createDataFrame([(t,) for t in {t for _, t in rows[:-1]}], "t string")
+    words = texts.selectExpr("t", "explode(split(trim(t), ' ')) as w").selectExpr("t", "xxhash64(w) as h").collect()
+    sums = defaultdict(list)
+    for r in words:
+        sums[r.t].append(r.h)
+    want = {sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) for hs in sums.values()}
+    assert want <= {r["max(sim)"] % (1 << 64) for r in got}
+    assert len(got) == len({t for _, t in rows})
+
+
 # --------------------------------------------------------- decontamination --
 
 def brute_hits(docs, items, window=10):
