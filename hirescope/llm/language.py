@@ -134,7 +134,8 @@ def identify(docs: DataFrame, model: dict, margin: float = 0.2, text: str = "tex
     ``und`` with score 0 for null texts, texts without a letter, and where the
     model knows no language. ``score`` is the share of the nearest codeword in
     exp(-loss) over all codewords; ``ambiguous`` if the two largest shares
-    differ by less than ``margin``. Columns of those names are replaced.
+    differ by less than ``margin``. Columns of those names are replaced. Every
+    text is predicted once, also where the caller filters by the result.
     """
     langs, code, w = list(model["langs"]), model["code"], model["w"]
 
@@ -156,6 +157,9 @@ def identify(docs: DataFrame, model: dict, margin: float = 0.2, text: str = "tex
             out.loc[some, "ambiguous"] = (two[:, 1] - two[:, 0] < margin) if len(langs) > 1 else False
         return out
 
+    # else a filter on the result would be pushed below and predict all texts a
+    # second time, by further Python workers
+    predicted = predicted.asNondeterministic()
     own = {"lang_pred", "score", "ambiguous"}
     arrow_batches(docs.sparkSession)
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in own]

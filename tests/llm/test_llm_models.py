@@ -291,3 +291,13 @@ def test_all_n_segmentations_come_out(spark):
         assert r.n_best_patches is None or r.n_best_patches[0] == []
     wrong = dict(TOY, pieces=dict(TOY["pieces"], ab=(1, -4.0)))  # two pieces of one id: decoding it cannot give both back
     assert not all(r.round_trip for r in nbest.segmented(docs.where("doc_id = 4"), vocab=wrong).collect())
+
+
+def test_a_filter_on_the_language_predicts_once(spark):
+    """Filters on a prediction are not pushed below it, where they would predict again."""
+    rows = [(i, "the quick brown fox" if i % 2 else "der schnelle braune fuchs", "en" if i % 2 else "de") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.identify(docs, language.train(docs)).where("lang_pred <> 'und' and not ambiguous")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert out.count() == 40
