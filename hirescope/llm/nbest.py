@@ -19,6 +19,7 @@ results are kept in a bounded memo.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import zlib
 
@@ -72,6 +73,10 @@ def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _place(hashes: np.ndarray, shift: int) -> np.ndarray:
+    return ((hashes >> np.uint64(shift)) & np.uint64((1 << 20) - 1)).astype(np.int32)
+
+
 class Spelling:
     """The bytes of every id (space marks as spaces), in one table."""
 
@@ -96,7 +101,8 @@ class Spelling:
 
 
 class Segmenter:
-    def __init__(self, vocab: dict, n: int):
+    def __init__(self, vocab: dict, n: int, memo: int = MEMO):
+        self.most = memo
         self.pieces, self.bytes, self.unk, self.penalty, self.n = vocab["pieces"], vocab["bytes"], vocab["unk"], vocab["penalty"], n
         self.longest = max(map(len, self.pieces))
         self.names = {i: p for p, (i, _) in self.pieces.items()}
@@ -107,18 +113,28 @@ class Segmenter:
         inner = any(SPACE in p.lstrip(SPACE) for p in self.pieces)
         self.split = re.compile(f"[{SPACE}{body}]+|[^{SPACE}{body}]" if inner else f"{SPACE}+[{body}]*|[{body}]+|[^{SPACE}{body}]").findall
         self.memo: dict = {}
+        self.older: dict = {}  # what was in the memo when it was last full
         self.lists: dict = {}
         # every beginning of a piece; the whole pieces with id and score
         self.begin: dict = dict.fromkeys((p[:k] for p in self.pieces for k in range(1, len(p))), ())
         self.begin.update(self.pieces)
-        # pieces by length, their hashes sorted, for many chunks at a time
-        self.table: dict = {}
-        for size in {len(p) for p in self.pieces}:
-            own = [p for p in self.pieces if len(p) == size]
-            hashes = _prefix_hashes(_codes(own))[:, -1]
-            order = np.argsort(hashes)
-            self.table[size] = (hashes[order], np.array([self.pieces[own[i]][0] for i in order], dtype=np.int32),
-                                np.array([self.pieces[own[i]][1] for i in order]))
+        # hashes of the pieces in two tables, the second one for what finds its
+        # place in the first one taken, and the few that are left, sorted; for
+        # many chunks at a time
+        self.sizes = {len(p) for p in self.pieces}
+        names = sorted(self.pieces, key=len)
+        hashes = np.concatenate([_prefix_hashes(_codes(list(own)))[:, -1] for _, own in itertools.groupby(names, len)])
+        self.ids, self.scores = (np.array([self.pieces[p][k] for p in names]) for k in (0, 1))
+        self.places = []
+        left = np.arange(len(names))
+        for shift in (44, 20):
+            at, free = _place(hashes[left], shift), np.full(1 << 20, -1, dtype=np.int32)
+            _, first = np.unique(at, return_index=True)
+            free[at[first]] = left[first]
+            self.places.append((shift, hashes[free], free))
+            left = np.delete(left, first)
+        order = left[np.argsort(hashes[left])]
+        self.few = hashes[order], order.astype(np.int32)
 
     def _edges(self, text: str, end: int):
         """Pieces that end at ``end``: (start, ids, score). A character without a
@@ -213,23 +229,48 @@ class Segmenter:
         second = max([before[start] + score + behind[end] for start, end, score in edges if (start, end) not in on], default=-np.inf)
         return tuple(i for ids in reversed(path) for i in ids), before[size], before[size] - second
 
+    def _bound(self, more: int) -> None:
+        """Keeps the memo and its elder to ``most`` chunks together, but for those
+        of one call."""
+        if len(self.memo) + more > self.most // 2:
+            self.memo, self.older = {}, self.memo
+
     def learn(self, chunks) -> None:
-        """``best`` for many chunks: those of one length together, one array
-        operation for each pair of positions."""
-        groups: dict = {}
-        for c in chunks:
-            if 1 < len(c) <= 40 and all(map(self.pieces.__contains__, c)):
-                groups.setdefault(len(c), []).append(c)
-        if len(self.memo) + len(chunks) > MEMO:
-            self.memo.clear()
-        for size, group in groups.items():
-            for at in range(0, len(group), 20_000):
-                if len(group) - at >= 16:
-                    self._learn(size, group[at:at + 20_000])
-
-    def _learn(self, size: int, group: list[str]) -> None:
-        n = len(group)
-        hashes = _prefix_hashes(_codes(group))
+        """``best`` for many chunks together, one array operation for each pair of
+        positions."""
+        self._bound(len(chunks))
+        chunks = set(chunks)
+        known = self.older.keys() & chunks
+        self.memo.update(zip(known, map(self.older.__getitem__, known)))
+        group = [c for c in chunks - known if 1 < len(c) <= 40 and all(map(self.pieces.__contains__, c))]
+        group.sort(key=len, reverse=True)
+        for at in range(0, len(group), 20_000):
+            if len(group) - at >= 16:
+                self._learn(group[at:at + 20_000])
+
+    def _found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are those of pieces, and of which."""
+        rows, which = [], []
+        for shift, known, piece in self.places:
+            at = _place(hashes, shift)
+            some = np.flatnonzero(known[at] == hashes)
+            some = some[piece[at[some]] >= 0]
+            rows.append(some)
+            which.append(piece[at[some]])
+        known, piece = self.few
+        if len(known):
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            some = np.flatnonzero(known[at] == hashes)
+            rows.append(some)
+            which.append(piece[at[some]])
+        return np.concatenate(rows), np.concatenate(which)
+
+    def _learn(self, group: list[str]) -> None:
+        """The chunks are ordered by length, the longest first, so those that reach
+        a position are a beginning of the group."""
+        n, lengths = len(group), np.array(list(map(len, group)))
+        size = int(lengths[0])
+        hashes = _prefix_hashes(_codes([c.ljust(size, "\0") for c in group])).T.copy()
         power = [np.uint64(1)]
         with np.errstate(over="ignore"):
             for _ in range(size):
@@ -239,53 +280,50 @@ class Segmenter:
         back, piece = np.zeros((size + 1, n), dtype=np.int16), np.zeros((size + 1, n), dtype=np.int32)
         edges = []
         for end in range(1, size + 1):
+            reach = int(np.searchsorted(-lengths, -end, side="right"))
             for start in range(max(0, end - self.longest), end):
-                if end - start not in self.table:
+                if end - start not in self.sizes:
                     continue
-                known, ids, scores = self.table[end - start]
                 with np.errstate(over="ignore"):
-                    h = hashes[:, end] - hashes[:, start] * power[end - start]
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                rows = np.flatnonzero(known[at] == h)
+                    rows, which = self._found(hashes[end, :reach] - hashes[start, :reach] * power[end - start])
                 if not len(rows):
                     continue
-                at = at[rows]
-                edges.append((start, end, rows, scores[at]))
-                total = before[start, rows] + scores[at]
+                scores = self.scores[which]
+                edges.append((start, end, rows, scores))
+                total = before[start, rows] + scores
                 better = total > before[end, rows]
-                before[end, rows[better]] = total[better]
-                back[end, rows[better]] = start
-                piece[end, rows[better]] = ids[at[better]]
+                rows = rows[better]
+                before[end, rows] = total[better]
+                back[end, rows] = start
+                piece[end, rows] = self.ids[which[better]]
         behind = np.full((size + 1, n), -np.inf)
-        behind[size] = 0.0
+        behind[lengths, np.arange(n)] = 0.0
         for start, end, rows, scores in sorted(edges, key=lambda e: -e[0]):
             behind[start, rows] = np.maximum(behind[start, rows], scores + behind[end, rows])
         # walk the best paths back; on[e]: the path has a piece that ends at e
-        on, where = np.zeros((size + 1, n), dtype=bool), np.full(n, size)
+        on, where = np.zeros((size + 1, n), dtype=bool), lengths
         for end in range(size, 0, -1):
             on[end] = where == end
             where = np.where(on[end], back[end], where)
         second = np.full(n, -np.inf)
         for start, end, rows, scores in edges:
-            other = rows[~(on[end, rows] & (back[end, rows] == start))]
             keep = ~(on[end, rows] & (back[end, rows] == start))
+            other = rows[keep]
             second[other] = np.maximum(second[other], before[start, other] + scores[keep] + behind[end, other])
         taken = on[1:].T
-        flat = piece[1:].T[taken].astype("<i4")
-        stops = np.cumsum(taken.sum(axis=1)).tolist()
-        raw, scores, losses = flat.tobytes(), before[size].tolist(), (before[size] - second).tolist()
-        starts = [0, *[4 * s for s in stops]]
-        self.memo.update(zip(group, zip(map(raw.__getitem__, map(slice, starts, starts[1:])), scores, losses)))
+        raw = piece[1:].T[taken].astype("<i4").tobytes()
+        stops = (4 * np.cumsum(taken.sum(axis=1))).tolist()
+        scores = before[lengths, np.arange(n)]
+        self.memo.update(zip(group, zip(map(raw.__getitem__, map(slice, [0, *stops], stops)), scores.tolist(), (scores - second).tolist())))
 
     def chunk(self, text: str):
         """(packed ids, score, loss of the second best path)."""
-        got = self.memo.get(text)
+        got = self.memo.get(text) or self.older.get(text)
         if got is None:
             ids, score, loss = self.best(text)
             got = (np.array(ids, dtype="<i4").tobytes(), score, loss)
             if len(text) <= 256:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
+                self._bound(1)
                 self.memo[text] = got
         return got
 
@@ -296,7 +334,7 @@ class Segmenter:
             own = tuple(np.frombuffer(packed, "<i4").tolist())
             got = [(score - s, ids) for s, ids in self.search(text) if ids != own][:self.n - 1]
             if len(text) <= 256:
-                if len(self.lists) >= MEMO:
+                if len(self.lists) >= self.most:
                     self.lists.clear()
                 self.lists[text] = got
         return got
@@ -312,11 +350,15 @@ class Segmenter:
         parts = list(map(self.memo.get, chunks))
         if None in parts:
             parts = [p or self.chunk(c) for p, c in zip(parts, chunks)]
-        ids = b"".join([p[0] for p in parts])
-        score = sum([p[1] for p in parts])
+        packed, scores, losses = zip(*parts) if parts else ((), (), ())
+        ids, score = b"".join(packed), sum(scores)
         count = len(ids) // 4
         # the n best differ from the best in chunks with the smallest losses
-        near = heapq.nsmallest(self.n - 1, [(p[2], k) for k, p in enumerate(parts) if p[2] < np.inf])
+        losses = np.array(losses)
+        if 1 < self.n <= len(losses):
+            losses[losses > np.partition(losses, self.n - 2)[self.n - 2]] = np.inf
+        at = np.flatnonzero(losses < np.inf)
+        near = heapq.nsmallest(self.n - 1, zip(losses[at].tolist(), at.tolist()))
         merged = [(0.0, 0, ())]
         for _, k in sorted(near, key=lambda x: x[1]):
             own = parts[k]
@@ -353,11 +395,11 @@ def path_ids(parts, swaps) -> bytes:
 
 _PATCH = "array<struct<start:int,length:int,ids:array<int>>>"
 _RESULT = "n_tokens long, ids_crc32 long, scores array<double>, n_pieces array<int>, round_trip boolean, n_best_crc32 array<long>"
-_BATCH = 1 << 22  # characters whose paths are decoded together
+_BATCH = 1 << 16  # characters whose paths are decoded together: a few MB of indices
 
 
 def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids: bool = True, model: str = MODEL,
-              as_patches: bool = False) -> DataFrame:
+              as_patches: bool = False, memo: int = MEMO) -> DataFrame:
     """doc_id, n_tokens, ids_crc32, scores, n_pieces, round_trip, n_best_crc32 and,
     if ``with_ids``, ids (array of int) and n_best_ids (array of arrays of int)
     for every row of ``docs``.
@@ -369,10 +411,11 @@ def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids:
     best), from which ``rebuilt`` makes n_best_ids again. ``round_trip``: the
     ids of every one of them decode to the text (a text that holds U+2581 itself
     comes back with spaces). Null texts have null results; empty ones have no
-    tokens and one path of score 0.
+    tokens and one path of score 0. ``memo``: how many chunks a worker remembers;
+    it keeps them while it waits for further tasks, also of other stages.
     """
     vocab = vocab or vocabulary(model)
-    key = (n, zlib.crc32(repr(sorted(vocab["pieces"].items())).encode()), len(vocab["bytes"]), vocab["unk"], vocab["penalty"])
+    key = (n, memo, zlib.crc32(repr(sorted(vocab["pieces"].items())).encode()), len(vocab["bytes"]), vocab["unk"], vocab["penalty"])
     made = docs.sparkSession.sparkContext.broadcast(vocab)
     others = f"n_best_patches array<{_PATCH}>" if as_patches else "n_best_ids array<array<int>>"
     kind = _RESULT + f", ids array<int>, {others}" * with_ids
@@ -380,7 +423,7 @@ def segmented(docs: DataFrame, n: int = 4, vocab: dict | None = None, with_ids:
 
     @F.pandas_udf(kind)
     def encoded(col: pd.Series) -> pd.DataFrame:
-        seg, spelling = worker_cache("nbest", key, lambda: (Segmenter(made.value, n), Spelling(made.value)))
+        seg, spelling = worker_cache("nbest", key, lambda: (Segmenter(made.value, n, memo), Spelling(made.value)))
         rows = []
         split = [[] if text is None else seg.chunks(text) for text in col]
         seg.learn({c for chunks in split for c in chunks if c not in seg.memo})

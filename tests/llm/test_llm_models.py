@@ -244,6 +244,18 @@ def test_many_chunks_at_once_are_as_one_by_one():
         assert got == one.chunk(c)
 
 
+def test_memo_is_bounded_and_results_stay_the_same():
+    rng = np.random.default_rng(6)
+    one, few = nbest.Segmenter(TOY, 4), nbest.Segmenter(TOY, 4, memo=200)
+    for _ in range(20):
+        text = " ".join("".join(rng.choice(list("abc"), size=rng.integers(1, 12))) for _ in range(80))
+        chunks = few.chunks(text)
+        few.learn({c for c in chunks if c not in few.memo})
+        assert len(few.memo) + len(few.older) <= 200
+        assert few.encode(text, chunks)[:4] == one.encode(text)[:4]
+    assert few.older and len(one.memo) > 200
+
+
 def test_encoding_round_trip(spark):
     texts = ["Hello  world\n\tok", "", None, "日本語 é \U0001F600", "x" * 20000, " lead and trail ", "a▁b", "Hello  world\n\tok"]
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
