@@ -17,6 +17,9 @@ from hirescope.llm import decontaminate, jaccard, language, line_dedup, nbest
 from hirescope.llm.common import fresh_path, release, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Chunks that an encoding worker remembers: it may still hold them when another
+#: run's stages need the executor's memory.
+MEMO = 150_000
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +74,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Token ids of the best segmentation of every document, what each further
     one of the n best changes in them (``nbest.rebuilt`` gives their ids), and
     their scores."""
-    return nbest.segmented(docs, as_patches=True)
+    return nbest.segmented(docs, as_patches=True, memo=MEMO)
 
 
 def _after(stage):

@@ -117,3 +117,10 @@ def test_stages_remove_rows_not_ids(spark, tmp_path):
     once = [(1, prose[0]), (7, prose[1]), (None, prose[2]), (4, prose[3]), (9, prose[4]), (None, None), (None, None), (12, ""), (12, ""), (20, leak), (20, prose[5])]
     assert held(P.near_duplicate_stage(spark, docs, sf)) == sorted(once, key=str)
     assert held(P.decontamination_stage(spark, docs, sf)) == sorted([r for r in rows if r[1] != leak], key=str)
+
+
+def test_encoding_workers_keep_few_chunks(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(P.nbest, "segmented", lambda docs, **how: asked.append(how) or docs)
+    P.encoding_stage(spark, None, "")
+    assert 0 < asked[0]["memo"] < P.nbest.MEMO // 4
