@@ -7,6 +7,11 @@ slices both id lists into groups. Within a group every token of one side
 overlaps a token of the other; where a side has one token, it overlaps all of
 the other's, and elsewhere the overlaps follow from the ends within the slice.
 
+No token of either tokenizer reaches across a space between two plain characters
+(checked when the files are loaded), so both have a border there, and a text's
+alignment is its words' alignments one after the other. New words are aligned
+many at a time, and kept in a bounded memo.
+
 How many documents hold an id pair is counted over the whole corpus: each
 document's distinct pairs are written with their occurrences, counted by pair
 (combined before the shuffle) and joined back.
@@ -33,7 +38,7 @@ PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Most id pairs that are sent to every executor (32 MB); above it the counts
 #: are joined by a shuffle.
 MAX_BROADCAST_PAIRS = 1 << 20
-MEMO = 800_000  # words of A that a worker remembers (some 150 bytes each)
+MEMO = 500_000  # words that a worker remembers (some 400 bytes each)
 _LONGEST = 64  # characters of a word that is remembered
 #: Spaces at which a byte-level tokenizer cuts in any case: between two
 #: characters that are certainly no white space (it goes to the next word).
@@ -79,12 +84,14 @@ class Aligner:
         # words are independent: no normalisation across them, cut by the pattern
         split = made.get("pre_tokenizer") or {}
         self.by_words = made.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, tuple | None] = {}  # None: a word that either tokenizer does not give back
+        self.older: dict[str, tuple | None] = {}  # what was in the memo when it was last full
         self.ranked = self._by_ranks(made["model"], self.bytes_a) if self.by_words else None
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+            self.by_words = self.by_words and "▁" not in piece.lstrip("▁")
         self.sizes_a = np.array(list(map(len, self.bytes_a)), dtype=np.int64)
         self.sizes_b = np.array(list(map(len, self.bytes_b)), dtype=np.int64)
         # an id as it is written within its side of a group, and at its end
@@ -104,48 +111,100 @@ class Aligner:
         ranks = {spelled[i]: i for i in range(first + len(pairs))}
         return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words. Words of plain characters go to a faster encoder of
-        the same ranks, many as one text, as each is cut off from the next."""
-        plain = [w for w in words if _PLAIN.fullmatch(w)] if self.ranked else []
+    def _words_a(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of A for each word. Words of plain characters go to a faster encoder
+        of the same ranks, many as one text, as each is cut off from the next."""
+        out: list = [None] * len(words)
+        plain = [k for k, w in enumerate(words) if _PLAIN.fullmatch(w)] if self.ranked else []
         for at in range(0, len(plain), 5000):
             some = plain[at:at + 5000]
-            ids = np.array(self.ranked.encode_ordinary("".join(some)), dtype="<i4")
-            ends = np.cumsum([len(w.encode()) for w in some])
-            stops = (4 * (np.searchsorted(np.cumsum(self.sizes_a[ids]), ends) + 1)).tolist()
-            raw = ids.tobytes()
-            self.memo.update(zip(some, map(raw.__getitem__, map(slice, [0, *stops], stops))))
-        rest = [w for w in words if w not in self.memo]
-        self.memo.update(zip(rest, [np.array(e.ids, dtype="<i4").tobytes() for e in self.a.encode_batch_fast(rest, add_special_tokens=False)]))
-
-    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of A: its tokenizer sees each new word once, if words are independent."""
-        if not self.by_words:
-            return [np.array(e.ids, dtype="<i4") for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        split = []
-        for text in texts:
-            first, *rest = _CUT.split(text)
-            split.append([first, *[" " + word for word in rest]])
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = list(dict.fromkeys(word for words in split for word in words if word not in self.memo))
-        self._learn(new)
-        out = [np.frombuffer(b"".join([self.memo[w] for w in words]), dtype="<i4") for words in split]
-        for word in new:
-            if len(word) > _LONGEST:
-                del self.memo[word]
+            ids = np.array(self.ranked.encode_ordinary("".join([words[k] for k in some])), dtype=np.int64)
+            ends = np.cumsum([len(words[k].encode()) for k in some])
+            stops = (np.searchsorted(np.cumsum(self.sizes_a[ids]), ends) + 1).tolist()
+            for k, start, stop in zip(some, [0, *stops], stops):
+                out[k] = ids[start:stop]
+        rest = [k for k, got in enumerate(out) if got is None]
+        for k, e in zip(rest, self.a.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
+            out[k] = np.array(e.ids, dtype=np.int64)
         return out
 
+    def _learn(self, words: list[str]) -> None:
+        """Alignments of new words (n_a, n_b, n_groups, groups, packed id pairs of
+        the links), all of them as one text."""
+        all_a, all_b = self._words_a(words), self.b.encode([w[1:] for w in words], num_threads=1)
+        held = []
+        for w, a, b in zip(words, all_a, all_b):
+            raw = w.encode()
+            if (b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw
+                    and b"".join(map(self.bytes_b.__getitem__, b)) == raw):
+                held.append((w, a, b))
+            else:
+                self.memo[w] = None
+        if not held:
+            return
+        a = np.concatenate([x for _, x, _ in held])
+        b = np.array([i for _, _, x in held for i in x], dtype=np.int64)
+        n_a, n_b = [len(x) for _, x, _ in held], [len(x) for _, _, x in held]
+        cut_a, cut_b, link_a, link_b = self.align(a, b)
+        stop_a = np.cumsum(n_a)
+        names = self._named(a, b, cut_a, cut_b)
+        ends = (stop_a + np.cumsum(n_b)).tolist()
+        groups = ["".join(names[x:y])[:-1] for x, y in zip([0, *ends], ends)]
+        n_groups = np.diff(np.searchsorted(cut_a, stop_a), prepend=0).tolist()
+        raw = ((a[link_a] << _SHIFT) | b[link_b]).tobytes()
+        stops = (8 * np.searchsorted(link_a, stop_a)).tolist()
+        pairs = map(raw.__getitem__, map(slice, [0, *stops], stops))
+        self.memo.update(zip([w for w, _, _ in held], zip(n_a, n_b, n_groups, groups, pairs)))
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both for each text; none where the bytes of either are not
         those of a space and the text."""
         spaced = [" " + t for t in texts]
         out = []
-        for text, a, b in zip(spaced, self._encode_a(spaced), self.b.encode(texts, num_threads=1)):
-            raw = text.encode()
-            same = (b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw
+        for text, e, b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode(texts, num_threads=1)):
+            raw, a = text.encode(), e.ids
+            same = (b"".join(map(self.bytes_a.__getitem__, a)) == raw
                     and b"".join(map(self.bytes_b.__getitem__, b)) == raw)
-            out.append((a.astype(np.int64) if same else np.zeros(0, dtype=np.int64), np.array(b if same else [], dtype=np.int64)))
+            out.append((np.array(a if same else [], dtype=np.int64), np.array(b if same else [], dtype=np.int64)))
+        return out
+
+    def _whole(self, text: str) -> tuple[int, int, int, str, np.ndarray]:
+        """n_a, n_b, n_groups, groups, id pair of every link of a text, not word by word."""
+        (a, b), = self.encode([text])
+        if not len(a):
+            return 0, 0, 0, "", np.zeros(0, dtype=np.int64)
+        cut_a, cut_b, link_a, link_b = self.align(a, b)
+        return len(a), len(b), len(cut_a) - 1, self.written(a, b, cut_a, cut_b), (a[link_a] << _SHIFT) | b[link_b]
+
+    def aligned(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray]]:
+        """n_a, n_b, n_groups, groups, id pair of every link, for each text; its new
+        words are aligned once, if words are independent."""
+        if not self.by_words:
+            return list(map(self._whole, texts))
+        split = []
+        for text in texts:
+            first, *rest = _CUT.split(" " + text)
+            split.append([first, *[" " + word for word in rest]])
+        new = {word for words in split for word in words if word not in self.memo}
+        if len(self.memo) + len(new) > MEMO // 2:
+            self.memo, self.older = {}, self.memo
+            new = {word for words in split for word in words}
+        known = self.older.keys() & new
+        self.memo.update(zip(known, map(self.older.__getitem__, known)))
+        new = sorted(new - known)
+        for at in range(0, len(new), 20_000):
+            self._learn(new[at:at + 20_000])
+        out = []
+        for text, words in zip(texts, split):
+            parts = list(map(self.memo.__getitem__, words))
+            if None in parts or not text:
+                out.append(self._whole(text))
+                continue
+            n_a, n_b, n_groups, groups, pairs = zip(*parts)
+            out.append((sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), np.frombuffer(b"".join(pairs), dtype=np.int64)))
+        for word in new:
+            if len(word) > _LONGEST:
+                del self.memo[word]
         return out
 
     def align(self, a: np.ndarray, b: np.ndarray):
@@ -172,15 +231,19 @@ class Aligner:
         link_b = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts - first, counts)
         return cut_a, cut_b, link_a, link_b
 
-    def written(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-        """The groups as text: ids of a, a bar, ids of b; groups by semicolons."""
+    def _named(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[str]:
+        """The ids as they are written, with the sign behind each."""
         n_a, n_b = len(self.bytes_a), len(self.bytes_b)
         last_a, last_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
         last_a[cut_a[1:] - 1], last_b[cut_b[1:] - 1] = True, True
         at = np.empty(len(a) + len(b), dtype=np.int64)
         at[np.arange(len(a)) + np.repeat(cut_b[:-1], np.diff(cut_a))] = a + n_a * last_a
         at[np.arange(len(b)) + np.repeat(cut_a[1:], np.diff(cut_b))] = 2 * n_a + b + n_b * last_b
-        return "".join(self.names[at].tolist())[:-1]
+        return self.names[at].tolist()
+
+    def written(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
+        """The groups as text: ids of a, a bar, ids of b; groups by semicolons."""
+        return "".join(self._named(a, b, cut_a, cut_b))[:-1]
 
 
 def alignments(docs: DataFrame, files: dict | None = None, with_groups: bool = True) -> DataFrame:
@@ -200,15 +263,10 @@ def alignments(docs: DataFrame, files: dict | None = None, with_groups: bool = T
     @F.pandas_udf(kind)
     def aligned(col: pd.Series) -> pd.DataFrame:
         aligner, rows = worker_cache("alignment", key, lambda: Aligner(made.value)), []
-        for a, b in aligner.encode([t or "" for t in col]):
-            if not len(a):
-                rows.append((0, 0, 0, 0, *[""] * (1 + with_groups), [], []))
-                continue
-            cut_a, cut_b, link_a, link_b = aligner.align(a, b)
-            groups = aligner.written(a, b, cut_a, cut_b)
-            pairs, times = np.unique((a[link_a] << _SHIFT) | b[link_b], return_counts=True)
-            rows.append((len(a), len(b), len(cut_a) - 1, len(link_a), *[groups] * with_groups,
-                         hashlib.sha256(groups.encode()).hexdigest(), pairs, times.astype(np.int32)))
+        for n_a, n_b, n_groups, groups, linked in aligner.aligned([t or "" for t in col]):
+            pairs, times = np.unique(linked, return_counts=True)
+            rows.append((n_a, n_b, n_groups, len(linked), *[groups] * with_groups,
+                         hashlib.sha256(groups.encode()).hexdigest() if n_a else "", pairs, times.astype(np.int32)))
         return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in kind.split(", ")])
 
     arrow_batches(docs.sparkSession)

@@ -120,3 +120,19 @@ def test_byte_letters_cover_the_vocabulary(files):
     assert sorted(letters.values()) == list(range(256))
     vocab = json.loads(files["a"])["model"]["vocab"]
     assert sum(len(t) == 1 for t in vocab) == 256 and all(c in letters for t in list(vocab)[:50000] for c in t)
+
+
+def test_words_are_aligned_as_whole_texts(files, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    words = ["the", "cat's", "naïve", "x&&&", "1234", "日本", "a\tb", "", "<s>", "▁u", "e\u0301", "Zürich,", "q" * 90, "it 'll"]
+    texts = [" ".join(rng.choice(words, size=rng.integers(0, 30))) for _ in range(300)]
+    monkeypatch.setattr(A, "MEMO", 16)
+    aligner = A.Aligner(files)
+    assert aligner.by_words
+    for at in range(0, 300, 50):
+        for text, got in zip(texts[at:at + 50], aligner.aligned(texts[at:at + 50])):
+            want = aligner._whole(text)
+            assert got[:4] == want[:4] and sorted(got[4].tolist()) == sorted(want[4].tolist())
+    assert aligner.older and max(map(len, aligner.memo), default=0) <= A._LONGEST
