@@ -255,8 +255,8 @@ def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
     """One text of each class (s1, n) in ``wanted``, by the digests of its text: a
     bounded bitmap thins the scan before the exact join."""
     reps = stored(wanted.join(classes, ["s1", "n"]).select("rep.d1", "rep.d2").distinct(), "jaccard-wanted")
-    found = semi_by_bloom(_digested(docs.select("text")), "d1", reps.select("d1"), "jaccard-bloom")
-    return found.join(reps, ["d1", "d2"], "left_semi").select("text")
+    found = semi_by_bloom(_digested(docs.select("text")), "d1", reps, "jaccard-bloom")
+    return found.groupBy("d1", "d2").agg(F.first("text").alias("text")).select("text")
 
 
 def _tokens_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -286,8 +286,7 @@ def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, heat) -> DataFr
                 rows.append((signature(s)[0], len(s), s.tobytes(), *(np.sort(prefix(s, heat.value, o)).tobytes() for o in (1, 2))))
             yield pd.DataFrame(rows, columns=["s1", "n", "set", "second", "third"])
 
-    return stored(_texts_of(docs, classes, ends).mapInPandas(run, "s1 long, n int, set binary, second binary, third binary")
-                  .dropDuplicates(["s1", "n"]), "jaccard-sets")
+    return stored(_texts_of(docs, classes, ends).mapInPandas(run, "s1 long, n int, set binary, second binary, third binary"), "jaccard-sets")
 
 
 def _common(a: bytes, b: bytes) -> int:

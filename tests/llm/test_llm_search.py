@@ -221,3 +221,12 @@ def test_sets_hold_one_row_for_each_class(spark, monkeypatch):
     got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect())) == sorted((d, 56, 1) for d, _ in docs)
     assert made and made[0].count() == 2
+
+
+def test_copies_of_a_text_are_read_as_one(spark):
+    """The texts of wanted classes come once each, however many rows hold them."""
+    docs = [(d, t) for t in ("a b c d e f g", "h i j k l m n") for d in range(40)] + [(90, "not wanted at all here"), (91, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = jaccard._signed(df).where("chunk < 0 and n = 3").selectExpr("s1", "n", "struct(d1, d2) as rep").distinct()
+    got = jaccard._texts_of(df, rows, rows.select("s1", "n"))
+    assert sorted(r["text"] for r in got.collect()) == ["a b c d e f g", "h i j k l m n"]
