@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, components, semi_by_bloom, ship, stored
+from .common import arrow_batches, components, semi_by_bloom, ship, split_by_bloom, stored
 from .jaccard import word_hashes
 
 ship(__name__)
@@ -227,7 +227,10 @@ def _rest(known: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
     held = held.drop("company").join(mixed.select("bucket", "members", F.col("main.comp").alias("maincomp")), "bucket")
     held = stored(held.withColumn("main", F.col("comp") == F.col("maincomp")).drop("maincomp"), "circulant-mixed")
     # shingles that no other class of any mixed bucket has (told by k1 alone)
-    tokens = held.select("c").distinct().join(sets.select(_class().alias("c"), "set"), "c").select(F.col("c.k1").alias("k"), F.explode("set").alias("token"))
+    # (a set that the bitmap lets through besides makes fewer shingles count as alone, so nothing is lost, and no set is moved)
+    ends = stored(held.select("c").distinct(), "circulant-mixed-classes")
+    tokens = split_by_bloom(sets.select(_class().alias("c"), "set"), "c", ends, "circulant-mixed-bloom")[0].select(
+        F.col("c.k1").alias("k"), F.explode("set").alias("token"))
     alone = tokens.groupBy("token").agg(F.min("k").alias("k"), F.max("k").alias("z")).where("k = z")
     alone = stored(alone.groupBy("k").agg(F.count("*").cast("int").alias("alone")), "circulant-alone")
     held = held.withColumn("k", F.col("c.k1")).join(alone, "k", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))).drop("k", "alone")

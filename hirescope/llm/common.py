@@ -106,8 +106,8 @@ def bloom(keys: DataFrame, key: str) -> DataFrame:
     return out.withColumn("n_bits", F.lit(bits))
 
 
-def maybe_in(df: DataFrame, key: str, bitmap: DataFrame, n_bits: int) -> DataFrame:
-    """Rows of ``df`` whose ``key`` may be in the bitmap (no false negatives)."""
+def _looked_up(df: DataFrame, key: str, bitmap: DataFrame, n_bits: int, how: str) -> DataFrame:
+    """``df`` joined to its keys' rows of the bitmap, with ``__may``."""
     bitmap = bitmap.select(F.col("bucket").alias("__bucket"), F.col("bits").alias("__bits"))
     slot = F.pmod(F.xxhash64(F.col(key)), F.lit(n_bits))
     bit = slot % _CHUNK
@@ -115,12 +115,28 @@ def maybe_in(df: DataFrame, key: str, bitmap: DataFrame, n_bits: int) -> DataFra
     return (
         df.withColumn("__bucket", (slot / _CHUNK).cast("long") + 1)
         .withColumn("__bit", bit)
-        .join(F.broadcast(bitmap), "__bucket")
-        .where(byte.bitwiseAND(F.expr("shiftleft(1, cast(__bit % 8 as int))")) != 0)
-        .drop("__bucket", "__bit", "__bits")
+        .join(F.broadcast(bitmap), "__bucket", how)
+        .withColumn("__may", byte.bitwiseAND(F.expr("shiftleft(1, cast(__bit % 8 as int))")) != 0)
     )
 
 
+def maybe_in(df: DataFrame, key: str, bitmap: DataFrame, n_bits: int) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be in the bitmap (no false negatives)."""
+    return _looked_up(df, key, bitmap, n_bits, "inner").where("__may").select(df.columns)
+
+
+def split_by_bloom(df: DataFrame, key: str, keys: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: the rows whose ``key`` may be one of ``keys``, for an exact
+    join, and those of which a bounded bitmap tells that it is none. Wide rows
+    that have no partner are not shuffled so."""
+    bitmap = stored(bloom(keys, key), name)
+    n_bits = bitmap.agg(F.max("n_bits")).first()[0]
+    if n_bits is None:
+        return df.where(F.lit(False)), df
+    rest = _looked_up(df, key, bitmap, n_bits, "left").where("not coalesce(__may, false)").select(df.columns)
+    return maybe_in(df, key, bitmap, n_bits), rest
+
+
 def semi_by_bloom(df: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
     """Rows of ``df`` whose columns named as those of ``keys`` are a row of it
     (``keys`` has no row twice), thinned by a bounded bitmap of its 64-bit
