@@ -28,18 +28,20 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bloom, components, maybe_in, stored
+from .common import bloom, components, maybe_in, split_by_bloom, stored
 
 BITS = 3
 GRAM = 3  # characters of a feature, in lines of few words
 BAND = 8  # edits of the first comparison; most links are of few
 WORDS = 127  # words whose counters fit eight to a long
 SHORT = 3  # letters of a word that carries no weight
+GAP_WORDS = 256  # words around which a gap's place is tried (in the square of them)
 _BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # (first bit, bits): five, of which two must agree
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    # runs of anything else, but for single spaces, which would become themselves
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N} ][^\p{L}\p{N}]*| [^\p{L}\p{N}]+", " "))
 
 
 def _packed_sums(h: str) -> list[Column]:
@@ -48,22 +50,35 @@ def _packed_sums(h: str) -> list[Column]:
     return [F.expr(f"sum(shiftrightunsigned({h}, {i}) & {0x0101010101010101}L)").alias(f"s{i}") for i in range(8)]
 
 
-def _counter(bit: int) -> str:
-    return f"(shiftrightunsigned(s{bit % 8}, {bit // 8 * 8}) & 255L)"
-
-
 def _wide_sums() -> list[Column]:
-    """32 sums of two 32-bit counters each, of packed sums: bits 2i and 2i+1."""
-    return [F.expr(f"sum({_counter(2 * i)} | shiftleft({_counter(2 * i + 1)}, 32))").alias(f"w{i}") for i in range(32)]
+    """32 sums of two 32-bit counters each, of packed sums: bytes k and k + 4 of
+    sum i in ``w{i}_{k}``."""
+    return [F.expr(f"sum(shiftrightunsigned(s{i}, {8 * k}) & {0xFF000000FF}L)").alias(f"w{i}_{k}") for i in range(8) for k in range(4)]
+
 
+# A bit of a SimHash is set where its counter is above half of the ``n`` words. All
+# counters of a long are compared by one sum, which carries into a counter's highest
+# bit where it is; 64 conditions make methods that the JVM does not compile.
 
-def _wide(bit: int) -> str:
-    return f"shiftright(w{bit // 2}, 32)" if bit % 2 else f"(w{bit // 2} & 4294967295L)"
+def _simhash() -> Column:
+    """Of packed sums. The last byte is added by itself: its carry is the sign."""
+    terms = []
+    for i in range(8):
+        low = f"((s{i} & {(1 << 56) - 1}L) + (127L - n div 2) * {0x01010101010101}L) & {0x80808080808080}L"
+        last = f"shiftleft((shiftrightunsigned(s{i}, 56) + (127L - n div 2)) & 128L, 56)"
+        terms.append(f"shiftrightunsigned(({low}) | {last}, {7 - i})")
+    return F.expr(" | ".join(terms))
 
 
-def _simhash(counter) -> Column:
-    bits = [f"(case when 2 * {counter(b)} > n then {'shiftleft(1L, 63)' if b == 63 else f'{1 << b}L'} else 0L end)" for b in range(64)]
-    return F.expr(" | ".join(bits))
+def _wide_simhash() -> Column:
+    """Of wide sums (fewer than 2^30 words)."""
+    terms = []
+    for i in range(8):
+        for k in range(4):
+            over = f"(w{i}_{k} + ({(1 << 30) - 1}L - n div 2) * {(1 << 32) + 1}L) & {(1 << 62) | (1 << 30)}L"
+            to = 8 * k + i - 30
+            terms.append(f"shiftleft({over}, {to})" if to > 0 else f"shiftrightunsigned({over}, {-to})")
+    return F.expr(" | ".join(terms))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -78,24 +93,26 @@ def _lines(docs: DataFrame, min_words: int, min_letters: int) -> DataFrame:
     as often (``copy`` keeps their words apart)."""
     lines = _rows(docs).withColumn("copy", F.monotonically_increasing_id()).select("copy", "doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.select("copy", "doc_id", "row", "line_no", normalised(F.col("line")).alias("norm"))
-    short = F.size(F.split("norm", " ")) < min_words
+    # words are split in a step of their own: once, although they are used several times
+    lines = lines.select("copy", "doc_id", "row", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
+                         F.split("norm", " ").alias("split"), F.col("norm").rlike(f"[^ ]{{{SHORT + 1}}}").alias("weighty"), "norm")
+    short = F.size("split") < min_words
     grams = F.expr(f"transform(sequence(1, greatest(char_length(norm) - {GRAM - 1}, 1)), i -> substring(norm, i, {GRAM}))")
-    out = short & (F.char_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) < min_letters)
-    parts = lines.select("copy", "doc_id", "row", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
-                         short.alias("short"), out.alias("out"), F.when(out, F.array(F.lit(""))).when(short, grams).otherwise(F.split("norm", " ")).alias("words"))
-    # one condition on every word, which cannot be pushed below the explode (and
-    # an outer explode, which adds none): lines are normalised once
-    parts = parts.withColumn("from_length", F.when(F.col("out"), F.lit(1 << 30)).when(F.col("short"), F.lit(0)).when(
-        F.exists("words", lambda w: F.char_length(w) > SHORT), F.lit(SHORT + 1)).otherwise(F.lit(0)))
+    out = F.char_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) < min_letters
+    parts = lines.select("copy", "doc_id", "row", "line_no", "h1", "h2",
+                         F.when(short, F.when(out, F.array(F.lit(""))).otherwise(grams)).otherwise(F.col("split")).alias("words"),
+                         # one condition on every word, which cannot be pushed below the explode (and
+                         # an outer explode, which adds none): lines are normalised once
+                         F.when(short, F.when(out, F.lit(1 << 30)).otherwise(F.lit(0))).when(F.col("weighty"), F.lit(SHORT + 1)).otherwise(F.lit(0)).alias("from_length"))
     line = ["doc_id", "row", "line_no", "h1", "h2"]
     tokens = parts.select("copy", *line, "from_length", F.size("words").alias("size"), F.posexplode_outer("words").alias("at", "word"))
     tokens = tokens.where(F.char_length("word") >= F.col("from_length")).select(
         "copy", *line, F.expr(f"at div {WORDS}").alias("part"), (F.col("size") > WORDS).alias("long"), F.xxhash64("word").alias("h"))
     # ``long`` is summed, not a key: a filter on a key would pass below the shuffle, which both kinds of lines share
     sums = tokens.groupBy("copy", *line, "part").agg(F.max("long").alias("long"), F.count("*").alias("n"), *_packed_sums("h"))
-    whole = sums.where("not long").select(*line, _simhash(_counter).alias("sim"))
+    whole = sums.where("not long").select(*line, _simhash().alias("sim"))
     added = sums.where("long").groupBy(*line).agg(F.sum("n").alias("n"), *_wide_sums())
-    return whole.unionByName(added.select(*line, _simhash(_wide).alias("sim")))
+    return whole.unionByName(added.select(*line, _wide_simhash().alias("sim")))
 
 
 def _posts(classes: DataFrame) -> DataFrame:
@@ -126,14 +143,44 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity:
     b = lines.select(F.col("h1").alias("b"), F.col("id").alias("idb"), F.col("norm").alias("nb"))
     longer = "greatest(char_length(na), char_length(nb))"
     both = pairs.join(a, "a").join(b, "b").withColumn("most", F.expr(f"cast({1 - similarity:.6f}D * {longer} + 1e-9D as int)"))
-    # a banded distance, in memory of the line's length: narrow bands first, and
-    # the wider ones only for what they leave open, up to the full one
+    both = both.where("abs(char_length(na) - char_length(nb)) <= most")
+    # kept with the pairs, as a filter would evaluate the steps again for each use
+    return stored(both.select("ida", "idb", "most", F.split("na", " ").alias("wa"), F.split("nb", " ").alias("wb"))
+                  .transform(_compared), "line-compared").where("near").select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+
+
+def _compared(both: DataFrame) -> DataFrame:
+    """(ida, idb, near): whether the words ``wa`` and ``wb`` are ``most`` edits apart
+    at most. Words that both begin or end with change no distance and are cut off
+    first (the distance costs the square of the length). The edits of each word,
+    with the words of one gap where one side has more, are enough edits for the
+    whole; only where these are too many, the rest is compared as a whole."""
+    differ = "zip_with({a}, {b}, (x, y) -> not (x <=> y))"  # where one has no word, this is true
+    both = both.select("ida", "idb", "most", "wa", "wb", F.expr(f"array_position({differ.format(a='wa', b='wb')}, true)").alias("at"))
+    both = both.select("ida", "idb", "most", "at", F.expr("reverse(slice(wa, greatest(at, 1), size(wa)))").alias("ra"),
+                       F.expr("reverse(slice(wb, greatest(at, 1), size(wb)))").alias("rb"))
+    both = both.select("ida", "idb", "most", "at", "ra", "rb", F.expr(f"array_position({differ.format(a='ra', b='rb')}, true)").alias("till"))
+    middle = "reverse(slice({r}, greatest(till, 1), size({r})))"
+    both = both.select("ida", "idb", "most", "at", F.expr(middle.format(r="ra")).alias("ma"), F.expr(middle.format(r="rb")).alias("mb"))
+    # edits of the words that stand at the same place from the front and from the back,
+    # and the words of a gap between them
+    both = both.select("ida", "idb", "most", "at", "ma", "mb", F.expr("if(size(ma) < size(mb), ma, mb)").alias("fewer"), F.expr("if(size(ma) < size(mb), mb, ma)").alias("more"))
+    both = both.select("ida", "idb", "most", "at", "ma", "mb", "more", F.expr("size(fewer)").alias("m"), F.expr("size(more) - size(fewer)").alias("gap"),
+                       F.expr("transform(fewer, (x, i) -> if(x = more[i], 0, levenshtein(x, more[i])))").alias("front"),
+                       F.expr("transform(fewer, (x, i) -> if(x = more[i + size(more) - size(fewer)], 0, levenshtein(x, more[i + size(more) - size(fewer)])))").alias("back"))
+    total = "aggregate({}, 0, (t, d) -> t + d)".format
+    around = f"{total('slice(front, 1, k)')} + {total('slice(back, k + 1, m)')} + char_length(array_join(slice(more, k + 1, gap), ' ')) + 1"
+    enough = f"case when gap = 0 then {total('front')} <= most when m <= {GAP_WORDS} then exists(sequence(0, m), k -> {around} <= most) else false end"
+    both = both.select("ida", "idb", "most", F.expr("at = 0").alias("same"), F.expr(enough).alias("enough"),
+                       # every word with a space behind it, so that a rest of no words has no length
+                       *[F.expr(f"array_join(concat({m}, array('')), ' ')").alias(f"t{m}") for m in ("ma", "mb")])
+    # a banded distance: narrow bands first, and the wider ones only for what they
+    # leave open, up to the full one
     steps = [BAND << 2 * k for k in range(8)]
-    bands = [f"levenshtein(na, nb, least(most, {BAND})) >= 0"]
-    bands += [f"most > {n} and levenshtein(na, nb, least(most, {wider})) >= 0" for n, wider in zip(steps, steps[1:])]
-    bands.append(f"most > {steps[-1]} and levenshtein(na, nb, most) >= 0")
-    both = both.where("abs(char_length(na) - char_length(nb)) <= most").where(" or ".join(bands))
-    return both.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+    bands = [f"levenshtein(tma, tmb, least(most, {BAND})) >= 0"]
+    bands += [f"most > {n} and levenshtein(tma, tmb, least(most, {wider})) >= 0" for n, wider in zip(steps, steps[1:])]
+    bands.append(f"most > {steps[-1]} and levenshtein(tma, tmb, most) >= 0")
+    return both.select("ida", "idb", F.expr(" or ".join(["same", "enough", *bands])).alias("near"))
 
 
 def fuzzy_line_groups(docs: DataFrame, min_words: int = 5, similarity: float = 0.9, min_letters: int = 12) -> tuple[DataFrame, DataFrame]:
@@ -186,7 +233,10 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 5, similarity: float =
     drops = stored(again.groupBy("row").agg(F.collect_set("line_no").alias("drops")), "line-drops")
     own = {"row", "drops", "n_lines", "n_dropped", "kept"}
     kept = [c for c in docs.columns if c.lower() not in own]
-    parts = docs.select(*[F.col(f"`{c}`") for c in kept], F.xxhash64("doc_id", "text").alias("row")).join(drops, "row", "left")
+    parts = docs.select(*[F.col(f"`{c}`") for c in kept], F.xxhash64("doc_id", "text").alias("row"))
+    # only rows that a bitmap of those with repeated lines lets through are moved
+    held, whole = split_by_bloom(parts, "row", drops, "line-drops-bloom")
+    parts = held.join(drops, "row", "left").unionByName(whole, allowMissingColumns=True)
     cut = F.expr("case when drops is null then text else array_join(filter(split(text, '\\n'), (x, i) -> not array_contains(drops, i)), '\\n') end")
     return parts.select(
         *[cut.alias("text") if c == "text" else F.col(f"`{c}`") for c in kept],

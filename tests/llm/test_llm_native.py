@@ -240,3 +240,62 @@ def test_contamination_edges(spark):
     got = decontaminate.contamination(docs, none).collect()
     assert [(r.n_words, r.n_hit, r.contaminated) for r in got] == [(2, 0, False)] * 2
     assert decontaminate.contamination(docs.where("false"), none).count() == 0
+
+
+def test_line_distance_is_the_plain_one(spark):
+    """Cut ends, words compared one by one and gaps decide as the distance of the
+    whole lines does."""
+    r, rows = random.Random(5), []
+    for i in range(1500):
+        a = [r.choice(["ab", "abc", "b", "cab", "dd", "xy"]) for _ in range(r.randint(0, 9))]
+        b = list(a)
+        for _ in range(r.randint(0, 4)):
+            k, o = r.randint(0, len(b)), r.randint(0, 3)
+            if o == 0:
+                b.insert(k, r.choice(["ab", "q", "abc"]))
+            elif b and o == 1:
+                b.pop(min(k, len(b) - 1))
+            elif b:
+                b[min(k, len(b) - 1)] = r.choice(["abd", "ba", "c"])
+        rows.append((i, " ".join(a), " ".join(b), r.randint(0, 8)))
+    both = spark.createDataFrame(rows, "i int, na string, nb string, most int")
+    near = line_dedup._compared(both.selectExpr("struct(i) as ida", "struct(nb) as idb", "most", "split(na, ' ') as wa", "split(nb, ' ') as wb"))
+    got = near.selectExpr("ida.i", "near").join(both, "i").selectExpr("near", "levenshtein(na, nb) <= most as want").collect()
+    assert len(got) == 1500 and 300 < sum(x.want for x in got) < 1400 and all(x.near == x.want for x in got)
+
+
+def test_simhash_bits_are_those_of_more_than_half(spark):
+    r = random.Random(6)
+    for wide in (False, True):
+        rows, want = [], []
+        for i in range(300):
+            n = r.choice([1, 2, 126, 127]) if not wide else r.choice([1, 2, 128, 129, 40_000, 1_000_001])
+            c = [r.choice([0, n // 2, n // 2 + 1, n, r.randint(0, n)]) for _ in range(64)]
+            if wide:
+                sums = [c[8 * k + j] | c[8 * (k + 4) + j] << 32 for j in range(8) for k in range(4)]
+            else:
+                sums = [sum(c[8 * b + j] << 8 * b for b in range(8)) for j in range(8)]
+            rows.append((i, n, *sums))
+            sim = sum(1 << b for b in range(64) if 2 * c[b] > n)
+            want.append(sim - (1 << 64) if sim >> 63 else sim)
+        names = [f"w{j}_{k}" for j in range(8) for k in range(4)] if wide else [f"s{j}" for j in range(8)]
+        df = spark.createDataFrame(rows, "i long, n long, " + ", ".join(f"{x} long" for x in names))
+        sim = line_dedup._wide_simhash() if wide else line_dedup._simhash()
+        assert [x.sim for x in df.select("i", sim.alias("sim")).orderBy("i").collect()] == want
+
+
+def test_texts_without_repeated_lines_stay_where_they_are(spark, monkeypatch):
+    moved = []
+    plain = line_dedup.split_by_bloom
+
+    def spied(df, key, keys, name):
+        out = plain(df, key, keys, name)
+        moved.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "split_by_bloom", spied)
+    rows = [(i, "\n".join(" ".join(f"{'abcdefghij'[(i * 7 + j * k) % 10] * 5}{i}x{j}x{k}" for k in range(8)) for j in range(3))) for i in range(100)]
+    rows.append((200, rows[3][1].split("\n")[0] + "\nsome other words that stand in no other text"))
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[200].n_dropped == 1 and got[200].text == "some other words that stand in no other text"
+    assert all(got[i].text == rows[i][1] and got[i].n_dropped == 0 for i in range(100)) and 1 <= moved[0] < 20
