@@ -200,15 +200,16 @@ def _heat(signed: DataFrame) -> np.ndarray:
     return heat
 
 
-def _posts(docs: DataFrame, heat, hot: bool) -> DataFrame:
-    """(token, rank, s1, n) for the first order's prefixes, of hot or of cold
-    tokens; sets that a task meets again are left out. ``rank`` is, for hot
-    tokens, the set's cold shingles in thousandths."""
+def _prefixes(docs: DataFrame, heat) -> DataFrame:
+    """(s1, n, rank, cold, hot): the first order's prefix of every set, its cold and
+    its hot tokens, written once; sets that a task meets again are left out.
+    ``rank`` is, where there are hot tokens, the set's cold shingles in
+    thousandths."""
 
     def run(batches):
         seen = set()
         for pdf in batches:
-            tokens, ranks, s1s, ns = [], [], [], []
+            rows = []
             for text in pdf["text"]:
                 s = shingles(text)
                 if not len(s):
@@ -218,17 +219,14 @@ def _posts(docs: DataFrame, heat, hot: bool) -> DataFrame:
                     continue
                 seen.add(sign)
                 p = prefix(s, heat.value, 0)
-                p = p[(heat.value[p & _U(SKETCH - 1)] > 0) == hot]
-                cold = 1000 * np.count_nonzero(heat.value[s & _U(SKETCH - 1)] == 0) // len(s) if hot else 0
-                tokens.append(p)
-                ranks.append(np.full(len(p), cold, dtype=np.int32))
-                s1s.append(np.full(len(p), sign[0], dtype=np.int64))
-                ns.append(np.full(len(p), len(s), dtype=np.int32))
-            if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64), "rank": np.concatenate(ranks),
-                                    "s1": np.concatenate(s1s), "n": np.concatenate(ns)})
+                hot = heat.value[p & _U(SKETCH - 1)] > 0
+                rank = 1000 * np.count_nonzero(heat.value[s & _U(SKETCH - 1)] == 0) // len(s) if hot.any() else 0
+                p = p.view(np.int64)
+                rows.append((sign[0], len(s), rank, p[~hot], p[hot]))
+            if rows:
+                yield pd.DataFrame(rows, columns=["s1", "n", "rank", "cold", "hot"])
 
-    return docs.select("text").mapInPandas(run, "token long, rank int, s1 long, n int")
+    return stored(docs.select("text").mapInPandas(run, "s1 long, n int, rank int, cold array<long>, hot array<long>"), "jaccard-prefixes")
 
 
 def _shared_posts(docs: DataFrame, heat) -> DataFrame:
@@ -238,9 +236,11 @@ def _shared_posts(docs: DataFrame, heat) -> DataFrame:
     ones are aggregated before they move, and joined."""
     me = F.struct("s1", "n")
     same = Window.partitionBy("token")
-    cold = _posts(docs, heat, hot=False).select("token", "s1", "n", F.min(me).over(same).alias("p"), F.max(me).over(same).alias("q"))
+    sets = _prefixes(docs, heat)
+    cold = sets.select(F.explode("cold").alias("token"), "s1", "n")
+    cold = cold.select("token", "s1", "n", F.min(me).over(same).alias("p"), F.max(me).over(same).alias("q"))
     cold = cold.where("p <> q").dropDuplicates(["token", "s1", "n"]).select("token", "s1", "n", "p")
-    hot = stored(_posts(docs, heat, hot=True), "jaccard-hot").distinct()
+    hot = sets.select(F.explode("hot").alias("token"), "rank", "s1", "n").distinct()
     first = F.min(F.struct("rank", "s1", "n"))
     ends = hot.groupBy("token").agg(first.alias("first"), F.min(me).alias("p"), F.max(me).alias("q")).where("p <> q")
     ends = stored(ends.select("token", F.struct("first.s1", "first.n").alias("p")), "jaccard-hot-lists")

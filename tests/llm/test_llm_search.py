@@ -230,3 +230,27 @@ def test_copies_of_a_text_are_read_as_one(spark):
     rows = jaccard._signed(df).where("chunk < 0 and n = 3").selectExpr("s1", "n", "struct(d1, d2) as rep").distinct()
     got = jaccard._texts_of(df, rows, rows.select("s1", "n"))
     assert sorted(r["text"] for r in got.collect()) == ["a b c d e f g", "h i j k l m n"]
+
+
+def test_prefixes_are_cut_once(spark, monkeypatch):
+    """Cold and hot tokens of the first order come of one pass over the texts."""
+    calls, plain = [], jaccard._prefixes
+
+    def counted(docs, heat):
+        calls.append(plain(docs, heat))
+        return calls[-1]
+
+    monkeypatch.setattr(jaccard, "_prefixes", counted)
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(20)] + [None, " ", "one two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    heat = np.zeros(jaccard.SKETCH, dtype=np.uint8)
+    heat[::2] = 3
+    jaccard._shared_posts(docs, spark.sparkContext.broadcast(heat))
+    assert len(calls) == 1
+    got = {(r.s1, r.n): (set(r.cold), set(r.hot), r["rank"]) for r in calls[0].collect()}
+    for t in [s for s in map(jaccard.shingles, texts) if len(s)]:
+        p = jaccard.prefix(t, heat, 0)
+        hot = heat[p & np.uint64(jaccard.SKETCH - 1)] > 0
+        cold, warm, rank = got[(jaccard.signature(t)[0], len(t))]
+        assert cold == set(p[~hot].view(np.int64).tolist()) and warm == set(p[hot].view(np.int64).tolist())
+        assert rank == (1000 * int(np.count_nonzero(heat[t & np.uint64(jaccard.SKETCH - 1)] == 0)) // len(t) if hot.any() else 0)
