@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.llm import decontaminate, jaccard, language, line_dedup, nbest
-from hirescope.llm.common import fresh_path, release, stored
+from hirescope.llm.common import fresh_path, release, split_by_bloom, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Chunks that an encoding worker remembers: it may still hold them when another
@@ -51,15 +51,23 @@ def _by_key(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("row_key").alias("doc_id"), "text")
 
 
+def _without(docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` is not in ``keys``. Only rows that may
+    go are moved, so that the texts of those that stay are not shuffled."""
+    keys = stored(keys, name)
+    held, rest = split_by_bloom(docs, "row_key", keys, f"{name}-bloom")
+    return held.join(keys, "row_key", "left_anti").unionByName(rest).select(COLUMNS)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies exactly one row stays: that of the smallest
     doc_id (null counts as the largest; ties to a digest of the row)."""
     docs = _keyed(docs, "stage-near-rows")
     groups = jaccard.near_duplicates(_by_key(docs)).select(F.col("doc_id").alias("row_key"), "component_id")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text", "lang", "source", "n_chars"), "row_key")
-    first = stored(docs.select("row_key", order.alias("at")).join(groups, "row_key")
-                   .groupBy("component_id").agg(F.min_by("row_key", "at").alias("row_key")).select("row_key"), "stage-near")
-    return docs.join(first, "row_key", "left_semi").select(COLUMNS)
+    groups = stored(docs.select("row_key", order.alias("at")).join(groups, "row_key").select("row_key", "at", "component_id"), "stage-near-groups")
+    first = groups.groupBy("component_id").agg(F.min_by("row_key", "at").alias("row_key")).select("row_key")
+    return _without(docs, groups.select("row_key").join(first, "row_key", "left_anti"), "stage-near")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +75,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     docs = _keyed(docs, "stage-leak-rows")
     leaks = decontaminate.contamination(_by_key(docs), benchmark).where("contaminated").select(F.col("doc_id").alias("row_key"))
-    return docs.join(stored(leaks, "stage-leaks"), "row_key", "left_anti").select(COLUMNS)
+    return _without(docs, leaks, "stage-leaks")
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

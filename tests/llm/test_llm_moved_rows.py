@@ -1,5 +1,6 @@
 """What is not moved: rows that a bitmap rules out, sets and texts beside them."""
 
+import corpus_pipeline as P
 from hirescope.llm import circulant, common
 
 
@@ -32,3 +33,21 @@ def test_rare_shingles_are_counted_without_moving_sets(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in circulant.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert len(got) == 30
     assert [c for c, _ in seen] == [["c", "set"]] and "Exchange hashpartitioning" not in seen[0][1]
+
+
+def test_pipeline_moves_only_texts_that_may_go(spark, monkeypatch):
+    moved = []
+    plain = P.split_by_bloom
+
+    def spied(df, key, keys, name):
+        out = plain(df, key, keys, name)
+        moved.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(P, "split_by_bloom", spied)
+    rows = [(i, " ".join(f"t{i}x{j}" for j in range(30)), "en", "s", 9) for i in range(200)]
+    rows += [(1000 + i, rows[i][1], "en", "s", 9) for i in range(3)] + [rows[50], (None, rows[60][1], "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.near_duplicate_stage(spark, docs, "")
+    assert sorted(r.doc_id for r in got.collect()) == list(range(200))
+    assert moved and max(moved) < 50
