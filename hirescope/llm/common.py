@@ -4,11 +4,13 @@ bounded Bloom bitmaps, connected components, by-value pickling.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import sys
 import tempfile
 import types
 import uuid
+import weakref
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,25 +56,58 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-#: Tables that ``stored`` has written and ``release`` has not removed yet.
+#: Tables that ``stored`` has written and that are not removed yet, and the
+#: frames that read them.
 _tables: list[str] = []
+_path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """The shuffle files of what runs inside go when it ends, not when the driver
+    happens to collect its garbage. (Should a stage be tried again, Spark makes
+    them anew.)"""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage
     durably, so that a lost executor never replays what came before."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     _tables.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _path_of[out] = path
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` gave, for an operator that has written all
+    that it makes from them."""
+    for table in tables:
+        path = _path_of.pop(table, None)
+        if path in _tables:
+            _tables.remove(path)
+            _remove(table.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
     """Remove the tables stored so far, for a caller who has written what was
     made from them (a pipeline between two stages)."""
     while _tables:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_tables.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, _tables.pop())
 
 
 def texts(df: DataFrame, *names: str) -> DataFrame:

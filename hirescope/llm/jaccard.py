@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, components, semi_by_bloom, ship, stored
+from .common import arrow_batches, components, discard, semi_by_bloom, ship, stored
 
 ship(__name__)
 
@@ -127,6 +127,15 @@ def prefix(s: np.ndarray, heat: np.ndarray, order: int) -> np.ndarray:
     return s if size == n else s[np.argpartition(key, size - 1)[:size]]
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters in the narrowest unsigned integers that hold them all."""
+    return counts.astype(np.min_scalar_type(counts.max())).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"u{len(raw) // _CHUNK}")
+
+
 # ------------------------------------------------------------ Spark passes --
 
 def _digested(docs: DataFrame) -> DataFrame:
@@ -158,7 +167,7 @@ def _signed(docs: DataFrame) -> DataFrame:
             part = counts[c * _CHUNK:(c + 1) * _CHUNK]
             if part.any():
                 yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "d1": 0, "d2": 0, "n": 0, "s1": 0, "s2": 0,
-                                    "chunk": c, "counts": [part.tobytes()]})
+                                    "chunk": c, "counts": [_packed(part)]})
 
     kind = "doc_id long, d1 long, d2 long, n int, s1 long, s2 long, chunk int, counts binary"
     return stored(_digested(docs).mapInPandas(run, kind), "jaccard-signed")
@@ -173,8 +182,8 @@ def _heat(signed: DataFrame) -> np.ndarray:
     def total(key, pdf):
         out = np.zeros(_CHUNK, dtype=np.int64)
         for raw in pdf["counts"]:
-            out += np.frombuffer(raw, dtype=np.int32 if len(raw) == 4 * _CHUNK else np.int64)
-        return pd.DataFrame({"chunk": [key[0]], "counts": [out.tobytes()]})
+            out += _unpacked(raw).astype(np.int64)
+        return pd.DataFrame({"chunk": [key[0]], "counts": [_packed(out)]})
 
     sums = signed.where("chunk >= 0").select("chunk", "counts")
     most = sums.groupBy("chunk").count().agg(F.max("count")).first()[0] or 0
@@ -190,7 +199,7 @@ def _heat(signed: DataFrame) -> np.ndarray:
         for pdf in batches:
             out = []
             for raw in pdf["counts"]:
-                over = (np.frombuffer(raw, dtype=np.int64) - mean) / (2 * np.sqrt(mean) + 2)
+                over = (_unpacked(raw).astype(np.int64) - mean) / (2 * np.sqrt(mean) + 2)
                 out.append(np.where(over <= 1, 0, np.minimum(1 + 2 * np.log2(np.maximum(over, 1)), 255)).astype(np.uint8).tobytes())
             yield pd.DataFrame({"chunk": pdf["chunk"], "heat": out})
 
@@ -229,14 +238,15 @@ def _prefixes(docs: DataFrame, heat) -> DataFrame:
     return stored(docs.select("text").mapInPandas(run, "s1 long, n int, rank int, cold array<long>, hot array<long>"), "jaccard-prefixes")
 
 
-def _shared_posts(docs: DataFrame, heat) -> DataFrame:
+def _shared_posts(docs: DataFrame, heat, sets: DataFrame | None = None) -> DataFrame:
     """Posts of the tokens that two or more classes hold, each with the first
     class of its list (by rank, then by signature). Lists of cold tokens are
     short, about the sketch's mean at most, and are read where they meet; hot
-    ones are aggregated before they move, and joined."""
+    ones are aggregated before they move, and joined. ``sets``: the prefixes,
+    where they are cut already."""
     me = F.struct("s1", "n")
     same = Window.partitionBy("token")
-    sets = _prefixes(docs, heat)
+    sets = _prefixes(docs, heat) if sets is None else sets
     cold = sets.select(F.explode("cold").alias("token"), "s1", "n")
     cold = cold.select("token", "s1", "n", F.min(me).over(same).alias("p"), F.max(me).over(same).alias("q"))
     cold = cold.where("p <> q").dropDuplicates(["token", "s1", "n"]).select("token", "s1", "n", "p")
@@ -244,7 +254,19 @@ def _shared_posts(docs: DataFrame, heat) -> DataFrame:
     first = F.min(F.struct("rank", "s1", "n"))
     ends = hot.groupBy("token").agg(first.alias("first"), F.min(me).alias("p"), F.max(me).alias("q")).where("p <> q")
     ends = stored(ends.select("token", F.struct("first.s1", "first.n").alias("p")), "jaccard-hot-lists")
-    return stored(cold.unionByName(hot.join(ends, "token").select("token", "s1", "n", "p")), "jaccard-posts")
+    posts = stored(cold.unionByName(hot.join(ends, "token").select("token", "s1", "n", "p")), "jaccard-posts")
+    discard(ends)
+    return posts
+
+
+def _able(held: DataFrame) -> DataFrame:
+    """The rows of ``held`` (token, s1, n, comp) whose class has as many as a link of
+    its takes votes at least. The votes of a pair are lists that both are in, so
+    most classes whose texts only have some common shingles fall away here, in
+    long lists too."""
+    partner = f"({PERCENT} * cast(n as bigint) + 99) div 100"  # shingles of the smallest that it can be linked to
+    able = held.groupBy("s1", "n").agg(F.count("*").alias("lists")).where(f"lists >= 1 + ({partner}) div 20").select("s1", "n")
+    return held.join(able, ["s1", "n"], "left_semi")
 
 
 _SIMILAR = f"100 * least(an, bn) >= {PERCENT} * greatest(an, bn)"
@@ -330,7 +352,9 @@ def _rare_posts(docs: DataFrame, classes: DataFrame, crowded: DataFrame) -> Data
     classes in ``crowded`` have."""
     tokens = stored(_tokens_of(docs, classes, crowded.select("s1", "n").distinct()), "jaccard-crowd")
     members = tokens.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") <= CROWD)
-    return stored(tokens.join(members, "token"), "jaccard-rare")
+    rare = stored(tokens.join(members, "token"), "jaccard-rare")
+    discard(tokens)
+    return rare
 
 
 def _apart(held: DataFrame, shared: int) -> DataFrame:
@@ -361,11 +385,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     arrow_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = _signed(docs)
-    rows = signed.where("chunk < 0").select("doc_id", "n", "s1", "s2", F.struct("d1", "d2").alias("rep"))
+    rows = stored(signed.where("chunk < 0").select("doc_id", "n", "s1", "s2", F.struct("d1", "d2").alias("rep")), "jaccard-rows")
     classes = stored(rows.where("n > 0").groupBy("s1", "n", "s2").agg(
         F.min("doc_id").alias("first"), F.min("rep").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
     heat = spark.sparkContext.broadcast(_heat(signed))
-    posts = _shared_posts(docs, heat)
+    discard(signed)
+    sets = _prefixes(docs, heat)
+    posts = _shared_posts(docs, heat, sets)
+    discard(sets)
 
     # each list's members against its smallest
     stars = posts.where("p.s1 <> s1 or p.n <> n").groupBy(
@@ -376,11 +403,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # what is still apart: members of different components in one list
     label = groups.select(F.col("id.s1").alias("s1"), F.col("id.n").alias("n"), "comp")
-    held = stored(posts.select("token", "s1", "n").join(label, ["s1", "n"], "left")
-                  .select("token", "s1", "n", F.coalesce("comp", F.struct("s1", "n")).alias("comp")), "jaccard-labelled")
-    mixed = held.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    held = stored(held.join(stored(mixed, "jaccard-mixed"), "token", "left_semi"), "jaccard-apart")
-    crowds = stored(held.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") > CROWD).select("token"), "jaccard-crowds")
+    labelled = stored(posts.select("token", "s1", "n").join(label, ["s1", "n"], "left")
+                      .select("token", "s1", "n", F.coalesce("comp", F.struct("s1", "n")).alias("comp")), "jaccard-labelled")
+    discard(posts)
+    ends = F.min("comp").alias("x"), F.max("comp").alias("y")
+    mixed = stored(labelled.groupBy("token").agg(*ends).where("x <> y").select("token"), "jaccard-mixed")
+    apart = stored(labelled.join(mixed, "token", "left_semi"), "jaccard-apart")
+    discard(labelled, mixed)
+    held = stored(_able(apart), "jaccard-able")
+    discard(apart)
+    crowds = held.groupBy("token").agg(F.count("*").alias("members"), *ends).where(F.col("members") > CROWD).where("x <> y")
+    crowds = stored(crowds.select("token"), "jaccard-crowds")
     crowded = held.join(crowds, "token", "left_semi")
     rare = _rare_posts(docs, classes, crowded)
     own = stored(rare.groupBy("s1", "n").agg(F.count("*").alias("own")), "jaccard-own")
@@ -388,15 +421,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     def bounded(df: DataFrame) -> DataFrame:  # with ``most``: shingles that are not rare
         return df.join(own, ["s1", "n"], "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
 
-    held = stored(bounded(crowded).where(f"100 * most >= {PERCENT} * n").unionByName(
+    close = stored(bounded(crowded).where(f"100 * most >= {PERCENT} * n").unionByName(
         held.join(crowds, "token", "left_anti").withColumn("most", F.col("n").cast("long"))), "jaccard-candidates")
     label = crowded.select("s1", "n", "comp").distinct()
-    rare = stored(bounded(rare.where("members > 1").join(label, ["s1", "n"])).drop("members"), "jaccard-rare-lists")
-    rest = _apart(held, 0).where(_ENOUGH).unionByName(_apart(rare, 1))
+    lists = stored(bounded(rare.where("members > 1").join(label, ["s1", "n"])).drop("members"), "jaccard-rare-lists")
+    discard(held, crowds, rare, own)
+    rest = _apart(close, 0).where(_ENOUGH).unionByName(_apart(lists, 1))
     rest = rest.select("as1", "an", "bs1", "bn").distinct()
     rest = stored(rest.join(stars.select("as1", "an", "bs1", "bn"), ["as1", "an", "bs1", "bn"], "left_anti")
                   .join(stars.select(F.col("bs1").alias("as1"), F.col("bn").alias("an"), F.col("as1").alias("bs1"), F.col("an").alias("bn")),
                         ["as1", "an", "bs1", "bn"], "left_anti"), "jaccard-rest")
+    discard(close, lists)
     if not rest.isEmpty():
         links = links.union(_links(rest, docs, classes, heat))
         groups = components(links, "jaccard-groups")

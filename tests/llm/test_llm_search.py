@@ -254,3 +254,42 @@ def test_prefixes_are_cut_once(spark, monkeypatch):
         cold, warm, rank = got[(jaccard.signature(t)[0], len(t))]
         assert cold == set(p[~hot].view(np.int64).tolist()) and warm == set(p[hot].view(np.int64).tolist())
         assert rank == (1000 * int(np.count_nonzero(heat[t & np.uint64(jaccard.SKETCH - 1)] == 0)) // len(t) if hot.any() else 0)
+
+
+def test_texts_with_one_common_shingle_are_no_crowd(spark, monkeypatch):
+    """Long lists of classes that share nothing else: their whole sets are not
+    read, and near copies among them are still found."""
+    rng = random.Random(5)
+    docs = []
+    for d in range(480):
+        words = [f"u{rng.randrange(10 ** 9)}" for _ in range(28)]
+        at = rng.randrange(20)
+        words[at:at] = [f"p{d % 12}x{j}" for j in range(5)]
+        docs.append((d, " ".join(words)))
+    docs += [(1000 + d, docs[d][1] + " more") for d in range(0, 480, 40)]
+    asked, plain = [], jaccard._rare_posts
+
+    def counted(docs, classes, crowded):
+        asked.append(crowded.select("s1", "n").distinct().count())
+        return plain(docs, classes, crowded)
+
+    monkeypatch.setattr(jaccard, "_rare_posts", counted)
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute_components(docs)
+    assert len(asked) == 1 and asked[0] < 40
+
+
+def test_classes_with_just_enough_lists_stay(spark):
+    """A link of a class of n shingles takes 1 + n' div 20 lists, n' = 80 % of n."""
+    rows = [(t, s, n, s) for s, n, k in [(1, 23, 1), (2, 24, 1), (3, 24, 2), (4, 100, 4), (5, 100, 5), (6, 1, 1)] for t in range(k)]
+    held = spark.createDataFrame(rows, "token long, s1 long, n int, comp long")
+    assert sorted({r.s1 for r in jaccard._able(held).collect()}) == [1, 3, 5, 6]
+    assert jaccard._able(held).columns == ["s1", "n", "token", "comp"]
+
+
+def test_sketch_counters_are_packed():
+    for most in (0, 1, 255, 256, 70_000, 2 ** 33):
+        counts = np.zeros(jaccard._CHUNK, dtype=np.int64)
+        counts[7] = most
+        raw = jaccard._packed(counts)
+        assert (jaccard._unpacked(raw) == counts).all() and len(raw) == jaccard._CHUNK * max(1, (most.bit_length() + 7) // 8 if most < 2 ** 16 else 4 if most < 2 ** 32 else 8)
