@@ -26,7 +26,9 @@ Members of long lists that are copies of one text, but too far from it and from
 each other to be linked, would still make a pair each. They are told by their
 rare shingles, which at most ``CROWD`` members of long lists have. Two members
 that share none of these have at most their other shingles in common, which
-rules most pairs out by two numbers; members that do share some meet in the
+rules most pairs out by a few numbers (how many of these each has in ``PARTS``
+parts of all shingles: copies that lack different shingles of the text have
+less in common than either has); members that do share some meet in the
 rare shingles' own lists, which are short, and are bounded there by how many
 they share. So pairs grow with a group, not with its square.
 """
@@ -47,6 +49,7 @@ PERCENT = 80  # Jaccard similarity of a link, in hundredths
 SHINGLE = 5  # words
 SKETCH = 1 << 22  # counters; 16 MB in a task, 4 MB (one byte each) on the driver
 CROWD = 32  # members of a long list
+PARTS = 16  # counts of a class's shingles that are not rare, by a hash of the shingle
 _CHUNK = 1 << 16  # counters in a row of the sketch table
 _PIECES = 64  # rows of the sketch table that are summed at a time (16 MB)
 
@@ -347,30 +350,49 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, heat) -> DataF
         F.struct(F.col("bs1").alias("s1"), F.col("bn").alias("n")).alias("b")).distinct(), "jaccard-links")
 
 
-def _rare_posts(docs: DataFrame, classes: DataFrame, crowded: DataFrame) -> DataFrame:
+_COUNTS = [f"m{i}" for i in range(PARTS)]
+
+
+def _rare_posts(docs: DataFrame, classes: DataFrame, crowded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(token, s1, n, members) of the shingles that at most ``CROWD`` of the
-    classes in ``crowded`` have."""
+    classes in ``crowded`` have, and (s1, n, m0, m1, ...): how many others each
+    class has in every part."""
     tokens = stored(_tokens_of(docs, classes, crowded.select("s1", "n").distinct()), "jaccard-crowd")
-    members = tokens.groupBy("token").agg(F.count("*").alias("members")).where(F.col("members") <= CROWD)
-    rare = stored(tokens.join(members, "token"), "jaccard-rare")
-    discard(tokens)
-    return rare
+    members = stored(tokens.groupBy("token").agg(F.count("*").alias("members")).where("members > 1"), "jaccard-members")
+    few = F.col("members") <= CROWD
+    rare = stored(tokens.join(members.where(few), "token"), "jaccard-rare")
+    part = F.pmod(F.xxhash64("token"), F.lit(PARTS))
+    others = stored(tokens.join(members.where(~few), "token").groupBy("s1", "n").agg(
+        *[F.count(F.when(part == i, 1)).alias(c) for i, c in enumerate(_COUNTS)]), "jaccard-others")
+    discard(tokens, members)
+    return rare, others
 
 
 def _apart(held: DataFrame, shared: int) -> DataFrame:
-    """(as1, an, bs1, bn, votes): pairs of different components that meet in a
-    list of ``held`` (token, s1, n, comp, most) and may have enough in common:
-    what is not rare in either (``most``) and, where the lists are those of
-    rare shingles (``shared`` = 1), those that they meet in."""
-    a = held.select("token", F.col("s1").alias("as1"), F.col("n").alias("an"), F.col("comp").alias("ac"), F.col("most").alias("am"))
-    b = held.select(F.col("token").alias("t"), F.col("s1").alias("bs1"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("most").alias("bm"))
+    """(as1, an, bs1, bn, most): a row for each list of ``held`` (token, s1, n,
+    comp, and m0, m1, ... where they bound) that a pair of different components
+    meets in, and what is not rare in either, part by part. Where the lists are
+    not those of rare shingles (``shared`` = 0), only of pairs that have enough
+    in common without them."""
+    counts = [c for c in _COUNTS if c in held.columns]
+    a = held.select("token", F.col("s1").alias("as1"), F.col("n").alias("an"), F.col("comp").alias("ac"), *[F.col(c).alias(f"a{c}") for c in counts])
+    b = held.select(F.col("token").alias("t"), F.col("s1").alias("bs1"), F.col("n").alias("bn"), F.col("comp").alias("bc"),
+                    *[F.col(c).alias(f"b{c}") for c in counts])
     # ordered by size, so that the length filter is one-sided
     meet = f"token = t and (an < bn or (an = bn and as1 < bs1)) and 100 * an >= {PERCENT} * bn and ac <> bc"
-    enough = f"100 * (least(am, bm) + {{v}}) >= {PERCENT} * (an + bn - least(am, bm) - {{v}})"
+    most = " + ".join(f"least(a{c}, b{c})" for c in counts) or "cast(an as bigint)"
     if not shared:
-        meet += " and " + enough.format(v=0)
-    pairs = a.join(b, F.expr(meet)).groupBy("as1", "an", "bs1", "bn").agg(F.count("*").alias("votes"), F.first("am").alias("am"), F.first("bm").alias("bm"))
-    return pairs.where(enough.format(v="votes") if shared else "true").drop("am", "bm")
+        meet += " and " + _within(most, "0")
+    return a.join(b, F.expr(meet)).select("as1", "an", "bs1", "bn", F.expr(most).alias("most"))
+
+
+def _within(most: str, votes: str) -> str:
+    """That a pair with at most so many others, and so many rare shingles in common, can be a link."""
+    return f"100 * ({most} + {votes}) >= {PERCENT} * (an + bn - ({most}) - {votes})"
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("as1", "an", "bs1", "bn").agg(F.count("*").alias("votes"), F.first("most").alias("most"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -415,23 +437,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowds = held.groupBy("token").agg(F.count("*").alias("members"), *ends).where(F.col("members") > CROWD).where("x <> y")
     crowds = stored(crowds.select("token"), "jaccard-crowds")
     crowded = held.join(crowds, "token", "left_semi")
-    rare = _rare_posts(docs, classes, crowded)
-    own = stored(rare.groupBy("s1", "n").agg(F.count("*").alias("own")), "jaccard-own")
+    rare, others = _rare_posts(docs, classes, crowded)
 
-    def bounded(df: DataFrame) -> DataFrame:  # with ``most``: shingles that are not rare
-        return df.join(own, ["s1", "n"], "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+    def bounded(df: DataFrame) -> DataFrame:  # with what is not rare
+        return df.join(others, ["s1", "n"], "left").fillna(0, _COUNTS)
 
-    close = stored(bounded(crowded).where(f"100 * most >= {PERCENT} * n").unionByName(
-        held.join(crowds, "token", "left_anti").withColumn("most", F.col("n").cast("long"))), "jaccard-candidates")
+    close = stored(bounded(crowded).where(f"100 * ({' + '.join(_COUNTS)}) >= {PERCENT} * n"), "jaccard-candidates")
+    short = stored(held.join(crowds, "token", "left_anti"), "jaccard-short-lists")
     label = crowded.select("s1", "n", "comp").distinct()
-    lists = stored(bounded(rare.where("members > 1").join(label, ["s1", "n"])).drop("members"), "jaccard-rare-lists")
-    discard(held, crowds, rare, own)
-    rest = _apart(close, 0).where(_ENOUGH).unionByName(_apart(lists, 1))
+    lists = stored(bounded(rare.join(label, ["s1", "n"])).drop("members"), "jaccard-rare-lists")
+    discard(held, crowds, rare, others)
+    rest = _counted(_apart(close, 0).unionByName(_apart(short, 0))).where(_ENOUGH).unionByName(
+        _counted(_apart(lists, 1)).where(_within("most", "votes")))
     rest = rest.select("as1", "an", "bs1", "bn").distinct()
     rest = stored(rest.join(stars.select("as1", "an", "bs1", "bn"), ["as1", "an", "bs1", "bn"], "left_anti")
                   .join(stars.select(F.col("bs1").alias("as1"), F.col("bn").alias("an"), F.col("as1").alias("bs1"), F.col("an").alias("bn")),
                         ["as1", "an", "bs1", "bn"], "left_anti"), "jaccard-rest")
-    discard(close, lists)
+    discard(close, short, lists)
     if not rest.isEmpty():
         links = links.union(_links(rest, docs, classes, heat))
         groups = components(links, "jaccard-groups")
